@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from tidemark.llm.bpe import op8_byte_bpe
+from tidemark.llm.decontam import op10_decontaminate
 from tidemark.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op8_byte_bpe": op8_byte_bpe,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL = {
