@@ -14,7 +14,6 @@ Nulls and ties: a null text is encoded as empty (no ids); every row is encoded,
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,7 +37,8 @@ class Vocabulary:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.tokens = {v: k for k, v in self.ranks.items()}
-        self.longest = max(map(len, self.ranks))
+        #: Every ending of a token, with the token that it is itself or -1: tells how far back to look.
+        self.tails = {raw[i:]: -1 for raw in self.ranks for i in range(len(raw))} | self.ranks
         self._edges: dict[int, tuple | None] = {}
         self._pairs: dict[int, bool] = {}
 
@@ -110,24 +110,17 @@ class PrefixEncoder:
 
     def append(self, more: bytes) -> None:
         v, last = self.vocabulary, self.last
-        ranks, pairs, neighbours, longest = v.ranks, v._pairs, v.neighbours, v.longest
+        tails, neighbours = v.tails.get, v.neighbours
         self.piece = piece = self.piece + more
         for end in range(len(last), len(piece) + 1):
-            for start in range(max(0, end - longest), end):
-                token = ranks.get(piece[start:end])
-                if token is None:
-                    continue
-                if start:
-                    before = last[start]
-                    fits = pairs.get(before << 32 | token)
-                    if not (neighbours(before, token) if fits is None else fits):
-                        continue
-                elif not v.edges(token):
-                    continue
-                last.append(token)
-                break
+            start = end - 1
+            while start >= 0 and (token := tails(piece[start:end])) is not None:
+                if token >= 0 and (neighbours(last[start], token) if start else v.edges(token)):
+                    break
+                start -= 1
             else:
                 raise ValueError(f"no token ends at byte {end} of {piece[:50]!r}")
+            last.append(token)
 
     def replace(self, start: int, end: int, new: bytes) -> None:
         """Put ``new`` in the place of bytes [start, end): entries before ``start`` stay."""
@@ -160,30 +153,10 @@ class _Pieces(dict):
         return ids
 
 
-def splitter(pattern: str) -> re.Pattern:
-    """The pattern for Python's ``re``, which splits about twice as fast: character properties become plain ranges."""
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-
-    def ranges(prop: str) -> str:
-        return "".join(f"{re.escape(m[0])}-{re.escape(m[-1])}" for m in regex.findall(f"{prop}+", every))
-
-    out, inside, i = [], False, 0
-    while i < len(pattern):
-        found = regex.compile(r"\\[pP]\{\w+\}|\\[sS]|\\.|.", regex.S).match(pattern, i)[0]
-        i += len(found)
-        inside = found == "[" or inside and found != "]"
-        if found.startswith(("\\p", "\\s")):
-            found = ranges(found) if inside else f"[{ranges(found)}]"
-        elif found == "\\S":
-            found = f"[^{ranges(chr(92) + 's')}]"
-        out.append(found)
-    return re.compile("".join(out))
-
-
 @lru_cache(2)
 def _worker(path: str, pattern: str):
     v = Vocabulary(path)
-    return v, _Pieces(v), splitter(pattern)
+    return v, _Pieces(v), regex.compile(pattern)
 
 
 def encode(text: str | None, path: str, pattern: str = public_tokenizers.PATTERN) -> bytes:
