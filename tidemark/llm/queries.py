@@ -5,9 +5,11 @@ from __future__ import annotations
 from tidemark.llm.bpe import op8_byte_bpe
 from tidemark.llm.decontam import op10_decontaminate
 from tidemark.llm.exact_dedup import OP4_SQL, op4_exact_dedup
+from tidemark.llm.simhash import op6_simhash
 
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_simhash": op6_simhash,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_decontaminate": op10_decontaminate,
 }
