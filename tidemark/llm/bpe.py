@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches, table
+from tidemark.llm.common import prepare, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pieces and token pairs that a Python worker remembers.
@@ -171,7 +171,7 @@ def decode(ids: bytes, path: str, pattern: str = public_tokenizers.PATTERN) -> b
 
 def encode_documents(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, ids`` with the ids as bytes (little-endian unsigned 32-bit integers)."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,8 +60,16 @@ def discard(df: DataFrame) -> None:
         jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound the rows of an Arrow batch, so that a batch of long texts still fits a Python worker."""
+def prepare(spark: SparkSession, rows: int = 512) -> None:
+    """Get a session ready for Python workers.
+
+    Bounds the rows of an Arrow batch, so that a batch of long texts still fits a worker, and lets workers
+    on this machine import the package from where the driver has it (a cluster gets it by ``--py-files``).
+    """
+    home = str(Path(__file__).parents[2])
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if home not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [home, path]))
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > rows:
         spark.conf.set(key, str(rows))
@@ -73,3 +83,11 @@ def ascii_lower(col: Column) -> Column:
 def held_out(id_col: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 5, is 0. A null id is never held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def labelled_sample(labels: DataFrame, id_col: str, label_col: str, size: int) -> DataFrame:
+    """``id, gold``: at most ``size`` labelled training documents of each class, picked by the hash of the id."""
+    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
+    known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("gold"))
+    parts = [known.where(F.col("gold") == y).orderBy(F.xxhash64("id"), "id").limit(size) for y in (0, 1)]
+    return parts[0].unionByName(parts[1])

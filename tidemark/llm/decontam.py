@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, small_batches, table
+from tidemark.llm.common import materialise, prepare, table
 
 #: Bytes outside words become spaces, A-Z become a-z; bytes of non-ASCII characters stay.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -162,7 +162,7 @@ def find_contamination(
     ``spans`` are the hit words as [first, end) positions; ``items`` the matching item ids, sorted as strings.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare(spark)
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).alias("text"))
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = -(-size // block_bytes) or 1

@@ -26,17 +26,18 @@ PREFIX_CHARS = 32
 END_CHARS = 256
 
 
-def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """One row per input row: ``id_col, keep_id, group_size, kept, text_sha256``.
+def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", carry: bool = False) -> DataFrame:
+    """One row per input row: ``id_col, keep_id, group_size, kept, text_sha256``, and with ``carry`` the row as ``row``.
 
     ``keep`` names the identifier that stays of equal texts: ``smallest`` or ``largest``.
     """
     largest = keep == "largest"
     best = F.max if largest else F.min
     spark = df.sparkSession
-    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    with_row = ["row"] if carry else []
+    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *([F.struct("*").alias("row")] if carry else []))
     ends = [ascii_lower(F.substring("text", at, END_CHARS)) for at in (1, -END_CHARS)]
-    rows = rows.select("id", "text", F.xxhash64(F.octet_length("text"), *ends).alias("h"))
+    rows = rows.select("id", "text", *with_row, F.xxhash64(F.octet_length("text"), *ends).alias("h"))
     norm, sha = ascii_lower(F.col("text")).alias("norm"), F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")
 
     total = df.count()
@@ -46,7 +47,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
 
     cold = rows.where(~F.col("h").isin(hot)) if hot else rows
     prefix = ascii_lower(F.substring("text", 1, PREFIX_CHARS))
-    ranged = cold.withColumn("prefix", prefix).repartitionByRange("prefix", "h").select("id", "prefix", "h", norm)
+    ranged = cold.withColumn("prefix", prefix).repartitionByRange("prefix", "h").select("id", "prefix", "h", norm, *with_row)
     group = Window.partitionBy("prefix", "h", "norm")
     order = F.col("id").desc_nulls_last() if largest else F.col("id").asc_nulls_last()
     found = ranged.select(
@@ -55,7 +56,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
         best("id").over(group).alias("keep_id"),
         F.count(F.lit(1)).over(group).alias("group_size"),
         "norm",
-    ).select("id", "nth", "keep_id", "group_size", sha)
+        *with_row,
+    ).select("id", "nth", "keep_id", "group_size", sha, *with_row)
 
     if hot:
         frequent = rows.where(F.col("h").isin(hot))
@@ -65,7 +67,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
             .agg(best("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
             .select(sha, "keep_id", "group_size")
         )
-        again = frequent.select("id", norm).select("id", sha).join(groups, "text_sha256")
+        again = frequent.select("id", norm, *with_row).select("id", sha, *with_row).join(groups, "text_sha256")
         of_best = F.col("id").eqNullSafe(F.col("keep_id"))
         same = Window.partitionBy("text_sha256", "id").orderBy("id")
         again = again.where(~of_best).withColumn("nth", F.lit(2)).unionByName(again.where(of_best).withColumn("nth", F.row_number().over(same)))
@@ -77,13 +79,13 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
         "group_size",
         ((F.col("nth") == 1) & F.col("id").eqNullSafe(F.col("keep_id"))).alias("kept"),
         "text_sha256",
+        *with_row,
     )
 
 
 def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
-    """The rows of ``df`` that stay, with all their columns. Needs ids that are unique and not null."""
-    stay = exact_dedup(df, id_col, text_col, keep).where("kept").select(id_col)
-    return df.join(stay, id_col, "left_semi")
+    """The rows of ``df`` that stay, with all their columns."""
+    return exact_dedup(df, id_col, text_col, keep, carry=True).where("kept").select("row.*")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,12 +5,18 @@ from __future__ import annotations
 from tidemark.llm.bpe import op8_byte_bpe
 from tidemark.llm.decontam import op10_decontaminate
 from tidemark.llm.exact_dedup import OP4_SQL, op4_exact_dedup
+from tidemark.llm.language_id import op2_language_id
+from tidemark.llm.quality import op5_quality
 from tidemark.llm.simhash import op6_simhash
+from tidemark.llm.toxicity import op9_toxicity
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_toxicity": op9_toxicity,
     "op10_decontaminate": op10_decontaminate,
 }
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UPPER, discard, materialise, small_batches, table
+from tidemark.llm.common import UPPER, discard, materialise, prepare, table
 
 BITS = 64
 #: Largest bucket whose members are compared pairwise.
@@ -60,7 +60,7 @@ def fingerprint(text: str | None, size: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, seed: int = 42) -> DataFrame:
     """``id, fp`` with the fingerprint as a signed 64-bit integer."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
