@@ -3,16 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+MODULES = ("calendar", "lake")
+
+
+def query(name: str, sql: str | None = None):
+    """Register a query under its name; ``sql`` gives the same rows in DuckDB."""
+
+    def add(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return build(spark, sf_dir)
+
+        QUERIES[name] = run
+        if sql:
+            ORACLE[name] = sql
+        return build
+
+    return add
+
+
+def _load() -> None:
+    for module in MODULES:
+        import_module(f"tidemark.plans.{module}")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return QUERIES
+    _load()
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return ORACLE
+    _load()
+    return dict(ORACLE)
