@@ -59,9 +59,9 @@ def duplicate_timestamps(df: DataFrame, keys: list[str], ts: str = "timestamp")
     return df.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def not_monotone(df: DataFrame, keys: list[str], arrival: str, ts: str = "timestamp") -> DataFrame:
+def not_monotone(df: DataFrame, keys: list[str], arrival: list[str], ts: str = "timestamp") -> DataFrame:
     """Per key the rows that arrive after a row with a later time, and rows without a time."""
-    order = Window.partitionBy(*keys).orderBy(arrival)
+    order = Window.partitionBy(*keys).orderBy(*arrival)
     back = F.col(ts) < F.lag(ts).over(order)
     return df.withColumn("_back", back).groupBy(*keys).agg(F.count_if("_back").alias("n_back"), F.count_if(F.col(ts).isNull()).alias("n_null"))
 

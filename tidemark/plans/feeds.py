@@ -24,7 +24,7 @@ def ntz(col: str | Column) -> Column:
 
 
 def r6(col: str | Column) -> Column:
-    return F.round(F.col(col) if isinstance(col, str) else col, 6)
+    return F.round((F.col(col) if isinstance(col, str) else col) + 1e-9, 6)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
