@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-MODULES = ("calendar", "lake", "quality", "features")
+MODULES = ("calendar", "lake", "quality", "features", "forecasts", "serving", "streams")
 
 
 def query(name: str, sql: str | None = None):
