@@ -24,15 +24,15 @@ def quantile_forest(train: DataFrame, rows: DataFrame, features: list[str], qs:
     Missing features get the training median. A row falls into one leaf of each tree; its quantiles are those
     of the pooled leaf distributions.
     """
-    doubles = lambda df: df.select("*", *[F.col(c).cast("double").alias(f"_{c}") for c in features])
-    names = [f"_{c}" for c in features]
+    doubles = lambda df: df.select("*", *[F.col(c).cast("double").alias(f"_f_{c}") for c in features])
+    names = [f"_f_{c}" for c in features]
     imputer = Imputer(strategy="median", inputCols=names, outputCols=names, relativeError=0.001).fit(doubles(train))
-    vector = VectorAssembler(inputCols=names, outputCol="_x", handleInvalid="keep")
+    vector = VectorAssembler(inputCols=names, outputCol="_vector", handleInvalid="keep")
     ready = lambda df: vector.transform(imputer.transform(doubles(df))).drop(*names)
-    forest = RandomForestRegressor(featuresCol="_x", labelCol="y", predictionCol="_p", leafCol="_leaf", maxDepth=depth, numTrees=trees, minInstancesPerNode=min_rows, seed=seed, subsamplingRate=0.8)
+    forest = RandomForestRegressor(featuresCol="_vector", labelCol="y", predictionCol="_p", leafCol="_leaf", maxDepth=depth, numTrees=trees, minInstancesPerNode=min_rows, seed=seed, subsamplingRate=0.8)
     model = forest.fit(ready(train.where(F.col("y").isNotNull())))
 
-    leaves = lambda df: model.transform(df).select("*", F.posexplode(vector_to_array("_leaf")).alias("_tree", "_node")).drop("_leaf", "_x", "_p")
+    leaves = lambda df: model.transform(df).select("*", F.posexplode(vector_to_array("_leaf")).alias("_tree", "_node")).drop("_leaf", "_vector", "_p")
     held = leaves(ready(train.where(F.col("y").isNotNull()))).groupBy("_tree", "_node").agg(F.percentile("y", F.array(*map(F.lit, LEVELS))).alias("_v"))
     keys = ["zone", "origin_date", "target_time"]
     placed = leaves(ready(rows)).join(held, ["_tree", "_node"]).select(*keys, F.explode("_v").alias("_v"))

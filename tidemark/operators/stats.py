@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.backtest import common_days
 
@@ -48,7 +49,7 @@ def block_bootstrap(losses: DataFrame, col: str, keys: list[str], day: str = "ta
     return series.select(*keys, "n", (F.col("total") / F.col("n")).alias("mean")).join(spread, keys)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def student_p(stat: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided p-value of Student's t (continued fraction of the incomplete beta function); a few rows per call."""
 
