@@ -35,9 +35,11 @@ def seasonal_naive(rows: DataFrame, schedule: DataFrame, lag: int | str, qs: tup
     rows = rows.withColumn("point", naive_point(lag, rows))
     keys = ["zone", "fit_origin"] + (["cal_hour"] if by_hour else [])
     fits = schedule.select("zone", "fit_origin").distinct()
-    past = rows.select("zone", "target_date", "cal_hour", "y", "point").join(fits, "zone")
-    last = F.max(F.when(F.col("target_date") <= F.col("fit_origin"), F.col("target_date"))).over(Window.partitionBy("zone", "fit_origin"))
-    past = past.where("target_date <= fit_origin and target_date > date_sub(fit_origin, %d)" % (residual_days + 7)).withColumn("_last", last)
+    # A fit reads a fixed number of days, so the range join is an equi-join on its days; a week more than the
+    # residuals need leaves room for days without prices.
+    days = fits.withColumn("target_date", F.explode(F.sequence(F.date_sub("fit_origin", residual_days + 6), F.col("fit_origin"))))
+    past = rows.select("zone", "target_date", "cal_hour", "y", "point").join(days, ["zone", "target_date"])
+    past = past.withColumn("_last", F.max("target_date").over(Window.partitionBy("zone", "fit_origin")))
     train = past.where(F.col("target_date") > F.date_sub("_last", residual_days))
     out = with_quantiles(rows.join(schedule, ["zone", "origin_date"]), residual_quantiles(train, keys, qs), keys, qs)
     return out
