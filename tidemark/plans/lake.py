@@ -58,7 +58,7 @@ def dedup_keep_first(spark, sf_dir):
     return op.keep_one(pulls(spark, sf_dir), ["part"], [F.asc("pulled_at"), F.asc("seq")]).select("part", "seq", "price")
 
 
-HALVES_SQL = "a as (select part, max(price) as price, max(tax) as tax from pulls where valid and seq % 3 = 0 group by 1), b as (select part, min(price) as price, min(discount) as tax from pulls where seq % 3 = 1 group by 1)"
+HALVES_SQL = "a as (select part, max(price) as price, max(tax) as tax from pulls where valid group by 1), b as (select part, min(price) as price, min(discount) as tax from pulls group by 1)"
 
 
 @query(
@@ -68,9 +68,9 @@ HALVES_SQL = "a as (select part, max(price) as price, max(tax) as tax from pulls
 )
 def combine_first(spark, sf_dir):
     rows = pulls(spark, sf_dir)
-    live = rows.where("valid and seq % 3 = 0").groupBy("part").agg(F.max("price").alias("price"), F.max("tax").alias("tax"))
+    live = rows.where("valid").groupBy("part").agg(F.max("price").alias("price"), F.max("tax").alias("tax"))
     live = live.select("part", F.nullif("price", F.lit(0.0)).alias("price"), F.when(F.col("tax") > 0.04, F.col("tax")).alias("tax"))
-    archive = rows.where("seq % 3 = 1").groupBy("part").agg(F.min("price").alias("price"), F.min("discount").alias("tax"))
+    archive = rows.groupBy("part").agg(F.min("price").alias("price"), F.min("discount").alias("tax"))
     return op.combine_first(live, archive, ["part"])
 
 
@@ -89,13 +89,13 @@ RUN_SQL = "to_timestamp(floor((epoch(timestamp) - {lead} * 3600) / 21600) * 2160
 
 @query(
     "fixed_lead_assembly",
-    f"""with {hourly_sql()}, v as (select zone, timestamp, {RUN_SQL.format(lead=48)} as run_init, price as value from hourly where n_periods % 2 = 1),
+    f"""with {hourly_sql()}, v as (select zone, timestamp, {RUN_SQL.format(lead=48)} as run_init, price as value from hourly where n_periods >= 2),
     g as (select zone, timestamp, {RUN_SQL.format(lead=48)} as run_init from hourly)
     select g.zone, g.timestamp, g.run_init, round(v.value, 6) as value from g left join v using (zone, timestamp, run_init)""",
 )
 def fixed_lead_assembly(spark, sf_dir):
     rows, run = hourly(spark, sf_dir), lead_run(F.col("timestamp"), 48)
-    vintages = rows.where("n_periods % 2 = 1").select("zone", "timestamp", run.alias("run_init"), F.col("price").alias("value"))
+    vintages = rows.where("n_periods >= 2").select("zone", "timestamp", run.alias("run_init"), F.col("price").alias("value"))
     out = op.fixed_lead_assembly(vintages, rows.select("zone", "timestamp"), ["zone"], run)
     return out.select("zone", ntz("timestamp").alias("timestamp"), ntz("run_init").alias("run_init"), r6("value").alias("value"))
 
@@ -165,12 +165,12 @@ def latest_version(spark, sf_dir):
     return op.latest_version(manifest, ["kind", "zone"]).withColumn("built_at", ntz("built_at"))
 
 
-STORE_SQL = """stored as (select part, snapshot, max(price) as price from pulls where part % 3 = 0 group by 1, 2), fresh as (select part, snapshot, min(price) as price from pulls where part % 2 = 0 group by 1, 2)"""
+STORE_SQL = """stored as (select part, snapshot, max(price) as price from pulls where pulled_at < timestamp '2000-01-01' group by 1, 2), fresh as (select part, snapshot, min(price) as price from pulls where pulled_at >= timestamp '1998-01-01' group by 1, 2)"""
 
 
 def stores(spark, sf_dir):
     rows = pulls(spark, sf_dir)
-    return (rows.where("part % 3 = 0").groupBy("part", "snapshot").agg(F.max("price").alias("price")), rows.where("part % 2 = 0").groupBy("part", "snapshot").agg(F.min("price").alias("price")))
+    return (rows.where("pulled_at < timestamp '2000-01-01'").groupBy("part", "snapshot").agg(F.max("price").alias("price")), rows.where("pulled_at >= timestamp '1998-01-01'").groupBy("part", "snapshot").agg(F.min("price").alias("price")))
 
 
 @query("idempotent_append", f"with {PULLS_SQL}, {STORE_SQL} select part, snapshot, price from stored union all select * from fresh f where not exists (select 1 from stored s where s.part = f.part and s.snapshot = f.snapshot)")

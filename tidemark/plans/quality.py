@@ -44,13 +44,13 @@ def not_monotone(spark, sf_dir):
 
 @query(
     "merge_intervals",
-    f"""with {ZONED_SQL}, i as (select zone, day as a, day + cast(n % 4 as integer) as b from zoned where n % 3 = 0),
+    f"""with {ZONED_SQL}, i as (select zone, day as a, day + cast(n % 4 as integer) as b from zoned where n >= 2),
     w as (select *, max(b) over (partition by zone order by a, b rows between unbounded preceding and 1 preceding) as reach from i),
     g as (select *, sum(case when a <= reach then 0 else 1 end) over (partition by zone order by a, b rows between unbounded preceding and current row) as g from w)
     select zone, min(a) as start_day, max(b) as end_day from g group by zone, g""",
 )
 def merge_intervals(spark, sf_dir):
-    rows = zoned_orders(spark, sf_dir).where("n % 3 = 0").select("zone", F.col("day").alias("start_day"), F.date_add("day", (F.col("n") % 4).cast("int")).alias("end_day"))
+    rows = zoned_orders(spark, sf_dir).where("n >= 2").select("zone", F.col("day").alias("start_day"), F.date_add("day", (F.col("n") % 4).cast("int")).alias("end_day"))
     return op.merge_intervals(rows, ["zone"], "start_day", "end_day")
 
 
