@@ -188,6 +188,27 @@ def test_quantile_forest(spark):
     assert ml.mean_importance([importance, importance]).count() == 2
 
 
+def test_backtest_trains_on_the_past_only(spark):
+    rows = features.origin_dataset(t.hour_occurrence(hours(spark, "2025-01-20 00:00:00", 24 * 30), ["zone"]))
+    schedule = backtest.refit_schedule(rows.select("zone", "origin_date").distinct(), ["zone"])
+    seen = []
+
+    def last_price(train, todo):
+        assert "y" not in todo.columns
+        level = train.agg(F.max("y")).first()[0]
+        seen.append((train.agg(F.max("target_date")).first()[0], level))
+        return todo.withColumn("q05", F.lit(level) + 1).withColumn("q95", F.lit(level) - 1)
+
+    first = rows.agg(F.min("target_date")).first()[0]
+    later = schedule.where(F.col("fit_origin") >= first)
+    out = backtest.backtest(last_price, rows, later, ["q05", "q95"])
+    assert out.where("was_crossing and q05 < q95").count() == out.count() > 0
+    fits = [r.fit_origin for r in later.select("fit_origin").distinct().orderBy("fit_origin").collect()]
+    assert all(day <= fit for (day, _), fit in zip(seen, fits))
+    with pytest.raises(Exception, match="null q05"):
+        backtest.backtest(lambda train, todo: todo.withColumn("q05", F.lit(None).cast("double")), rows, later, ["q05"]).collect()
+
+
 def test_empty_tables(spark):
     none = hours(spark, "2024-01-01 00:00:00", 0)
     keyed = t.hour_occurrence(none, ["zone"])

@@ -2,10 +2,38 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import Protocol
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeutils import TZ, hours_in_local_day
+from tidemark.operators.forecast import sort_quantiles
+
+
+class Forecaster(Protocol):
+    """What users plug into :func:`backtest`: training rows and rows to predict in, the latter with quantiles out."""
+
+    def __call__(self, train: DataFrame, rows: DataFrame) -> DataFrame: ...
+
+
+def backtest(forecaster: Forecaster, rows: DataFrame, schedule: DataFrame, columns: list[str], keys: tuple[str, ...] = ("zone",)) -> DataFrame:
+    """Rolling-origin forecasts of a model that has to be fitted: one fit per refit origin, never per origin.
+
+    A fit sees target days up to its origin only and predicts the origins that the schedule gives it; the
+    target isn't among the columns that it predicts from. Null quantiles are an error when the rows are read;
+    crossing ones are sorted and flagged. The loop is over refit origins (months), since a fit is a job.
+    """
+    keys = list(keys)
+    parts = []
+    for fit in [r.fit_origin for r in schedule.select("fit_origin").distinct().orderBy("fit_origin").collect()]:
+        todo = rows.join(schedule.where(F.col("fit_origin") == fit).select(*keys, "origin_date"), [*keys, "origin_date"], "left_semi")
+        found = forecaster(rows.where(F.col("target_date") <= fit), todo.drop("y")).withColumn("fit_origin", F.lit(fit))
+        parts.append(found.join(todo.select(*keys, "target_time", "origin_date", "y"), [*keys, "target_time", "origin_date"]))
+    out = reduce(DataFrame.unionByName, parts)
+    whole = [F.when(F.col(c).isNull(), F.raise_error(F.lit(f"null {c}")).cast("double")).otherwise(F.col(c)).alias(c) for c in columns]
+    return sort_quantiles(out.select(*[c for c in out.columns if c not in columns], *whole), columns)
 
 
 def audit_sample(days: DataFrame, n: int, seed: int, tz: str = TZ) -> DataFrame:

@@ -7,7 +7,7 @@ overlapping pulls (key: part, pull: ship date) and wide readings; ``orders`` lon
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeutils import hour_occurrence
@@ -74,9 +74,9 @@ def lagged(spark: SparkSession, sf_dir: str, shift: int = SPRING) -> DataFrame:
     """``zone, target_time, target_date, local_hour, y, p_lag1d, p_lag7d``."""
     from tidemark.operators.features import same_local_hour
 
-    rows = keyed(spark, sf_dir, shift)
+    rows = base = keyed(spark, sf_dir, shift)
     for k in (1, 7):
-        rows = same_local_hour(rows, keyed(spark, sf_dir, shift), k, f"p_lag{k}d")
+        rows = same_local_hour(rows, base, k, f"p_lag{k}d")
     return rows.select("zone", F.col("timestamp").alias("target_time"), F.col("local_date").alias("target_date"), "local_hour", F.col("price").alias("y"), "p_lag1d", "p_lag7d")
 
 
@@ -156,7 +156,3 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 READINGS_SQL = """readings as (select s_nationkey as zone, l_suppkey as location, cast(l_shipdate as date) as day, avg(l_quantity) as temperature,
   max(case when l_tax > 0.02 then l_tax end) as wind, min(l_discount) as cloud from lineitem join supplier on l_suppkey = s_suppkey group by 1, 2, 3)"""
-
-
-def latest(by: list[str], order: list[Column]):
-    return Window.partitionBy(*by).orderBy(*order)
