@@ -28,7 +28,7 @@ from tidemark.llm.common import prepare, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pieces and token pairs that a Python worker remembers.
-PIECES, PAIRS = 400_000, 400_000
+PIECES, PAIRS = 250_000, 250_000
 NEVER = 1 << 40
 
 
@@ -192,10 +192,22 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str = public_tokeni
     return rows.mapInArrow(run, f"id {dict(encoded.dtypes)[id_col]}, ids binary, decoded binary").withColumnRenamed("id", id_col)
 
 
+def encode_and_decode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col, ids, decoded`` in one pass: a task needs one Python worker, with one vocabulary, in place of two."""
+    prepare(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [encode(t.as_py(), path, pattern) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([decode(i, path, pattern) for i in ids], pa.binary())], ["id", "ids", "decoded"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, ids binary, decoded binary").withColumnRenamed("id", id_col)
+
+
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_tokens, ids_sha256, decoded_sha256`` of every document."""
-    path = public_tokenizers.path(VOCABULARY)
-    decoded = decode_documents(encode_documents(docs, path, id_col=id_col, text_col=text_col), path, id_col=id_col)
+    decoded = encode_and_decode(docs, public_tokenizers.path(VOCABULARY), id_col=id_col, text_col=text_col)
     return decoded.select(
         id_col, F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

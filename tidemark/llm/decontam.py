@@ -30,7 +30,6 @@ from tidemark.llm.common import materialise, prepare, table
 #: Bytes outside words become spaces, A-Z become a-z; bytes of non-ASCII characters stay.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 BLOCK_BYTES = 16 << 20
-STATE = "id long, hits binary, items array<string>"
 
 
 def words_of(text: str | bytes | None) -> list[bytes]:
@@ -109,7 +108,8 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 _tables: dict[str, Benchmark] = {}
 
 
-def _scanner(items: list[tuple[str, str | None]], window: int):
+def _scanner(items: list[tuple[str, str | None]], window: int, last: bool):
+    """A pass over the documents with one block's tables; the last one also sums up, in the same Python worker."""
     name = uuid.uuid4().hex  # of the search tables that a Python worker keeps for its next tasks
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,6 +129,9 @@ def _scanner(items: list[tuple[str, str | None]], window: int):
                 counts.append(len(words))
                 hits.append(before)
                 found.append(known)
+            if last:
+                yield _summary(batch.column("id"), counts, hits, found)
+                continue
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("text"), pa.array(counts, pa.int64()), pa.array(hits, pa.binary()), pa.array(found, pa.list_(pa.string()))],
                 ["id", "text", "n_words", "hits", "items"],
@@ -137,21 +140,19 @@ def _scanner(items: list[tuple[str, str | None]], window: int):
     return scan
 
 
-def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        spans = [np.frombuffer(h, "<i8").reshape(-1, 2).tolist() if h else [] for h in batch.column("hits").to_pylist()]
-        items = batch.column("items").to_pylist()
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("id"),
-                batch.column("n_words"),
-                pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()),
-                pa.array(spans, pa.list_(pa.list_(pa.int64()))),
-                pa.array(items, pa.list_(pa.string())),
-                pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in items]),
-            ],
-            ["id", "n_words", "n_hit", "spans", "items", "items_sha256"],
-        )
+def _summary(ids: pa.Array, counts: list[int], hits: list[bytes | None], items: list[list[str]]) -> pa.RecordBatch:
+    spans = [np.frombuffer(h, "<i8").reshape(-1, 2).tolist() if h else [] for h in hits]
+    return pa.RecordBatch.from_arrays(
+        [
+            ids,
+            pa.array(counts, pa.int64()),
+            pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()),
+            pa.array(spans, pa.list_(pa.list_(pa.int64()))),
+            pa.array(items, pa.list_(pa.string())),
+            pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in items]),
+        ],
+        ["id", "n_words", "n_hit", "spans", "items", "items_sha256"],
+    )
 
 
 def find_contamination(
@@ -171,10 +172,9 @@ def find_contamination(
     for k in range(blocks):
         block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         held = [(r.item, r.text) for r in block.collect()]  # at most about block_bytes
-        rows = rows.mapInArrow(_scanner(held, window), f"id {types}, text string, n_words long, hits binary, items array<string>")
         if k + 1 < blocks:
-            rows = materialise(rows, "decontam")
-    found = rows.mapInArrow(_summary, f"id {types}, n_words long, n_hit long, spans array<array<long>>, items array<string>, items_sha256 string")
+            rows = materialise(rows.mapInArrow(_scanner(held, window, False), f"id {types}, text string, n_words long, hits binary, items array<string>"), "decontam")
+    found = rows.mapInArrow(_scanner(held, window, True), f"id {types}, n_words long, n_hit long, spans array<array<long>>, items array<string>, items_sha256 string")
     return found.select(
         F.col("id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "items_sha256", "spans", (F.col("n_hit") > 0).alias("contaminated")
     )
