@@ -4,13 +4,13 @@ Only the suffixes at minimiser positions are kept: in every window of ``min_word
 the position with the least hash. The choice depends on the words alone, so any passage of ``min_words``
 words that occurs twice has a kept position at the same place in both occurrences. A kept suffix carries
 the codes of the words that follow it and, for extending to the left, of those before it (as many as a
-passage of ``min_words`` around it can need). Spark sorts the suffixes by content, splitting even a run of
-equal ones by document; each row is then compared with its next ``NEIGHBOURS`` neighbours: the common
+passage of ``min_words`` around it can need). Spark sorts the suffixes by content (a 64-bit hash of the first
+k words, the words, then those before), splitting even a run of equal ones by document; each row is then compared with its next ``NEIGHBOURS`` neighbours: the common
 prefix is extended to the left, and a match of ``min_words`` or more marks both occurrences. The rows
 at partition borders are compared in a second, small pass. Spans of a document that touch become one.
 
-Words are lower-cased (A-Z) and stand between white space; a word's code has 16 bits, so a match of
-``min_words`` codes is a match of words, while an edge can exceptionally be one word too wide. A suffix whose
+Words are lower-cased (A-Z) and stand between white space. A match needs equal 64-bit hashes of its first k words;
+the other words are compared by codes of 16 bits, so an edge can exceptionally be a word too wide. A suffix whose
 only partner lies more than ``NEIGHBOURS`` rows away, behind rows that share more to the right and less to the
 left, can be missed at that position; longer passages have further positions. The tests measure recall.
 
@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import UPPER, materialise, prepare, table
 
 K = 8
-NEIGHBOURS = 8
+NEIGHBOURS = 12
 LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
-ROW = "id long, pos int, n int, suffix binary, before binary"
+ROW = "id long, pos int, n int, gram long, suffix binary, before binary"
 
 
-def minimisers(crcs: np.ndarray, k: int, window: int) -> np.ndarray:
-    """Positions of the least k-gram hash in every window of k-grams; of a run of equal ones, one per half window."""
+def minimisers(crcs: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the least k-gram hash in every window of k-grams (of a run of equal ones the first, the last and one per half window), and the hashes."""
     n = len(crcs) - k + 1
     h = np.zeros(n, np.uint64)
     for j in range(k):
@@ -49,13 +49,13 @@ def minimisers(crcs: np.ndarray, k: int, window: int) -> np.ndarray:
     at = np.unique(views.argmin(axis=1) + np.arange(len(views)))
     same = np.flatnonzero((h[at[1:]] == h[at[:-1]]) & (np.diff(at) < window // 2)) + 1
     if len(same):
-        keep, last = np.ones(len(at), bool), -1
-        for i in same.tolist():
+        keep, last, ends = np.ones(len(at), bool), -1, ~np.isin(same + 1, same)
+        for i, end in zip(same.tolist(), ends.tolist()):
             first = at[i - 1] if keep[i - 1] else last
-            keep[i] = at[i] - first >= window // 2
+            keep[i] = end or at[i] - first >= window // 2  # the end of a run is the same place in every text
             last = at[i] if keep[i] else first
         at = at[keep]
-    return at
+    return at, h[at]
 
 
 def binary(rows: np.ndarray) -> pa.Array:
@@ -79,12 +79,13 @@ def sparse_suffixes(docs: DataFrame, id_col: str, text_col: str, min_words: int)
                 crcs = np.fromiter(map(crc32, words), np.uint32, len(words))
                 codes = np.zeros(len(words) + min_words + reach, ">u2")
                 codes[reach : reach + len(words)] = crcs & 0xFFFF
-                kept = minimisers(crcs, K, min_words - K + 1)
-                for part in np.array_split(kept, -(-len(kept) // 4096)):
+                kept, grams = minimisers(crcs, K, min_words - K + 1)
+                for at in range(0, len(kept), 4096):
+                    part, gram = kept[at : at + 4096], grams[at : at + 4096].view(np.int64)
                     start = part[:, None] + reach
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), i, np.int64)), pa.array(part.astype(np.int32)), pa.array(np.full(len(part), len(words), np.int32)), binary(codes[start + right].view(np.uint8)), binary(codes[start + left].view(np.uint8))],
-                        ["id", "pos", "n", "suffix", "before"],
+                        [pa.array(np.full(len(part), i, np.int64)), pa.array(part.astype(np.int32)), pa.array(np.full(len(part), len(words), np.int32)), pa.array(gram), binary(codes[start + right].view(np.uint8)), binary(codes[start + left].view(np.uint8))],
+                        ["id", "pos", "n", "gram", "suffix", "before"],
                     )
 
     return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, ROW)
@@ -97,14 +98,14 @@ def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(differ[np.arange(len(a)), first], first, a.shape[1])
 
 
-def compare(id_: np.ndarray, pos: np.ndarray, n: np.ndarray, suffix: np.ndarray, before: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compare(id_: np.ndarray, pos: np.ndarray, n: np.ndarray, gram: np.ndarray, suffix: np.ndarray, before: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each sorted row, how far its longest matches reach to the left and right, and a partner (or -1)."""
     size = len(id_)
     left, right, other = np.zeros(size, np.int64), np.zeros(size, np.int64), np.full(size, -1, np.int64)
     to_end, from_start = np.minimum(n - pos, suffix.shape[1]), np.minimum(pos, before.shape[1])
     for lag in range(1, min(NEIGHBOURS, size - 1) + 1):
         a, b = np.arange(size - lag), np.arange(lag, size)
-        pairs = np.flatnonzero((id_[a] != id_[b]) & (suffix[a, 0] == suffix[b, 0]) & (suffix[a, K - 1] == suffix[b, K - 1]))
+        pairs = np.flatnonzero((id_[a] != id_[b]) & (gram[a] == gram[b]))
         a, b = a[pairs], b[pairs]
         r = np.minimum(common(suffix[a], suffix[b]), np.minimum(to_end[a], to_end[b]))
         near = r >= K
@@ -152,18 +153,18 @@ def _edge_rows(rows: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 def _spans(rows: pa.Table, min_words: int) -> pa.RecordBatch:
-    id_, pos, n = (rows.column(c).to_numpy() for c in ("id", "pos", "n"))
+    id_, pos, n, gram = (rows.column(c).to_numpy() for c in ("id", "pos", "n", "gram"))
     suffix, before = (np.frombuffer(b"".join(rows.column(c).to_pylist()), ">u2").reshape(len(rows), -1) for c in ("suffix", "before"))
     # A document's own equal suffixes stand together: one of them speaks for all.
     fresh = np.ones(len(rows), bool)
-    fresh[1:] = (id_[1:] != id_[:-1]) | (suffix[1:] != suffix[:-1]).any(axis=1) | (before[1:] != before[:-1]).any(axis=1)
+    fresh[1:] = (id_[1:] != id_[:-1]) | (gram[1:] != gram[:-1]) | (suffix[1:] != suffix[:-1]).any(axis=1) | (before[1:] != before[:-1]).any(axis=1)
     owner = np.cumsum(fresh) - 1
-    left, right, other = (x[owner] for x in compare(id_[fresh], pos[fresh], n[fresh], suffix[fresh], before[fresh], min_words))
+    left, right, other = (x[owner] for x in compare(id_[fresh], pos[fresh], n[fresh], gram[fresh], suffix[fresh], before[fresh], min_words))
     hit = other >= 0
     m = int(hit.sum())
     return pa.RecordBatch.from_arrays(
-        [pa.array((pos - left)[hit].astype(np.int32)), pa.array((pos + right)[hit].astype(np.int32)), pa.array(other[hit]), pa.array(id_[hit]), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())],
-        ["start", "stop", "other", "id", "pos", "n", "suffix", "before"],
+        [pa.array((pos - left)[hit].astype(np.int32)), pa.array((pos + right)[hit].astype(np.int32)), pa.array(other[hit]), pa.array(id_[hit]), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())],
+        ["start", "stop", "other", "id", "pos", "n", "gram", "suffix", "before"],
     )
 
 
@@ -171,7 +172,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``id_col, first_word, end_word, n_words, other_id``: the passages (word positions) that another document has too."""
     if min_words < 2 * K:
         raise ValueError(f"min_words must be at least {2 * K}")
-    order = ("suffix", "id", "pos")
+    order = ("gram", "suffix", "before", "id", "pos")
     rows = sparse_suffixes(docs, id_col, text_col, min_words).repartitionByRange(*order).sortWithinPartitions(*order)
     found = materialise(rows.mapInArrow(_compare_sorted(min_words, True), OUT), "suffix-spans")
     columns = [c.split()[0] for c in ROW.split(", ")]
