@@ -265,6 +265,29 @@ def test_repeats_in_many_documents_and_odd_rows(spark):
     assert suffix_dedup.repeated_passages(no_docs(spark)).count() == 0
 
 
+@pytest.fixture()
+def fixed_partitions(spark):
+    """Small inputs stay in several partitions."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def found_words(spark, rows):
+    got = defaultdict(set)
+    for r in suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r.doc_id] |= set(range(r.first_word, r.end_word))
+    return got
+
+
+@pytest.mark.parametrize("line", [24, 70])
+def test_copies_of_a_long_text_of_one_line(spark, fixed_partitions, line):
+    text = " ".join([f"w{i}" for i in range(line)] * (100_000 // line))
+    rows = [(1, text), (2, text), (3, " ".join(f"x{i}" for i in range(3000)))]
+    got, n = found_words(spark, rows), len(text.split())
+    assert (len(got[1]), len(got[2]), len(got[3])) == (n, n, 0)
+
+
 # ---- WARC ------------------------------------------------------------------------------------------
 
 

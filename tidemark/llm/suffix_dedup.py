@@ -5,9 +5,10 @@ the position with the least hash. The choice depends on the words alone, so any
 words that occurs twice has a kept position at the same place in both occurrences. A kept suffix carries
 the codes of the words that follow it and, for extending to the left, of those before it (as many as a
 passage of ``min_words`` around it can need). Spark sorts the suffixes by content (a 64-bit hash of the first
-k words, the words, then those before), splitting even a run of equal ones by document; each row is then compared with its next ``NEIGHBOURS`` neighbours: the common
-prefix is extended to the left, and a match of ``min_words`` or more marks both occurrences. The rows
-at partition borders are compared in a second, small pass. Spans of a document that touch become one.
+k words, the words, then those before), splitting even a run of equal ones by document. A document's equal suffixes
+become one row with all their places, before rows are counted or cut into chunks; each row is then compared with its
+next ``NEIGHBOURS`` neighbours: the common prefix is extended to the left, and a match of ``min_words`` or more marks
+both occurrences, at all their places. The rows at partition borders are compared in a second, small pass. Spans of a document that touch become one.
 
 Words are lower-cased (A-Z) and stand between white space. A match needs equal 64-bit hashes of its first k words;
 the other words are compared by codes of 16 bits, so an edge can exceptionally be a word too wide. A suffix whose
@@ -21,6 +22,7 @@ document alone don't count; rows with equal ids are one document; rows with a nu
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, fields
 from zlib import crc32
 
 import numpy as np
@@ -33,7 +35,8 @@ from tidemark.llm.common import UPPER, materialise, prepare, table
 K = 8
 NEIGHBOURS = 12
 LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
-ROW = "id long, pos int, n int, gram long, suffix binary, before binary"
+ROW = "id long, gram long, suffix binary, before binary, places binary"
+COLUMNS = [c.split()[0] for c in ROW.split(", ")]
 
 
 def minimisers(crcs: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +68,51 @@ def binary(rows: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
+@dataclass
+class Runs:
+    """Sorted suffixes. Equal ones of a document that stand together are one row with all its places."""
+
+    id: np.ndarray
+    gram: np.ndarray
+    suffix: np.ndarray  # rows x words: codes
+    before: np.ndarray
+    places: np.ndarray  # of all rows, one after the other
+    count: np.ndarray  # places of each row
+
+    def __len__(self) -> int:
+        return len(self.id)
+
+    @classmethod
+    def read(cls, rows: pa.RecordBatch) -> Runs:
+        suffix, before = (np.frombuffer(b"".join(rows.column(c).to_pylist()), ">u2").reshape(rows.num_rows, -1) for c in ("suffix", "before"))
+        places = rows.column("places").to_pylist()
+        count = np.fromiter(map(len, places), np.int64, len(places)) // 4
+        return cls(rows.column("id").to_numpy(), rows.column("gram").to_numpy(), suffix, before, np.frombuffer(b"".join(places), np.int32), count).collapsed()
+
+    @classmethod
+    def joined(cls, parts: list[Runs]) -> Runs:
+        return cls(*(np.concatenate([getattr(p, f.name) for p in parts]) for f in fields(cls))).collapsed()
+
+    def collapsed(self) -> Runs:
+        fresh = np.ones(len(self), bool)
+        fresh[1:] = (self.id[1:] != self.id[:-1]) | (self.gram[1:] != self.gram[:-1])
+        same = np.flatnonzero(~fresh)
+        fresh[same] = (self.suffix[same] != self.suffix[same - 1]).any(axis=1) | (self.before[same] != self.before[same - 1]).any(axis=1)
+        if fresh.all():
+            return self
+        return Runs(self.id[fresh], self.gram[fresh], self.suffix[fresh], self.before[fresh], self.places, np.add.reduceat(self.count, np.flatnonzero(fresh)))
+
+    def part(self, first: int, stop: int) -> Runs:
+        ends = np.concatenate(([0], np.cumsum(self.count)))
+        stop = min(stop, len(self))
+        return Runs(*(x[first:stop] for x in (self.id, self.gram, self.suffix, self.before)), self.places[ends[first] : ends[stop]], self.count[first:stop])
+
+    def columns(self) -> list[pa.Array]:
+        offsets = np.concatenate(([0], np.cumsum(4 * self.count))).astype(np.int32)
+        places = pa.BinaryArray.from_buffers(pa.binary(), len(self), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(self.places))])
+        return [pa.array(self.id), pa.array(self.gram), binary(self.suffix.view(np.uint8)), binary(self.before.view(np.uint8)), places]
+
+
 def sparse_suffixes(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     prepare(docs.sparkSession)
     reach = min_words - K  # words to the left that a passage around a kept k-gram can have
@@ -78,15 +126,13 @@ def sparse_suffixes(docs: DataFrame, id_col: str, text_col: str, min_words: int)
                     continue
                 crcs = np.fromiter(map(crc32, words), np.uint32, len(words))
                 codes = np.zeros(len(words) + min_words + reach, ">u2")
-                codes[reach : reach + len(words)] = crcs & 0xFFFF
+                codes[reach : reach + len(words)] = np.maximum(crcs & 0xFFFF, 1)  # 0: outside the text
                 kept, grams = minimisers(crcs, K, min_words - K + 1)
                 for at in range(0, len(kept), 4096):
                     part, gram = kept[at : at + 4096], grams[at : at + 4096].view(np.int64)
                     start = part[:, None] + reach
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), i, np.int64)), pa.array(part.astype(np.int32)), pa.array(np.full(len(part), len(words), np.int32)), pa.array(gram), binary(codes[start + right].view(np.uint8)), binary(codes[start + left].view(np.uint8))],
-                        ["id", "pos", "n", "gram", "suffix", "before"],
-                    )
+                    runs = Runs(np.full(len(part), i, np.int64), gram, codes[start + right], codes[start + left], part.astype(np.int32), np.ones(len(part), np.int64))
+                    yield pa.RecordBatch.from_arrays(runs.collapsed().columns(), COLUMNS)
 
     return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, ROW)
 
@@ -98,11 +144,11 @@ def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(differ[np.arange(len(a)), first], first, a.shape[1])
 
 
-def compare(id_: np.ndarray, pos: np.ndarray, n: np.ndarray, gram: np.ndarray, suffix: np.ndarray, before: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each sorted row, how far its longest matches reach to the left and right, and a partner (or -1)."""
-    size = len(id_)
+def compare(runs: Runs, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row, how far its longest matches reach to the left and right, and a partner (or -1)."""
+    id_, gram, suffix, before, size = runs.id, runs.gram, runs.suffix, runs.before, len(runs)
     left, right, other = np.zeros(size, np.int64), np.zeros(size, np.int64), np.full(size, -1, np.int64)
-    to_end, from_start = np.minimum(n - pos, suffix.shape[1]), np.minimum(pos, before.shape[1])
+    to_end, from_start = (suffix != 0).sum(axis=1), (before != 0).sum(axis=1)
     for lag in range(1, min(NEIGHBOURS, size - 1) + 1):
         a, b = np.arange(size - lag), np.arange(lag, size)
         pairs = np.flatnonzero((id_[a] != id_[b]) & (gram[a] == gram[b]))
@@ -119,27 +165,29 @@ def compare(id_: np.ndarray, pos: np.ndarray, n: np.ndarray, gram: np.ndarray, s
 
 
 def _compare_sorted(min_words: int, edges: bool):
-    """Over sorted rows: the matched spans, and as edge rows the first and last ones of the partition."""
+    """Over sorted rows: the matched spans, and as edge rows the first and last ones of the partition, both without counting a document's equal rows twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        first = True
+        head: Runs | None = None
+        held: list[Runs] = []
         for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            if not len(rows):
+            if not batch.num_rows:
                 continue
-            if first and edges:
-                yield from _edge_rows(rows.slice(0, NEIGHBOURS))
-            first = False
-            held = pa.concat_tables([held, rows]) if held is not None else rows
-            if len(held) < 4096:
+            held.append(runs := Runs.read(batch))
+            if edges and (head is None or len(head) <= NEIGHBOURS):  # the last of these can go on
+                start = runs.part(0, NEIGHBOURS + 1)
+                head = Runs.joined([head, start]) if head else start
+            if sum(map(len, held)) < 4096:
                 continue
-            yield _spans(held, min_words)
-            held = held.slice(len(held) - NEIGHBOURS)
-        if held is not None:
-            yield _spans(held, min_words)
+            runs = Runs.joined(held)
+            yield _spans(runs, min_words)
+            held = [runs.part(max(0, len(runs) - NEIGHBOURS), len(runs))]
+        if held:
+            runs = Runs.joined(held)
+            yield _spans(runs, min_words)
             if edges:
-                yield from _edge_rows(held.slice(max(0, len(held) - NEIGHBOURS)))
+                yield _edge_rows(head.part(0, NEIGHBOURS))
+                yield _edge_rows(runs.part(max(0, len(runs) - NEIGHBOURS), len(runs)))
 
     return run
 
@@ -147,24 +195,18 @@ def _compare_sorted(min_words: int, edges: bool):
 OUT = "start int, stop int, other long, " + ROW
 
 
-def _edge_rows(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    none = pa.nulls(len(rows), pa.int32())
-    yield from pa.table([none, none, pa.nulls(len(rows), pa.int64()), *rows.columns], names=["start", "stop", "other", *rows.column_names]).combine_chunks().to_batches()
+def _edge_rows(runs: Runs) -> pa.RecordBatch:
+    none = pa.nulls(len(runs), pa.int32())
+    return pa.RecordBatch.from_arrays([none, none, pa.nulls(len(runs), pa.int64()), *runs.columns()], ["start", "stop", "other", *COLUMNS])
 
 
-def _spans(rows: pa.Table, min_words: int) -> pa.RecordBatch:
-    id_, pos, n, gram = (rows.column(c).to_numpy() for c in ("id", "pos", "n", "gram"))
-    suffix, before = (np.frombuffer(b"".join(rows.column(c).to_pylist()), ">u2").reshape(len(rows), -1) for c in ("suffix", "before"))
-    # A document's own equal suffixes stand together: one of them speaks for all.
-    fresh = np.ones(len(rows), bool)
-    fresh[1:] = (id_[1:] != id_[:-1]) | (gram[1:] != gram[:-1]) | (suffix[1:] != suffix[:-1]).any(axis=1) | (before[1:] != before[:-1]).any(axis=1)
-    owner = np.cumsum(fresh) - 1
-    left, right, other = (x[owner] for x in compare(id_[fresh], pos[fresh], n[fresh], gram[fresh], suffix[fresh], before[fresh], min_words))
+def _spans(runs: Runs, min_words: int) -> pa.RecordBatch:
+    left, right, other, id_ = (np.repeat(x, runs.count) for x in (*compare(runs, min_words), runs.id))
     hit = other >= 0
     m = int(hit.sum())
     return pa.RecordBatch.from_arrays(
-        [pa.array((pos - left)[hit].astype(np.int32)), pa.array((pos + right)[hit].astype(np.int32)), pa.array(other[hit]), pa.array(id_[hit]), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())],
-        ["start", "stop", "other", "id", "pos", "n", "gram", "suffix", "before"],
+        [pa.array((runs.places - left)[hit].astype(np.int32)), pa.array((runs.places + right)[hit].astype(np.int32)), pa.array(other[hit]), pa.array(id_[hit]), pa.nulls(m, pa.int64()), *[pa.nulls(m, pa.binary())] * 3],
+        ["start", "stop", "other", *COLUMNS],
     )
 
 
@@ -172,14 +214,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``id_col, first_word, end_word, n_words, other_id``: the passages (word positions) that another document has too."""
     if min_words < 2 * K:
         raise ValueError(f"min_words must be at least {2 * K}")
-    order = ("gram", "suffix", "before", "id", "pos")
+    order = ("gram", "suffix", "before", "id")
     rows = sparse_suffixes(docs, id_col, text_col, min_words).repartitionByRange(*order).sortWithinPartitions(*order)
     found = materialise(rows.mapInArrow(_compare_sorted(min_words, True), OUT), "suffix-spans")
-    columns = [c.split()[0] for c in ROW.split(", ")]
-    # 2 * NEIGHBOURS rows of each partition at most: one task holds the borders of 30,000 partitions.
-    border = found.where("start is null").select(*columns)
-    parts = max(1, -(-border.count() // 500_000))
-    across = border.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_compare_sorted(min_words, False), OUT)
+    # 2 * NEIGHBOURS rows of each partition at most, read as a stream: one task, as further borders would cut again.
+    border = found.where("start is null").select(*COLUMNS)
+    across = border.repartitionByRange(1, *order).sortWithinPartitions(*order).mapInArrow(_compare_sorted(min_words, False), OUT)
     spans = found.where("start is not null").unionByName(across).select("id", "start", "stop", "other")
 
     by_doc = Window.partitionBy("id").orderBy("start", "stop")
