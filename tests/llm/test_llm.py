@@ -288,6 +288,18 @@ def test_copies_of_a_long_text_of_one_line(spark, fixed_partitions, line):
     assert (len(got[1]), len(got[2]), len(got[3])) == (n, n, 0)
 
 
+def test_shifted_passages_of_templated_lines(spark):
+    rng, rows = random.Random(7), []
+    for k in range(60):
+        phrase, size = [f"c{k}x{i}" for i in range(10)], rng.randrange(1, 7)
+        lines = lambda n, phrase=phrase, size=size: [w for _ in range(n) for w in [*phrase, *(f"f{rng.randrange(10**9)}" for _ in range(size))]]
+        passage = lines(6)
+        for side in range(2):
+            rows.append((2 * k + side, " ".join(lines(rng.randrange(2, 9)) + passage[: 10 + 5 * (10 + size)] + lines(rng.randrange(2, 9)))))
+    want, got = plain_repeats(rows), found_words(spark, rows)
+    assert {i: sorted(w) for i, w in want.items()} == {i: sorted(got[i]) for i in want}
+
+
 # ---- WARC ------------------------------------------------------------------------------------------
 
 

@@ -40,7 +40,7 @@ COLUMNS = [c.split()[0] for c in ROW.split(", ")]
 
 
 def minimisers(crcs: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the least k-gram hash in every window of k-grams (of a run of equal ones the first, the last and one per half window), and the hashes."""
+    """Positions of the least k-gram hash in every window of k-grams (all of them: what is kept depends on the window's words alone), and the hashes."""
     n = len(crcs) - k + 1
     h = np.zeros(n, np.uint64)
     for j in range(k):
@@ -50,14 +50,6 @@ def minimisers(crcs: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.nd
     h ^= h >> np.uint64(32)
     views = np.lib.stride_tricks.sliding_window_view(h, min(window, n))
     at = np.unique(views.argmin(axis=1) + np.arange(len(views)))
-    same = np.flatnonzero((h[at[1:]] == h[at[:-1]]) & (np.diff(at) < window // 2)) + 1
-    if len(same):
-        keep, last, ends = np.ones(len(at), bool), -1, ~np.isin(same + 1, same)
-        for i, end in zip(same.tolist(), ends.tolist()):
-            first = at[i - 1] if keep[i - 1] else last
-            keep[i] = end or at[i] - first >= window // 2  # the end of a run is the same place in every text
-            last = at[i] if keep[i] else first
-        at = at[keep]
     return at, h[at]
 
 
