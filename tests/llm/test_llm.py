@@ -366,6 +366,17 @@ def test_lm_learns_and_handles_odd_rows(spark):
     assert lm_scoring.score(no_docs(spark), lm_scoring.fit(no_docs(spark))).count() == 0
 
 
+def test_lm_trains_on_every_token(spark):
+    docs = spark.range(20_000).selectExpr("id as doc_id", "'a b c d e' as text")
+    model = lm_scoring.fit(docs)
+    tokens, at = lm_scoring.padded([lm_scoring.Vocabulary(model.top).tokens("a b c d e")], lm_scoring.Vocabulary(model.top).outside)
+    assert model.network.log_probabilities(tokens, at).min() > np.log(0.5)
+    parts = [np.zeros(n, int) for n in (7, 0, 1, 12)]
+    at = lm_scoring.padded(parts, 5)[1]
+    for rounds in (1, 2, 5):
+        assert sorted(x for turn in range(rounds) for x in lm_scoring.turn_of(parts, at, turn, rounds)) == at.tolist()
+
+
 # ---- classifiers -----------------------------------------------------------------------------------
 
 

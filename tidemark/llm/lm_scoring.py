@@ -8,8 +8,8 @@ Vocabulary: the most frequent words of the corpus, hash buckets that the other w
 "outside the text". Word counts cover all documents.
 
 Training (numpy) covers all documents too: every task runs stochastic gradient descent (Adagrad) over its
-documents, with every fifth token masked and predicted per round, from the parameters that all tasks share;
-Spark then averages the tasks' parameters, weighted by tokens, for the next round. What moves is the word
+documents from the parameters that all tasks share. The rounds deal the tokens of a document among themselves by
+position, so that each token is predicted in one of them; Spark then averages the tasks' parameters, weighted by tokens, for the next round. What moves is the word
 counts and one parameter set per task, both of which grow with the input; the driver only holds one set.
 
 Nulls and ties: a null or wordless text has no tokens and score 0; every row is scored, repeated or not; an
@@ -35,7 +35,6 @@ LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 OFFSETS = (-2, -1, 1, 2)
 PAD = 2
 TOP, SHARED, DIM = 191, 64, 16
-MASK_EVERY = 5
 BATCH = 1024
 KNOWN_WORDS, COUNTED = 300_000, 200_000
 
@@ -145,6 +144,11 @@ def padded(parts: list[np.ndarray], outside: int) -> tuple[np.ndarray, np.ndarra
     return joined, np.flatnonzero(joined != outside)
 
 
+def turn_of(parts: list[np.ndarray], at: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """Of the positions ``at`` of texts in a row, those that a round predicts: over all rounds each one once, whatever texts stand together."""
+    return at[np.concatenate([np.arange(len(p)) for p in parts]) % rounds == turn]
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """``word, n`` over all documents; each task adds up before the shuffle."""
 
@@ -165,7 +169,7 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def train_round(texts: DataFrame, vocabulary: Vocabulary, network: Network, turn: int) -> Network:
+def train_round(texts: DataFrame, vocabulary: Vocabulary, network: Network, turn: int, rounds: int) -> Network:
     """One pass of local training in every task, then the average of their parameters, weighted by tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +177,7 @@ def train_round(texts: DataFrame, vocabulary: Vocabulary, network: Network, turn
 
         def train() -> None:
             tokens, at = padded(held, vocabulary.outside)
-            at = at[turn % MASK_EVERY :: MASK_EVERY]
+            at = turn_of(held, at, turn, rounds)
             for i in range(0, len(at), BATCH):
                 trainer.step(tokens, at[i : i + BATCH])
 
@@ -183,7 +187,7 @@ def train_round(texts: DataFrame, vocabulary: Vocabulary, network: Network, turn
                 held.append(tokens)
                 waiting += len(tokens)
                 total += len(tokens)
-                if waiting >= BATCH * MASK_EVERY * 4:
+                if waiting >= BATCH * rounds * 4:
                     train()
                     held, waiting = [], 0
         if waiting:
@@ -225,7 +229,7 @@ def fit(docs: DataFrame, text_col: str = "text", top: int = TOP, shared: int = S
     network = Network.start(frequency[: len(words) + shared])
     vocabulary = Vocabulary(words, shared)
     for turn in range(rounds):
-        network = train_round(texts, vocabulary, network, 2 * turn)
+        network = train_round(texts, vocabulary, network, turn, rounds)
     return MaskedModel(words, network)
 
 
