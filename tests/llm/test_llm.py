@@ -300,6 +300,47 @@ def test_shifted_passages_of_templated_lines(spark):
     assert {i: sorted(w) for i, w in want.items()} == {i: sorted(got[i]) for i in want}
 
 
+def test_passages_behind_boilerplate(spark, fixed_partitions):
+    """Two documents share 60 words; sixty others share only 45 of them, and stand between the two in any order."""
+    rng, rows = random.Random(5), []
+    for k in range(30):
+        passage = [f"b{k}x{i}" for i in range(60)]
+        for n in range(62):
+            shared = passage if n < 2 else passage[(at := rng.randrange(16)) : at + 45]
+            noise = lambda k=k, n=n: [f"n{k}x{n}x{rng.randrange(10**9)}" for _ in range(30)]
+            rows.append((100 * k + n, " ".join(noise() + shared + noise())))
+    want, got = plain_repeats(rows), found_words(spark, rows)
+    assert {i for i in want if want[i]} == {100 * k + n for k in range(30) for n in range(2)}
+    assert {i: sorted(w) for i, w in want.items()} == {i: sorted(got[i]) for i in want}
+
+
+def plain_others(docs, n=50):
+    seen = defaultdict(set)
+    grams = lambda t: zip(*((t or "").translate(LOWER).split()[i:] for i in range(n)))
+    for i, t in docs:
+        for g in grams(t):
+            seen[g].add(i)
+    return {(i, j) for owners in seen.values() if len(owners) > 1 for i in owners for j in owners - {i}}
+
+
+@pytest.mark.parametrize("held", [suffix_dedup.HELD, 8, 0])
+def test_crowded_kgrams_take_another_way_to_the_same_result(spark, fixed_partitions, held):
+    rows = [(r.doc_id, r.text) for r in documents(spark).collect()] + [(10**6 + i, " ".join(f"q{j}" for j in range(i, i + 70))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    found = suffix_dedup.repeated_passages(docs, held=held).collect()
+    want, got = plain_repeats(rows), defaultdict(set)
+    for r in found:
+        got[r.doc_id] |= set(range(r.first_word, r.end_word))
+    assert {i: w for i, w in want.items() if w} == {i: w for i, w in got.items() if w}
+    assert {(r.doc_id, r.other_id) for r in found} <= plain_others(rows)
+
+
+def test_passages_of_text_ids(spark):
+    passage = " ".join(f"w{i}" for i in range(55))
+    docs = spark.createDataFrame([("b", passage, 1), ("ä", "x " + passage, 2), (None, passage, 3), ("c", passage[:-4], 4), ("c", passage, 5)], "doc_id string, text string, id int")
+    assert {(r.doc_id, r.first_word, r.end_word, r.other_id) for r in suffix_dedup.repeated_passages(docs).collect()} == {("b", 0, 55, "ä"), ("c", 0, 55, "b"), ("ä", 1, 56, "b")}
+
+
 # ---- WARC ------------------------------------------------------------------------------------------
 
 

@@ -1,28 +1,32 @@
 """Repeated passages by sparse suffix arrays.
 
-Only the suffixes at minimiser positions are kept: in every window of ``min_words - k + 1`` word k-grams,
-the position with the least hash. The choice depends on the words alone, so any passage of ``min_words``
-words that occurs twice has a kept position at the same place in both occurrences. A kept suffix carries
-the codes of the words that follow it and, for extending to the left, of those before it (as many as a
-passage of ``min_words`` around it can need). Spark sorts the suffixes by content (a 64-bit hash of the first
-k words, the words, then those before), splitting even a run of equal ones by document. A document's equal suffixes
-become one row with all their places, before rows are counted or cut into chunks; each row is then compared with its
-next ``NEIGHBOURS`` neighbours: the common prefix is extended to the left, and a match of ``min_words`` or more marks
-both occurrences, at all their places. The rows at partition borders are compared in a second, small pass. Spans of a document that touch become one.
-
-Words are lower-cased (A-Z) and stand between white space. A match needs equal 64-bit hashes of its first k words;
-the other words are compared by codes of 16 bits, so an edge can exceptionally be a word too wide. A suffix whose
-only partner lies more than ``NEIGHBOURS`` rows away, behind rows that share more to the right and less to the
-left, can be missed at that position; longer passages have further positions. The tests measure recall.
-
-Nulls and ties: a null text or one of fewer than ``min_words`` words has no passages; repeats inside one
-document alone don't count; rows with equal ids are one document; rows with a null id are skipped.
+*Sparse suffixes.* In every window of ``min_words`` words the word k-gram with the least hash is a minimiser. Only the
+suffixes that begin at minimisers are kept. The choice depends on the window's words alone, so a window that occurs
+twice has its minimiser at the same place in both occurrences. A kept suffix carries the codes of the words after it
+and, reversed, of those before it: as many as the windows reach that it is the minimiser of.
+
+*Sort and compare.* Spark range-partitions and sorts the suffixes by content (hash of the k-gram, words after it, words
+before it, document). Neighbouring rows give longest common prefixes to the right; sorting the same rows by the words
+before them gives those to the left. Two occurrences share a window that begins j words before the minimiser exactly
+if they lie in one interval of common prefixes of ``min_words - j`` words on the right and of j words on the left. So
+the rows of an interval on both sides form a class, a class with two documents is a match, and its rows extend by the
+longest such windows on either side. Classes stand in for pairs: nothing is lost however many rows share a passage.
+
+*Borders and crowds.* The first and last k-gram of a partition can go on in the next one, and a k-gram of more than
+``HELD`` rows isn't held in memory. Their rows become classes of equal contexts by an aggregation; the windows of these
+classes are hashed to 64 bits and aggregated by hash, and matches return to the rows by salted joins.
+
+Words are lower-cased (A-Z) and stand between white space; they are compared by CRC32. Two different windows can only
+be taken for the same if all differing words collide in 32 bits at once, or in the hash of a k-gram or window.
+
+Nulls, ties, odd inputs: a null text or one of fewer than ``min_words`` words has no passages. Very long texts are read
+whole. Repeats inside one document alone don't count; rows with equal ids are one document; rows with a null id are
+skipped. Ids may have any type that Spark can order. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, fields
 from zlib import crc32
 
 import numpy as np
@@ -33,186 +37,297 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import UPPER, materialise, prepare, table
 
 K = 8
-NEIGHBOURS = 12
+HELD = 1 << 16
+CHUNK = 1 << 13
+SALT = 16
 LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
-ROW = "id long, gram long, suffix binary, before binary, places binary"
-COLUMNS = [c.split()[0] for c in ROW.split(", ")]
+COLUMNS = ["id", "gram", "suffix", "before", "places"]
 
 
-def minimisers(crcs: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the least k-gram hash in every window of k-grams (all of them: what is kept depends on the window's words alone), and the hashes."""
-    n = len(crcs) - k + 1
+# ---- sparse suffixes -------------------------------------------------------------------------------
+
+
+def kgram_hashes(codes: np.ndarray, k: int) -> np.ndarray:
+    n = len(codes) - k + 1
     h = np.zeros(n, np.uint64)
     for j in range(k):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + crcs[j : j + n].astype(np.uint64)
+        h = h * np.uint64(0x9E3779B97F4A7C15) + codes[j : j + n]
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
-    views = np.lib.stride_tricks.sliding_window_view(h, min(window, n))
-    at = np.unique(views.argmin(axis=1) + np.arange(len(views)))
-    return at, h[at]
-
-
-def binary(rows: np.ndarray) -> pa.Array:
-    """A matrix of bytes as a binary column."""
-    n, width = rows.shape
-    offsets = np.arange(0, (n + 1) * width, width, dtype=np.int32) if width else np.zeros(n + 1, np.int32)
-    return pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
-
-
-@dataclass
-class Runs:
-    """Sorted suffixes. Equal ones of a document that stand together are one row with all its places."""
-
-    id: np.ndarray
-    gram: np.ndarray
-    suffix: np.ndarray  # rows x words: codes
-    before: np.ndarray
-    places: np.ndarray  # of all rows, one after the other
-    count: np.ndarray  # places of each row
-
-    def __len__(self) -> int:
-        return len(self.id)
-
-    @classmethod
-    def read(cls, rows: pa.RecordBatch) -> Runs:
-        suffix, before = (np.frombuffer(b"".join(rows.column(c).to_pylist()), ">u2").reshape(rows.num_rows, -1) for c in ("suffix", "before"))
-        places = rows.column("places").to_pylist()
-        count = np.fromiter(map(len, places), np.int64, len(places)) // 4
-        return cls(rows.column("id").to_numpy(), rows.column("gram").to_numpy(), suffix, before, np.frombuffer(b"".join(places), np.int32), count).collapsed()
-
-    @classmethod
-    def joined(cls, parts: list[Runs]) -> Runs:
-        return cls(*(np.concatenate([getattr(p, f.name) for p in parts]) for f in fields(cls))).collapsed()
-
-    def collapsed(self) -> Runs:
-        fresh = np.ones(len(self), bool)
-        fresh[1:] = (self.id[1:] != self.id[:-1]) | (self.gram[1:] != self.gram[:-1])
-        same = np.flatnonzero(~fresh)
-        fresh[same] = (self.suffix[same] != self.suffix[same - 1]).any(axis=1) | (self.before[same] != self.before[same - 1]).any(axis=1)
-        if fresh.all():
-            return self
-        return Runs(self.id[fresh], self.gram[fresh], self.suffix[fresh], self.before[fresh], self.places, np.add.reduceat(self.count, np.flatnonzero(fresh)))
-
-    def part(self, first: int, stop: int) -> Runs:
-        ends = np.concatenate(([0], np.cumsum(self.count)))
-        stop = min(stop, len(self))
-        return Runs(*(x[first:stop] for x in (self.id, self.gram, self.suffix, self.before)), self.places[ends[first] : ends[stop]], self.count[first:stop])
-
-    def columns(self) -> list[pa.Array]:
-        offsets = np.concatenate(([0], np.cumsum(4 * self.count))).astype(np.int32)
-        places = pa.BinaryArray.from_buffers(pa.binary(), len(self), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(self.places))])
-        return [pa.array(self.id), pa.array(self.gram), binary(self.suffix.view(np.uint8)), binary(self.before.view(np.uint8)), places]
+    return h ^ h >> np.uint64(32)
+
+
+def minimisers(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the least hash in every window, and for each the first and last window that it is the least of."""
+    views = np.lib.stride_tricks.sliding_window_view(h, window)
+    at, first, count = np.unique(views.argmin(axis=1) + np.arange(len(views)), return_index=True, return_counts=True)
+    return at, first, first + count - 1
+
+
+def slices(codes: np.ndarray, start: np.ndarray, size: np.ndarray, step: int) -> pa.Array:
+    """Of each start the bytes of ``size`` codes, going by ``step``."""
+    ends = np.cumsum(size)
+    within = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size, size)
+    data = codes[np.repeat(start, size) + step * within].astype(">u4")
+    return pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.concatenate(([0], 4 * ends)).astype(np.int32)), pa.py_buffer(data)])
+
+
+def document_rows(text: str | None, min_words: int) -> Iterator[list[pa.Array]]:
+    """``gram, suffix, before, places`` of a document's kept suffixes; equal ones of a chunk are one row."""
+    words = (text or "").encode().translate(LOWER).split()
+    if len(words) < min_words:
+        return
+    codes = np.maximum(np.fromiter(map(crc32, words), np.uint64, len(words)), np.uint64(1))
+    h = kgram_hashes(codes, K)
+    at, first, last = minimisers(h, min_words - K + 1)
+    for k in range(0, len(at), 4096):
+        p, a, b = at[k : k + 4096], first[k : k + 4096], last[k : k + 4096]
+        gram, suffix, before = h[p].view(np.int64), slices(codes, p + K, b + min_words - p - K, 1), slices(codes, p - 1, p - a, -1)
+        places = p.astype(np.int32)
+        order, sizes = np.arange(len(p)), np.ones(len(p), np.int64)
+        if len(np.unique(gram)) < len(gram):
+            groups: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(gram.tolist(), suffix.to_pylist(), before.to_pylist())):
+                groups.setdefault(key, []).append(i)
+            order = np.array([g[0] for g in groups.values()])
+            sizes = np.array([len(g) for g in groups.values()])
+            places = places[np.concatenate([np.array(g) for g in groups.values()])]
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(places))
+        yield [pa.array(gram[order]), suffix.take(pa.array(order)), before.take(pa.array(order)), lists]
 
 
 def sparse_suffixes(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     prepare(docs.sparkSession)
-    reach = min_words - K  # words to the left that a passage around a kept k-gram can have
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        right, left = np.arange(min_words), -1 - np.arange(reach)
         for batch in batches:
-            for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                words = (text or "").encode().translate(LOWER).split()
-                if len(words) < min_words:
-                    continue
-                crcs = np.fromiter(map(crc32, words), np.uint32, len(words))
-                codes = np.zeros(len(words) + min_words + reach, ">u2")
-                codes[reach : reach + len(words)] = np.maximum(crcs & 0xFFFF, 1)  # 0: outside the text
-                kept, grams = minimisers(crcs, K, min_words - K + 1)
-                for at in range(0, len(kept), 4096):
-                    part, gram = kept[at : at + 4096], grams[at : at + 4096].view(np.int64)
-                    start = part[:, None] + reach
-                    runs = Runs(np.full(len(part), i, np.int64), gram, codes[start + right], codes[start + left], part.astype(np.int32), np.ones(len(part), np.int64))
-                    yield pa.RecordBatch.from_arrays(runs.collapsed().columns(), COLUMNS)
+            ids = batch.column("id")
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                for columns in document_rows(text, min_words):
+                    own = ids.take(pa.array(np.full(len(columns[0]), i)))
+                    yield pa.RecordBatch.from_arrays([own, *columns], COLUMNS)
+
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, row_type(dict(docs.dtypes)[id_col]))
+
+
+def row_type(id_type: str) -> str:
+    return f"id {id_type}, gram long, suffix binary, before binary, places array<int>"
 
-    return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, ROW)
 
+# ---- sorted rows -----------------------------------------------------------------------------------
 
-def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common beginning of each pair of rows."""
-    differ = a != b
-    first = differ.argmax(axis=1)
-    return np.where(differ[np.arange(len(a)), first], first, a.shape[1])
 
+def matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of each row, padded with 0, and their numbers."""
+    column = column.cast(pa.large_binary())
+    _, starts, data = column.buffers()
+    offsets = np.frombuffer(starts, np.int64)[column.offset : column.offset + len(column) + 1]
+    codes = np.frombuffer(data, ">u4", count=(offsets[-1] - offsets[0]) // 4, offset=offsets[0]) if offsets[-1] > offsets[0] else np.zeros(0, ">u4")
+    lengths = np.diff(offsets) // 4
+    out = np.zeros((len(column), width), ">u4")
+    out[np.arange(width) < lengths[:, None]] = codes
+    return out, lengths
 
-def compare(runs: Runs, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each row, how far its longest matches reach to the left and right, and a partner (or -1)."""
-    id_, gram, suffix, before, size = runs.id, runs.gram, runs.suffix, runs.before, len(runs)
+
+def common_with_previous(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Length of the common beginning of each row and the one before it (0 for the first)."""
+    out = np.zeros(len(rows), np.int64)
+    if rows.shape[1] and len(rows) > 1:
+        differ = rows[1:] != rows[:-1]
+        first = differ.argmax(axis=1)
+        same = np.where(differ[np.arange(len(differ)), first], first, rows.shape[1])
+        out[1:] = np.minimum(same, np.minimum(lengths[1:], lengths[:-1]))
+    return out
+
+
+def matches(gram: np.ndarray, suffix: tuple, before: tuple, owner: np.ndarray, min_words: int) -> tuple[np.ndarray, ...]:
+    """Of each row of sorted, complete k-grams: words of its matches to the left and right, and the least other owner (or -1).
+
+    ``owner`` ranks the documents. Every level j is the window that begins j words before the minimiser.
+    """
+    (after, n_after), (back, n_back) = suffix, before
+    size = len(gram)
     left, right, other = np.zeros(size, np.int64), np.zeros(size, np.int64), np.full(size, -1, np.int64)
-    to_end, from_start = (suffix != 0).sum(axis=1), (before != 0).sum(axis=1)
-    for lag in range(1, min(NEIGHBOURS, size - 1) + 1):
-        a, b = np.arange(size - lag), np.arange(lag, size)
-        pairs = np.flatnonzero((id_[a] != id_[b]) & (gram[a] == gram[b]))
-        a, b = a[pairs], b[pairs]
-        r = np.minimum(common(suffix[a], suffix[b]), np.minimum(to_end[a], to_end[b]))
-        near = r >= K
-        a, b, r = a[near], b[near], r[near]
-        reach = np.minimum(common(before[a], before[b]), np.minimum(from_start[a], from_start[b]))
-        good = r + reach >= min_words
-        for x, y in ((a[good], b[good]), (b[good], a[good])):
-            left[x], right[x] = np.maximum(left[x], reach[good]), np.maximum(right[x], r[good])
-            other[x] = np.where(other[x] < 0, id_[y], np.minimum(other[x], id_[y]))
+    new_gram = np.ones(size, bool)
+    new_gram[1:] = gram[1:] != gram[:-1]
+    shared = np.where(new_gram, 0, K + common_with_previous(after, n_after))
+    by_left = np.argsort(np.ascontiguousarray(back).view(np.dtype((np.void, back.shape[1] * 4))).ravel(), kind="stable")
+    shared_left = common_with_previous(back[by_left], n_back[by_left])
+    owners = int(owner.max(initial=0)) + 1
+    least, second = np.full(size, owners, np.int64), np.full(size, owners, np.int64)
+    left_class = np.empty(size, np.int64)
+    for j in range(min_words - K + 1):
+        at = np.flatnonzero((n_back >= j) & (n_after + K >= min_words - j))
+        if not len(at):
+            continue
+        left_class[by_left] = np.cumsum(shared_left < j)
+        key = (np.cumsum(shared < min_words - j) * (size + 1) + left_class)[at] * owners + owner[at]
+        order = np.argsort(key)
+        at, key = at[order], key[order] // owners
+        begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        counts = np.diff(np.r_[begins, len(key)])
+        low, high = owner[at[begins]], owner[at[begins + counts - 1]]
+        hit = low < high
+        rows = at[np.repeat(hit, counts)]
+        left[rows] = j
+        right[rows] = np.maximum(right[rows], min_words - j)
+        least[rows] = np.minimum(least[rows], np.repeat(low[hit], counts[hit]))
+        second[rows] = np.minimum(second[rows], np.repeat(high[hit], counts[hit]))
+    found = right > 0
+    other[found] = np.where(least == owner, second, least)[found]
     return left, right, other
 
 
-def _compare_sorted(min_words: int, edges: bool):
-    """Over sorted rows: the matched spans, and as edge rows the first and last ones of the partition, both without counting a document's equal rows twice."""
+def ranks(ids: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Rank of each id, and the distinct ids in order."""
+    coded = ids.dictionary_encode()
+    values = coded.dictionary.to_pylist()
+    order = np.array(sorted(range(len(values)), key=values.__getitem__), np.int64)
+    rank = np.empty(len(values), np.int64)
+    rank[order] = np.arange(len(values))
+    return rank[coded.indices.to_numpy()], coded.dictionary.take(pa.array(order))
+
+
+FOUND = ["start", "stop", "other", *COLUMNS]
+
+
+def spans_of(rows: pa.Table, min_words: int) -> pa.RecordBatch | None:
+    """Matched spans of complete k-grams."""
+    gram = rows.column("gram").to_numpy()
+    codes = rows.column("id").combine_chunks().dictionary_encode().indices.to_numpy()
+    begins = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+    several = np.minimum.reduceat(codes, begins) < np.maximum.reduceat(codes, begins)
+    keep = np.flatnonzero(np.repeat(several, np.diff(np.r_[begins, len(gram)])))
+    if not len(keep):
+        return None
+    rows = rows.take(pa.array(keep)).combine_chunks()
+    get = lambda c: rows.column(c).chunk(0)
+    owner, names = ranks(get("id"))
+    width = min_words - K
+    left, right, other = matches(get("gram").to_numpy(), matrix(get("suffix"), width), matrix(get("before"), width), owner, min_words)
+    hit = np.flatnonzero(other >= 0)
+    if not len(hit):
+        return None
+    lists = get("places").take(pa.array(hit))
+    counts, place = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
+    row = np.repeat(hit, counts)
+    n, start, stop = len(row), (place - left[row]).astype(np.int32), (place + right[row]).astype(np.int32)
+    empty = [pa.nulls(n, rows.schema.field(c).type) for c in COLUMNS[1:]]
+    return pa.RecordBatch.from_arrays([pa.array(start), pa.array(stop), names.take(pa.array(other[row])), get("id").take(pa.array(row)), *empty], FOUND)
+
+
+def compare_sorted(min_words: int, held: int):
+    """Over a sorted partition: matched spans, and as they are the rows of its first and last k-gram and of crowded ones."""
+
+    def as_they_are(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p in parts:
+            n = p.num_rows
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, p.schema.field("id").type), *p.columns], FOUND)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head: Runs | None = None
-        held: list[Runs] = []
+        waiting: list[pa.RecordBatch] = []
+        tail: list[pa.RecordBatch] = []  # of the k-gram that may go on
+        tail_gram, passed_on = None, True  # the first k-gram of the partition is passed on
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(runs := Runs.read(batch))
-            if edges and (head is None or len(head) <= NEIGHBOURS):  # the last of these can go on
-                start = runs.part(0, NEIGHBOURS + 1)
-                head = Runs.joined([head, start]) if head else start
-            if sum(map(len, held)) < 4096:
-                continue
-            runs = Runs.joined(held)
-            yield _spans(runs, min_words)
-            held = [runs.part(max(0, len(runs) - NEIGHBOURS), len(runs))]
-        if held:
-            runs = Runs.joined(held)
-            yield _spans(runs, min_words)
-            if edges:
-                yield _edge_rows(head.part(0, NEIGHBOURS))
-                yield _edge_rows(runs.part(max(0, len(runs) - NEIGHBOURS), len(runs)))
+            gram = batch.column("gram").to_numpy()
+            goes_on = len(gram) if (gram == tail_gram).all() else int((gram != tail_gram).argmax()) if tail else 0
+            if goes_on:
+                tail.append(batch.slice(0, goes_on))
+            if goes_on < len(gram):
+                if tail:
+                    if passed_on:
+                        yield from as_they_are(tail)
+                        passed_on = False
+                    else:
+                        waiting += tail
+                last = int(np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])[-1])
+                middle = max(last, goes_on)
+                if middle > goes_on:
+                    if passed_on:  # nothing came before: the first k-gram of all
+                        end = int((gram != gram[0]).argmax())
+                        yield from as_they_are([batch.slice(0, end)])
+                        goes_on, passed_on = end, False
+                    if middle > goes_on:
+                        waiting.append(batch.slice(goes_on, middle - goes_on))
+                tail, tail_gram = [batch.slice(middle)], gram[-1]
+            if passed_on or sum(p.num_rows for p in tail) > held:
+                yield from as_they_are(tail)
+                tail, passed_on = [batch.slice(0, 0)], True
+            if sum(p.num_rows for p in waiting) >= CHUNK:
+                found = spans_of(pa.Table.from_batches(waiting), min_words)
+                waiting = []
+                if found is not None:
+                    yield found
+        if waiting:
+            found = spans_of(pa.Table.from_batches(waiting), min_words)
+            if found is not None:
+                yield found
+        yield from as_they_are(tail)
 
     return run
 
 
-OUT = "start int, stop int, other long, " + ROW
+# ---- borders and crowds ----------------------------------------------------------------------------
+
+
+def window_hashes(min_words: int):
+    """``cls, j, h, lo, hi`` of every window of a class of equal contexts."""
+    width = min_words - K
+    draw = np.random.default_rng(11).integers(1, 1 << 63, (2, width + 1), np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            (after, n_after), (back, n_back) = matrix(batch.column("suffix"), width), matrix(batch.column("before"), width)
+            sums = [np.cumsum(np.hstack([np.zeros((len(m), 1), np.uint64), m.astype(np.uint64) * d[:-1]]), axis=1, dtype=np.uint64) for m, d in ((after, draw[0]), (back, draw[1]))]
+            gram = batch.column("gram").to_numpy().view(np.uint64)
+            for j in range(width + 1):
+                at = np.flatnonzero((n_back >= j) & (n_after + K >= min_words - j))
+                if not len(at):
+                    continue
+                h = (gram[at] + np.uint64(j)) * draw[0, -1] + sums[0][at, width - j] * draw[1, -1] + sums[1][at, j]
+                h ^= h >> np.uint64(31)
+                h *= np.uint64(0x94D049BB133111EB)
+                h ^= h >> np.uint64(29)
+                pick = pa.array(at)
+                yield pa.RecordBatch.from_arrays([batch.column("cls").take(pick), pa.array(np.full(len(at), j, np.int32)), pa.array(h.view(np.int64)), batch.column("lo").take(pick), batch.column("hi").take(pick)], ["cls", "j", "h", "lo", "hi"])
+
+    return run
+
 
+def spans_across(rows: DataFrame, id_type: str, min_words: int) -> DataFrame:
+    """Matched spans among rows of any partition, by classes of equal contexts and hashes of their windows."""
+    rows = rows.withColumn("cls", F.xxhash64("gram", "suffix", "before"))
+    classes = rows.groupBy("cls", "gram", "suffix", "before").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    windows = classes.mapInArrow(window_hashes(min_words), f"cls long, j int, h long, lo {id_type}, hi {id_type}").withColumn("salt", F.pmod("cls", F.lit(SALT)).cast("int"))
+    salts = F.explode(F.array(*map(F.lit, range(SALT)))).alias("salt")
+    shared = windows.groupBy("h").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first < last").select("h", "first", "last", salts)
+    matched = windows.join(shared, ["h", "salt"]).groupBy("cls").agg(F.max("j").alias("left"), F.min("j").alias("least"), F.min("first").alias("first"), F.min("last").alias("last"))
+    spread = matched.select("cls", "left", (F.lit(min_words) - F.col("least")).alias("right"), "first", "last", salts)
+    hit = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALT)).cast("int")).join(spread, ["cls", "salt"])
+    place = hit.select("id", "left", "right", F.when(F.col("id") == F.col("first"), F.col("last")).otherwise(F.col("first")).alias("other"), F.explode("places").alias("place"))
+    return place.select("id", (F.col("place") - F.col("left")).alias("start"), (F.col("place") + F.col("right")).alias("stop"), "other")
 
-def _edge_rows(runs: Runs) -> pa.RecordBatch:
-    none = pa.nulls(len(runs), pa.int32())
-    return pa.RecordBatch.from_arrays([none, none, pa.nulls(len(runs), pa.int64()), *runs.columns()], ["start", "stop", "other", *COLUMNS])
 
+# ---- the operator ----------------------------------------------------------------------------------
 
-def _spans(runs: Runs, min_words: int) -> pa.RecordBatch:
-    left, right, other, id_ = (np.repeat(x, runs.count) for x in (*compare(runs, min_words), runs.id))
-    hit = other >= 0
-    m = int(hit.sum())
-    return pa.RecordBatch.from_arrays(
-        [pa.array((runs.places - left)[hit].astype(np.int32)), pa.array((runs.places + right)[hit].astype(np.int32)), pa.array(other[hit]), pa.array(id_[hit]), pa.nulls(m, pa.int64()), *[pa.nulls(m, pa.binary())] * 3],
-        ["start", "stop", "other", *COLUMNS],
-    )
 
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, held: int = HELD) -> DataFrame:
+    """``id_col, first_word, end_word, n_words, other_id``: the passages (word positions) that another document has too.
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50) -> DataFrame:
-    """``id_col, first_word, end_word, n_words, other_id``: the passages (word positions) that another document has too."""
+    ``other_id`` is the least document with a window of the passage; for that document itself, the last one of a window.
+    """
     if min_words < 2 * K:
         raise ValueError(f"min_words must be at least {2 * K}")
-    order = ("gram", "suffix", "before", "id")
+    id_type, order = dict(docs.dtypes)[id_col], ("gram", "suffix", "before", "id")
     rows = sparse_suffixes(docs, id_col, text_col, min_words).repartitionByRange(*order).sortWithinPartitions(*order)
-    found = materialise(rows.mapInArrow(_compare_sorted(min_words, True), OUT), "suffix-spans")
-    # 2 * NEIGHBOURS rows of each partition at most, read as a stream: one task, as further borders would cut again.
-    border = found.where("start is null").select(*COLUMNS)
-    across = border.repartitionByRange(1, *order).sortWithinPartitions(*order).mapInArrow(_compare_sorted(min_words, False), OUT)
-    spans = found.where("start is not null").unionByName(across).select("id", "start", "stop", "other")
+    found = materialise(rows.mapInArrow(compare_sorted(min_words, held), f"start int, stop int, other {id_type}, {row_type(id_type)}"), "suffix-spans")
+    across = spans_across(found.where("start is null").select(*COLUMNS), id_type, min_words)
+    spans = found.where("start is not null").select("id", "start", "stop", "other").unionByName(across)
 
     by_doc = Window.partitionBy("id").orderBy("start", "stop")
     reach = F.max("stop").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
