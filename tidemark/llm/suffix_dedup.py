@@ -13,8 +13,9 @@ the rows of an interval on both sides form a class, a class with two documents i
 longest such windows on either side. Classes stand in for pairs: nothing is lost however many rows share a passage.
 
 *Borders and crowds.* The first and last k-gram of a partition can go on in the next one, and a k-gram of more than
-``HELD`` rows isn't held in memory. Their rows become classes of equal contexts by an aggregation; the windows of these
-classes are hashed to 64 bits and aggregated by hash, and matches return to the rows by salted joins.
+``HELD`` rows isn't held in memory. Such rows are compared with those at hand; what is still open (rows with unmatched
+windows, and the ends of each class of equal contexts for them to find) becomes classes by an aggregation; the windows
+of these classes are hashed to 64 bits and aggregated by hash, and what that adds returns to the rows by salted joins.
 
 Words are lower-cased (A-Z) and stand between white space; they are compared by CRC32. Two different windows can only
 be taken for the same if all differing words collide in 32 bits at once, or in the hash of a k-gram or window.
@@ -31,6 +32,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -189,83 +191,108 @@ def ranks(ids: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return rank[coded.indices.to_numpy()], coded.dictionary.take(pa.array(order))
 
 
-FOUND = ["start", "stop", "other", *COLUMNS]
+FOUND = ["start", "stop", "other", *COLUMNS, "known_left", "known_right"]
 
 
-def spans_of(rows: pa.Table, min_words: int) -> pa.RecordBatch | None:
+def found_type(id_type: str) -> str:
+    return f"start int, stop int, other {id_type}, {row_type(id_type)}, known_left int, known_right int"
+
+
+def local_matches(rows: pa.Table, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Of the rows of some k-grams, each standing together: extension to the left and right, the other document's rank (or -1), documents by rank, and ranks."""
+    gram, get = rows.column("gram").to_numpy(), lambda c: rows.column(c).chunk(0)
+    owner, names = ranks(get("id"))
+    width = min_words - K
+    return (*matches(gram, matrix(get("suffix"), width), matrix(get("before"), width), owner, min_words), names, owner)
+
+
+def marked(rows: pa.Table, left: np.ndarray, right: np.ndarray, other: np.ndarray, names: pa.Array) -> pa.RecordBatch:
+    """Spans of the rows that have a match, at all their places."""
+    hit = np.flatnonzero(other >= 0)
+    lists = rows.column("places").chunk(0).take(pa.array(hit))
+    counts, place = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
+    row = np.repeat(hit, counts)
+    start, stop = (place - left[row]).astype(np.int32), (place + right[row]).astype(np.int32)
+    empty = [pa.nulls(len(row), rows.schema.field(c).type) for c in COLUMNS[1:]] + [pa.nulls(len(row), pa.int32())] * 2
+    return pa.RecordBatch.from_arrays([pa.array(start), pa.array(stop), names.take(pa.array(other[row])), rows.column("id").chunk(0).take(pa.array(row)), *empty], FOUND)
+
+
+def spans_of(parts: list[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     """Matched spans of complete k-grams."""
+    rows = pa.Table.from_batches(parts)
     gram = rows.column("gram").to_numpy()
     codes = rows.column("id").combine_chunks().dictionary_encode().indices.to_numpy()
     begins = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
     several = np.minimum.reduceat(codes, begins) < np.maximum.reduceat(codes, begins)
     keep = np.flatnonzero(np.repeat(several, np.diff(np.r_[begins, len(gram)])))
-    if not len(keep):
-        return None
-    rows = rows.take(pa.array(keep)).combine_chunks()
-    get = lambda c: rows.column(c).chunk(0)
-    owner, names = ranks(get("id"))
-    width = min_words - K
-    left, right, other = matches(get("gram").to_numpy(), matrix(get("suffix"), width), matrix(get("before"), width), owner, min_words)
-    hit = np.flatnonzero(other >= 0)
-    if not len(hit):
-        return None
-    lists = get("places").take(pa.array(hit))
-    counts, place = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
-    row = np.repeat(hit, counts)
-    n, start, stop = len(row), (place - left[row]).astype(np.int32), (place + right[row]).astype(np.int32)
-    empty = [pa.nulls(n, rows.schema.field(c).type) for c in COLUMNS[1:]]
-    return pa.RecordBatch.from_arrays([pa.array(start), pa.array(stop), names.take(pa.array(other[row])), get("id").take(pa.array(row)), *empty], FOUND)
+    if len(keep):
+        rows = rows.take(pa.array(keep)).combine_chunks()
+        left, right, other, names, _ = local_matches(rows, min_words)
+        yield marked(rows, left, right, other, names)
 
 
-def compare_sorted(min_words: int, held: int):
-    """Over a sorted partition: matched spans, and as they are the rows of its first and last k-gram and of crowded ones."""
+def open_rows(parts: list[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """Matched spans among rows of a k-gram that has more rows elsewhere, and what those have to be held against.
 
-    def as_they_are(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for p in parts:
-            n = p.num_rows
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, p.schema.field("id").type), *p.columns], FOUND)
+    A row all of whose windows are matched here needs nothing more; of each class of such rows with equal contexts the
+    first and last document stay, without places, for the others to find. All other rows stay with what they know.
+    """
+    rows = pa.Table.from_batches(parts).combine_chunks()
+    if not rows.num_rows:
+        return
+    left, right, other, names, owner = local_matches(rows, min_words)
+    yield marked(rows, left, right, other, names)
+    width = [rows.column(c).chunk(0) for c in ("suffix", "before")]
+    after, before = (np.array(pc.binary_length(c)) // 4 for c in width)
+    done = (left == before) & (right == after + K) & (other >= 0)
+    firsts: dict[tuple, list[int]] = {}
+    for i in np.flatnonzero(done).tolist():
+        ends = firsts.setdefault((rows.column("gram")[i].as_py(), width[0][i].as_py(), width[1][i].as_py()), [i, i])
+        ends[0] = i if owner[i] < owner[ends[0]] else ends[0]
+        ends[1] = i if owner[i] > owner[ends[1]] else ends[1]
+    heads = np.array(sorted({i for ends in firsts.values() for i in ends}), np.int64)
+    for at, places in ((np.flatnonzero(~done), True), (heads, False)):
+        kept, n = rows.take(pa.array(at)).combine_chunks(), len(at)
+        if not n:
+            continue
+        columns = [kept.column(c).chunk(0) for c in COLUMNS]
+        if not places:
+            columns[-1] = pa.array([[]] * n, pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, kept.schema.field("id").type), *columns, pa.array(left[at].astype(np.int32)), pa.array(right[at].astype(np.int32))], FOUND)
+
+
+def compare_sorted(min_words: int, held: int):
+    """Over a sorted partition: spans of its k-grams, and of its first and last k-gram and crowded ones what :func:`open_rows` leaves open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
         tail: list[pa.RecordBatch] = []  # of the k-gram that may go on
-        tail_gram, passed_on = None, True  # the first k-gram of the partition is passed on
+        tail_gram, goes_on_elsewhere = None, True  # the first k-gram can have begun in another partition
         for batch in batches:
             if not batch.num_rows:
                 continue
             gram = batch.column("gram").to_numpy()
-            goes_on = len(gram) if (gram == tail_gram).all() else int((gram != tail_gram).argmax()) if tail else 0
-            if goes_on:
-                tail.append(batch.slice(0, goes_on))
-            if goes_on < len(gram):
-                if tail:
-                    if passed_on:
-                        yield from as_they_are(tail)
-                        passed_on = False
+            begins = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]]).tolist()
+            cuts = sorted({0, *begins[1:2], begins[-1], len(gram)})  # its first k-gram, those between, its last one
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if tail_gram is not None and gram[a] != tail_gram:  # the one before is complete
+                    if goes_on_elsewhere:
+                        yield from open_rows(tail, min_words)
                     else:
                         waiting += tail
-                last = int(np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])[-1])
-                middle = max(last, goes_on)
-                if middle > goes_on:
-                    if passed_on:  # nothing came before: the first k-gram of all
-                        end = int((gram != gram[0]).argmax())
-                        yield from as_they_are([batch.slice(0, end)])
-                        goes_on, passed_on = end, False
-                    if middle > goes_on:
-                        waiting.append(batch.slice(goes_on, middle - goes_on))
-                tail, tail_gram = [batch.slice(middle)], gram[-1]
-            if passed_on or sum(p.num_rows for p in tail) > held:
-                yield from as_they_are(tail)
-                tail, passed_on = [batch.slice(0, 0)], True
+                    tail, goes_on_elsewhere = [], False
+                tail_gram = gram[b - 1]
+                tail.append(batch.slice(a, b - a))
+            if sum(p.num_rows for p in tail) > held:
+                yield from open_rows(tail, min_words)
+                tail, goes_on_elsewhere = [batch.slice(0, 0)], True
             if sum(p.num_rows for p in waiting) >= CHUNK:
-                found = spans_of(pa.Table.from_batches(waiting), min_words)
+                yield from spans_of(waiting, min_words)
                 waiting = []
-                if found is not None:
-                    yield found
         if waiting:
-            found = spans_of(pa.Table.from_batches(waiting), min_words)
-            if found is not None:
-                yield found
-        yield from as_they_are(tail)
+            yield from spans_of(waiting, min_words)
+        if tail:
+            yield from open_rows(tail, min_words)
 
     return run
 
@@ -300,7 +327,7 @@ def window_hashes(min_words: int):
 
 
 def spans_across(rows: DataFrame, id_type: str, min_words: int) -> DataFrame:
-    """Matched spans among rows of any partition, by classes of equal contexts and hashes of their windows."""
+    """Spans that go beyond what the rows know: by classes of equal contexts and hashes of their windows."""
     rows = rows.withColumn("cls", F.xxhash64("gram", "suffix", "before"))
     classes = rows.groupBy("cls", "gram", "suffix", "before").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     windows = classes.mapInArrow(window_hashes(min_words), f"cls long, j int, h long, lo {id_type}, hi {id_type}").withColumn("salt", F.pmod("cls", F.lit(SALT)).cast("int"))
@@ -309,6 +336,7 @@ def spans_across(rows: DataFrame, id_type: str, min_words: int) -> DataFrame:
     matched = windows.join(shared, ["h", "salt"]).groupBy("cls").agg(F.max("j").alias("left"), F.min("j").alias("least"), F.min("first").alias("first"), F.min("last").alias("last"))
     spread = matched.select("cls", "left", (F.lit(min_words) - F.col("least")).alias("right"), "first", "last", salts)
     hit = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALT)).cast("int")).join(spread, ["cls", "salt"])
+    hit = hit.where((F.col("left") > F.col("known_left")) | (F.col("right") > F.col("known_right")))
     place = hit.select("id", "left", "right", F.when(F.col("id") == F.col("first"), F.col("last")).otherwise(F.col("first")).alias("other"), F.explode("places").alias("place"))
     return place.select("id", (F.col("place") - F.col("left")).alias("start"), (F.col("place") + F.col("right")).alias("stop"), "other")
 
@@ -319,14 +347,14 @@ def spans_across(rows: DataFrame, id_type: str, min_words: int) -> DataFrame:
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, held: int = HELD) -> DataFrame:
     """``id_col, first_word, end_word, n_words, other_id``: the passages (word positions) that another document has too.
 
-    ``other_id`` is the least document with a window of the passage; for that document itself, the last one of a window.
+    ``other_id`` is a document with a window of the passage; if there are several, which one can depend on the partitions.
     """
     if min_words < 2 * K:
         raise ValueError(f"min_words must be at least {2 * K}")
     id_type, order = dict(docs.dtypes)[id_col], ("gram", "suffix", "before", "id")
     rows = sparse_suffixes(docs, id_col, text_col, min_words).repartitionByRange(*order).sortWithinPartitions(*order)
-    found = materialise(rows.mapInArrow(compare_sorted(min_words, held), f"start int, stop int, other {id_type}, {row_type(id_type)}"), "suffix-spans")
-    across = spans_across(found.where("start is null").select(*COLUMNS), id_type, min_words)
+    found = materialise(rows.mapInArrow(compare_sorted(min_words, held), found_type(id_type)), "suffix-spans")
+    across = spans_across(found.where("start is null").drop("start", "stop", "other"), id_type, min_words)
     spans = found.where("start is not null").select("id", "start", "stop", "other").unionByName(across)
 
     by_doc = Window.partitionBy("id").orderBy("start", "stop")
