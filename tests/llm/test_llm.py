@@ -361,6 +361,7 @@ def plain_pages(rows):
 def test_warc(spark):
     same, odd = "ä" * 80, "a\r\n\r\nWARC/1.1\r\nb" * 20
     rows = [(1, "http://b.example.com/x?q=1", same), (2, "http://b.example.com/x?q=1", same), (2, "http://b.example.com/x?q=1", same), (1, "http://a.org/", same), (None, None, same), (None, "http://a.org/", None)]
+    rows += [(12, "http://[a\tb", "tab"), (13, "http://[a!b", "mark"), (14, "http://[a\nb", "line")]
     rows += [(5, None, None), (6, "", ""), (7, "not a url \n\t[", odd), (8, "http://[bad", odd), (9, "http://x.org/" + "p" * 5000, "short"), (10, "HTTP://X.org:8080/A", "short"), (11, "http://y.org/ä ö", "z" * 2_000_000)]
     df = spark.createDataFrame([(*r, "v", 1) for r in rows], "page_id long, url string, html string, id string, payload int")
     assert sorted((str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, str(r.refers_to)) for r in warc.archive_and_read(df).collect()) == plain_pages(rows)
@@ -369,14 +370,29 @@ def test_warc(spark):
     assert warc.archive_and_read(df.limit(0)).count() == 0
 
 
+def test_warc_of_many_equal_pages_and_text_ids(spark):
+    html = F.when(F.col("id") % 3 > 0, F.lit("same " * 40)).otherwise(F.concat(F.lit("own " * 40), F.col("id") % 700))
+    pages = spark.range(10_000).select(F.concat(F.lit("p-"), F.col("id")).alias("page_id"), F.concat(F.lit("http://h.org/"), F.col("id") % 97).alias("url"), html.alias("html"))
+    rows = [(r.page_id, r.url, r.html) for r in pages.collect()]
+    assert sorted((str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, str(r.refers_to)) for r in warc.archive_and_read(pages).collect()) == plain_pages(rows)
+
+
+def test_a_capture_that_is_not_there_is_an_error(spark, tmp_path):
+    pages = spark.range(20).selectExpr("id as page_id", "concat('http://h.org/', id) as url", "'x' as html")
+    manifest = warc.write_archives(pages, f"file://{tmp_path}")
+    shards = warc.build_index(manifest, f"file://{tmp_path}")
+    with pytest.raises(Exception, match="no capture of page 99"):
+        warc.read_captures(manifest.limit(1).withColumn("id", F.lit("=99")), f"file://{tmp_path}", shards).collect()
+
+
 def test_index_lookup_returns_payloads(spark, tmp_path):
     pages = spark.range(500).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), F.col("id") % 7, F.lit(".org/"), F.col("id") % 11).alias("url"), F.concat(F.lit("page "), F.col("id")).alias("html"))
     folder = f"file://{tmp_path}"
     manifest = warc.write_archives(pages, folder)
     shards = warc.build_index(manifest, folder, block_lines=8)
-    wanted = manifest.where("id % 50 = 3").unionByName(manifest.limit(1).withColumn("id", F.lit(10**9)))  # one that isn't there
-    found = {r.id: bytes(r.payload).decode() for r in warc.read_captures(wanted, folder, shards).collect()}
-    assert found == {i: f"page {i}" for i in range(3, 500, 50)}
+    wanted = manifest.where("cast(substr(id, 2) as int) % 50 = 3").unionByName(manifest.limit(1).withColumn("id", F.lit("=1000000000")))  # one that isn't there
+    found = {r.id: bytes(r.payload).decode() for r in warc.read_captures(wanted, folder, shards, missing="skip").collect()}
+    assert found == {str(i): f"page {i}" for i in range(3, 500, 50)}
 
 
 # ---- language model --------------------------------------------------------------------------------

@@ -29,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         return named
     if not getattr(sc, "_tidemark_shared", None):
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         own = tempfile.mkdtemp(prefix="tidemark-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         sc._tidemark_shared = f"file://{own}"
@@ -75,6 +77,23 @@ def prepare(spark: SparkSession, rows: int = 512) -> None:
         spark.conf.set(key, str(rows))
 
 
+def join_uneven(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """Left join with a stored table of unique keys, ``size`` being how many of the ``rows`` have the key.
+
+    At most ``4 * shuffle partitions`` keys can have such a share of the rows that their rows fill a partition: those
+    join by broadcast and spread over all partitions; the others join by a shuffle.
+    """
+    most = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = groups.agg(F.sum(size)).first()[0] or 0  # of the rows with a key: no fewer frequent keys than by all rows
+    frequent = F.col(size) * most > total
+    values = [c for c in groups.columns if c not in (key, size)]
+    hot = F.broadcast(groups.where(frequent).select(key, F.struct(*values).alias("_hot")))
+    spread = F.when(F.col("_hot").isNull(), F.col(key)).otherwise(F.concat(F.lit("#"), F.xxhash64(*[F.col(c) for c in rows.columns if c != "payload"]).cast("string")))
+    cold = groups.where(~frequent).select(F.col(key).alias("_key"), F.struct(*values).alias("_cold"))
+    joined = rows.join(hot, key, "left").withColumn("_key", spread).join(cold, "_key", "left")
+    return joined.select(*rows.columns, *[F.coalesce(F.col(f"_hot.{v}"), F.col(f"_cold.{v}")).alias(v) for v in values])
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only. ``lower`` does the same to texts of ASCII letters alone, several times faster."""
     return F.when(F.octet_length(col) == F.length(col), F.lower(col)).otherwise(F.translate(col, UPPER, UPPER.lower()))
