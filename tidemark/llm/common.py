@@ -105,8 +105,15 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def labelled_sample(labels: DataFrame, id_col: str, label_col: str, size: int) -> DataFrame:
-    """``id, gold``: at most ``size`` labelled training documents of each class, picked by the hash of the id."""
+    """``id, gold``: at most ``size`` labelled training documents of each class, picked by the hash of the id.
+
+    A hash threshold leaves about twice as many before the exact ranking, so that no partition sends more than its share.
+    """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("gold"))
-    parts = [known.where(F.col("gold") == y).orderBy(F.xxhash64("id"), "id").limit(size) for y in (0, 1)]
+    totals = {r.gold: r["count"] for r in known.groupBy("gold").count().collect()}
+    parts = []
+    for y in (0, 1):
+        near = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < (2 * size << 20) // max(1, totals.get(y, 0)) + 64
+        parts.append(known.where((F.col("gold") == y) & near).orderBy(F.xxhash64("id"), "id").limit(size))
     return parts[0].unionByName(parts[1])

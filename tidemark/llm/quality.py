@@ -9,9 +9,10 @@ scoring adds one number per word.
 Bound (parameter): ``sample`` labelled documents of each class. The intercept is then moved from the
 sample's class shares to those of all labels that aren't held out.
 
-Nulls and ties: a null or wordless text gets the class shares as its score; null labels teach nothing; of
-repeated labels of a document the larger counts. With labels of one class or none the score is the share of
-label 1 (0.5 without labels). Every row is scored, repeated or not; extra columns are ignored.
+Nulls, ties, odd inputs: a null or wordless text gets the class shares as its score; very long texts are read whole;
+null labels teach nothing; of repeated labels of a document the larger counts; of the texts of a labelled id that
+repeats the least one is learned from. With labels of one class or none the score is the share of label 1 (0.5 without
+labels). Every row is scored, repeated or not; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -105,7 +106,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     sizes = {r.y: r["count"] for r in known.collect()}
     shares = tuple((sizes.get(y, 0) + 0.0) / max(1, sum(sizes.values())) if sizes else 0.5 for y in (0, 1))
     picked = F.broadcast(labelled_sample(labels, id_col, label_col, sample))  # at most 2 * sample rows
-    chosen = materialise(texts.join(picked, "id").select("id", "gold", "text"), "quality-sample")
+    chosen = materialise(texts.join(picked, "id").groupBy("id", "gold").agg(F.min("text").alias("text")), "quality-sample")
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,21 +1,23 @@
 """Toxicity by weak supervision.
 
-1. *Lexicons.* A seed list of insults, and words and word beginnings that a bounded sample of labelled
+1. *Lexicons.* Seed lists of insults in four languages, and words and word beginnings that a bounded sample of labelled
    documents ties to the toxic label (document counts summed by Spark; near copies in the sample count
    once, so that no single copied text makes its words look toxic).
-2. *Voters.* Lexicon and pattern voters say toxic (1), clean (-1) or nothing (0) about every document.
+2. *Voters.* Thirteen lexicon and pattern voters say toxic (1), clean (-1) or nothing (0) about every document.
 3. *Label model.* A generative model of the votes: the hidden label, each voter's accuracy, and for
    correlated voters a tree of dependencies (each voter may also depend on one other). Expectation
-   maximisation over the counts of vote patterns of all training documents, labelled or not.
-4. *Classifier.* Logistic regression on hit counts and rates, trained on the posterior labels; its score is
-   a Spark expression.
-
-Bounds (parameters): ``sample`` labelled documents per class, ``rows`` training rows of the classifier,
-``lexicon`` learned entries of a kind. Vote patterns are at most 3 to the number of voters.
-
-Nulls and ties: null or empty texts have no hits and get the score of a text without any; null labels are
-no labels; of repeated labels of a document the larger counts; a null id is in no fold and has no label.
-Without labels the seed list alone votes. Extra columns are ignored.
+   maximisation over the counts of vote patterns of all training documents, labelled or not; labels give the first
+   estimates and a prior of ``PRIOR`` of the weight, and no document's posterior is set by its label.
+4. *Classifier.* Logistic regression on hit counts and rates, trained on the posterior labels of all training
+   documents: every Newton step adds up gradient and curvature in Spark. Its score is a Spark expression.
+
+Bounds (parameters): ``sample`` labelled documents per class teach the lexicons and the first estimates, ``lexicon``
+learned entries of a kind. Eight voters have two answers and five have three: at most 62,208 vote patterns.
+
+Nulls, ties, odd inputs: null or empty texts have no hits and get the score of a text without any; very long texts are
+read whole; null labels are no labels; of repeated labels of a document the larger counts; a null id is in no fold and
+has no label; of the texts of a labelled id that repeats the least one is learned from. Without labels the seed lists
+alone vote. An empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,18 +35,20 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import held_out, labelled_sample, materialise, prepare, table
 
-#: Mild insults of four languages.
-SEEDS = frozenset(
-    "idiot idiots moron morons stupid loser losers scum trash clown worthless pathetic disgusting dumb fool imbecile "
-    "idiote imbécile crétin ordure pourriture minable connard débile "
-    "dumm trottel abschaum wertlos erbärmlich widerlich schwachkopf vollidiot "
-    "estúpido imbécil basura escoria inútil patético asqueroso payaso".split()
-)
+#: Mild insults, by language.
+SEEDS_BY_LANGUAGE = {
+    "en": "idiot idiots moron morons stupid loser losers scum trash clown worthless pathetic disgusting dumb fool imbecile".split(),
+    "fr": "idiote imbécile crétin ordure pourriture minable connard débile".split(),
+    "de": "dumm trottel abschaum wertlos erbärmlich widerlich schwachkopf vollidiot".split(),
+    "es": "estúpido imbécil basura escoria inútil patético asqueroso payaso".split(),
+}
+SEEDS = frozenset(w for words in SEEDS_BY_LANGUAGE.values() for w in words)
 WORD = re.compile(r"\w+")
 AT_YOU = re.compile(r"\b(?:you(?: are|'re)|tu es|vous êtes|du bist|eres)\b(?:\s+\w+){0,2}?\s+(?:" + "|".join(sorted(SEEDS)) + r")\b")
 #: Lengths of the word beginnings that are learned beside whole words (0).
 KINDS = (0, 4, 5, 6)
-SAMPLE, ROWS, LEXICON = 6000, 20_000, 4000
+SAMPLE, LEXICON = 6000, 4000
+PRIOR = 0.1
 KNOWN_WORDS = 200_000
 
 
@@ -104,19 +108,21 @@ def votes_and_features(text: str | None, masks: _Masks) -> tuple[list[int], list
                 distinct[bit] += masks[word] >> bit & 1
     letters = sum(map(text.count, "ETAOINRS")) / max(1, len(text))
     shouts = text.count("!") / n
-    votes = [1 if counts[0] else 0, 1 if counts[0] and AT_YOU.search(text.lower()) else 0]
+    seeds = {w for w in words if w in SEEDS} if counts[0] else set()
+    # Two answers: toxic or nothing.
+    votes = [int(not seeds.isdisjoint(of_language)) for of_language in SEEDS_BY_LANGUAGE.values()]
+    votes += [int(len(seeds) >= 2), int(bool(seeds) and AT_YOU.search(text.lower()) is not None), int(letters > 0.3 and bool(seeds)), int(shouts > 0.1 and counts[2] > 0)]
+    # Three answers: also clean.
     for i in range(len(KINDS)):
         strong = distinct[2 + 2 * i]
         votes.append(1 if strong >= 2 or counts[2 + 2 * i] >= 3 else 0 if strong else -1)
     rate = counts[2] / n
     votes.append(1 if rate > 0.004 else -1 if rate == 0 else 0)
-    votes.append(1 if letters > 0.3 and counts[0] else 0)
-    votes.append(1 if shouts > 0.1 and counts[2] else 0)
     features = [*np.log1p(counts), *np.minimum(distinct, 5), *np.minimum(50 * counts / n, 5), letters, min(shouts, 2.0)]
     return votes, [float(x) for x in features]
 
 
-N_VOTERS = 2 + len(KINDS) + 3
+N_VOTERS = len(SEEDS_BY_LANGUAGE) + 4 + len(KINDS) + 1
 N_FEATURES = 3 * N_COUNTS + 2
 
 
@@ -171,25 +177,24 @@ def learn_lexicons(sample: DataFrame, id_type: str, most: int = LEXICON) -> Lexi
 class LabelModel:
     """P(label) and P(vote of voter j | label, vote of its parent), fitted to counts of vote patterns."""
 
-    def __init__(self, votes: np.ndarray, counts: np.ndarray, gold: np.ndarray, prior: float = 0.1, rounds: int = 30) -> None:
-        """votes: patterns x voters in {-1, 0, 1}; counts: rows of a pattern; gold: 0, 1 or -1 (unknown) for it."""
+    def __init__(self, votes: np.ndarray, counts: np.ndarray, known: np.ndarray | None = None, rounds: int = 30, strength: float = PRIOR) -> None:
+        """votes: patterns x voters in {-1, 0, 1}; counts: rows of a pattern; known: its labelled rows, clean and toxic (patterns x 2)."""
         v = votes + 1
         self.parents = [-1] * v.shape[1]
-        known = gold >= 0
-        start = np.where(votes.max(axis=1, initial=0) > 0, 0.9, 0.02) if not known.any() else np.full(len(v), prior)
-        post = np.where(known, gold, start).astype(float)
-        if known.any():  # the first estimates come from the labelled patterns
-            self._estimate(v[known], counts[known], post[known])
-            post = np.where(known, gold, self._posterior(v))
+        labelled = known if known is not None and (known.sum(axis=0) > 0).all() else np.zeros((len(v), 2))
+        if labelled.any():  # the first estimates come from the labels; afterwards they are a prior of a bounded weight
+            self._estimate(v, labelled.T)
+            labelled = labelled * min(1.0, strength * counts.sum() / labelled.sum())
+            post = self.posterior(votes)
+        else:
+            post = np.where(votes.max(axis=1, initial=0) > 0, 0.9, 0.02)
         for step in range(rounds):
             if step == 5:
                 self.parents = self._tree(v, counts, post)
-            self._estimate(v, counts, post)
-            post = np.where(known, gold, self._posterior(v))
-        self.table = {tuple(map(int, row)): float(p) for row, p in zip(votes, self._posterior(v))}
+            self._estimate(v, np.stack([counts * (1 - post), counts * post]) + labelled.T)
+            post = self.posterior(votes)
 
-    def _estimate(self, v: np.ndarray, counts: np.ndarray, post: np.ndarray) -> None:
-        weight = np.stack([counts * (1 - post), counts * post])
+    def _estimate(self, v: np.ndarray, weight: np.ndarray) -> None:
         self.prior = (weight.sum(axis=1) + 1) / (weight.sum() + 2)
         self.given = []
         for j, parent in enumerate(self.parents):
@@ -199,7 +204,9 @@ class LabelModel:
                 np.add.at(t[y], (of_parent, v[:, j]), weight[y])
             self.given.append(t / t.sum(axis=2, keepdims=True))
 
-    def _posterior(self, v: np.ndarray) -> np.ndarray:
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        """P(toxic) of each row of votes."""
+        v = votes + 1
         logs = np.tile(np.log(self.prior)[:, None], len(v))
         for j, parent in enumerate(self.parents):
             of_parent = v[:, parent] if parent >= 0 else np.zeros(len(v), int)
@@ -227,64 +234,86 @@ class LabelModel:
         return parents
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
-    """Weights of a logistic regression on soft labels (Newton steps); the last one is the intercept."""
+def newton_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Gradient and curvature of the logistic loss on soft labels, added up over rows: one row of the matrix each feature (the last is the intercept)."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    w, penalty = np.zeros(x.shape[1]), np.r_[np.full(x.shape[1] - 1, ridge), 1e-6]
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (weight * (p - y)) + penalty * w
-        hess = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(hess, grad)
-        w -= step
-        if np.abs(step).max() < 1e-6:
-            break
-    return w
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    return np.hstack([(x.T @ (p - y))[:, None], (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x])
+
+
+def newton_step(sums: np.ndarray, w: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    penalty = np.r_[np.full(len(w) - 1, ridge), 1e-6]
+    step = np.linalg.solve(sums[:, 1:] + np.diag(penalty), sums[:, 0] + penalty * w)
+    return w - step * min(1.0, 10 / max(1e-9, np.abs(step).max()))
 
 
 # ---- the operator ----------------------------------------------------------------------------------
 
 
-def score_toxicity(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, rows: int = ROWS, threshold: float = 0.5
-) -> DataFrame:
+def decoded(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Votes and features of stored rows."""
+    votes = np.frombuffer(b"".join(batch.column("votes").to_pylist()), np.int8).reshape(-1, N_VOTERS).astype(np.int64)
+    return votes, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.column("x").flatten()], axis=1) if batch.num_rows else np.zeros((0, N_FEATURES))
+
+
+def fit_classifier(train: DataFrame, model: LabelModel, rounds: int = 10) -> np.ndarray:
+    """Newton's method over all training rows; the driver gets one matrix of fixed size, added up by Spark, for each step."""
+    n = N_FEATURES + 1
+    w = np.zeros(n)
+    for _ in range(rounds):
+
+        def run(batches: Iterator[pa.RecordBatch], w: np.ndarray = w) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((n, n + 1))
+            for batch in batches:
+                votes, x = decoded(batch)
+                total += newton_sums(x, model.posterior(votes), w)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size, dtype=np.int32)), pa.array(total.ravel())], ["slot", "value"])
+
+        sums = np.zeros(n * (n + 1))
+        for r in train.select("votes", "x").mapInArrow(run, "slot int, value double").groupBy("slot").agg(F.sum("value").alias("value")).collect():
+            sums[r.slot] = r.value
+        before, w = w, newton_step(sums.reshape(n, n + 1), w)
+        if np.abs(w - before).max() < 1e-4:
+            break
+    return w
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, lexicon: int = LEXICON, threshold: float = 0.5) -> DataFrame:
     """One row per document: ``id_col, held_out, score, predicted``; learns from rows that aren't held out."""
     spark = docs.sparkSession
     prepare(spark)
     id_type = dict(docs.dtypes)[id_col]
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     picked = F.broadcast(labelled_sample(labels, id_col, label_col, sample))  # at most 2 * sample rows
-    chosen = materialise(picked.join(texts, "id").select("id", "gold", "text"), "toxic-sample")
-    lexicons = learn_lexicons(chosen, id_type)
+    chosen = materialise(picked.join(texts, "id").groupBy("id", "gold").agg(F.min("text").alias("text")), "toxic-sample")
+    lexicons = learn_lexicons(chosen, id_type, lexicon)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = _Masks(lexicons)
         for batch in batches:
             out = [votes_and_features(t, masks) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([v for v, _ in out], pa.list_(pa.int32())), pa.array([f for _, f in out], pa.list_(pa.float64()))], ["id", "votes", "x"]
-            )
-
-    voted = materialise(texts.mapInArrow(run, f"id {id_type}, votes array<int>, x array<double>").withColumn("held_out", held_out("id")), "toxic-votes")
-    train = voted.where(~F.col("held_out")).join(picked, "id", "left")
-    patterns = train.groupBy("votes", F.coalesce("gold", F.lit(-1)).alias("gold")).count().collect()
-    if not patterns:  # nothing to learn from: the seed list decides
+            x = np.array([f for _, f in out], float).reshape(-1, N_FEATURES)
+            columns = pa.StructArray.from_arrays([pa.array(x[:, i]) for i in range(N_FEATURES)], [f"f{i}" for i in range(N_FEATURES)])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([np.array(v, np.int8).tobytes() for v, _ in out], pa.binary()), columns], ["id", "votes", "x"])
+
+    fields = ", ".join(f"f{i}: double" for i in range(N_FEATURES))
+    voted = materialise(texts.mapInArrow(votes, f"id {id_type}, votes binary, x struct<{fields}>").withColumn("held_out", held_out("id")), "toxic-votes")
+    train = voted.where(~F.col("held_out"))
+    patterns = train.groupBy("votes").count().collect()  # at most 62,208 rows
+    if not patterns:  # nothing to learn from: the seed lists decide
         weights = np.zeros(N_FEATURES + 1)
         weights[N_COUNTS], weights[-1] = 4.0, -5.0
         return _scored(voted, weights, id_col, threshold)
-    model = LabelModel(np.array([r.votes for r in patterns]), np.array([r["count"] for r in patterns], float), np.array([r.gold for r in patterns]))
-
-    some = train.where(F.col("gold").isNotNull()).select("votes", "x", "gold").collect()  # at most 2 * sample rows, unless ids repeat
-    some += train.where(F.col("gold").isNull()).orderBy(F.xxhash64("id"), "id").limit(rows).select("votes", "x", "gold").collect()
-    y = np.array([model.table[tuple(r.votes)] if r.gold is None else r.gold for r in some], float)
-    weights = logistic(np.array([r.x for r in some]), y, np.ones(len(some)))
-    return _scored(voted, weights, id_col, threshold)
+    golds = {bytes(r.votes): (r.clean, r.toxic) for r in train.join(picked, "id").groupBy("votes").agg(F.count_if(F.col("gold") == 0).alias("clean"), F.count_if(F.col("gold") == 1).alias("toxic")).collect()}
+    rows = np.array([np.frombuffer(bytes(r.votes), np.int8) for r in patterns], np.int64)
+    model = LabelModel(rows, np.array([r["count"] for r in patterns], float), np.array([golds.get(bytes(r.votes), (0, 0)) for r in patterns], float))
+    return _scored(voted, fit_classifier(train, model), id_col, threshold)
 
 
 def _scored(voted: DataFrame, weights: np.ndarray, id_col: str, threshold: float) -> DataFrame:
     total: Column = F.lit(float(weights[-1]))
     for i, w in enumerate(weights[:-1]):
-        total = total + F.col("x")[i] * float(w)
+        total = total + F.col(f"x.f{i}") * float(w)
     found = voted.select("id", "held_out", (1 / (1 + F.exp(-total))).alias("score"))
     return found.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
