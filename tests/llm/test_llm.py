@@ -399,42 +399,125 @@ def test_index_lookup_returns_payloads(spark, tmp_path):
 # ---- language model --------------------------------------------------------------------------------
 
 
+def plain_log_probability(model, near, token):
+    """One token at a time, branch by branch."""
+    net, tree = model.network, model.tree
+    hidden = np.tanh(net.shared[-1] + sum(net.shared[k] * net.embed[x] for k, x in enumerate(near)))
+    total = 0.0
+    for level in range(tree.size[token]):
+        node, upper = divmod(int(tree.levels[level, token]), 2)
+        z = float(net.node[node] @ hidden + net.bias[node, 0])
+        total -= np.log1p(np.exp(-z if upper else z))
+    return total
+
+
 def test_lm_scores_equal_a_plain_loop(spark):
     docs = documents(spark)
-    model = lm_scoring.fit(docs, top=31, shared=8)
-    net, vocabulary = model.network, lm_scoring.Vocabulary(model.top, 8)
-    rows = {r.doc_id: r for r in lm_scoring.score(docs, model, shared=8).collect()}
+    model = lm_scoring.fit(docs, own=200)
+    vocabulary, counts = lm_scoring.Vocabulary(model.words), defaultdict(int)
+    words = lambda t: (t or "").translate(LOWER).encode().split()
+    for r in docs.collect():
+        for w in words(r.text):
+            counts[w] += 1
+    others = sum(n for w, n in counts.items() if w not in vocabulary)
+    assert len(model.words) == 200 and others == model.others > 0
+    rows = {r.doc_id: r for r in lm_scoring.score(docs, model).collect()}
     for r in docs.limit(10).collect():
-        tokens = [vocabulary[w] for w in (r.text or "").translate(LOWER).encode().split()]
+        own = words(r.text)
+        tokens = [vocabulary.get(w, vocabulary.other) for w in own]
         total = 0.0
-        for i, own in enumerate(tokens):
+        for i, (w, token) in enumerate(zip(own, tokens)):
             near = [tokens[i + o] if 0 <= i + o < len(tokens) else vocabulary.outside for o in lm_scoring.OFFSETS]
-            logits = np.tanh(net.lift + sum(net.embed[k][x] for k, x in enumerate(near))) @ net.out + net.bias
-            total += logits[own] - np.log(np.exp(logits - logits.max()).sum()) - logits.max()
+            total += plain_log_probability(model, near, token) + (np.log(counts[w] / others) if token == vocabulary.other else 0)
         assert rows[r.doc_id].n_tokens == len(tokens) and abs(rows[r.doc_id].pseudo_log_likelihood - total) < 1e-2 + 1e-4 * abs(total)
 
 
+def test_lm_probabilities_add_up_to_one(spark):
+    docs = documents(spark)
+    model = lm_scoring.fit(docs, own=300)
+    for near in ([0, 1, 2, 3], [301, 301, 5, 300], [7, 7, 7, 301]):
+        assert abs(sum(np.exp(plain_log_probability(model, near, t)) for t in range(301)) - 1) < 1e-4
+    # The words that share a code have all of its probability among them.
+    counts = model.counts.collect()
+    rare = [r.n / model.others for r in counts if bytes(r.word) not in set(model.words)]
+    assert abs(sum(rare) - 1) < 1e-9 and {r.h for r in counts} == {xxhash.xxh64_intdigest(bytes(r.word), 42) - (1 << 64) * (xxhash.xxh64_intdigest(bytes(r.word), 42) >> 63) for r in counts}
+
+
+def test_lm_gradients_equal_finite_differences():
+    rng = np.random.default_rng(8)
+    tree = lm_scoring.Tree.of(rng.integers(1, 50, 12).tolist())
+    net = lm_scoring.Network.start(tree, dim=5)
+    net = lm_scoring.Network(*(p.astype(float) + rng.normal(0, 0.3, p.shape) for p in net.parts()))
+    tokens, at = lm_scoring.padded([rng.integers(0, 12, n).astype(np.uint16) for n in (7, 1, 12)], 12)
+    at = at[::2]
+    loss = lambda: -lm_scoring.log_probabilities(net, tree, tokens, at).sum()
+    for part, (rows, grad, uses) in zip(net.parts(), lm_scoring.gradients(net, tree, tokens, at)):
+        full = np.zeros(part.shape)
+        full[rows] = grad
+        assert (uses > 0).all()
+        for i in np.ndindex(part.shape):
+            before = part[i]
+            part[i] = before + 1e-5
+            up = loss()
+            part[i] = before - 1e-5
+            down = loss()
+            part[i] = before
+            assert abs((up - down) / 2e-5 - full[i]) < 1e-3
+
+
+def test_lm_step_is_adagrad_on_the_gradients():
+    rng = np.random.default_rng(9)
+    tree = lm_scoring.Tree.of([5, 4, 3, 2, 1])
+    net = lm_scoring.Network.start(tree, dim=3)
+    tokens, at = lm_scoring.padded([rng.integers(0, 5, 9).astype(np.uint16)], 5)
+    trainer, seen, plain = lm_scoring.Trainer(net, tree), [np.full_like(p, 0.1) for p in net.parts()], net.copy()
+    for _ in range(3):
+        grads = lm_scoring.gradients(plain, tree, tokens, at)
+        trainer.step(tokens, at)
+        for value, total, (rows, grad, _) in zip(plain.parts(), seen, grads):
+            for r, g in zip(rows, grad):
+                total[r] += g * g
+                value[r] -= 0.1 * g / np.sqrt(total[r])
+    assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(trainer.net.parts(), plain.parts()))
+
+
+def test_lm_scores_do_not_depend_on_partitions(spark):
+    docs = documents(spark, MEDIUM).limit(600)
+    few, many = ({r.doc_id: r.pseudo_log_likelihood for r in lm_scoring.score_corpus(docs.repartition(n), own=500, shard_tokens=40_000).collect()} for n in (2, 24))
+    assert len(few) == 600 and all(abs(few[i] - many[i]) <= 1e-9 * (1 + abs(few[i])) for i in few)
+
+
 def test_lm_learns_and_handles_odd_rows(spark):
     docs = documents(spark, MEDIUM)
-    mean = lambda rounds: lm_scoring.score(docs, lm_scoring.fit(docs, rounds=rounds)).agg(F.sum("pseudo_log_likelihood") / F.sum("n_tokens")).first()[0]
-    assert mean(2) > mean(0) + 0.05
+    mean = lambda rounds: lm_scoring.score_corpus(docs, rounds=rounds, shard_tokens=100_000).agg(F.sum("pseudo_log_likelihood") / F.sum("n_tokens")).first()[0]
+    assert mean(2) > mean(0) + 0.3
     odd = odd_docs(spark)
-    found = lm_scoring.score(odd, lm_scoring.fit(odd)).collect()
+    found = lm_scoring.score_corpus(odd).collect()
     assert len(found) == odd.count() and all(r.pseudo_log_likelihood == 0 for r in found if not r.n_tokens)
-    assert lm_scoring.score(no_docs(spark), lm_scoring.fit(no_docs(spark))).count() == 0
+    assert lm_scoring.score_corpus(no_docs(spark)).count() == 0
+    unseen = spark.createDataFrame([(1, "never seen"), (2, None)], "doc_id long, text string")
+    assert [r.n_tokens for r in lm_scoring.score(unseen, lm_scoring.fit(docs, own=50)).orderBy("doc_id").collect()] == [2, 0]
 
 
 def test_lm_trains_on_every_token(spark):
-    docs = spark.range(20_000).selectExpr("id as doc_id", "'a b c d e' as text")
+    docs = spark.range(60_000).selectExpr("id as doc_id", "'a b c d e' as text")
     model = lm_scoring.fit(docs)
-    tokens, at = lm_scoring.padded([lm_scoring.Vocabulary(model.top).tokens("a b c d e")], lm_scoring.Vocabulary(model.top).outside)
-    assert model.network.log_probabilities(tokens, at).min() > np.log(0.5)
-    parts = [np.zeros(n, int) for n in (7, 0, 1, 12)]
+    tokens, at = lm_scoring.padded([lm_scoring.Vocabulary(model.words).tokens(list(map(str.encode, "abcde")))], lm_scoring.Vocabulary(model.words).outside)
+    assert lm_scoring.log_probabilities(model.network, model.tree, tokens, at).min() > np.log(0.5)
+    parts = [np.zeros(n, np.uint16) for n in (7, 0, 1, 12)]
     at = lm_scoring.padded(parts, 5)[1]
     for rounds in (1, 2, 5):
         assert sorted(x for turn in range(rounds) for x in lm_scoring.turn_of(parts, at, turn, rounds)) == at.tolist()
 
 
+def test_frequent_words_of_each_level(spark):
+    df = spark.createDataFrame([(f"w{i}".encode(), 1000 // (i + 1) + 1) for i in range(2000)], "word binary, n long").withColumn("h", F.xxhash64("word"))
+    for most in (1, 10, 700, 1999, 5000):
+        found = lm_scoring.frequent_words(df, most)
+        assert len(found) == min(most, 2000) and found[0][1] == 1001
+        assert min(n for _, n in found) >= max([r.n for r in df.collect() if bytes(r.word) not in dict(found)], default=0) * 0.98
+
+
 # ---- classifiers -----------------------------------------------------------------------------------
 
 
