@@ -504,10 +504,12 @@ def test_lm_trains_on_every_token(spark):
     model = lm_scoring.fit(docs)
     tokens, at = lm_scoring.padded([lm_scoring.Vocabulary(model.words).tokens(list(map(str.encode, "abcde")))], lm_scoring.Vocabulary(model.words).outside)
     assert lm_scoring.log_probabilities(model.network, model.tree, tokens, at).min() > np.log(0.5)
-    parts = [np.zeros(n, np.uint16) for n in (7, 0, 1, 12)]
-    at = lm_scoring.padded(parts, 5)[1]
-    for rounds in (1, 2, 5):
-        assert sorted(x for turn in range(rounds) for x in lm_scoring.turn_of(parts, at, turn, rounds)) == at.tolist()
+    tokens = lm_scoring.tokenise(docs, model.words, "doc_id", "text").limit(900)
+    seen, start = [], model.network.copy()
+    for turn in range(3):  # a fresh network trains on the documents of one round; all rounds together use every token
+        trained = lm_scoring.train_round(tokens, 2, start, model.tree, turn, 3)
+        seen.append(not np.array_equal(trained.embed, start.embed))
+    assert all(seen) and sum(tokens.where(F.pmod(F.xxhash64("id", "tokens"), F.lit(3)) == t).count() for t in range(3)) == 900
 
 
 def test_frequent_words_of_each_level(spark):

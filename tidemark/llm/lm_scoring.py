@@ -11,7 +11,7 @@ counts, joined from the counts in Spark. So every distinct word of the corpus ha
 
 *Training* (numpy) covers all tokens of all documents. Documents are dealt to shards by the hash of their id and text, as
 many as the corpus needs; a shard runs Adagrad over its documents in hash order from the parameters that all share.
-Each round predicts its share of the positions, so that every token is predicted in one of them; Spark then averages
+Each round has its share of the documents, by hash, so that every token is predicted in one of them; Spark then averages
 each parameter row over the shards, weighted by how often they trained it. Nothing depends on how the input is
 partitioned. The driver holds the frequent words and one parameter set; counts, tokens and shards grow with the input.
 
@@ -27,6 +27,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,9 @@ from tidemark.llm.common import UPPER, materialise, prepare, table
 LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 OFFSETS = (-2, -1, 1, 2)
 PAD = 2
-OWN, DIM = 65_000, 16
+OWN, DIM = 65_000, 8
 BATCH = 4096
-SHARD_TOKENS = 8_000_000
+SHARD_TOKENS = 5_000_000
 BLOCK = 1024
 FAN_IN = 64
 COUNTED = 200_000
@@ -130,8 +131,7 @@ class Vocabulary(dict):
         self.other, self.outside = len(words), len(words) + 1
 
     def tokens(self, words: list[bytes]) -> np.ndarray:
-        other = self.other
-        return np.fromiter((self.get(w, other) for w in words), np.uint16, len(words))
+        return np.fromiter(map(self.get, words, repeat(self.other)), np.uint16, len(words))
 
 
 # ---- network ---------------------------------------------------------------------------------------
@@ -263,11 +263,6 @@ def padded(parts: list[np.ndarray], outside: int) -> tuple[np.ndarray, np.ndarra
     return joined, np.flatnonzero(joined != outside)
 
 
-def turn_of(parts: list[np.ndarray], at: np.ndarray, turn: int, rounds: int) -> np.ndarray:
-    """Of the positions ``at`` of texts in a row, those that a round predicts: over all rounds each one once, whatever texts stand together."""
-    return at[np.concatenate([np.arange(len(p)) for p in parts]) % rounds == turn] if parts else at
-
-
 # ---- training --------------------------------------------------------------------------------------
 
 ROWS = "shard long, block int, value binary, uses binary"
@@ -303,7 +298,6 @@ def train_round(tokens: DataFrame, shards: int, net: Network, tree: Tree, turn:
 
         def train() -> None:
             joined, at = padded(held, outside)
-            at = turn_of(held, at, turn, rounds)
             for i in range(0, len(at), BATCH):
                 trainer.step(joined, at[i : i + BATCH])
 
@@ -311,15 +305,15 @@ def train_round(tokens: DataFrame, shards: int, net: Network, tree: Tree, turn:
         for value in rows.column("tokens").to_pylist():
             held.append(np.frombuffer(value, "<u2"))
             waiting += len(held[-1])
-            if waiting >= BATCH * rounds * 4:
+            if waiting >= BATCH * 8:
                 train()
                 held, waiting = [], 0
         if waiting:
             train()
         return blocks(rows.column("shard")[0].as_py(), trainer.net.parts(), trainer.uses)
 
-    h = F.xxhash64("id", "tokens")
-    dealt = tokens.where("n > 0").select(F.pmod(h, F.lit(shards)).alias("shard"), h.alias("h"), "tokens")
+    dealt = tokens.where("n > 0").select(F.xxhash64("id", "tokens").alias("h"), "tokens")
+    dealt = dealt.where(F.pmod("h", F.lit(rounds)) == turn).withColumn("shard", F.pmod(F.shiftright("h", 20), F.lit(shards)))
     sums, n = dealt.groupBy("shard").applyInArrow(run, ROWS), shards
     while n > 1:
         sums, n = sums.withColumn("from", F.col("shard")).withColumn("shard", F.floor(F.col("shard") / FAN_IN)).groupBy("shard", "block").applyInArrow(add_blocks, ROWS), -(-n // FAN_IN)
@@ -371,7 +365,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", own: in
     network = Network.start(tree)
     if rounds and total:
         tokens = tokenise(docs, names, id_col, text_col) if tokens is None else tokens
-        shards = -(-total // shard_tokens)
+        shards = -(-total // (rounds * shard_tokens))
         for turn in range(rounds):
             network = train_round(tokens, shards, network, tree, turn, rounds)
     return MaskedModel(names, tree, network, counts, others)
@@ -404,9 +398,8 @@ def score(docs: DataFrame, model: MaskedModel, id_col: str = "doc_id", text_col:
 
     scored = tokens.select("row", "id", "n", "tokens").mapInArrow(run, f"row long, id {id_type}, n long, pll double")
     # Words without a code of their own: each with its share of their counts.
-    rare = tokens.select("row", F.explode("others").alias("h")).groupBy("row", "h").agg(F.count(F.lit(1)).alias("times"))
-    shares = model.counts.select("h", "n").groupBy("h").agg(F.sum("n").alias("n"))
-    rare = rare.join(shares, "h", "left").groupBy("row").agg(F.sum(F.col("times") * F.log(F.coalesce("n", F.lit(1)) / float(max(1, model.others)))).alias("rare"))
+    rare = tokens.select("row", F.explode("others").alias("h")).join(model.counts.groupBy("h").agg(F.sum("n").alias("n")), "h", "left")
+    rare = rare.groupBy("row").agg(F.sum(F.log(F.coalesce("n", F.lit(1)) / float(max(1, model.others)))).alias("rare"))
     pll = F.col("pll") + F.coalesce("rare", F.lit(0.0))
     rows = scored.join(rare, "row", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_tokens"), pll.alias("pseudo_log_likelihood"))
     return rows.withColumn("mean_log_probability", F.coalesce(F.try_divide("pseudo_log_likelihood", "n_tokens"), F.lit(0.0)))
