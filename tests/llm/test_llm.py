@@ -529,6 +529,58 @@ def test_language_of_held_out_documents(spark):
     assert len(rows) > 100 and sum(r.lang == r.lang_pred for r in rows) >= 0.97 * len(rows) and all(0 <= r.score <= 1 for r in rows)
 
 
+def test_string_kernel_equals_plain_ridge_regression():
+    """Kernel values from sets of n-grams, the regression in landmark coordinates solved as a plain least-squares problem."""
+    rng, letters = random.Random(6), language_id.letter_table()
+    alphabets = {"a": "abcdefg ", "b": "fghijkl ", "zh": "的一是不了人我在 "}
+    texts = [("".join(rng.choices(alphabets[k], k=60)), k) for k in alphabets for _ in range(12)]
+    grams = [np.flatnonzero(language_id.present(t, letters)) for t, _ in texts]
+    model = language_id.KernelClassifier(grams, [k for _, k in texts], landmarks=4)
+    sets = [set(g.tolist()) for g in grams]
+    kernel = lambda x, y: len(x & y) / np.sqrt(len(x) * len(y))
+    marks = [sets[i] for k in range(3) for i in range(12 * k, 12 * k + 4)]
+    k_nm = np.array([[kernel(x, m) for m in marks] for x in sets])
+    values, vectors = np.linalg.eigh(np.array([[kernel(x, m) for m in marks] for x in marks]) + 1e-6 * np.eye(12))
+    phi = np.hstack([k_nm @ (vectors / np.sqrt(np.maximum(values, 1e-6)) @ vectors.T), np.ones((36, 1))])
+    target = np.array([[1.0 if k == c else -1.0 for c in "a b zh".split()] for _, k in texts])
+    ridge = np.sqrt(1e-3 * 36 / 100) * np.eye(13)
+    beta = np.linalg.lstsq(np.vstack([phi, ridge]), np.vstack([target, np.zeros((13, 3))]), rcond=None)[0]
+    langs, odds = model.predict([t for t, _ in texts], letters)
+    want = np.exp(4 * (phi @ beta))
+    assert langs == [k for _, k in texts] == ["a b zh".split()[i] for i in want.argmax(axis=1)]
+    assert np.allclose(odds, want.max(axis=1) / want.sum(axis=1), atol=1e-2)
+
+
+def test_every_label_is_learned(spark):
+    """More labels than landmarks and texts in all, and ids that repeat."""
+    rows = [(i, chr(0x4E00 + 40 * (i % 90)) * 3 + chr(0x4E01 + 40 * (i % 90)) * 4, f"l{i % 90}") for i in range(2000)]
+    docs = spark.createDataFrame(rows + rows[:300], "doc_id long, text string, lang string")
+    found = language_id.identify_languages(docs, texts=180, most_landmarks=90).join(docs.distinct(), "doc_id").collect()
+    assert sum(r.lang == r.lang_pred for r in found) >= 0.95 * len(found)
+
+
+def test_quality_training_equals_a_plain_loop():
+    docs = [quality.document_weights(t) for t in ("good words here", "bad bad words", "good good", "bad here")]
+    labels, epochs = [1, 0, 1, 0], 2
+    model = quality.SubwordClassifier(docs, labels, (0.5, 0.5), epochs=epochs)
+    rng = np.random.default_rng(7)
+    vectors = rng.uniform(-1 / quality.DIM, 1 / quality.DIM, (quality.BUCKETS, quality.DIM)).astype(np.float32).astype(float)
+    out, bias, done = np.zeros((2, quality.DIM)), np.zeros(2), 0
+    for _ in range(epochs):
+        for i in rng.permutation(4):
+            step, (at, weight) = 1 - done / (4 * epochs), docs[i]
+            done += 1
+            hidden = sum(w * vectors[b] for b, w in zip(at, weight))
+            z = np.exp(out @ hidden + bias)
+            error = z / z.sum() - np.eye(2)[labels[i]]
+            back = error @ out
+            out, bias = out - step * np.outer(error, hidden), bias - 0.1 * step * error
+            for b, w in zip(at, weight):
+                vectors[b] -= step * w / (weight @ weight) * 0.05 * back
+    used = np.unique(np.concatenate([at for at, _ in docs]))
+    assert np.allclose(model.gain[used], vectors[used] @ (out[1] - out[0]), atol=1e-5) and abs(model.bias - (bias[1] - bias[0])) < 1e-5
+
+
 def test_language_of_odd_rows(spark):
     docs = documents(spark)
     odd = docs.unionByName(odd_docs(spark).select("doc_id", "text", F.lit(None).cast("string").alias("lang"), "source", "n_chars"))

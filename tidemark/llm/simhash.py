@@ -209,7 +209,7 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 2) -> DataFrame:
     """One row per input row: ``id_col, fingerprint, component_id`` (the smallest id reachable over links)."""
     marked = materialise(fingerprints(docs, id_col, text_col, size), "simhash")
-    nodes = marked.groupBy("fp").agg(F.min("id").alias("first"))
+    nodes = materialise(marked.groupBy("fp").agg(F.min("id").alias("first")), "simhash-nodes")  # read by every job of the planner
     roots = components(links(nodes.select("fp"), radius))
     grouped = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
