@@ -44,11 +44,40 @@ def expected_periods(days: DataFrame, day: str = "day", tz: str = TZ) -> DataFra
     return days.withColumn("n_pt60m", hours).withColumn("n_pt15m", hours * 4)
 
 
+def refuse_naive(df: DataFrame, *columns: str) -> DataFrame:
+    """The same rows; a column of times without a zone is an error."""
+    wrong = [c for c in columns if dict(df.dtypes)[c] != "timestamp"]
+    if wrong:
+        raise ValueError(f"not instants in UTC: {', '.join(f'{c} {dict(df.dtypes)[c]}' for c in wrong)}")
+    return df
+
+
+def neighbouring_times(df: DataFrame, keys: list[str], ts: str = "timestamp") -> DataFrame:
+    """Adds ``prev_time`` and ``next_time`` in the series.
+
+    Rows are ordered within a UTC day of a series; one row per day tells its neighbours, so that no task holds a whole series.
+    """
+    day = F.to_date(ts)
+    ends = df.groupBy(*keys, day.alias("_day")).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+    days = Window.partitionBy(*keys).orderBy("_day")
+    ends = ends.select(*keys, "_day", F.lead("_first").over(days).alias("_after"), F.lag("_last").over(days).alias("_before"))
+    order = Window.partitionBy(*keys, "_day").orderBy(ts)
+    out = df.withColumn("_day", day).join(ends, [*keys, "_day"], "left")
+    out = out.withColumn("prev_time", F.coalesce(F.lag(ts).over(order), "_before")).withColumn("next_time", F.coalesce(F.lead(ts).over(order), "_after"))
+    return out.select(*df.columns, "prev_time", "next_time")
+
+
+#: Resolutions and their steps in seconds.
+RESOLUTIONS = {"PT15M": 900, "PT60M": 3600}
+
+
 def infer_resolution(df: DataFrame, keys: list[str], ts: str = "timestamp") -> DataFrame:
-    """Adds ``step_s``: seconds to the next row of the series; for the last row, to the one before it; else null."""
-    order = Window.partitionBy(*keys).orderBy(ts)
-    at = F.unix_micros(ts)
-    return df.withColumn("step_s", F.coalesce(F.lead(at).over(order) - at, at - F.lag(at).over(order)) / 1e6)
+    """Adds ``resolution``: by the spacing to the next row (for the last row, from the one before); a spacing that is none,
+    as before a gap, leaves it to the spacing from the row before; else null."""
+    both = neighbouring_times(df, keys, ts)
+    label = lambda step: F.when(step == 900, "PT15M").when(step == 3600, "PT60M")
+    ahead, back = ((F.unix_micros(b) - F.unix_micros(a)) / 1e6 for a, b in ((ts, "next_time"), ("prev_time", ts)))
+    return both.withColumn("resolution", F.coalesce(label(ahead), label(back))).drop("prev_time", "next_time")
 
 
 def origin_timestamp(day: Column, hour: int = 9, tz: str = TZ) -> Column:

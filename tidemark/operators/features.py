@@ -28,11 +28,14 @@ def fixed_lead_availability(ts: Column | str, lead_hours: int, delay_hours: int)
     return plus_hours(F.col(ts) if isinstance(ts, str) else ts, -(lead_hours - delay_hours))
 
 
-def as_of(df: DataFrame, origins: DataFrame, keys: tuple[str, ...] = ("zone",), back_days: int = 8) -> DataFrame:
-    """For each origin the rows with ``available_at <= origin``, of the last ``back_days`` before it.
+def as_of(df: DataFrame, origins: DataFrame, keys: tuple[str, ...] = ("zone",), back_days: int | None = None) -> DataFrame:
+    """For each origin the rows with ``available_at <= origin``; with ``back_days`` only those of that many days before it.
 
-    The range is bucketed by day, so the join is an equi-join per (key, day) with a residual condition.
+    A bounded range is bucketed by day: an equi-join per (key, day) with a residual condition. Without a bound the result
+    has all history for each origin.
     """
+    if back_days is None:
+        return df.join(origins, list(keys)).where("available_at <= origin")
     by_day = origins.withColumn("_day", F.explode(F.sequence(F.date_sub(F.to_date("origin"), back_days), F.date_add(F.to_date("origin"), 2))))
     return df.withColumn("_day", F.to_date("timestamp")).join(by_day, [*keys, "_day"]).where("available_at <= origin").drop("_day")
 

@@ -13,11 +13,11 @@ def keep_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
 
 
-def clip_and_dedup_chunks(df: DataFrame, chunks: DataFrame, keys: list[str], ts: str = "timestamp", keep: str = "last") -> DataFrame:
-    """Rows inside the [start, end) of their chunk; of rows with equal keys and time the last (or first) chunk's."""
+def clip_and_dedup_chunks(df: DataFrame, chunks: DataFrame, keys: list[str], ts: str = "timestamp", keep: str = "last", arrival: str | None = None) -> DataFrame:
+    """Rows inside the [start, end) of their chunk; of rows with equal keys and time the last (or first) chunk's, within a chunk the last (or first) by ``arrival``."""
     inside = df.join(F.broadcast(chunks), "chunk").where((F.col(ts) >= F.col("start")) & (F.col(ts) < F.col("end")))
-    order = F.desc("chunk") if keep == "last" else F.asc("chunk")
-    return keep_one(inside, [*keys, ts], [order]).drop("start", "end")
+    order = [(F.desc if keep == "last" else F.asc)(c) for c in ("chunk", arrival) if c]
+    return keep_one(inside, [*keys, ts], order).drop("start", "end")
 
 
 def latest_per_key(pulls: DataFrame, keys: list[str], as_of: str | None = None, tie: str = "seq") -> DataFrame:
@@ -40,13 +40,15 @@ def contributing_snapshots(latest: DataFrame) -> DataFrame:
 def change_log(pulls: DataFrame, keys: list[str], values: list[str], tie: str = "seq") -> DataFrame:
     """Per key and value column the consecutive pulls whose value changed (nulls compare equal), old and new.
 
-    Within one snapshot the last row of a key counts.
+    Within one snapshot the last row of a key counts. Value columns of different types are logged as text.
     """
+    types = dict(pulls.dtypes)
+    logged = (lambda c: c.cast("string")) if len({types[c] for c in values}) > 1 else (lambda c: c)
     once = keep_one(pulls, [*keys, "snapshot"], [F.desc("pulled_at"), F.desc(tie)])
     order = Window.partitionBy(*keys).orderBy("pulled_at", tie)
     before = {c: F.lag(c).over(order) for c in [*values, "pulled_at", "snapshot"]}
     rows = once.select(*keys, *values, "pulled_at", "snapshot", *[b.alias(f"_old_{c}") for c, b in before.items()], F.row_number().over(order).alias("_n")).where("_n > 1")
-    changes = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_old_{c}").alias("old"), F.col(c).alias("new")) for c in values])
+    changes = F.array(*[F.struct(F.lit(c).alias("column"), logged(F.col(f"_old_{c}")).alias("old"), logged(F.col(c)).alias("new")) for c in values])
     tall = rows.select(*keys, F.inline(changes), F.col("_old_pulled_at").alias("old_pulled_at"), F.col("pulled_at").alias("new_pulled_at"), F.col("_old_snapshot").alias("old_snapshot"), F.col("snapshot").alias("new_snapshot"))
     return tall.where(~F.col("old").eqNullSafe(F.col("new")))
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.timeutils import TZ, hours_in_local_day, local_date
+from tidemark.functions.timeutils import TZ, hours_in_local_day, local_date, neighbouring_times
 
 
 @dataclass(frozen=True)
@@ -77,10 +77,9 @@ def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", end: s
 
 def max_gap_errors(df: DataFrame, keys: list[str], max_gap_s: float, excluded: DataFrame | None = None, ts: str = "timestamp") -> DataFrame:
     """Gaps longer than allowed, except those that exactly span an excluded interval (``keys, gap_start, gap_end``)."""
-    order = Window.partitionBy(*keys).orderBy(ts)
-    gaps = df.select(*keys, F.lag(ts).over(order).alias("gap_start"), F.col(ts).alias("gap_end"))
+    gaps = neighbouring_times(df, keys, ts).select(*keys, F.col("prev_time").alias("gap_start"), F.col(ts).alias("gap_end"))
     gaps = gaps.withColumn("gap_s", (F.unix_micros("gap_end") - F.unix_micros("gap_start")) / 1e6).where(F.col("gap_s") > max_gap_s)
-    return gaps.join(F.broadcast(excluded), [*keys, "gap_start", "gap_end"], "left_anti") if excluded is not None else gaps
+    return gaps.join(excluded, [*keys, "gap_start", "gap_end"], "left_anti") if excluded is not None else gaps
 
 
 def day_count_errors(hourly: DataFrame, keys: list[str], step_hours: float = 1, excluded: DataFrame | None = None, ts: str = "timestamp", tz: str = TZ) -> DataFrame:
@@ -92,16 +91,16 @@ def day_count_errors(hourly: DataFrame, keys: list[str], step_hours: float = 1,
     out = grid.join(counts, [*keys, "day"], "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
     want = (hours_in_local_day(F.col("day"), tz) / step_hours).cast("long")
     if excluded is not None:
-        out = out.join(F.broadcast(excluded.withColumn("_excluded", F.lit(True))), [*keys, "day"], "left")
+        out = out.join(excluded.withColumn("_excluded", F.lit(True)), [*keys, "day"], "left")
         want = F.when(F.col("_excluded"), F.lit(0).cast("long")).otherwise(want)
     return out.withColumn("expected", want).where("n_rows <> expected").select(*keys, "day", "n_rows", "expected")
 
 
-def missing_hours(hourly: DataFrame, keys: list[str], ts: str = "timestamp") -> DataFrame:
-    """Hours between the first and last of a series that have no row."""
+def missing_hours(hourly: DataFrame, keys: list[str], ts: str = "timestamp", value: str | None = None) -> DataFrame:
+    """Hours between the first and last row of a series that have no row, or with ``value`` no row with a value."""
     span = hourly.groupBy(*keys).agg(F.min(ts).alias("_a"), F.max(ts).alias("_b"))
     grid = span.select(*keys, F.explode(F.sequence("_a", "_b", F.expr("interval 1 hour"))).alias(ts))
-    return grid.join(hourly.select(*keys, ts), [*keys, ts], "left_anti")
+    return grid.join(hourly.where(F.col(value).isNotNull() if value else F.lit(True)).select(*keys, ts), [*keys, ts], "left_anti")
 
 
 def gap_runs(missing: DataFrame, keys: list[str], ts: str = "timestamp", step_s: int = 3600) -> DataFrame:

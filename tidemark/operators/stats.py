@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.backtest import common_days
+from tidemark.sources.scratch import stored
 
 MODULUS = 2147483647
 MULTIPLIER = 48271
@@ -99,11 +100,14 @@ def with_p_value(tests: DataFrame) -> DataFrame:
     return tests.withColumn("p_value", F.when(F.col("statistic").isNotNull(), student_p("statistic", (F.col("n") - 1).cast("double"))))
 
 
-def compare_models(losses: DataFrame, reference: str, block: int = 7, resamples: int = 500, seed: int = 1, horizon: int = 1) -> DataFrame:
+def compare_models(losses: DataFrame, reference: str, block: int = 7, resamples: int = 2000, seed: int = 1, horizon: int = 1) -> DataFrame:
     """Per zone and model on the days that all models have: mean loss with interval, difference from the
-    reference with interval, Diebold-Mariano statistic and skill."""
-    days = common_days(losses).select("zone", "target_date")
-    rows = losses.join(days, ["zone", "target_date"])
+    reference with interval, Diebold-Mariano statistic and skill.
+
+    The daily losses and those of the common days are stored once, as every part of the comparison reads them.
+    """
+    losses = stored(losses, "losses")
+    rows = stored(losses.join(common_days(losses).select("zone", "target_date"), ["zone", "target_date"]), "common-losses")
     means = block_bootstrap(rows, "pinball", ["zone", "model"], block=block, resamples=resamples, seed=seed)
     base = rows.where(F.col("model") == reference).select("zone", "target_date", F.col("pinball").alias("loss_b"))
     pairs = rows.where(F.col("model") != reference).join(base, ["zone", "target_date"]).withColumnRenamed("pinball", "loss_a").withColumn("diff", F.col("loss_a") - F.col("loss_b"))

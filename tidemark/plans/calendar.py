@@ -38,12 +38,15 @@ def expected_periods(spark, sf_dir):
 
 @query(
     "infer_resolution",
-    f"""with {ev_sql()}, s as (select zone, event_id, epoch_us(timestamp) as u from ev),
-    d as (select zone, event_id, coalesce(lead(u) over w - u, u - lag(u) over w) / 1e6 as s from s window w as (partition by zone order by u))
-    select zone, event_id, round(s, 6) as step_s from d""",
+    f"""with {ev_sql()}, s as (select distinct zone, case when timestamp < timestamp '2024-04-01' then date_trunc('hour', timestamp) else time_bucket(interval 15 minute, timestamp) end as timestamp from ev),
+    d as (select *, lead(timestamp) over w - timestamp as ahead, timestamp - lag(timestamp) over w as back from s window w as (partition by zone order by timestamp))
+    select zone, timestamp, case when ahead = interval 15 minute then 'PT15M' when ahead = interval 60 minute then 'PT60M' when back = interval 15 minute then 'PT15M' when back = interval 60 minute then 'PT60M' end as resolution from d""",
 )
 def infer_resolution(spark, sf_dir):
-    return t.infer_resolution(series(spark, sf_dir), ["zone"]).select("zone", "event_id", r6("step_s").alias("step_s"))
+    """A series that goes from hours to quarter hours, with gaps."""
+    step = F.when(F.col("timestamp") < F.lit("2024-04-01").cast("timestamp"), 3600).otherwise(900)
+    rows = series(spark, sf_dir).select("zone", F.timestamp_seconds(F.floor(F.unix_timestamp("timestamp") / step) * step).alias("timestamp")).distinct()
+    return t.infer_resolution(t.refuse_naive(rows, "timestamp"), ["zone"]).select("zone", ntz("timestamp").alias("timestamp"), "resolution")
 
 
 TARGETS_SQL = days_sql() + f""", targets as (

@@ -28,8 +28,7 @@ def fixed_lead_availability(spark, sf_dir):
     "as_of_view",
     f"""with {hourly_sql()}, a as (select *, {at_local(f'cast({loc('timestamp')} as date) - 1', 13)} as available_at from hourly),
     o as (select distinct zone, {at_local(f'cast({loc('timestamp')} as date)', 9)} as origin from hourly)
-    select o.zone, o.origin, count(*) as n_rows, max(a.timestamp) as last_time, round(avg(price), 6) as mean_price from o join a on a.zone = o.zone and a.available_at <= o.origin
-      and cast(a.timestamp as date) between cast(o.origin as date) - 8 and cast(o.origin as date) + 2 group by 1, 2""",
+    select o.zone, o.origin, count(*) as n_rows, max(a.timestamp) as last_time, round(avg(price), 6) as mean_price from o join a on a.zone = o.zone and a.available_at <= o.origin group by 1, 2""",
 )
 def as_of_view(spark, sf_dir):
     rows = hourly(spark, sf_dir).withColumn("available_at", op.auction_availability())

@@ -374,7 +374,7 @@ def pending_origins(spark, sf_dir):
 # ---- comparison ------------------------------------------------------------------------------------
 
 TWO_MODELS_SQL = f"""{ZONED_SQL}, two as (select zone, 'a' as model, day as target_date, abs(value - lag(value) over (partition by zone order by day)) / 1000 as pinball from zoned
-union all select zone, 'b', day, abs(value - lag(value, 7) over (partition by zone order by day)) / 1000 from zoned), ls as (select * from two where pinball is not null and target_date >= date '2000-01-01')"""
+union all select zone, 'b', day, abs(value - lag(value, 7) over (partition by zone order by day)) / 1000 from zoned), ls as (select * from two where pinball is not null)"""
 
 
 def two_models(spark, sf_dir):
@@ -383,7 +383,7 @@ def two_models(spark, sf_dir):
 
     rows, order = zoned_orders(spark, sf_dir), Window.partitionBy("zone").orderBy("day")
     parts = [rows.select("zone", F.lit(m).alias("model"), F.col("day").alias("target_date"), (F.abs(F.col("value") - F.lag("value", k).over(order)) / 1000).alias("pinball")) for m, k in (("a", 1), ("b", 7))]
-    return parts[0].unionByName(parts[1]).where("pinball is not null and target_date >= '2000-01-01'")
+    return parts[0].unionByName(parts[1]).where("pinball is not null")
 
 
 COMMON_SQL = "cd as (select zone, target_date from ls group by 1, 2 having count(distinct model) = 2)"
@@ -404,9 +404,9 @@ def bootstrap_sql(source: str, col: str, resamples: int, name: str) -> str:
     {name} as (select s.zone, s.model, s.n, s.mean, q.low, q.high from {name}_s s join (select zone, model, quantile_cont(m, 0.025) as low, quantile_cont(m, 0.975) as high from {name}_m group by 1, 2) q using (zone, model))"""
 
 
-@query("block_bootstrap", f"with {TWO_MODELS_SQL}, {bootstrap_sql('ls', 'pinball', 200, 'bs')} select zone, model, n, round(mean, 6) as mean, round(low, 6) as low, round(high, 6) as high from bs")
+@query("block_bootstrap", f"with {TWO_MODELS_SQL}, {bootstrap_sql('ls', 'pinball', 2000, 'bs')} select zone, model, n, round(mean, 6) as mean, round(low, 6) as low, round(high, 6) as high from bs")
 def block_bootstrap(spark, sf_dir):
-    out = st.block_bootstrap(two_models(spark, sf_dir), "pinball", ["zone", "model"], resamples=200)
+    out = st.block_bootstrap(two_models(spark, sf_dir), "pinball", ["zone", "model"], resamples=2000)
     return out.select("zone", "model", "n", r6("mean").alias("mean"), r6("low").alias("low"), r6("high").alias("high"))
 
 
@@ -436,7 +436,7 @@ def diebold_mariano_p(spark, sf_dir):
 
 
 COMPARE_SQL = f"""{COMMON_SQL}, cl as (select ls.* from ls join cd using (zone, target_date)), df as (select a.zone, a.model, a.target_date, a.pinball - b.pinball as diff from cl a join cl b on b.model = 'b' and a.model <> 'b' and a.zone = b.zone and a.target_date = b.target_date),
-{bootstrap_sql('cl', 'pinball', 200, 'mb')}, {bootstrap_sql('df', 'diff', 200, 'db')},
+{bootstrap_sql('cl', 'pinball', 2000, 'mb')}, {bootstrap_sql('df', 'diff', 2000, 'db')},
 dz as (select zone, model, diff - avg(diff) over (partition by zone, model) as c, diff from df), dt as (select zone, model, count(*) as n, avg(diff) as m, sum(c * c) / count(*) as v from dz group by 1, 2)"""
 
 
@@ -448,7 +448,7 @@ dz as (select zone, model, diff - avg(diff) over (partition by zone, model) as c
     from mb left join db using (zone, model) left join dt using (zone, model) join mb r on r.zone = mb.zone and r.model = 'b'""",
 )
 def compare_models(spark, sf_dir):
-    out = st.compare_models(two_models(spark, sf_dir), "b", resamples=200)
+    out = st.compare_models(two_models(spark, sf_dir), "b", resamples=2000)
     return out.select("zone", "model", "n", *[r6(c).alias(c) for c in ("mean", "low", "high", "diff", "diff_low", "diff_high", "statistic", "skill")])
 
 

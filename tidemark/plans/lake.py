@@ -44,13 +44,20 @@ def change_log(spark, sf_dir):
 
 @query(
     "dedup_keep_last",
-    f"""with {PULLS_SQL}, c as (select *, seq % 4 as chunk from pulls), i as (select * from c where part >= chunk * 100 and part < 1500 + chunk * 100)
-    select part, pulled_at, max(chunk) as chunk from i group by 1, 2""",
+    f"""with {PULLS_SQL}, b as (select min(part) as lo, max(part) - min(part) + 1 as n from pulls), q as (select pulls.*, lo, n, (part - lo) * 4 // n as home from pulls, b),
+    c as (select *, least(home + case when seq % 3 = 0 then 1 else 0 end, 3) as chunk from q),
+    i as (select *, row_number() over (partition by pulled_at, part order by chunk desc, seq desc) as rn from c where part >= lo + n * chunk // 4 - 20 and part < lo + n * (chunk + 1) // 4 + 20)
+    select part, pulled_at, chunk, seq, price from i where rn = 1""",
 )
 def dedup_keep_last(spark, sf_dir):
-    chunks = spark.range(4).select(F.col("id").alias("chunk"), (F.col("id") * 100).alias("start"), (1500 + F.col("id") * 100).alias("end"))
-    rows = pulls(spark, sf_dir).withColumn("chunk", F.col("seq") % 4)
-    return op.clip_and_dedup_chunks(rows, chunks, ["pulled_at"], ts="part").select("part", ntz("pulled_at").alias("pulled_at"), "chunk")
+    """Four overlapping ranges over all parts; a part is pulled by its own range and, partly, by the next one."""
+    rows = pulls(spark, sf_dir)
+    bounds = rows.agg(F.min("part").alias("lo"), (F.max("part") - F.min("part") + 1).alias("n")).first()  # one row
+    lo, n = bounds.lo or 0, bounds.n or 1
+    chunks = spark.createDataFrame([(k, lo + n * k // 4 - 20, lo + n * (k + 1) // 4 + 20) for k in range(4)], "chunk long, start long, end long")
+    home = F.floor((F.col("part") - lo) * 4 / n)
+    rows = rows.withColumn("chunk", F.least(home + (F.col("seq") % 3 == 0).cast("long"), F.lit(3)))
+    return op.clip_and_dedup_chunks(rows, chunks, ["pulled_at"], ts="part", arrival="seq").select("part", ntz("pulled_at").alias("pulled_at"), "chunk", "seq", "price")
 
 
 @query("dedup_keep_first", f"with {PULLS_SQL}, r as (select *, row_number() over (partition by part order by pulled_at, seq) as rn from pulls) select part, seq, price from r where rn = 1")

@@ -93,12 +93,12 @@ def day_count_errors(spark, sf_dir):
 
 
 MISSING_SQL = """grid as (select zone, unnest(generate_series(a, b, interval 1 hour)) as timestamp from (select zone, min(timestamp) as a, max(timestamp) as b from hourly group by 1)),
-missing as (select zone, timestamp from grid g where not exists (select 1 from hourly h where h.zone = g.zone and h.timestamp = g.timestamp))"""
+missing as (select zone, timestamp from grid g where not exists (select 1 from hourly h where h.zone = g.zone and h.timestamp = g.timestamp and h.price is not null))"""
 
 
 @query("missing_hours", f"with {hourly_sql()}, {MISSING_SQL} select * from missing")
 def missing_hours(spark, sf_dir):
-    return op.missing_hours(hourly(spark, sf_dir), ["zone"]).select("zone", ntz("timestamp").alias("timestamp"))
+    return op.missing_hours(hourly(spark, sf_dir), ["zone"], value="price").select("zone", ntz("timestamp").alias("timestamp"))
 
 
 RUNS_SQL = """runs as (select zone, min(timestamp) as run_start, max(timestamp) as run_end, count(*) as n_hours from (
@@ -107,7 +107,7 @@ RUNS_SQL = """runs as (select zone, min(timestamp) as run_start, max(timestamp)
 
 @query("gap_runs", f"with {hourly_sql()}, {MISSING_SQL}, {RUNS_SQL} select zone, run_start, run_end, n_hours, cast(row_number() over (partition by zone order by run_start) as integer) as run_no from runs")
 def gap_runs(spark, sf_dir):
-    out = op.gap_runs(op.missing_hours(hourly(spark, sf_dir), ["zone"]), ["zone"])
+    out = op.gap_runs(op.missing_hours(hourly(spark, sf_dir), ["zone"], value="price"), ["zone"])
     return out.withColumn("run_start", ntz("run_start")).withColumn("run_end", ntz("run_end"))
 
 
@@ -117,7 +117,7 @@ def gap_runs(spark, sf_dir):
     select zone, count(*) as n_runs, cast(sum(n_hours) as bigint) as n_hours, string_agg(strftime(run_start, '%Y-%m-%d %H:00') || ' x' || n_hours, '; ' order by i) filter (where i <= 5) as first_runs from n group by 1""",
 )
 def gap_summary(spark, sf_dir):
-    runs = op.gap_runs(op.missing_hours(hourly(spark, sf_dir), ["zone"]), ["zone"])
+    runs = op.gap_runs(op.missing_hours(hourly(spark, sf_dir), ["zone"], value="price"), ["zone"])
     text = F.concat(F.date_format("run_start", "yyyy-MM-dd HH:00"), F.lit(" x"), F.col("n_hours").cast("string"))
     first = F.array_join(F.sort_array(F.collect_list(F.when(F.col("run_no") <= 5, text))), "; ")
     return runs.groupBy("zone").agg(F.count(F.lit(1)).alias("n_runs"), F.sum("n_hours").alias("n_hours"), first.alias("first_runs"))
