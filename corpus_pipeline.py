@@ -2,7 +2,9 @@
 
 Toxic documents, exact copies (the largest ``doc_id`` stays), near copies (the smallest ``doc_id`` of a
 component stays) and documents with benchmark passages go; what is left is encoded and decoded.
-Rows leave by ``doc_id``: a row with a null id can't be named and stays, rows that share an id leave together.
+Rows leave by ``doc_id``: rows that share an id leave together, and a row with a null id can't be named and stays, but
+as an exact copy: of equal texts a named row stays rather than one without a name. Null and empty texts are texts like
+any other, very long ones are read whole, other columns pass through; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -50,7 +50,7 @@ NORMAL = {0.05: -1.6448536269514722, 0.10: -1.2815515655446004, 0.25: -0.6744897
 
 
 def seasonal_decomposition(rows: DataFrame, keyed: DataFrame, qs: tuple[float, ...], context_days: int = 56) -> DataFrame:
-    """Level, hour-of-day and day-of-week effects of the last ``context_days`` at each origin, with Gaussian intervals.
+    """Level and hour-of-day effects of the last ``context_days`` at each origin, with Gaussian intervals; no weekly effect, no trend.
 
     The level is the mean of the last day known at the origin; the effects are mean deviations from the
     daily means; the width comes from the deviation of what the effects leave.

@@ -395,12 +395,16 @@ def common_days(spark, sf_dir):
 
 
 def bootstrap_sql(source: str, col: str, resamples: int, name: str) -> str:
-    """Every day of every resample, one by one: the plain form of what the operator does with prefix sums."""
+    """Sums of the days of every block that can be drawn, then of the blocks of every resample."""
     draw = "((((1 * 1000003 + r * 7919 + b * 104729 + 12345) % 2147483647) * 48271 % 2147483647) * 48271 % 2147483647)"
-    return f"""{name}_i as (select zone, model, {col} as x, row_number() over (partition by zone, model order by target_date) - 1 as pos, count(*) over (partition by zone, model) as n from {source}),
-    {name}_s as (select zone, model, n, avg(x) as mean, least(7, n) as len from {name}_i group by 1, 2, 3),
-    {name}_d as (select s.*, r, b, cast(floor({draw} * n / 2147483647.0::double) as bigint) as start from {name}_s s, (select unnest(generate_series(0, {resamples - 1})) as r), (select unnest(generate_series(0, 2000)) as b) where b < ceil(n / len::double)),
-    {name}_m as (select d.zone, d.model, d.r, avg(i.x) as m from {name}_d d, (select unnest(generate_series(0, 7 - 1)) as k), {name}_i i where k < len and b * len + k < d.n and i.zone = d.zone and i.model = d.model and i.pos = (d.start + k) % d.n group by 1, 2, 3),
+    return f"""{name}_i as materialized (select zone, model, {col} as x, row_number() over (partition by zone, model order by target_date) - 1 as pos, count(*) over (partition by zone, model) as n from {source}),
+    {name}_s as (select zone, model, n, avg(x) as mean, least(7, n) as len, cast(ceil(n / least(7, n)::double) as bigint) as blocks from {name}_i group by 1, 2, 3),
+    {name}_t as (select distinct zone, model, n, unnest([len, n - (blocks - 1) * len]) as take from {name}_s),
+    {name}_b as materialized (select t.zone, t.model, t.take, p.pos as start, sum(i.x) as s from {name}_t t join {name}_i p on p.zone = t.zone and p.model = t.model, (select unnest(generate_series(0, 7 - 1)) as k), {name}_i i
+      where k < t.take and i.zone = t.zone and i.model = t.model and i.pos = (p.pos + k) % t.n group by 1, 2, 3, 4),
+    {name}_d as (select zone, model, n, r, cast(floor({draw} * n / 2147483647.0::double) as bigint) as start, least(len, n - b * len) as take
+      from (select s.*, unnest(generate_series(0, blocks - 1)) as b from {name}_s s), (select unnest(generate_series(0, {resamples - 1})) as r)),
+    {name}_m as (select d.zone, d.model, d.r, sum(b.s) / any_value(d.n) as m from {name}_d d join {name}_b b on b.zone = d.zone and b.model = d.model and b.take = d.take and b.start = d.start group by 1, 2, 3),
     {name} as (select s.zone, s.model, s.n, s.mean, q.low, q.high from {name}_s s join (select zone, model, quantile_cont(m, 0.025) as low, quantile_cont(m, 0.975) as high from {name}_m group by 1, 2) q using (zone, model))"""
 
 
