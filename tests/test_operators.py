@@ -164,10 +164,36 @@ def test_recalibration_removes_bias(spark):
 
 def test_weights_follow_the_better_member(spark):
     rows = spark.range(24 * 20).select(F.lit("a").alias("zone"), F.date_add(F.lit("2024-01-01"), (F.col("id") / 24).cast("int")).alias("target_date"), F.col("id").alias("target_time"), (F.col("id") % 24).alias("cal_hour"), F.lit(10.0).alias("y"))
-    rows = rows.withColumn("origin_date", F.date_sub("target_date", 1)).withColumn("a", F.array(*[F.lit(10.0)] * 7)).withColumn("b", F.array(*[F.lit(30.0)] * 7))
-    weights = forecast.ensemble_weights(rows, forecast.simplex_grid(spark, 2, 20), list(QCOLS), QS)
-    found = {r.origin_date.isoformat(): r.w1 for r in weights.where("grp = 3").collect()}
-    assert found["2024-01-05"] == 0.5 and found["2024-01-20"] == 1.0
+    rows = rows.withColumn("origin_date", F.date_sub("target_date", 1)).withColumn("members", F.array(*[F.array(*[F.lit(v)] * 7) for v in (30.0, 10.0, 40.0)]))
+    grid = forecast.simplex_grid(spark, 3, 10)
+    for weighting, grp in (("hourly", 3), ("global", -1)):
+        weights = forecast.ensemble_weights(rows, grid, list(QCOLS), QS, weighting)
+        found = {r.origin_date.isoformat(): (r.w1, r.w2, r.w3) for r in weights.where(F.col("grp") == grp).collect()}
+        assert found["2024-01-05"] == (1 / 3,) * 3 and found["2024-01-20"] == (0.0, 1.0, 0.0)
+    equal = forecast.ensemble_weights(rows, grid, list(QCOLS), QS, "equal")
+    assert {(r.grp, r.w1, r.w2, r.w3) for r in equal.collect()} == {(-1, *(1 / 3,) * 3)}
+    mixed = forecast.ensemble_combine(rows, equal, list(QCOLS), "equal").select("q50").distinct().collect()
+    assert [round(r.q50, 9) for r in mixed] == [round(80 / 3, 9)]
+
+
+def test_decomposition_knows_the_weekday_and_the_trend(spark):
+    keyed = t.hour_occurrence(hours(spark, "2025-01-05 23:00:00", 24 * 70), ["zone"])
+    day = F.datediff("local_date", F.lit("2025-01-06"))
+    keyed = keyed.withColumn("price", 100 + 2.0 * day + F.when(F.weekday("local_date") >= 5, -30.0).otherwise(0.0) + F.col("local_hour"))
+    out = forecast.seasonal_decomposition(features.origin_dataset(keyed), keyed, QS).where("origin_date = '2025-03-14'").select("target_date", "y", "q05", "q50", "q95").collect()
+    # The effects of a context of whole weeks are exact; the deviation of the first days from their short trend is long past.
+    assert len(out) == 24 and all(abs(r.q50 - r.y) < 1e-6 for r in out) and all(abs(r.q95 - r.q05) < 1e-3 for r in out)
+
+
+def test_live_rows_have_no_prices_yet(spark):
+    keyed = t.hour_occurrence(hours(spark, "2025-03-09 23:00:00", 24 * 20), ["zone"])
+    last = keyed.groupBy("zone").agg(F.max("local_date").alias("origin_date"))
+    rows = features.live_rows(keyed, last).collect()  # the target day is one of 23 hours
+    assert len(rows) == 23 and all(r.y is None and r.p_lag7d is not None and r.cal_hours_in_day == 23 for r in rows)
+    past = last.select("zone", F.date_sub("origin_date", 3).alias("origin_date"))
+    live = features.live_rows(keyed, past)
+    whole = features.origin_dataset(keyed).join(past, ["zone", "origin_date"], "left_semi").select(live.columns)
+    assert live.count() == 24 and live.exceptAll(whole).count() == 0
 
 
 def test_bootstrap_and_dm(spark):

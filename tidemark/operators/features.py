@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.timeutils import TZ, hours_in_local_day, local, local_date, origin_timestamp, plus_hours
+from tidemark.functions.timeutils import TZ, calendar_features, hour_occurrence, local_date, origin_timestamp, plus_hours, target_hours
 
 
 def same_local_hour(rows: DataFrame, keyed: DataFrame, days: int, name: str, keys: tuple[str, ...] = ("zone",), value: str = "price") -> DataFrame:
@@ -92,30 +92,48 @@ def zone_aggregates(readings: DataFrame, variables: list[str], keys: tuple[str,
 FeatureGroup = Callable[[DataFrame], DataFrame]
 
 
-def origin_dataset(keyed: DataFrame, groups: tuple[FeatureGroup, ...] = (), tz: str = TZ) -> DataFrame:
+def origin_dataset(keyed: DataFrame, groups: tuple[FeatureGroup, ...] = (), tz: str = TZ, rolls: tuple[int, ...] = (24,), targets: DataFrame | None = None) -> DataFrame:
     """Rows of all origins: the origin day D at 09:00 local, one row per hour of D + 1 that has a price.
 
-    Only prices known at the origin are used: all of local day D, nothing of D + 1. ``groups`` are functions
-    from rows to rows that add feature columns.
+    Only prices known at the origin are used: all of local day D, nothing of D + 1. ``rolls`` are the hours of the trailing
+    statistics; ``groups`` are functions from rows to rows that add feature columns. ``targets`` (rows like ``keyed``) gives
+    the target hours in place of those with a price: a null price stays as a null ``y``.
     """
-    rows = keyed.where(F.col("price").isNotNull()).withColumn("origin_date", F.date_sub("local_date", 1))
+    rows = (keyed.where(F.col("price").isNotNull()) if targets is None else targets).withColumn("origin_date", F.date_sub("local_date", 1))
     for k in (1, 2, 7, 8):
         rows = same_local_hour(rows, keyed, k, f"p_lag{k}d")
     rows = samehour_mean(rows, keyed, 7)
     days = day_stats(keyed).withColumnRenamed("day", "origin_date")
-    rows = rows.join(days, ["zone", "origin_date"], "left").join(rolling_stats(keyed, 24).withColumnRenamed("day", "origin_date"), ["zone", "origin_date"], "left")
-    at = local("timestamp", tz)
+    rows = rows.join(days, ["zone", "origin_date"], "left")
+    for hours in rolls:
+        rows = rows.join(rolling_stats(keyed, hours).withColumnRenamed("day", "origin_date"), ["zone", "origin_date"], "left")
+    rows = calendar_features(rows.withColumn("origin", origin_timestamp(F.col("origin_date"), 9, tz)), "timestamp", "origin", tz)
     rows = rows.select(
-        "zone", origin_timestamp(F.col("origin_date"), 9, tz).alias("origin"), "origin_date", F.col("timestamp").alias("target_time"), F.col("local_date").alias("target_date"), F.col("price").alias("y"),
-        F.hour(at).alias("cal_hour"), F.weekday(at).alias("cal_dow"), hours_in_local_day(F.to_date(at), tz).alias("cal_hours_in_day"),
+        "zone", "origin", "origin_date", F.col("timestamp").alias("target_time"), F.col("local_date").alias("target_date"), F.col("price").alias("y"),
+        "cal_hour", "cal_dow", "cal_weekend", "cal_month", "cal_hours_in_day", "cal_dst", "lead_hours",
         "p_lag1d", "p_lag2d", "p_lag7d", "p_lag8d", F.col("samehour_mean7d").alias("p_samehour_mean7d"), F.col("day_mean").alias("p_dayD_mean"), F.col("trend").alias("p_dayD_trend"), F.col("neg_hours").alias("p_dayD_neg_hours"),
-        "p_roll24h_mean", "p_roll24h_min", "p_roll24h_max", "p_roll24h_std",
+        *[f"p_roll{h}h_{n}" for h in rolls for n in ("mean", "min", "max", "std")],
     )
     for group in groups:
         rows = group(rows)
     return rows
 
 
+#: Days before an origin day that the features look back on.
+LOOK_BACK = 9
+
+
+def live_rows(keyed: DataFrame, origins: DataFrame, groups: tuple[FeatureGroup, ...] = (), tz: str = TZ, rolls: tuple[int, ...] = (24,)) -> DataFrame:
+    """Rows of the given origins (distinct ``zone, origin_date``): every hour of the day after, whether it has a price yet or not.
+
+    Only the days that the features look back on are read.
+    """
+    near = origins.select("zone", F.explode(F.sequence(F.date_sub("origin_date", LOOK_BACK), F.date_add("origin_date", 1))).alias("local_date"))
+    keyed = keyed.join(near, ["zone", "local_date"], "left_semi")
+    hours = hour_occurrence(target_hours(origins, tz=tz).select("zone", F.col("target_time").alias("timestamp")), ["zone"], tz=tz)
+    return origin_dataset(keyed, groups, tz, rolls, hours.join(keyed.select("zone", "timestamp", "price"), ["zone", "timestamp"], "left"))
+
+
 META = ("zone", "origin", "origin_date", "target_time", "target_date")
 
 
@@ -134,8 +152,22 @@ def perturb_unavailable(df: DataFrame, origin: Column, seed: int, value: str = "
     return df.withColumn("_s", F.unix_timestamp(ts)).withColumn(value, F.when(F.col("available_at") > origin, new).otherwise(F.col(value))).drop("_s")
 
 
+def audit_copies(keyed: DataFrame, days: DataFrame) -> DataFrame:
+    """The rows around each audited origin day, with ``audit_date`` and the day appended to the zone: one plan builds them all.
+
+    ``days`` is a sample of a fixed size (``audit_sample``) with the column ``day``.
+    """
+    near = days.select(F.col("day").alias("audit_date"), F.explode(F.sequence(F.date_sub("day", LOOK_BACK), F.date_add("day", 1))).alias("local_date"))
+    return keyed.join(near, "local_date").withColumn("zone", F.concat_ws("@", "zone", F.col("audit_date").cast("string")))
+
+
+def audited(dataset: DataFrame) -> DataFrame:
+    """Of a dataset built from ``audit_copies`` the rows of the audited origins."""
+    return dataset.where(F.col("zone").endswith(F.concat(F.lit("@"), F.col("origin_date").cast("string"))))
+
+
 def leakage_audit(clean: DataFrame, perturbed: DataFrame, target: str = "y") -> DataFrame:
-    """Per column, how many of one origin's rows changed when everything unknown at the origin did.
+    """Per column, how many rows of the audited origins changed when everything unknown at the origin did.
 
     A changed feature is a leak; an unchanged target would mean that the audit tests nothing.
     """

@@ -50,20 +50,39 @@ NORMAL = {0.05: -1.6448536269514722, 0.10: -1.2815515655446004, 0.25: -0.6744897
 
 
 def seasonal_decomposition(rows: DataFrame, keyed: DataFrame, qs: tuple[float, ...], context_days: int = 56) -> DataFrame:
-    """Level and hour-of-day effects of the last ``context_days`` at each origin, with Gaussian intervals; no weekly effect, no trend.
+    """Trend, hour-of-week effects and Gaussian intervals from the last ``context_days`` days known at each origin.
 
-    The level is the mean of the last day known at the origin; the effects are mean deviations from the
-    daily means; the width comes from the deviation of what the effects leave.
+    The trend of a day is the mean of the daily means of the seven days up to it, carried on to the target day by a seventh of
+    its change over a week (no change known: level). The effects are mean deviations from the trend by hour and weekday, by the
+    hour alone where that weekday has none yet; the width is the deviation that the effects leave at that hour.
     """
-    prices = keyed.where(F.col("price").isNotNull()).select("zone", F.col("local_date").alias("day"), F.col("local_hour").alias("hour"), "price")
-    daily = prices.groupBy("zone", "day").agg(F.avg("price").alias("mean"))
-    deviations = prices.join(daily, ["zone", "day"]).select("zone", "day", "hour", (F.col("price") - F.col("mean")).alias("dev"))
-    per_day = deviations.groupBy("zone", "hour", "day").agg(F.sum("dev").alias("s"), F.count(F.lit(1)).alias("n"), F.sum(F.col("dev") * F.col("dev")).alias("ss"))
     number = F.datediff("day", F.lit("1970-01-01"))
+    prices = keyed.where(F.col("price").isNotNull()).select("zone", F.col("local_date").alias("day"), F.col("local_hour").alias("hour"), "price")
+    of_zone = Window.partitionBy("zone").orderBy(number)
+    trend = prices.groupBy("zone", "day").agg(F.avg("price").alias("mean")).select("zone", "day", F.avg("mean").over(of_zone.rangeBetween(-6, 0)).alias("trend"))
+    change = F.coalesce(F.col("trend") - F.max("trend").over(of_zone.rangeBetween(-7, -7)), F.lit(0.0))
+    level = trend.select("zone", F.col("day").alias("origin_date"), (F.col("trend") + change / 7).alias("level"))
+    dev = prices.join(trend, ["zone", "day"]).select("zone", "hour", "day", (F.col("price") - F.col("trend")).alias("dev"))
+    per_day = dev.groupBy("zone", "hour", "day").agg(F.sum("dev").alias("s"), F.count(F.lit(1)).alias("n"), F.sum(F.col("dev") * F.col("dev")).alias("ss"))
+    # Rows without values, so that an hour that the origin day lacks still has effects.
+    wanted = rows.select("zone", F.col("cal_hour").alias("hour"), F.col("origin_date").alias("day")).distinct()
     context = Window.partitionBy("zone", "hour").orderBy(number).rangeBetween(-(context_days - 1), 0)
-    effects = per_day.select("zone", "hour", "day", F.sum("s").over(context).alias("s"), F.sum("n").over(context).alias("n"), F.sum("ss").over(context).alias("ss"))
-    effects = effects.select("zone", F.col("hour").alias("cal_hour"), F.col("day").alias("origin_date"), (F.col("s") / F.col("n")).alias("effect"), F.when(F.col("n") > 1, F.sqrt(F.greatest((F.col("ss") - F.col("s") * F.col("s") / F.col("n")) / (F.col("n") - 1), F.lit(0.0)))).alias("sigma"))
-    level = daily.select("zone", F.col("day").alias("origin_date"), F.col("mean").alias("level"))
+    sums = [F.sum(F.when(F.weekday("day") == d, F.col(c))).over(context).alias(f"{c}{d}") for d in range(7) for c in ("s", "n", "ss")]
+    known = per_day.unionByName(wanted, allowMissingColumns=True).select("zone", "hour", "day", *sums).dropDuplicates(["zone", "hour", "day"])
+    total = lambda part: sum((F.coalesce(part(d), F.lit(0)) for d in range(1, 7)), F.coalesce(part(0), F.lit(0)))
+    s, n, ss = (lambda d, c=c: F.col(f"{c}{d}") for c in ("s", "n", "ss"))
+    n_all, groups, left = total(n), total(lambda d: n(d).isNotNull().cast("int")), total(lambda d: ss(d) - s(d) * s(d) / n(d))
+    mean = F.array(*[s(d) / n(d) for d in range(7)])
+    of_hour = (total(ss) - total(s) * total(s) / n_all) / (n_all - 1)
+    effects = known.select(
+        "zone",
+        F.col("hour").alias("cal_hour"),
+        F.col("day").alias("origin_date"),
+        F.coalesce(mean[F.weekday(F.date_add("day", 1))], F.when(n_all > 0, total(s) / n_all)).alias("effect"),
+        F.sqrt(F.greatest(F.when(n_all > groups, left / (n_all - groups)).when(n_all > 1, of_hour), F.lit(0.0) * n_all)).alias("_sigma"),
+        (n_all > 1).alias("_wide"),
+    )
+    effects = effects.withColumn("sigma", F.when(F.col("_wide"), F.col("_sigma"))).drop("_sigma", "_wide")
     out = rows.join(level, ["zone", "origin_date"]).join(effects, ["zone", "origin_date", "cal_hour"])
     return out.select("*", *[(F.col("level") + F.col("effect") + F.col("sigma") * NORMAL[q]).alias(quantile_label(q)) for q in qs])
 
@@ -107,40 +126,49 @@ def simplex_grid(spark: SparkSession, k: int, steps: int) -> DataFrame:
     return ranked.select("rank", *[(F.col("parts")[i] / steps).alias(f"w{i + 1}") for i in range(k)])
 
 
+def mixed(weights: list[str], i: int, members: str = "members") -> Column:
+    """The ``i``-th quantile of the members, weighted."""
+    first, *others = [F.col(w) * F.col(members)[k][i] for k, w in enumerate(weights)]
+    return sum(others, first)
+
+
 def ensemble_weights(
     members: DataFrame, grid: DataFrame, columns: list[str], qs: tuple[float, ...], weighting: str = "hourly", window_days: int | None = None, min_days: int = 14
 ) -> DataFrame:
-    """Per zone, group (hour, or -1 for global) and origin the weights of two members with least pinball loss.
+    """Per zone, group (hour, or -1 for global and equal) and origin the weights ``w1 .. wK`` of K members with least pinball loss.
 
-    ``members`` has ``zone, target_date, target_time, cal_hour, y`` and arrays ``a``, ``b`` of the members' sorted
-    quantiles. Losses add up per day and grid point once; origins read them from running sums, so history isn't
-    scored again for each origin. Too short a history carries the weights of the origin before (equal at the
-    start); ties after rounding go to the more balanced point.
+    ``members`` has ``zone, target_date, target_time, cal_hour, y`` and ``members``, an array of the members' arrays of
+    sorted quantiles; ``grid`` has ``rank, w1 .. wK``. Losses add up per day and grid point once; origins read them from
+    running sums, so history isn't scored again for each origin. Too short a history carries the weights of the origin
+    before (equal at the start); ties after rounding go to the more balanced point. ``equal`` learns nothing.
     """
+    names = [c for c in grid.columns if c != "rank"]
+    equal = F.lit(1.0 / len(names))
     group = F.col("cal_hour") if weighting == "hourly" else F.lit(-1)
-    losses = members.where(F.col("y").isNotNull()).withColumn("grp", group).crossJoin(F.broadcast(grid))  # the grid has a fixed number of points
-    mix = [F.col("w1") * F.col("a")[i] + F.col("w2") * F.col("b")[i] for i in range(len(qs))]
-    loss = sum((pinball(F.col("y"), m, q) for m, q in zip(mix, qs)), F.lit(0.0)) / len(qs)
-    per_day = losses.groupBy("zone", "grp", "rank", "w1", "w2", "target_date").agg(F.sum(loss).alias("s"), F.count(F.lit(1)).alias("n"))
     number = F.datediff("target_date", F.lit("1970-01-01"))
     back = Window.unboundedPreceding if window_days is None else -(window_days - 1)
-    frame = Window.partitionBy("zone", "grp", "rank").orderBy(number).rangeBetween(back, 0)
-    running = per_day.select("zone", "grp", "rank", "w1", "w2", "target_date", (F.sum("s").over(frame) / F.sum("n").over(frame)).alias("loss"))
-    best = running.groupBy("zone", "grp", F.col("target_date").alias("origin_date")).agg(F.min_by(F.struct("w1", "w2"), F.struct(F.round("loss", 12), "rank")).alias("w"))
     days = members.where(F.col("y").isNotNull()).select("zone", "target_date").distinct()
-    of_zone = Window.partitionBy("zone").orderBy(F.datediff("target_date", F.lit("1970-01-01"))).rangeBetween(back, 0)
-    history = days.select("zone", F.col("target_date").alias("origin_date"), F.count(F.lit(1)).over(of_zone).alias("days"))
+    history = days.select("zone", F.col("target_date").alias("origin_date"), F.count(F.lit(1)).over(Window.partitionBy("zone").orderBy(number).rangeBetween(back, 0)).alias("days"))
+    if weighting == "equal":
+        return history.select("zone", F.lit(-1).alias("grp"), "origin_date", *[equal.alias(w) for w in names])
+    losses = members.where(F.col("y").isNotNull()).withColumn("grp", group).crossJoin(F.broadcast(grid))  # the grid has a fixed number of points
+    loss = sum((pinball(F.col("y"), mixed(names, i), q) for i, q in enumerate(qs)), F.lit(0.0)) / len(qs)
+    per_day = losses.groupBy("zone", "grp", "rank", *names, "target_date").agg(F.sum(loss).alias("s"), F.count(F.lit(1)).alias("n"))
+    frame = Window.partitionBy("zone", "grp", "rank").orderBy(number).rangeBetween(back, 0)
+    running = per_day.select("zone", "grp", "rank", *names, "target_date", (F.sum("s").over(frame) / F.sum("n").over(frame)).alias("loss"))
+    best = running.groupBy("zone", "grp", F.col("target_date").alias("origin_date")).agg(F.min_by(F.struct(*names), F.struct(F.round("loss", 12), "rank")).alias("w"))
     every = members.select("zone", group.alias("grp")).distinct().join(history, "zone")
     order = Window.partitionBy("zone", "grp").orderBy("origin_date").rowsBetween(Window.unboundedPreceding, 0)
     chosen = every.join(best, ["zone", "grp", "origin_date"], "left").select("zone", "grp", "origin_date", F.last(F.when(F.col("days") >= min_days, F.col("w")), ignorenulls=True).over(order).alias("w"))
-    return chosen.select("zone", "grp", "origin_date", F.coalesce("w.w1", F.lit(0.5)).alias("w1"), F.coalesce("w.w2", F.lit(0.5)).alias("w2"))
+    return chosen.select("zone", "grp", "origin_date", *[F.coalesce(F.col("w")[w], equal).alias(w) for w in names])
 
 
 def ensemble_combine(members: DataFrame, weights: DataFrame, columns: list[str], weighting: str = "hourly") -> DataFrame:
     """Weighted mean of the members' sorted quantiles; equal weights where none are learned yet."""
+    names = [c for c in weights.columns if c not in ("zone", "grp", "origin_date")]
     rows = members.withColumn("grp", F.col("cal_hour") if weighting == "hourly" else F.lit(-1)).join(weights, ["zone", "grp", "origin_date"], "left")
-    w1, w2 = F.coalesce("w1", F.lit(0.5)), F.coalesce("w2", F.lit(0.5))
-    return rows.select("zone", "origin_date", "target_time", "target_date", "cal_hour", "y", *[(w1 * F.col("a")[i] + w2 * F.col("b")[i]).alias(c) for i, c in enumerate(columns)])
+    rows = rows.withColumns({w: F.coalesce(w, F.lit(1.0 / len(names))) for w in names})
+    return rows.select("zone", "origin_date", "target_time", "target_date", "cal_hour", "y", *[mixed(names, i).alias(c) for i, c in enumerate(columns)])
 
 
 def pinball(y: Column, q: Column, tau: float) -> Column:

@@ -42,11 +42,12 @@ def price_lags(spark, sf_dir):
     return lagged(spark, sf_dir).select("zone", ntz("target_time").alias("target_time"), r6("y").alias("y"), r6("p_lag1d").alias("p_lag1d"), r6("p_lag7d").alias("p_lag7d"))
 
 
-SAMEHOUR_SQL = """sh as (select k.zone, k.local_date, k.local_hour, avg(l.price) as m from (select distinct zone, local_date, local_hour from keyed) k
+def samehour_sql(targets: str = "keyed") -> str:
+    return f"""sh as (select k.zone, k.local_date, k.local_hour, avg(l.price) as m from (select distinct zone, local_date, local_hour from {targets}) k
   left join keyed l on l.zone = k.zone and l.local_hour = k.local_hour and l.occurrence = 1 and l.local_date between k.local_date - 7 and k.local_date - 1 group by 1, 2, 3)"""
 
 
-@query("samehour_mean", f"with {keyed_sql()}, {SAMEHOUR_SQL} select k.zone, k.timestamp, round(sh.m, 6) as samehour_mean7d from keyed k left join sh using (zone, local_date, local_hour)")
+@query("samehour_mean", f"with {keyed_sql()}, {samehour_sql()} select k.zone, k.timestamp, round(sh.m, 6) as samehour_mean7d from keyed k left join sh using (zone, local_date, local_hour)")
 def samehour_mean(spark, sf_dir):
     rows = keyed(spark, sf_dir)
     return op.samehour_mean(rows, rows, 7).select("zone", ntz("timestamp").alias("timestamp"), r6("samehour_mean7d").alias("samehour_mean7d"))
@@ -88,19 +89,23 @@ def neighbour_spread(spark, sf_dir):
     return out.select("zone", "neighbour", ntz("target_time").alias("target_time"), r6("nb_lag1d").alias("nb_lag1d"), r6("nb_spread").alias("nb_spread"))
 
 
-def dataset_sql() -> str:
+def dataset_sql(more: str = "", targets: str = "(select * from keyed where price is not null)") -> str:
     lags = "\n".join(f"left join keyed l{k} on l{k}.zone = k.zone and l{k}.local_date = k.local_date - {k} and l{k}.local_hour = k.local_hour and l{k}.occurrence = 1" for k in (1, 2, 7, 8))
-    return f"""{keyed_sql()}, {SAMEHOUR_SQL}, {DAYS_SQL}, {rolls_sql(24)},
+    return f"""{keyed_sql()}, {more} {samehour_sql(targets)}, {DAYS_SQL}, {rolls_sql(24)}, {rolls_sql(168)},
     dataset as (select k.zone, {at_local('k.local_date - 1', 9)} as origin, k.local_date - 1 as origin_date, k.timestamp as target_time, k.local_date as target_date, k.price as y,
-      cast(k.local_hour as integer) as cal_hour, cast(isodow(k.local_date) - 1 as integer) as cal_dow, cast((epoch({at_local('k.local_date + 1', 0)}) - epoch({at_local('k.local_date', 0)})) / 3600 as integer) as cal_hours_in_day,
+      cast(k.local_hour as integer) as cal_hour, cast(isodow(k.local_date) - 1 as integer) as cal_dow, cast(isodow(k.local_date) >= 6 as integer) as cal_weekend, cast(month(k.local_date) as integer) as cal_month,
+      cast((epoch({at_local('k.local_date + 1', 0)}) - epoch({at_local('k.local_date', 0)})) / 3600 as integer) as cal_hours_in_day,
+      cast(epoch({loc('k.timestamp')}) - epoch(k.timestamp) <> 3600 as integer) as cal_dst, cast((epoch(k.timestamp) - epoch({at_local('k.local_date - 1', 9)})) / 3600 as integer) as lead_hours,
       l1.price as p_lag1d, l2.price as p_lag2d, l7.price as p_lag7d, l8.price as p_lag8d, sh.m as p_samehour_mean7d, dst.day_mean as "p_dayD_mean", dst.trend as "p_dayD_trend", dst.neg_hours as "p_dayD_neg_hours",
-      r.mean as p_roll24h_mean, r.min as p_roll24h_min, r.max as p_roll24h_max, r.std as p_roll24h_std
-    from keyed k {lags} left join sh on sh.zone = k.zone and sh.local_date = k.local_date and sh.local_hour = k.local_hour
-    left join dst on dst.zone = k.zone and dst.day = k.local_date - 1 left join roll24 r on r.zone = k.zone and r.day = k.local_date - 1 where k.price is not null)"""
+      {', '.join(f'r{h}.{n} as p_roll{h}h_{n}' for h in (24, 168) for n in ('mean', 'min', 'max', 'std'))}
+    from {targets} k {lags} left join sh on sh.zone = k.zone and sh.local_date = k.local_date and sh.local_hour = k.local_hour
+    left join dst on dst.zone = k.zone and dst.day = k.local_date - 1 left join roll24 r24 on r24.zone = k.zone and r24.day = k.local_date - 1 left join roll168 r168 on r168.zone = k.zone and r168.day = k.local_date - 1)"""
 
 
-MEASURES = ("y", "p_lag1d", "p_lag2d", "p_lag7d", "p_lag8d", "p_samehour_mean7d", "p_dayD_mean", "p_dayD_trend", "p_roll24h_mean", "p_roll24h_min", "p_roll24h_max", "p_roll24h_std")
-PLAIN = ("zone", "origin_date", "target_date", "cal_hour", "cal_dow", "cal_hours_in_day", "p_dayD_neg_hours")
+ROLLS = (24, 168)
+MEASURES = ("y", "p_lag1d", "p_lag2d", "p_lag7d", "p_lag8d", "p_samehour_mean7d", "p_dayD_mean", "p_dayD_trend", *(f"p_roll{h}h_{n}" for h in ROLLS for n in ("mean", "min", "max", "std")))
+CALENDAR = ("cal_hour", "cal_dow", "cal_weekend", "cal_month", "cal_hours_in_day", "cal_dst", "lead_hours")
+PLAIN = ("zone", "origin_date", "target_date", *CALENDAR, "p_dayD_neg_hours")
 TIMES = ("origin", "target_time")
 
 
@@ -113,12 +118,21 @@ ROUNDED_SQL = ", ".join([*(f'"{c}"' for c in (*PLAIN, *TIMES)), *(f'round("{c}",
 
 @query("origin_dataset", f"with {dataset_sql()} select {ROUNDED_SQL} from dataset")
 def origin_dataset(spark, sf_dir):
-    return rounded(op.origin_dataset(keyed(spark, sf_dir)))
+    return rounded(op.origin_dataset(keyed(spark, sf_dir), rolls=ROLLS))
 
 
-@query("live_rows", f"with {dataset_sql()} select {ROUNDED_SQL} from dataset where origin_date = date '2024-04-10'")
+# The origin of a day in the past, and that of each zone's last day: its target hours have no prices yet.
+LIVE_SQL = f"""lo as (select distinct zone, date '2024-04-10' as origin_date from keyed union select zone, max(local_date) from keyed group by 1),
+lh as (select zone, unnest(generate_series({at_local('origin_date + 1', 0)}, {at_local('origin_date + 2', 0)} - interval 1 hour, interval 1 hour)) as timestamp from lo),
+lk as (select zone, timestamp, cast({loc('timestamp')} as date) as local_date, hour({loc('timestamp')}) as local_hour from lh),
+live as (select lk.*, h.price from lk left join hourly h using (zone, timestamp)),"""
+
+
+@query("live_rows", f"with {dataset_sql(LIVE_SQL, 'live')} select {ROUNDED_SQL} from dataset")
 def live_rows(spark, sf_dir):
-    return rounded(op.origin_dataset(keyed(spark, sf_dir)).where(F.col("origin_date") == "2024-04-10"))
+    rows = keyed(spark, sf_dir)
+    origins = rows.select("zone", F.lit("2024-04-10").cast("date").alias("origin_date")).union(rows.groupBy("zone").agg(F.max("local_date"))).distinct()
+    return rounded(op.live_rows(rows, origins, rolls=ROLLS))
 
 
 AUDIT_ORIGIN = "2024-03-29 08:00:00"  # 09:00 local time; the target day after it isn't a day of 23 hours
@@ -136,28 +150,32 @@ def perturb_unavailable(spark, sf_dir):
     return op.perturb_unavailable(rows, F.lit(AUDIT_ORIGIN).cast("timestamp"), 7).select("zone", ntz("timestamp").alias("timestamp"), r6("price").alias("price"))
 
 
+AUDIT_SQL = f"""ad as (select distinct cast({loc('timestamp')} as date) as day from hourly),
+    ah as (select day, ((datediff('day', date '1970-01-01', day) * 48271 + 5 * 1000003) % 2147483647) * 48271 % 2147483647 as u, min(day) over () as a, max(day) over () as b,
+      cast((epoch({at_local('day + 2', 0)}) - epoch({at_local('day + 1', 0)})) / 3600 as integer) as hours from ad),
+    ar as (select *, row_number() over (order by u, day) as i from ah),
+    au as (select day, day in (a, b) as is_end, hours <> 24 as is_clock_change from ar where day in (a, b) or hours <> 24 or i <= 5)"""
+
+
 @query(
     "leakage_audit",
-    f"""with {dataset_sql()}, n as (select count(*) as n_rows from dataset where origin = timestamp '{AUDIT_ORIGIN}'),
-    c(c) as (values {', '.join(f"('{c}')" for c in ('y', 'cal_hour', 'cal_dow', 'cal_hours_in_day', 'p_lag1d', 'p_lag2d', 'p_lag7d', 'p_lag8d', 'p_samehour_mean7d', 'p_dayD_mean', 'p_dayD_trend', 'p_dayD_neg_hours', 'p_roll24h_mean', 'p_roll24h_min', 'p_roll24h_max', 'p_roll24h_std'))})
+    f"""with {dataset_sql()}, {AUDIT_SQL}, n as (select count(*) as n_rows from dataset where origin_date in (select day from au)),
+    c(c) as (values {', '.join(f"('{c}')" for c in (*CALENDAR, 'p_dayD_neg_hours', *MEASURES))})
     select c as "column", n_rows, case when c = 'y' then n_rows else 0 end as n_changed, false as leaks from c, n where n_rows > 0""",
 )
 def leakage_audit(spark, sf_dir):
-    origin = F.lit(AUDIT_ORIGIN).cast("timestamp")
-    rows = keyed(spark, sf_dir).withColumn("available_at", op.auction_availability())
+    from tidemark.operators.backtest import audit_sample
+
+    rows = keyed(spark, sf_dir)
+    near = op.audit_copies(rows, audit_sample(rows.select(F.col("local_date").alias("day")).distinct(), 5, 5)).withColumn("available_at", op.auction_availability())
+    origin = origin_timestamp(F.col("audit_date"))
     # A target that the noise made null is kept as a changed one.
-    noisy = op.perturb_unavailable(rows, origin, 7).withColumn("price", F.when(F.col("available_at") > origin, F.coalesce("price", F.lit(-1.0))).otherwise(F.col("price")))
-    build = lambda df: op.origin_dataset(df.drop("available_at")).where(F.col("origin") == origin)
-    return op.leakage_audit(build(rows), build(noisy))
+    noisy = op.perturb_unavailable(near, origin, 7).withColumn("price", F.when(F.col("available_at") > origin, F.coalesce("price", F.lit(-1.0))).otherwise(F.col("price")))
+    build = lambda df: op.audited(op.origin_dataset(df.drop("available_at", "audit_date"), rolls=ROLLS))
+    return op.leakage_audit(build(near), build(noisy))
 
 
-@query(
-    "audit_origins",
-    f"""with {hourly_sql()}, d as (select distinct cast({loc('timestamp')} as date) as day from hourly),
-    h as (select day, ((datediff('day', date '1970-01-01', day) * 48271 + 5 * 1000003) % 2147483647) * 48271 % 2147483647 as u, min(day) over () as a, max(day) over () as b,
-      cast((epoch({at_local('day + 2', 0)}) - epoch({at_local('day + 1', 0)})) / 3600 as integer) as hours from d),
-    r as (select *, row_number() over (order by u, day) as i from h) select day, day in (a, b) as is_end, hours <> 24 as is_clock_change from r where day in (a, b) or hours <> 24 or i <= 5""",
-)
+@query("audit_origins", f"with {hourly_sql()}, {AUDIT_SQL} select day, is_end, is_clock_change from au")
 def audit_origins(spark, sf_dir):
     from tidemark.operators.backtest import audit_sample
 

@@ -70,45 +70,49 @@ def keyed_sql(shift: int = SPRING) -> str:
     select *, cast({loc('timestamp')} as date) as local_date, hour({loc('timestamp')}) as local_hour from hourly))"""
 
 
-def lagged(spark: SparkSession, sf_dir: str, shift: int = SPRING) -> DataFrame:
-    """``zone, target_time, target_date, local_hour, y, p_lag1d, p_lag7d``."""
+#: Days back of the two models that most queries compare.
+LAGS = (1, 7)
+
+
+def lagged(spark: SparkSession, sf_dir: str, shift: int = SPRING, lags: tuple[int, ...] = LAGS) -> DataFrame:
+    """``zone, target_time, target_date, local_hour, y`` and ``p_lag1d, p_lag7d``, or the lags that are asked for."""
     from tidemark.operators.features import same_local_hour
 
     rows = base = keyed(spark, sf_dir, shift)
-    for k in (1, 7):
+    for k in lags:
         rows = same_local_hour(rows, base, k, f"p_lag{k}d")
-    return rows.select("zone", F.col("timestamp").alias("target_time"), F.col("local_date").alias("target_date"), "local_hour", F.col("price").alias("y"), "p_lag1d", "p_lag7d")
+    return rows.select("zone", F.col("timestamp").alias("target_time"), F.col("local_date").alias("target_date"), "local_hour", F.col("price").alias("y"), *[f"p_lag{k}d" for k in lags])
 
 
-def lagged_sql(shift: int = SPRING) -> str:
-    return keyed_sql(shift) + """, lagged as (
-  select k.zone, k.timestamp as target_time, k.local_date as target_date, k.local_hour, k.price as y, a.price as p_lag1d, b.price as p_lag7d
+def lagged_sql(shift: int = SPRING, lags: tuple[int, ...] = LAGS) -> str:
+    joins = "\n".join(f"  left join keyed l{k} on l{k}.zone = k.zone and l{k}.local_date = k.local_date - {k} and l{k}.local_hour = k.local_hour and l{k}.occurrence = 1" for k in lags)
+    return keyed_sql(shift) + f""", lagged as (
+  select k.zone, k.timestamp as target_time, k.local_date as target_date, k.local_hour, k.price as y, {', '.join(f'l{k}.price as p_lag{k}d' for k in lags)}
   from keyed k
-  left join keyed a on a.zone = k.zone and a.local_date = k.local_date - 1 and a.local_hour = k.local_hour and a.occurrence = 1
-  left join keyed b on b.zone = k.zone and b.local_date = k.local_date - 7 and b.local_hour = k.local_hour and b.occurrence = 1)"""
+{joins})"""
 
 
-def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two models on the same series: the prices of the same clock hour one and seven days before."""
-    models = F.array(*[F.struct(F.lit(f"naive_{k}d").alias("model"), F.col(f"p_lag{k}d").alias("point")) for k in (1, 7)])
-    return lagged(spark, sf_dir).select("zone", "target_time", "target_date", "local_hour", "y", F.inline(models)).where("point is not null")
+def points(spark: SparkSession, sf_dir: str, lags: tuple[int, ...] = LAGS) -> DataFrame:
+    """A model per lag on the same series: the prices of the same clock hour that many days before."""
+    models = F.array(*[F.struct(F.lit(f"naive_{k}d").alias("model"), F.col(f"p_lag{k}d").alias("point")) for k in lags])
+    return lagged(spark, sf_dir, lags=lags).select("zone", "target_time", "target_date", "local_hour", "y", F.inline(models)).where("point is not null")
 
 
-def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def forecasts(spark: SparkSession, sf_dir: str, lags: tuple[int, ...] = LAGS) -> DataFrame:
     """``model, zone, origin_date, target_time, target_date, local_hour, y, q05 .. q95`` after SPLIT."""
     from tidemark.operators.forecast import residual_quantiles, with_quantiles
 
-    rows = points(spark, sf_dir)
+    rows = points(spark, sf_dir, lags)
     offsets = residual_quantiles(rows.where(F.col("target_date") <= SPLIT), ["model", "zone", "local_hour"], QS)
     out = with_quantiles(rows.where(F.col("target_date") > SPLIT), offsets, ["model", "zone", "local_hour"], QS)
     return out.select("model", "zone", F.date_sub("target_date", 1).alias("origin_date"), "target_time", "target_date", "local_hour", "y", *QCOLS)
 
 
-def forecasts_sql() -> str:
+def forecasts_sql(lags: tuple[int, ...] = LAGS) -> str:
     offsets = ", ".join(f"quantile_cont(y - point, {q}) as o{c[1:]}" for q, c in zip(QS, QCOLS))
-    return lagged_sql() + f""", points as (
-  select 'naive_1d' as model, zone, target_time, target_date, local_hour, y, p_lag1d as point from lagged where p_lag1d is not null
-  union all select 'naive_7d', zone, target_time, target_date, local_hour, y, p_lag7d from lagged where p_lag7d is not null),
+    models = "\n  union all ".join(f"select 'naive_{k}d' as model, zone, target_time, target_date, local_hour, y, p_lag{k}d as point from lagged where p_lag{k}d is not null" for k in lags)
+    return lagged_sql(lags=lags) + f""", points as (
+  {models}),
 offs as (select model, zone, local_hour, {offsets} from points where target_date <= date '{SPLIT}' group by all),
 fc as (select model, zone, target_date - 1 as origin_date, target_time, target_date, local_hour, y, {', '.join(f'point + o{c[1:]} as {c}' for c in QCOLS)}
   from points join offs using (model, zone, local_hour) where target_date > date '{SPLIT}')"""

@@ -238,13 +238,18 @@ Z = ", ".join(f"round(level + effect + sigma * {op.NORMAL[q]}, 6) as {c}" for q,
 @query(
     "seasonal_decomposition",
     f"""with {dataset_sql()}, pr as (select zone, local_date as day, local_hour as hour, price from keyed where price is not null),
-    dl as (select zone, day, avg(price) as mean from pr group by 1, 2), dv as (select zone, day, hour, price - mean as dev from pr join dl using (zone, day)),
-    eff as (select a.zone, a.day, a.hour, avg(b.dev) as effect, case when count(*) > 1 then stddev_samp(b.dev) end as sigma from (select distinct zone, day, hour from dv) a join dv b on b.zone = a.zone and b.hour = a.hour and b.day between a.day - 13 and a.day group by 1, 2, 3)
-    select d.zone, d.origin_date, d.target_time, {Z} from dataset d join (select zone, day, mean as level from dl) l on l.zone = d.zone and l.day = d.origin_date join eff e on e.zone = d.zone and e.day = d.origin_date and e.hour = d.cal_hour""",
+    dl as (select zone, day, avg(price) as mean from pr group by 1, 2), tr as (select zone, day, avg(mean) over (partition by zone order by day range between interval 6 day preceding and current row) as trend from dl),
+    lv as (select a.zone, a.day, a.trend + coalesce(a.trend - b.trend, 0) / 7 as level from tr a left join tr b on b.zone = a.zone and b.day = a.day - 7),
+    dv as (select zone, day, hour, isodow(day) as dow, price - trend as dev from pr join tr using (zone, day)),
+    gr as (select d.zone, d.origin_date, d.cal_hour, v.dow, sum(dev) as s, count(*) as n, sum(dev * dev) as ss from (select distinct zone, origin_date, cal_hour from dataset) d
+      join dv v on v.zone = d.zone and v.hour = d.cal_hour and v.day between d.origin_date - 55 and d.origin_date group by 1, 2, 3, 4),
+    eff as (select zone, origin_date, cal_hour, coalesce(max(s / n) filter (where dow = isodow(origin_date + 1)), sum(s) / sum(n)) as effect,
+      sqrt(case when sum(n) > count(*) then greatest(sum(ss - s * s / n) / (sum(n) - count(*)), 0) when sum(n) > 1 then greatest((sum(ss) - sum(s) * sum(s) / sum(n)) / (sum(n) - 1), 0) end) as sigma from gr group by 1, 2, 3)
+    select d.zone, d.origin_date, d.target_time, {Z} from dataset d join lv l on l.zone = d.zone and l.day = d.origin_date left join eff e on e.zone = d.zone and e.origin_date = d.origin_date and e.cal_hour = d.cal_hour""",
 )
 def seasonal_decomposition(spark, sf_dir):
     rows = keyed(spark, sf_dir)
-    return fc_columns(op.seasonal_decomposition(ft.origin_dataset(rows), rows, QS, context_days=14))
+    return fc_columns(op.seasonal_decomposition(ft.origin_dataset(rows), rows, QS))
 
 
 RECAL_SQL = f"""recal_o as (select model, zone, origin_date from fc group by 1, 2, 3),
@@ -268,41 +273,52 @@ def simplex_grid(spark, sf_dir):
     return op.simplex_grid(spark, 2, 20).join(F.broadcast(members)).where("members > 0").drop("members")
 
 
+#: The ensemble's three members, and the steps of their weights.
+MEMBER_LAGS, STEPS = (1, 2, 7), 10
+WEIGHTS = [f"w{i + 1}" for i in range(len(MEMBER_LAGS))]
+
+
 def members(spark, sf_dir):
-    """Forecasts of both models on the hours that both have, as sorted arrays."""
-    fc = forecasts(spark, sf_dir).withColumn("q", F.array_sort(F.array(*QCOLS)))
-    a = fc.where("model = 'naive_1d'").select("zone", "origin_date", "target_time", "target_date", F.col("local_hour").alias("cal_hour"), "y", F.col("q").alias("a"))
-    return a.join(fc.where("model = 'naive_7d'").select("zone", "target_time", F.col("q").alias("b")), ["zone", "target_time"])
+    """Forecasts of the three models on the hours that all have, as sorted arrays."""
+    fc = forecasts(spark, sf_dir, MEMBER_LAGS).withColumn("q", F.array_sort(F.array(*QCOLS)))
+    own = [F.max(F.when(F.col("model") == f"naive_{k}d", F.col("q"))) for k in MEMBER_LAGS]
+    rows = fc.groupBy("zone", "origin_date", "target_time", "target_date", F.col("local_hour").alias("cal_hour"), "y").agg(F.array(*own).alias("members"))
+    return rows.where(~F.exists("members", lambda m: m.isNull()))
 
 
 def mix(i: int) -> str:
-    return f"(w1 * a[{i + 1}] + w2 * b[{i + 1}])"
+    return "(" + " + ".join(f"{w} * m{k}[{i + 1}]" for w, k in zip(WEIGHTS, MEMBER_LAGS)) + ")"
 
 
+GRID3_SQL = f"""grid as (select cast(row_number() over (order by a * a + b * b + c * c, a desc, b desc, c desc) as integer) as rank, a / {STEPS}.0::double as w1, b / {STEPS}.0::double as w2, c / {STEPS}.0::double as w3
+  from (select a, b, {STEPS} - a - b as c from (select unnest(generate_series(0, {STEPS})) as a), (select unnest(generate_series(0, {STEPS})) as b) where a + b <= {STEPS}))"""
 MIX_LOSS = "(" + " + ".join(loss_sql(q, mix(i)) for i, q in enumerate(QS)) + f") / {len(QS)}"
-MEMBERS_SQL = f"""mem as (select a.zone, a.origin_date, a.target_time, a.target_date, a.local_hour as cal_hour, a.y, list_sort([{', '.join('a.' + c for c in QCOLS)}]) as a, list_sort([{', '.join('b.' + c for c in QCOLS)}]) as b
-  from fc a join fc b on a.model = 'naive_1d' and b.model = 'naive_7d' and a.zone = b.zone and a.target_time = b.target_time)"""
-WEIGHTS_SQL = f"""{GRID_SQL}, {MEMBERS_SQL}, pd as (select zone, cal_hour as grp, rank, w1, w2, target_date, sum({MIX_LOSS}) as s, count(*) as n from mem, grid where y is not null group by all),
-rl as (select zone, grp, rank, w1, w2, target_date, sum(s) over w / sum(n) over w as loss from pd window w as (partition by zone, grp, rank order by target_date)),
-bs as (select zone, grp, target_date, arg_min(w1, {{'l': round(loss, 12), 'r': rank}}) as b1, arg_min(w2, {{'l': round(loss, 12), 'r': rank}}) as b2 from rl group by 1, 2, 3),
+SORTED_SQL = {k: f"list_sort([{', '.join(f't{k}.{c}' for c in QCOLS)}]) as m{k}" for k in MEMBER_LAGS}
+MEMBERS_SQL = f"""mem as (select t1.zone, t1.origin_date, t1.target_time, t1.target_date, t1.local_hour as cal_hour, t1.y, {', '.join(SORTED_SQL.values())}
+  from fc t1 {' '.join(f"join fc t{k} on t{k}.model = 'naive_{k}d' and t{k}.zone = t1.zone and t{k}.target_time = t1.target_time" for k in MEMBER_LAGS[1:])} where t1.model = 'naive_1d')"""
+EQUAL_SQL = f"1.0::double / {len(WEIGHTS)}"
+WEIGHTS_SQL = f"""{GRID3_SQL}, {MEMBERS_SQL}, pd as (select zone, cal_hour as grp, rank, {', '.join(WEIGHTS)}, target_date, sum({MIX_LOSS}) as s, count(*) as n from mem, grid where y is not null group by all),
+rl as (select zone, grp, rank, {', '.join(WEIGHTS)}, target_date, sum(s) over w / sum(n) over w as loss from pd window w as (partition by zone, grp, rank order by target_date)),
+bs as (select zone, grp, target_date, {', '.join(f"arg_min({w}, {{'l': round(loss, 12), 'r': rank}}) as b{w}" for w in WEIGHTS)} from rl group by 1, 2, 3),
 hd as (select zone, target_date as origin_date, row_number() over (partition by zone order by target_date) as days from (select distinct zone, target_date from mem where y is not null)),
 ev2 as (select distinct zone, cal_hour as grp from mem),
-wt as (select e.zone, e.grp, h.origin_date, coalesce(last_value(case when days >= 3 then b1 end ignore nulls) over o, 0.5) as w1, coalesce(last_value(case when days >= 3 then b2 end ignore nulls) over o, 0.5) as w2
+wt as (select e.zone, e.grp, h.origin_date, {', '.join(f'coalesce(last_value(case when days >= 3 then b{w} end ignore nulls) over o, {EQUAL_SQL}) as {w}' for w in WEIGHTS)}
   from ev2 e join hd h using (zone) left join bs on bs.zone = e.zone and bs.grp = e.grp and bs.target_date = h.origin_date window o as (partition by e.zone, e.grp order by h.origin_date))"""
 
 
-@query("ensemble_weights", f"with {forecasts_sql()}, {WEIGHTS_SQL} select zone, cast(grp as integer) as grp, origin_date, w1, w2 from wt")
+@query("ensemble_weights", f"with {forecasts_sql(MEMBER_LAGS)}, {WEIGHTS_SQL} select zone, cast(grp as integer) as grp, origin_date, {', '.join(WEIGHTS)} from wt")
 def ensemble_weights(spark, sf_dir):
-    return op.ensemble_weights(members(spark, sf_dir), op.simplex_grid(spark, 2, 20), list(QCOLS), QS, min_days=3)
+    return op.ensemble_weights(members(spark, sf_dir), op.simplex_grid(spark, len(WEIGHTS), STEPS), list(QCOLS), QS, min_days=3)
 
 
 @query(
     "ensemble_combine",
-    f"with {forecasts_sql()}, {WEIGHTS_SQL} select m.zone, m.origin_date, m.target_time, {', '.join(f'round(coalesce(w1, 0.5) * a[{i + 1}] + coalesce(w2, 0.5) * b[{i + 1}], 6) as {c}' for i, c in enumerate(QCOLS))} from mem m left join wt on wt.zone = m.zone and wt.grp = m.cal_hour and wt.origin_date = m.origin_date",
+    f"""with {forecasts_sql(MEMBER_LAGS)}, {WEIGHTS_SQL}, mw as (select m.* , {', '.join(f'coalesce({w}, {EQUAL_SQL}) as {w}' for w in WEIGHTS)} from mem m left join wt on wt.zone = m.zone and wt.grp = m.cal_hour and wt.origin_date = m.origin_date)
+    select zone, origin_date, target_time, {', '.join(f'round({mix(i)}, 6) as {c}' for i, c in enumerate(QCOLS))} from mw""",
 )
 def ensemble_combine(spark, sf_dir):
     rows = members(spark, sf_dir)
-    weights = op.ensemble_weights(rows, op.simplex_grid(spark, 2, 20), list(QCOLS), QS, min_days=3)
+    weights = op.ensemble_weights(rows, op.simplex_grid(spark, len(WEIGHTS), STEPS), list(QCOLS), QS, min_days=3)
     return fc_columns(op.ensemble_combine(rows, weights, list(QCOLS)))
 
 
