@@ -241,3 +241,30 @@ def test_empty_tables(spark):
     assert features.origin_dataset(keyed).count() == 0
     assert quality.day_count_errors(none, ["zone"]).count() == 0
     assert backtest.gap_fill_linear(none, "price", ["zone"]).count() == 0
+
+
+def test_times_without_a_zone_are_refused(spark):
+    rows = hours(spark, "2025-01-01 00:00:00", 2)
+    assert t.ensure_utc(rows, "timestamp") is rows
+    for column in ("naive", "zone", "absent"):
+        with pytest.raises(ValueError):
+            t.ensure_utc(rows.withColumn("naive", F.col("timestamp").cast("timestamp_ntz")), column)
+
+
+def test_variants_and_evaluation_rows(spark):
+    assert backtest.variant("forest", train_start="2024-01-01", seed=3, calibration=None) == "forest@seed=3@train_start=2024-01-01"
+    for spec in ({"seed": "1@x"}, {"seed": "a=b"}):
+        with pytest.raises(ValueError):
+            backtest.variant("forest", **spec)
+    rows = spark.sql("select explode(sequence(date '2025-01-01', date '2025-01-05')) as origin_date, 1 as y")
+    live = spark.sql("select cast(null as int) as y, date '2025-01-04' as origin_date")
+    found = backtest.evaluation_rows(rows, live, "2025-01-04").orderBy("origin_date").collect()
+    assert [(r.origin_date.day, r.y) for r in found] == [(1, 1), (2, 1), (3, 1), (4, None)]
+
+
+def test_digest_depends_on_rows_and_names_alone(spark):
+    rows = spark.createDataFrame([(1, "x"), (2, None), (2, None)], "a int, b string")
+    digest = lambda df: lake.content_digest(df).first()
+    assert digest(rows) == digest(rows.orderBy(F.desc("a")).select("b", "a").repartition(3))
+    others = [rows.distinct(), rows.withColumnRenamed("b", "c"), rows.withColumn("a", F.col("a") + 1), rows.fillna("x")]
+    assert len({tuple(digest(df)) for df in [rows, *others]}) == 5

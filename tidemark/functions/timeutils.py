@@ -52,6 +52,15 @@ def refuse_naive(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
+def ensure_utc(df: DataFrame, *columns: str) -> DataFrame:
+    """The frame itself if all the columns are instants; times without a zone are refused, since their offset is unknown."""
+    types = dict(df.dtypes)
+    wrong = {c: types.get(c, "missing") for c in columns if types.get(c) != "timestamp"}
+    if wrong:
+        raise ValueError(f"not timestamps with a zone: {wrong}")
+    return df
+
+
 def neighbouring_times(df: DataFrame, keys: list[str], ts: str = "timestamp") -> DataFrame:
     """Adds ``prev_time`` and ``next_time`` in the series.
 

@@ -67,6 +67,22 @@ def gap_fill_linear(df: DataFrame, col: str, keys: list[str], ts: str = "timesta
     return rows.select(*keys, ts, value.alias(col), F.col(col).isNull().alias("filled"))
 
 
+def evaluation_rows(dataset: DataFrame, live: DataFrame, origin_date: str) -> DataFrame:
+    """What a live run fits on and predicts: the dataset's rows of earlier origins, and the live rows."""
+    return dataset.where(F.col("origin_date") < F.lit(origin_date).cast("date")).unionByName(live)
+
+
+def variant(model: str, **spec: object) -> str:
+    """The name of a model variant, ``model@key=value@...`` by key; a key without a value doesn't count.
+
+    Names are keys of stored forecasts: equal specifications give equal names, and the separators can't be part of one.
+    """
+    parts = [model, *(f"{k}={v}" for k, v in sorted(spec.items()) if v is not None)]
+    if any("@" in p or p.count("=") != (i > 0) for i, p in enumerate(parts)):
+        raise ValueError(f"separator in a variant: {parts}")
+    return "@".join(parts)
+
+
 def origin_range(keyed: DataFrame, back_days: int, ahead_days: int, keys: tuple[str, ...] = ("zone",)) -> DataFrame:
     """First and last origin day for which every series covers the days that features and targets need."""
     span = keyed.groupBy(*keys).agg(F.min("local_date").alias("a"), F.max("local_date").alias("b"))

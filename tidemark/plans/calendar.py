@@ -110,15 +110,16 @@ def calendar_features(spark, sf_dir):
     return out.select("origin_date", ntz("target_time").alias("target_time"), *[c for c in out.columns if c.startswith("cal_")], "lead_hours")
 
 
-# The Gregorian computus in its usual anonymous form, for the years 1994 to 2002.
-HOLIDAY_SQL = """with y as (select unnest(generate_series(1994, 2002)) as y),
+# The Gregorian computus in its usual anonymous form, for the years around the orders.
+HOLIDAY_SQL = """with od as (select min(cast(o_orderdate as date)) as lo, max(cast(o_orderdate as date)) as hi from orders),
+y as (select unnest(generate_series(year(lo) - 1, year(hi) + 1)) as y from od),
 a as (select y, y % 19 as a, y // 100 as b, y % 100 as c from y),
 b as (select *, b // 4 as d, b % 4 as e, (b + 8) // 25 as f, c // 4 as i, c % 4 as k from a),
 c as (select *, (19 * a + b - d - (b - f + 1) // 3 + 15) % 30 as h from b),
 d as (select *, (32 + 2 * e + 2 * i - h - k) % 7 as l from c),
 e as (select *, (a + 11 * h + 22 * l) // 451 as m from d),
 easter as (select make_date(y, (h + l - 7 * m + 114) // 31, (h + l - 7 * m + 114) % 31 + 1) as e from e),
-days as (select cast(unnest(generate_series(timestamp '1994-11-01', timestamp '2001-10-31', interval 1 day)) as date) as day),
+days as (select cast(unnest(generate_series(lo - interval 60 day, hi + interval 60 day, interval 1 day)) as date) as day from od),
 f as (select day, isodow(day) as w, month(day) * 100 + day(day) as md, month(day + 1) * 100 + day(day + 1) as md1 from days),
 p as (select day, w, md in (101, 106, 501, 606, 1225, 1226) or (w = 6 and (md between 620 and 626 or md between 1031 and 1106))
     or exists (select 1 from easter where day - e in (-2, 0, 1, 39, 49)) as is_public,
@@ -129,13 +130,16 @@ n as (select *, lag(hol) over o as lh, lead(hol) over o as nh, lag(is_off) over
     min(case when hol then day end) over (order by day rows between 1 following and unbounded following) as next from h window o as (order by day))
 select day, is_public, is_custom, is_half, hol as is_holiday, not is_off and ((lh and no) or (lo and nh)) as is_bridge,
     cast(least(day - prev, 14) as integer) as days_since, cast(least(next - day, 14) as integer) as days_to from n
-where day between date '1995-01-01' and date '2001-08-01' and day in (select cast(o_orderdate as date) from orders)"""
+where day in (select cast(o_orderdate as date) from orders)"""
 
 
 @query("holiday_calendar", HOLIDAY_SQL)
 def holiday_calendar(spark, sf_dir):
     days = read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
-    calendar = t.holiday_calendar(spark, "1995-01-01", "2001-08-01")
+    first, last = days.agg(F.min("day"), F.max("day")).first()
+    if first is None:
+        first = last = "2000-01-01"
+    calendar = t.holiday_calendar(spark, str(first), str(last))  # one row per day of the span
     return days.join(F.broadcast(calendar), "day").select("day", "is_public", "is_custom", "is_half", "is_holiday", "is_bridge", "days_since", "days_to")
 
 

@@ -133,13 +133,11 @@ def day_over_day_change(spark, sf_dir):
 
 @query(
     "regime_days",
-    f"""with {ZONED_SQL}, m as (select zone, date_trunc('week', day)::date as day, avg(value) as value from zoned group by 1, 2),
-    w as (select *, case when count(*) over p >= 28 then quantile_cont(value, 0.9) over p end as threshold from m window p as (partition by zone order by day rows between unbounded preceding and 1 preceding))
+    f"""with {ZONED_SQL}, w as (select *, case when count(*) over p >= 28 then quantile_cont(value, 0.9) over p end as threshold from zoned window p as (partition by zone order by day rows between unbounded preceding and 1 preceding))
     select zone, day, round(threshold, 6) as threshold, coalesce(value > threshold, false) as is_regime from w""",
 )
 def regime_days(spark, sf_dir):
-    weekly = zoned_orders(spark, sf_dir).groupBy("zone", F.to_date(F.date_trunc("week", "day")).alias("day")).agg(F.avg("value").alias("value"))
-    return mt.regime_days(weekly, "value", ["zone"]).select("zone", "day", r6("threshold").alias("threshold"), "is_regime")
+    return mt.regime_days(zoned_orders(spark, sf_dir), "value", ["zone"]).select("zone", "day", r6("threshold").alias("threshold"), "is_regime")
 
 
 @query(
