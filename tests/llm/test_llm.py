@@ -146,12 +146,14 @@ def _contamination(docs, items, block=1 << 24):
     return sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found)
 
 
-def test_decontamination_on_odd_rows(spark):
+@pytest.mark.parametrize("block", [1 << 24, 40])
+def test_decontamination_on_odd_rows(spark, block):
     items = spark.createDataFrame([(1, "Hello world"), (2, "AGAIN"), (2, "again"), (3, None), (4, ""), (None, "other, words!"), (6, "word1 word2 word3 word4 word5 word6 word7 word8 word9 word10 word11 word12"), (7, "àé")], "item_id long, text string")
-    docs = odd_docs(spark)
-    assert _contamination(docs, items) == brute_contamination([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
-    assert not any(r[-1] for r in _contamination(docs, items.limit(0)))
-    assert _contamination(no_docs(spark), items) == []
+    docs = odd_docs(spark).select("doc_id", "text")
+    docs = docs.unionAll(docs).unionAll(spark.createDataFrame([(99, "hello world, again")], "doc_id long, text string").withColumn("doc_id", F.col("doc_id").cast(dict(docs.dtypes)["doc_id"])))
+    assert _contamination(docs, items, block) == brute_contamination([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
+    assert not any(r[-1] for r in _contamination(docs, items.limit(0), block))
+    assert _contamination(no_docs(spark), items, block) == []
 
 
 def test_wu_manber_against_scanning():

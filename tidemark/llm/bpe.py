@@ -8,7 +8,8 @@ last entry before it.
 
 The vocabulary file is a parameter (a path that every executor can read); it is never copied or trained.
 
-Nulls and ties: a null text is encoded as empty (no ids); every row is encoded, repeated or not.
+Nulls and ties: a null text is encoded as empty (no ids); every row is encoded, repeated or not. Very long texts are
+encoded whole, piece by piece, in Arrow batches bounded by rows and bytes; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -65,8 +65,9 @@ def discard(df: DataFrame) -> None:
 def prepare(spark: SparkSession, rows: int = 512) -> None:
     """Get a session ready for Python workers.
 
-    Bounds the rows of an Arrow batch, so that a batch of long texts still fits a worker, and lets workers
-    on this machine import the package from where the driver has it (a cluster gets it by ``--py-files``).
+    Bounds the rows of an Arrow batch, beside Spark's own bound of 64 MB (``spark.sql.execution.arrow.maxBytesPerBatch``;
+    a longer text is a batch of its own), and lets workers on this machine import the package from where the driver has
+    it (a cluster gets it by ``--py-files``). The bound is a setting of the session and stays: plans read it when they run.
     """
     home = str(Path(__file__).parents[2])
     path = spark.sparkContext.environment.get("PYTHONPATH", "")

@@ -5,27 +5,25 @@ words of a shorter item. For every pattern length there is a shift table over bl
 tells how far the search may move on without missing a pattern. Where the shift is 0, the bucket of that
 suffix block is narrowed by the patterns' first word and each remaining pattern is compared directly.
 
-The patterns are built from blocks of the benchmark of at most ``block_bytes`` of text, so what goes to the
-tasks is bounded; a larger benchmark takes several passes over the documents, each of which adds to the
-hits that the rows already carry. Documents are never shuffled.
+The patterns are built from blocks of the benchmark of about ``block_bytes`` of text, so what goes to the
+tasks is bounded; a larger benchmark takes several passes over the documents. All but the last leave only the
+hits, one row per text with any, which join the last pass by the text's digest. Texts are never shuffled or rewritten.
 
 Nulls and ties: a null or wordless document has no words and is clean; a null or wordless item has no
 windows; repeated document rows are each scanned; repeated items (same id) count once; a null item id is
-written as ``null``. Extra columns are ignored, empty tables give empty or clean results.
+written as ``null``. Very long texts are scanned whole, in Arrow batches bounded by rows and bytes. Extra columns are ignored, empty tables give empty or clean results.
 """
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, prepare, table
+from tidemark.llm.common import join_uneven, materialise, prepare, table
 
 #: Bytes outside words become spaces, A-Z become a-z; bytes of non-ASCII characters stay.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -106,10 +104,12 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 _tables: dict[str, Benchmark] = {}
+SPANS = pa.list_(pa.list_(pa.int64()))
+FOUND = "n_words long, spans array<array<long>>, items array<string>"
 
 
-def _scanner(items: list[tuple[str, str | None]], window: int, last: bool):
-    """A pass over the documents with one block's tables; the last one also sums up, in the same Python worker."""
+def _scanner(items: list[tuple[str, str | None]], window: int, found_only: bool):
+    """A pass over the texts with one block's tables: all rows, or those with a hit only."""
     name = uuid.uuid4().hex  # of the search tables that a Python worker keeps for its next tasks
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,40 +119,32 @@ def _scanner(items: list[tuple[str, str | None]], window: int, last: bool):
         tables = _tables[name]
         for batch in batches:
             counts, hits, found = [], [], []
-            for text, before, known in zip(*(batch.column(c).to_pylist() for c in ("text", "hits", "items"))):
-                words = words_of(text)
+            for text in batch.column("text"):
+                words = words_of(text.as_py())
                 spans, own = tables.hits(words)
-                if spans:
-                    old = np.frombuffer(before, "<i8").reshape(-1, 2).tolist() if before else []
-                    before = np.array(merged([*spans, *map(tuple, old)]), "<i8").tobytes()
-                    known = sorted(own | set(known))
                 counts.append(len(words))
-                hits.append(before)
-                found.append(known)
-            if last:
-                yield _summary(batch.column("id"), counts, hits, found)
-                continue
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("text"), pa.array(counts, pa.int64()), pa.array(hits, pa.binary()), pa.array(found, pa.list_(pa.string()))],
-                ["id", "text", "n_words", "hits", "items"],
-            )
+                hits.append(merged(spans))
+                found.append(sorted(own))
+            rows = [pa.array(counts, pa.int64()), pa.array(hits, SPANS), pa.array(found, pa.list_(pa.string()))]
+            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names if c != "text"), *rows], [*(c for c in batch.schema.names if c != "text"), "n_words", "spans", "items"])
+            yield out.filter(pa.array([bool(h) for h in hits])) if found_only else out
 
     return scan
 
 
-def _summary(ids: pa.Array, counts: list[int], hits: list[bytes | None], items: list[list[str]]) -> pa.RecordBatch:
-    spans = [np.frombuffer(h, "<i8").reshape(-1, 2).tolist() if h else [] for h in hits]
-    return pa.RecordBatch.from_arrays(
-        [
-            ids,
-            pa.array(counts, pa.int64()),
-            pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()),
-            pa.array(spans, pa.list_(pa.list_(pa.int64()))),
-            pa.array(items, pa.list_(pa.string())),
-            pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in items]),
-        ],
-        ["id", "n_words", "n_hit", "spans", "items", "items_sha256"],
-    )
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the hits of the earlier blocks to those of the last one."""
+    for batch in batches:
+        spans, items = [], []
+        for own, earlier, known, more in zip(*(batch.column(c).to_pylist() for c in ("spans", "earlier", "items", "more"))):
+            spans.append(merged([tuple(s) for s in [*own, *(earlier or [])]]))
+            items.append(sorted({*known, *(more or [])}))
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_words"), pa.array(spans, SPANS), pa.array(items, pa.list_(pa.string()))], ["id", "n_words", "spans", "items"])
+
+
+def block(items: DataFrame, k: int, blocks: int) -> list[tuple[str, str | None]]:
+    """The ``k``-th of the benchmark's blocks by hash, about as large as the others."""
+    return [(r.item, r.text) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()]
 
 
 def find_contamination(
@@ -164,19 +156,35 @@ def find_contamination(
     """
     spark = docs.sparkSession
     prepare(spark)
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).alias("text"))
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).alias("text")).distinct()
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
-    types = dict(docs.dtypes)[id_col]
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), F.lit(None).cast("binary").alias("hits"), F.array().cast("array<string>").alias("items"))
-    for k in range(blocks):
-        block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        held = [(r.item, r.text) for r in block.collect()]  # at most about block_bytes
-        if k + 1 < blocks:
-            rows = materialise(rows.mapInArrow(_scanner(held, window, False), f"id {types}, text string, n_words long, hits binary, items array<string>"), "decontam")
-    found = rows.mapInArrow(_scanner(held, window, True), f"id {types}, n_words long, n_hit long, spans array<array<long>>, items array<string>, items_sha256 string")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    schema = f"id {dict(docs.dtypes)[id_col]}, {FOUND}"
+    if blocks == 1:
+        found = rows.mapInArrow(_scanner(block(items, 0, 1), window, False), schema)
+    else:
+        # What is found depends on the text alone: hits of equal texts are one row, named by the text's digest.
+        keyed = rows.withColumn("key", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+        earlier = None
+        for k in range(blocks - 1):
+            hit = keyed.select("key", "text").mapInArrow(_scanner(block(items, k, blocks), window, True), f"key string, {FOUND}")
+            hit = materialise(hit.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.any_value("spans").alias("spans"), F.any_value("items").alias("items")), "decontam")
+            earlier = hit if earlier is None else earlier.unionByName(hit)
+        earlier = earlier.groupBy("key").agg(F.max("size").alias("size"), F.flatten(F.collect_list("spans")).alias("earlier"), F.flatten(F.collect_list("items")).alias("more"))
+        own = keyed.mapInArrow(_scanner(block(items, blocks - 1, blocks), window, False), f"id {dict(docs.dtypes)[id_col]}, key string, {FOUND}")
+        both = join_uneven(own, materialise(earlier, "decontam"), "key", "size")
+        found = both.select("id", "n_words", "spans", "items", "earlier", "more").mapInArrow(_joined, schema)
+    lengths = F.transform("spans", lambda s: s[1] - s[0])
     return found.select(
-        F.col("id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "items_sha256", "spans", (F.col("n_hit") > 0).alias("contaminated")
+        F.col("id").alias(id_col),
+        "n_words",
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        "items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "spans",
+        (F.size("spans") > 0).alias("contaminated"),
     )
 
 

@@ -12,7 +12,8 @@ of them can exist) never enters the sort: its rows are combined before the shuff
 aggregation on the full text.
 
 Nulls and ties: a null text counts as empty; null ids sort below all others; of rows that repeat both id
-and text one stays. An empty table gives an empty result. Other columns are ignored.
+and text one stays. Very long texts are compared whole. An empty table gives an empty
+result. Other columns are ignored.
 """
 
 from __future__ import annotations

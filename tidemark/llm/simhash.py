@@ -15,7 +15,7 @@ Equal fingerprints are one node of the link graph, so copies are never paired. C
 alternating large-star and small-star rounds, each a join and an aggregation, materialised in the shared
 folder between rounds.
 
-Nulls and ties: a null text counts as empty; a text without words has fingerprint zero and links like any
+Very long texts are read whole, in Arrow batches bounded by rows and bytes. Nulls and ties: a null text counts as empty; a text without words has fingerprint zero and links like any
 other; repeated rows share their component; a null id never names a component (unless all ids of it are
 null). An empty table gives an empty result; extra columns are ignored.
 """
