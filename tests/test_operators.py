@@ -11,9 +11,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions import timeutils as t
-from tidemark.operators import backtest, features, forecast, lake, metrics, ml, quality, stats
+from tidemark.operators import backtest, features, forecast, lake, metrics, ml, quality, serving, stats
 from tidemark.plans.feeds import QCOLS, QS
 from tidemark.sources import readers
+from tidemark.streaming import streams
 
 
 def hours(spark, first: str, n: int, zone: str = "a"):
@@ -133,6 +134,18 @@ def test_day_counts(spark):
     assert [r.n_hours for r in quality.gap_runs(quality.missing_hours(rows.where("price not in (5, 6, 9)"), ["zone"]), ["zone"]).orderBy("run_no").collect()] == [2, 1]
 
 
+def test_day_counts_by_resolution(spark):
+    per_day = {"2025-03-29": ("PT60M", 24), "2025-03-30": ("PT60M", 23), "2025-03-31": ("PT15M", 24), "2025-04-01": (None, 24), "2025-04-02": ("PT30M", 24)}
+    rows = hours(spark, "2025-03-27 23:00:00", 24 * 9).withColumn("day", t.local_date("timestamp"))
+    named = F.create_map(*[F.lit(x) for d, (r, _) in per_day.items() for x in (d, r)])
+    rows = rows.withColumn("resolution", F.coalesce(named[F.col("day").cast("string")], F.when(F.col("day") > "2025-04-01", "PT60M")))
+    mixed = rows.withColumn("resolution", F.when((F.col("day") == "2025-04-04") & (F.hour("timestamp") < 5), "PT15M").otherwise(F.col("resolution")))
+    found = {str(r.day): (r.n_rows, r.expected) for r in quality.day_count_errors(mixed, ["zone"], resolution="resolution").collect()}
+    assert found == {"2025-03-31": (24, 96), "2025-04-02": (24, None), "2025-04-04": (24, None)}
+    gap = quality.day_count_errors(mixed.where("day <> '2025-03-29'"), ["zone"], resolution="resolution", quarter_hours_since="2025-03-29").where("day = '2025-03-29'").first()
+    assert (gap.n_rows, gap.expected) == (0, 96)
+
+
 @given(st.lists(st.floats(-100, 100), min_size=3, max_size=3), st.floats(-100, 100))
 @settings(max_examples=10, deadline=None)
 def test_pinball_is_not_negative_and_quantiles_sort(spark, qs, y):
@@ -268,3 +281,46 @@ def test_digest_depends_on_rows_and_names_alone(spark):
     assert digest(rows) == digest(rows.orderBy(F.desc("a")).select("b", "a").repartition(3))
     others = [rows.distinct(), rows.withColumnRenamed("b", "c"), rows.withColumn("a", F.col("a") + 1), rows.fillna("x")]
     assert len({tuple(digest(df)) for df in [rows, *others]}) == 5
+
+
+def test_order_of_arrival_across_chunks(spark):
+    rows = spark.sql("select 'a' as zone, id as seq, timestamp_seconds(case when id in (4, 7) then 0 else id * 60 end) as timestamp from range(10) union all select 'b', 1, null")
+    for chunk in (None, F.floor(F.col("seq") / 2), F.floor(F.col("seq") / 4), F.col("seq")):
+        found = {r.zone: (r.n_back, r.n_null) for r in quality.not_monotone(rows, ["zone"], ["seq"], chunk=chunk).collect()}
+        assert found == {"a": (2, 0), "b": (0, 1)}
+
+
+def test_forecast_store_keeps_what_was_written(spark, tmp_path):
+    first = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 2.0)], "zone string, origin int, q50 double")
+    again = spark.createDataFrame([("a", 2, 9.0), ("a", 3, 3.0)], "zone string, origin int, q50 double")
+    root = str(tmp_path / "forecasts")
+    assert lake.store_new(first, root, ["zone", "origin"]).count() == 2
+    for _ in range(2):
+        found = lake.store_new(again, root, ["zone", "origin"])
+        assert found.dtypes == again.dtypes
+        assert sorted(map(tuple, found.collect())) == [("a", 2, 2.0), ("a", 3, 3.0)]
+    with pytest.raises(ValueError, match="mix"):
+        serving.stored_losses(spark.createDataFrame([("a", "m", 1, 1.0, "v1"), ("a", "n", 1, 1.0, "v2")], "zone string, model string, target_date int, pinball double, dataset_version string"))
+
+
+def test_silver_stream_logs_changes_and_repeats_batches(spark, tmp_path):
+    schema = "part int, pulled_at timestamp, snapshot string, seq int, price double, valid boolean"
+    source, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+
+    def arrive(*rows):
+        lines = [f"({p}, timestamp'2024-01-0{d} 00:00:00', 's{d}', {d}, {price}D, {str(ok).lower()})" for p, d, price, ok in rows]
+        spark.sql(f"select * from values {', '.join(lines)} as t(part, pulled_at, snapshot, seq, price, valid)").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        table = streams.stream_silver(spark, stream, ["part"], out, state, values=["price"], buckets=4)
+        return {r.part: (r.seq, r.price) for r in table.collect()}
+
+    assert arrive(*[(p, 1, float(p), True) for p in range(20)]) == {p: (1, float(p)) for p in range(20)}
+    assert arrive((3, 2, 30.0, True), (3, 3, 31.0, True), (4, 2, 40.0, False))[3] == (3, 31.0)
+    found = arrive((3, 2, 30.0, True), (5, 4, 5.0, True))
+    assert (found[3], found[4], found[5]) == ((3, 31.0), (1, 4.0), (4, 5.0)) and len(found) == 20
+    changes = spark.read.parquet(f"{out}/changes").orderBy("version", "new_pulled_at").collect()
+    assert [(r.part, r.old, r.new) for r in changes if r.version < 2] == [(3, 3.0, 30.0), (3, 30.0, 31.0)]
+    # A batch whose commit was lost runs again and gives the same table.
+    for log in (tmp_path / "state" / "commits").glob("*2*"):
+        log.unlink()
+    assert {r.part: (r.seq, r.price) for r in streams.stream_silver(spark, spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source), ["part"], out, state, values=["price"], buckets=4).collect()} == found

@@ -121,6 +121,24 @@ def append_new(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFram
     return existing.unionByName(new.join(existing.select(*keys).distinct(), keys, "left_anti"))
 
 
+def store_new(df: DataFrame, root: str, by: list[str]) -> DataFrame:
+    """Append to a Parquet store partitioned by ``by`` what has a new partition; returns the stored rows of ``df``'s partitions.
+
+    A partition (a forecast's zone, role and origin) is written once: a run that is repeated, or made again by another
+    model, gets what was written. Which partitions there are is read from the folder names, not from the rows.
+    """
+    spark, types = df.sparkSession, dict(df.dtypes)
+    schema = df.select(*[c for c in df.columns if c not in by], *by).schema
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(root)
+    exists = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
+    fresh = df
+    if exists:
+        fresh = df.join(spark.read.schema(schema).parquet(root).select(*by).distinct(), by, "left_anti")
+    fresh.repartition(*by).write.mode("append").partitionBy(*by).parquet(root)
+    stored = spark.read.schema(schema).parquet(root)
+    return stored.join(df.select(*by).distinct(), by, "left_semi").select(*[F.col(c).cast(types[c]).alias(c) for c in df.columns])
+
+
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of ``new`` replace the stored ones."""
     return existing.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.timeutils import TZ, hours_in_local_day, local_date, neighbouring_times
+from tidemark.functions.timeutils import RESOLUTIONS, TZ, hours_in_local_day, local_date, neighbouring_times
 
 
 @dataclass(frozen=True)
@@ -59,11 +59,18 @@ def duplicate_timestamps(df: DataFrame, keys: list[str], ts: str = "timestamp")
     return df.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def not_monotone(df: DataFrame, keys: list[str], arrival: list[str], ts: str = "timestamp") -> DataFrame:
-    """Per key the rows that arrive after a row with a later time, and rows without a time."""
-    order = Window.partitionBy(*keys).orderBy(*arrival)
-    back = F.col(ts) < F.lag(ts).over(order)
-    return df.withColumn("_back", back).groupBy(*keys).agg(F.count_if("_back").alias("n_back"), F.count_if(F.col(ts).isNull()).alias("n_null"))
+def not_monotone(df: DataFrame, keys: list[str], arrival: list[str], ts: str = "timestamp", chunk: Column | None = None) -> DataFrame:
+    """Per key the rows that arrive after a row with a later time, and rows without a time.
+
+    ``chunk`` never falls in order of arrival (a day of arrival, say): rows are ordered within a chunk, and one row per chunk tells
+    the next one where it left off, so that no task holds a whole series. ``arrival`` orders the rows of a key in full.
+    """
+    rows = df.withColumn("_chunk", chunk if chunk is not None else F.lit(0))
+    ends = rows.groupBy(*keys, "_chunk").agg(F.max_by(ts, F.struct(*arrival)).alias("_last"))
+    ends = ends.select(*keys, "_chunk", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_before"))
+    order = Window.partitionBy(*keys, "_chunk").orderBy(*arrival)
+    before = F.when(F.row_number().over(order) == 1, F.col("_before")).otherwise(F.lag(ts).over(order))
+    return rows.join(ends, [*keys, "_chunk"], "left").withColumn("_back", F.col(ts) < before).groupBy(*keys).agg(F.count_if("_back").alias("n_back"), F.count_if(F.col(ts).isNull()).alias("n_null"))
 
 
 def merge_intervals(df: DataFrame, keys: list[str], start: str = "start", end: str = "end") -> DataFrame:
@@ -82,18 +89,34 @@ def max_gap_errors(df: DataFrame, keys: list[str], max_gap_s: float, excluded: D
     return gaps.join(excluded, [*keys, "gap_start", "gap_end"], "left_anti") if excluded is not None else gaps
 
 
-def day_count_errors(hourly: DataFrame, keys: list[str], step_hours: float = 1, excluded: DataFrame | None = None, ts: str = "timestamp", tz: str = TZ) -> DataFrame:
-    """Local days inside the data whose row count isn't that of the day (23, 24 or 25 hours); excluded days must be empty."""
-    counts = hourly.groupBy(*keys, local_date(ts, tz).alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
+#: Fixed value: the first delivery day of the quarter-hourly market.
+QUARTER_HOURS_SINCE = "2025-10-01"
+
+
+def day_count_errors(
+    hourly: DataFrame, keys: list[str], step_hours: float = 1, excluded: DataFrame | None = None, ts: str = "timestamp", tz: str = TZ, resolution: str | None = None, quarter_hours_since: str = QUARTER_HOURS_SINCE
+) -> DataFrame:
+    """Local days inside the data whose row count isn't that of the day (23, 24 or 25 hours); excluded days must be empty.
+
+    With a column ``resolution`` (PT15M or PT60M by row) each day is counted in its own steps, one without any in the market's
+    by the day; a day of several resolutions is an error without an expected count, as is one of an unknown resolution.
+    """
+    own = [F.min(resolution).alias("_low"), F.max(resolution).alias("_high")] if resolution else []
+    counts = hourly.groupBy(*keys, local_date(ts, tz).alias("day")).agg(F.count(F.lit(1)).alias("n_rows"), *own)
     span = counts.groupBy(*keys).agg(F.min("day").alias("_a"), F.max("day").alias("_b"))
     inner = F.explode(F.sequence(F.date_add("_a", 1), F.date_sub("_b", 1)))
     grid = span.where(F.datediff("_b", "_a") > 1).select(*keys, inner.alias("day"))
     out = grid.join(counts, [*keys, "day"], "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
-    want = (hours_in_local_day(F.col("day"), tz) / step_hours).cast("long")
+    hours = hours_in_local_day(F.col("day"), tz)
+    want = (hours / step_hours).cast("long")
+    if resolution:
+        default = F.when(F.col("day") >= F.lit(quarter_hours_since).cast("date"), "PT15M").otherwise("PT60M")
+        step = F.when(F.col("_low").eqNullSafe(F.col("_high")), F.coalesce("_low", default))
+        want = F.coalesce(*[F.when(step == name, (hours * 3600 / s).cast("long")) for name, s in RESOLUTIONS.items()])
     if excluded is not None:
         out = out.join(excluded.withColumn("_excluded", F.lit(True)), [*keys, "day"], "left")
         want = F.when(F.col("_excluded"), F.lit(0).cast("long")).otherwise(want)
-    return out.withColumn("expected", want).where("n_rows <> expected").select(*keys, "day", "n_rows", "expected")
+    return out.withColumn("expected", want).where("not (n_rows <=> expected)").select(*keys, "day", "n_rows", "expected")
 
 
 def missing_hours(hourly: DataFrame, keys: list[str], ts: str = "timestamp", value: str | None = None) -> DataFrame:

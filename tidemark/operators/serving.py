@@ -154,7 +154,14 @@ def champion_challenger(scores: DataFrame, champion: str, challenger: str) -> Da
 
 
 def stored_losses(losses: DataFrame) -> DataFrame:
-    """Mean losses of stored runs on their common days; a run that is stored twice is refused."""
+    """Mean losses of stored runs on their common days.
+
+    A run that is stored twice is refused, and so are runs of a zone on different evaluation datasets (``dataset_version``).
+    """
+    if "dataset_version" in losses.columns:
+        mixed = losses.groupBy("zone").agg(F.min("dataset_version").alias("a"), F.max("dataset_version").alias("b")).where("a <> b").limit(1)
+        if not mixed.isEmpty():
+            raise ValueError("the runs of a zone mix evaluation datasets")
     twice = losses.groupBy("zone", "model", "target_date").count().where("count > 1").limit(1)
     if not twice.isEmpty():
         raise ValueError("a model has several losses for a day")

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from tidemark.operators import backtest as bt
 from tidemark.operators import features as ft
 from tidemark.operators import forecast as op
+from tidemark.operators import lake
 from tidemark.operators import metrics as mt
 from tidemark.operators import stats as st
 from tidemark.plans.feeds import QCOLS, QS, ZONED_SQL, forecasts, forecasts_sql, keyed, loc, ntz, r6, read, zoned_orders
 from tidemark.plans.features import dataset_sql
 from tidemark.plans.registry import query
+from tidemark.sources.scratch import scratch
 
 
 def loss_sql(q: float, col: str, y: str = "y") -> str:
@@ -477,7 +479,29 @@ def compare_models(spark, sf_dir):
 def compare_stored(spark, sf_dir):
     from tidemark.operators.serving import stored_losses
 
-    return stored_losses(two_models(spark, sf_dir)).withColumn("pinball", r6("pinball"))
+    losses = two_models(spark, sf_dir).withColumn("dataset_version", F.concat("zone", F.lit("-stitched")))
+    path = scratch(spark, "losses")
+    losses.repartition("zone", "model").write.partitionBy("zone", "model").parquet(path)
+    return stored_losses(spark.read.schema(losses.schema).parquet(path)).withColumn("pinball", r6("pinball"))
+
+
+STORE_SQL = """mid as (select date_add(min(origin_date), cast(date_diff('day', min(origin_date), max(origin_date)) // 2 as integer)) as d from fc),
+served as (select f.*, row_number() over (partition by zone, origin_date order by model) as rn, count(*) filter (where model = 'naive_7d') over (partition by zone, origin_date) as later from (select distinct zone, origin_date, model from fc, mid where model = 'naive_7d' or origin_date < d) f)"""
+
+
+@query(
+    "forecast_store",
+    f"with {forecasts_sql((1, 7))}, {STORE_SQL} select fc.zone, 'champion' as role, fc.origin_date, fc.model, count(*) as n_rows, round(avg(q50), 6) as q50 from fc join served s on s.zone = fc.zone and s.origin_date = fc.origin_date and s.model = fc.model where s.rn = 1 and s.later > 0 group by all",
+)
+def forecast_store(spark, sf_dir):
+    """A model serves the first half of the origins; a later one is run on all of them and finds those stored."""
+    fc = forecasts(spark, sf_dir, (1, 7)).withColumn("role", F.lit("champion")).select("zone", "role", "origin_date", "model", "target_time", "q50")
+    span = fc.agg(F.min("origin_date").alias("a"), F.max("origin_date").alias("b"))
+    mid = span.select(F.expr("date_add(a, cast(floor(datediff(b, a) / 2) as int))")).first()[0]
+    root = scratch(spark, "forecasts")
+    lake.store_new(fc.where((F.col("model") == "naive_1d") & (F.col("origin_date") < F.lit(mid))), root, ["zone", "role", "origin_date"])
+    found = lake.store_new(fc.where("model = 'naive_7d'"), root, ["zone", "role", "origin_date"])
+    return found.groupBy("zone", "role", "origin_date", "model").agg(F.count(F.lit(1)).alias("n_rows"), r6(F.avg("q50")).alias("q50"))
 
 
 @query("quantile_forest")

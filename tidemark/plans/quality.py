@@ -39,7 +39,7 @@ def duplicate_timestamps(spark, sf_dir):
     f"with {PULLS_SQL}, w as (select part, pulled_at, lag(pulled_at) over (partition by part order by seq, price, pulled_at) as before from pulls) select part, count(*) filter (where pulled_at < before) as n_back, count(*) filter (where pulled_at is null) as n_null from w group by 1",
 )
 def not_monotone(spark, sf_dir):
-    return op.not_monotone(pulls(spark, sf_dir), ["part"], ["seq", "price", "pulled_at"], "pulled_at")
+    return op.not_monotone(pulls(spark, sf_dir), ["part"], ["seq", "price", "pulled_at"], "pulled_at", F.floor(F.col("seq") / 16384))
 
 
 @query(

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from tidemark.operators.lake import latest_per_key
+from tidemark.operators.lake import change_log, latest_per_key
 
 
 def stream_hourly(stream: DataFrame, watermark: str = "2 hours", keys: tuple[str, ...] = ("zone",), ts: str = "timestamp", value: str = "price") -> DataFrame:
@@ -22,20 +23,61 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
     return started
 
 
-def stream_silver(spark: SparkSession, pulls: DataFrame, keys: list[str], out: str, checkpoint: str) -> DataFrame:
-    """Latest valid row per key over a stream of pulls.
+def _files(spark: SparkSession, path: str):
+    """A path as Hadoop sees it, and its file system."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    Every micro-batch is reduced to one row per key, merged with the version before and written as a new
-    version; a repeated batch rewrites its own version, so a restart after a lost job gives the same table.
+
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    """The versions that a bucket has, in order."""
+    jpath, fs = _files(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(jpath)] if fs.exists(jpath) else []
+    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+
+
+def silver_table(spark: SparkSession, out: str, schema: StructType, buckets: int = 16) -> DataFrame:
+    """The newest version of every bucket that :func:`stream_silver` wrote."""
+    folders = [f"{out}/data/bucket={b}" for b in range(buckets)]
+    paths = [f"{f}/version={v[-1]}" for f in folders if (v := _versions(spark, f))]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def stream_silver(spark: SparkSession, pulls: DataFrame, keys: list[str], out: str, checkpoint: str, values: list[str] | None = None, buckets: int = 16) -> DataFrame:
+    """Latest valid row per key over a stream of pulls; with ``values`` their changes too, under ``out/changes``.
+
+    The table is split into ``buckets`` by a hash of the key. A micro-batch reads and rewrites the buckets that it touches,
+    as a new version of each; a repeated batch starts from the versions before it and rewrites its own, so a restart
+    after a lost job gives the same table. Versions that no batch can start from any more are removed.
+
+    Changes are those from the stored row of a key through the pulls of the batch, by time of pull; a pull older than the
+    stored row is logged as followed by it.
     """
+    spread = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    folder = lambda b: f"{out}/data/bucket={b}"
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        newest = latest_per_key(batch, keys)
-        if epoch:
-            newest = latest_per_key(newest.unionByName(spark.read.parquet(f"{out}/version={epoch - 1}")), keys)
-        newest.write.mode("overwrite").parquet(f"{out}/version={epoch}")
+        batch = batch.where("valid").persist()
+        try:
+            touched = [r.b for r in batch.select(spread.alias("b")).distinct().collect()]  # at most ``buckets``
+            before = {b: [v for v in _versions(spark, folder(b)) if v < epoch] for b in touched}
+            paths = [f"{folder(b)}/version={v[-1]}" for b, v in before.items() if v]
+            held = spark.read.schema(pulls.schema).parquet(*paths) if paths else None
+            if values:
+                known = batch if held is None else batch.unionByName(held.join(batch.select(*keys).distinct(), keys, "left_semi"))
+                change_log(known, keys, values).write.mode("overwrite").parquet(f"{out}/changes/version={epoch}")
+            newest = latest_per_key(batch, keys)
+            if held is not None:
+                newest = latest_per_key(newest.unionByName(held), keys)
+            placed = newest.withColumn("bucket", spread).withColumn("version", F.lit(epoch))
+            placed.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(f"{out}/data")
+            for b, old in before.items():
+                for v in old[:-1]:
+                    jpath, fs = _files(spark, f"{folder(b)}/version={v}")
+                    fs.delete(jpath, True)
+        finally:
+            batch.unpersist()
 
     started = pulls.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     started.awaitTermination()
-    last = started.lastProgress["batchId"] if started.lastProgress else 0
-    return spark.read.parquet(f"{out}/version={last}")
+    return silver_table(spark, out, pulls.schema, buckets)
