@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timeutils import TZ, hours_in_local_day
 from tidemark.operators.forecast import sort_quantiles
+from tidemark.sources.scratch import stored
 
 
 class Forecaster(Protocol):
@@ -26,6 +27,7 @@ def backtest(forecaster: Forecaster, rows: DataFrame, schedule: DataFrame, colum
     crossing ones are sorted and flagged. The loop is over refit origins (months), since a fit is a job.
     """
     keys = list(keys)
+    rows = stored(rows, "backtest")  # read by every fit
     parts = []
     for fit in [r.fit_origin for r in schedule.select("fit_origin").distinct().orderBy("fit_origin").collect()]:
         todo = rows.join(schedule.where(F.col("fit_origin") == fit).select(*keys, "origin_date"), [*keys, "origin_date"], "left_semi")

@@ -232,6 +232,27 @@ def backtest(spark, sf_dir):
     return fc.groupBy("zone", "fit_origin").agg(F.count_distinct("origin_date").alias("n_origins"), F.count(F.lit(1)).alias("n_rows"), r6(F.avg(loss)).alias("pinball"))
 
 
+CLIMATE_SQL = ", ".join(f"quantile_cont(y, {q}) as {c}" for q, c in zip(QS, QCOLS))
+
+
+@query(
+    "backtest_stepwise",
+    f"""with {dataset_sql()}, {SCHEDULE_SQL}, fits as (select distinct zone, fit_origin from sched),
+    cl as (select f.zone, f.fit_origin, d.cal_hour, {CLIMATE_SQL} from fits f join dataset d on d.zone = f.zone and d.target_date <= f.fit_origin group by all)
+    select d.zone, d.origin_date, s.fit_origin, d.target_time, {', '.join(f'round({c}, 6) as {c}' for c in QCOLS)} from dataset d join sched s using (zone, origin_date) join cl using (zone, fit_origin, cal_hour)""",
+)
+def backtest_stepwise(spark, sf_dir):
+    """A plug-in forecaster, the training slice's quantiles by hour, fitted once a month."""
+
+    def climate(train, rows):
+        levels = train.groupBy("zone", "cal_hour").agg(F.percentile("y", F.array(*[F.lit(q) for q in QS])).alias("_q"))
+        return rows.join(levels, ["zone", "cal_hour"]).withColumns({c: F.col("_q")[i] for i, c in enumerate(QCOLS)}).drop("_q")
+
+    rows = ft.origin_dataset(keyed(spark, sf_dir))
+    out = bt.backtest(climate, rows, schedule(spark, sf_dir, rows), list(QCOLS))
+    return out.select("zone", "origin_date", "fit_origin", ntz("target_time").alias("target_time"), *[r6(c).alias(c) for c in QCOLS])
+
+
 Z = ", ".join(f"round(level + effect + sigma * {op.NORMAL[q]}, 6) as {c}" for q, c in zip(QS, QCOLS))
 
 
@@ -267,10 +288,10 @@ def recalibrate(spark, sf_dir):
 GRID_SQL = """grid as (select cast(row_number() over (order by a * a + (20 - a) * (20 - a), a desc) as integer) as rank, a / 20.0::double as w1, (20 - a) / 20.0::double as w2 from (select unnest(generate_series(0, 20)) as a))"""
 
 
-@query("simplex_grid", f"with {GRID_SQL}, n as (select count(*) as members from region) select rank, w1, w2 from grid, n where members > 0")
+@query("simplex_grid", f"with {forecasts_sql()}, {GRID_SQL}, n as (select count(distinct model) as members from fc) select rank, w1, w2 from grid, n where members = 2")
 def simplex_grid(spark, sf_dir):
-    members = read(spark, sf_dir, "region").agg(F.count(F.lit(1)).alias("members"))
-    return op.simplex_grid(spark, 2, 20).join(F.broadcast(members)).where("members > 0").drop("members")
+    """The grid for as many members as there are models with forecasts."""
+    return op.simplex_grid(spark, forecasts(spark, sf_dir).agg(F.count_distinct("model")).first()[0], 20)
 
 
 #: The ensemble's three members, and the steps of their weights.
