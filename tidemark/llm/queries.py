@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.bpe import op8_byte_bpe
+from tidemark.llm.bpe_tree import op13_bpe_tree
 from tidemark.llm.decontam import op10_decontaminate
 from tidemark.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from tidemark.llm.language_id import op2_language_id
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_decontaminate": op10_decontaminate,
+    "op13_bpe_tree": op13_bpe_tree,
 }
 
 #: The others have no SQL form (or none that is quick on whole tables); the tests hold them against brute force.
