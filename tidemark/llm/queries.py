@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm.bpe import op8_byte_bpe
 from tidemark.llm.bpe_tree import op13_bpe_tree
 from tidemark.llm.decontam import op10_decontaminate
+from tidemark.llm.divergence import OP11_SQL, op11_source_divergence
 from tidemark.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from tidemark.llm.language_id import op2_language_id
 from tidemark.llm.lm_scoring import op1_lm_scoring
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_decontaminate": op10_decontaminate,
+    "op11_source_divergence": op11_source_divergence,
     "op13_bpe_tree": op13_bpe_tree,
 }
 
@@ -32,4 +34,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_warc": OP3_SQL,
     "op4_exact_dedup": OP4_SQL,
+    "op11_source_divergence": OP11_SQL,
 }
