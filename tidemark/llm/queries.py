@@ -11,6 +11,7 @@ from tidemark.llm.language_id import op2_language_id
 from tidemark.llm.lm_scoring import op1_lm_scoring
 from tidemark.llm.quality import op5_quality
 from tidemark.llm.simhash import op6_simhash
+from tidemark.llm.spelling import op12_spelling
 from tidemark.llm.suffix_dedup import op7_suffix_dedup
 from tidemark.llm.toxicity import op9_toxicity
 from tidemark.llm.warc import OP3_SQL, op3_warc
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_decontaminate": op10_decontaminate,
     "op11_source_divergence": op11_source_divergence,
+    "op12_spelling": op12_spelling,
     "op13_bpe_tree": op13_bpe_tree,
 }
 
