@@ -62,10 +62,10 @@ def test_root_is_the_leftmost_lowest_merge(piece):
         found = min(((merges.ranks.get(a << 32 | b, 1 << 40), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))), default=(1 << 40, 0))
         if found[0] == 1 << 40:
             break
-        assert tree.merge()
+        tree.merge_all(1)
         parts[found[1] : found[1] + 2] = [merges.made[found[0]]]
         assert [t for t in tree.tokens if t >= 0] == parts
-    assert not tree.merge()
+    assert tree.merge_all(1) == parts
 
 
 def test_every_character_of_the_fast_split(library):

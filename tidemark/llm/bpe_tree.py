@@ -17,6 +17,7 @@ whatever else there is. An empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,10 +32,10 @@ from tokenizers import pre_tokenizers
 from tidemark.llm.common import prepare, table
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Pieces that a Python worker remembers, and the longest of them.
+#: Pieces that a Python worker remembers (twice as many for a while), and the longest of them.
 PIECES, LONGEST = 250_000, 64
-NEVER = 1 << 62
-PLACE = (1 << 32) - 1
+#: Stands for the rank of a pair that doesn't merge.
+NO_RANK = 1 << 24
 #: Below this code point the regex library and the tokenizer library know the same letters, digits and white space.
 AGREED = 0x558
 
@@ -69,97 +70,103 @@ class Merges:
         self.ranks: dict[int, int] = {}
         for rank, (a, b) in enumerate(pairs):
             self.ranks[vocab[a] << 32 | vocab[b]] = rank  # of equal pairs the last holds, as in the library
+        #: The ranks of two bytes.
+        self.byte_pairs = [self.ranks.get(a << 32 | b, NO_RANK) for a in self.bytes for b in self.bytes]
 
     def encode(self, piece: bytes) -> list[int]:
         return PairTree(self, piece).merge_all() if len(piece) > 1 else [self.bytes[b] for b in piece]
 
 
 class PairTree:
-    """The tokens of a piece, and the segment tree over the ranks of their adjacent pairs."""
+    """The tokens of a piece, and the segment tree over the ranks of their adjacent pairs.
+
+    A leaf is rank and place in one number (``NO_RANK`` and place for a pair that can't merge); the tree is a list with
+    the root at 1 and the children of a node at twice its number and one behind.
+    """
 
     def __init__(self, merges: Merges, piece: bytes) -> None:
-        self.merges, n = merges, len(piece)
-        self.tokens = tokens = [merges.bytes[b] for b in piece]
-        self.before, self.after = list(range(-1, n - 1)), [*range(1, n), -1]
-        self.leaves = leaves = 1 << max(0, n - 2).bit_length()
-        self.tree = tree = [NEVER] * (2 * leaves)
-        for i in range(n - 1):
-            tree[leaves + i] = self._key(tokens[i], tokens[i + 1], i)
-        for node in range(leaves - 1, 0, -1):
-            left, right = tree[2 * node], tree[2 * node + 1]
-            tree[node] = left if left < right else right
-
-    def _key(self, left: int, right: int, at: int) -> int:
-        rank = self.merges.ranks.get(left << 32 | right)
-        return NEVER if rank is None else rank << 32 | at
-
-    def _set(self, at: int, key: int) -> None:
-        tree, node = self.tree, self.leaves + at
-        tree[node] = key
-        while node > 1:
-            node >>= 1
-            left, right = tree[2 * node], tree[2 * node + 1]
-            least = left if left < right else right
-            if tree[node] == least:
-                return
-            tree[node] = least
-
-    def merge(self) -> bool:
-        """Do the merge at the root; False if there is none."""
-        key = self.tree[1]
-        if key == NEVER:
-            return False
-        tokens, before, after, at = self.tokens, self.before, self.after, key & PLACE
-        gone = after[at]
-        tokens[at] = self.merges.made[key >> 32]
-        after[at] = follows = after[gone]
-        tokens[gone] = -1
-        if follows >= 0:
-            before[follows] = at
-            self._set(gone, NEVER)
-            self._set(at, self._key(tokens[at], tokens[follows], at))
-        else:
-            self._set(at, NEVER)
-        if (left := before[at]) >= 0:
-            self._set(left, self._key(tokens[left], tokens[at], left))
-        return True
-
-    def merge_all(self) -> list[int]:
-        while self.merge():
-            pass
-        return [t for t in self.tokens if t >= 0]
+        n = len(piece)
+        self.merges, self.places = merges, n.bit_length()
+        of, first, places = merges.bytes, merges.byte_pairs, self.places
+        self.tokens = [of[b] for b in piece]
+        self.before, self.after = list(range(-1, n - 1)), list(range(1, n + 1))
+        self.leaves = leaves = 1 << (n - 1).bit_length()
+        level = [first[a << 8 | b] << places | i for i, (a, b) in enumerate(zip(piece, piece[1:]))]
+        level += [NO_RANK << places] * (leaves - len(level))
+        tree = level
+        while len(level) > 1:
+            level = [x if x < y else y for x, y in zip(level[::2], level[1::2])]
+            tree = level + tree
+        self.tree = [0, *tree]
+
+    def merge_all(self, most: int = -1) -> list[int]:
+        """Do the merge at the root until there is none (or ``most`` times); the tokens that are left."""
+        tree, leaves, places, tokens, before, after = self.tree, self.leaves, self.places, self.tokens, self.before, self.after
+        made, rank, n, place, never = self.merges.made, self.merges.ranks.get, len(self.tokens), (1 << self.places) - 1, NO_RANK << self.places
+        while (key := tree[1]) < never and most:
+            most -= 1
+            at = key & place
+            gone = after[at]
+            tokens[at] = token = made[key >> places]
+            tokens[gone] = -1
+            after[at] = follows = after[gone]
+            tree[leaves + gone] = never
+            if follows < n:
+                before[follows] = at
+                tree[leaves + at] = rank(token << 32 | tokens[follows], NO_RANK) << places | at
+            else:
+                tree[leaves + at] = never
+            left = before[at]
+            if left >= 0:
+                tree[leaves + left] = rank(tokens[left] << 32 | token, NO_RANK) << places | left
+                changed = (gone, at, left)
+            else:
+                changed = (gone, at)
+            for node in changed:  # what stands above an unchanged node is right already
+                node = (leaves + node) >> 1
+                while node:
+                    x, y = tree[2 * node], tree[2 * node + 1]
+                    if y < x:
+                        x = y
+                    if tree[node] == x:
+                        break
+                    tree[node] = x
+                    node >>= 1
+        return [t for t in tokens if t >= 0]
 
 
 class Encoder:
     def __init__(self, path: str) -> None:
         self.merges = Merges(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.unusual = regex.compile(f"[^\\x00-{chr(AGREED - 1)}]").search
+        self.unusual = re.compile(f"[^\\x00-{chr(AGREED - 1)}]").search
         self.library = pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str
         named = sorted(map(regex.escape, self.merges.added), key=len, reverse=True)
         self.cut = regex.compile(f"({'|'.join(named)})").split if named else lambda text: [text]
 
     def pieces(self, part: str) -> list[str]:
         """The pieces of a text without added tokens. Newer letters are left to the library's own splitter."""
-        return [part[a:b] for _, (a, b) in self.library(part)] if self.unusual(part) else self.split(part)
+        return self.split(part) if part.isascii() or not self.unusual(part) else [part[a:b] for _, (a, b) in self.library(part)]
 
     def _ids(self, piece: str) -> bytes:
-        ids = np.array(self.merges.encode(piece.encode()), "<u4").tobytes()
+        ids = self.older.get(piece) or np.array(self.merges.encode(piece.encode()), "<u4").tobytes()
         if len(piece) <= LONGEST:
             if len(self.known) >= PIECES:
-                self.known.clear()
+                self.older, self.known = self.known, {}
             self.known[piece] = ids
         return ids
 
     def encode(self, text: str | None) -> bytes:
         """The token ids as little-endian unsigned 32-bit integers."""
-        out, get, make = [], self.known.get, self._ids
+        out, make = [], self._ids
         for i, part in enumerate(self.cut(text or "")):
             if i % 2:
                 out.append(self.merges.added[part].to_bytes(4, "little"))
             else:
-                out += [get(p) or make(p) for p in self.pieces(part)]
+                known = self.known.get
+                out += [known(p) or make(p) for p in self.pieces(part)]
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
