@@ -14,6 +14,7 @@ from tidemark.functions import timeutils as t
 from tidemark.operators import backtest, features, forecast, lake, metrics, ml, quality, serving, stats
 from tidemark.plans.feeds import QCOLS, QS
 from tidemark.sources import readers
+from tidemark.sources.versions import Conflict, VersionedTable
 from tidemark.streaming import streams
 
 
@@ -92,12 +93,64 @@ def test_stores(spark, tmp_path):
     root = f"file://{tmp_path}/silver"
     lake.write_silver(df, root)
     lake.write_silver(df.where("year(timestamp) = 2025").withColumn("price", F.lit(1.0)), root)
-    assert {r.year: r.p for r in spark.read.parquet(root).groupBy("year").agg(F.max("price").alias("p")).collect()} == {2024: 3.0, 2025: 1.0}
+    assert {r.year: r.p for r in lake.read_silver(spark, root).groupBy("year").agg(F.max("price").alias("p")).collect()} == {2024: 3.0, 2025: 1.0}
     assert lake.write_dataset(df, f"file://{tmp_path}/ds", "a", "k", "t1") == lake.write_dataset(df.orderBy(F.rand()), f"file://{tmp_path}/ds", "a", "k", "t2")
     manifest = lake.write_snapshot(df, f"file://{tmp_path}/raw", "s", "d", "k", "1", True).first()
     assert manifest.row_count == 8
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    assert (str(manifest.data_start), str(manifest.data_end)) == ("2024-12-31 20:00:00", "2025-01-01 03:00:00")
+    with pytest.raises(lake.Refused, match="stored already"):
         lake.write_snapshot(df, f"file://{tmp_path}/raw", "s", "d", "k", "1", True)
+    other = lake.write_dataset(df.withColumn("extra", F.lit(1)), f"file://{tmp_path}/ds", "a", "k", "t3")
+    assert [(r.version, r.built_at) for r in lake.dataset_manifest(spark, f"file://{tmp_path}/ds").orderBy("built_at").collect()][1] == (other, "t3")
+    assert lake.read_dataset(spark, f"file://{tmp_path}/ds", other).columns == [*df.columns, "extra"]
+
+
+def test_a_reader_sees_the_old_or_the_new_version(spark, tmp_path):
+    root = f"file://{tmp_path}/silver"
+    df = hours(spark, "2024-12-31 20:00:00", 8)
+    lake.write_silver(df.limit(0), root)
+    empty = lake.read_silver(spark, root)
+    assert empty.count() == 0 and empty.columns == [*df.columns, "year"]
+    lake.write_silver(df, root)
+    held = lake.read_silver(spark, root)  # planned before the replace, run after it
+    lake.write_silver(df.withColumn("price", F.lit(-1.0)), root)
+    assert held.agg(F.min("price")).first()[0] == 0.0 and lake.read_silver(spark, root).agg(F.max("price")).first()[0] == -1.0
+    assert lake.read_silver(spark, root, 2).agg(F.min("price")).first()[0] == 0.0
+    # A write that is killed half-way leaves files that no version names.
+    table = VersionedTable(spark, root)
+    before = table.manifest()
+
+    @F.udf("double")
+    def fail(x):
+        raise RuntimeError("killed")
+
+    with pytest.raises(Exception, match="killed"):
+        lake.write_silver(df.withColumn("price", fail("price")), root)
+    assert table.manifest() == before and lake.read_silver(spark, root).count() == 8
+    table.vacuum(keep=1)
+    assert table.versions() == [before["version"]] and lake.read_silver(spark, root).count() == 8
+    assert {p.name for p in (tmp_path / "silver" / "data").iterdir()} == {p["path"].split("/")[1] for p in before["parts"]}
+
+
+def test_of_two_writers_one_gets_a_conflict(spark, tmp_path):
+    table = VersionedTable(spark, f"file://{tmp_path}/t")
+    df = spark.range(3)
+    first, second = table.manifest(), table.manifest()
+    table.commit(first, [table.write(df)], df.schema)
+    with pytest.raises(Conflict):
+        table.commit(second, [table.write(df)], df.schema)
+    assert table.update(lambda m: [*m["parts"], table.write(df)], df.schema)["version"] == 2
+    assert table.read(table.manifest()).count() == 6 and not list((tmp_path / "t" / "commits").glob(".*json"))
+
+
+def test_refused_rows_are_not_committed(spark, tmp_path):
+    table = VersionedTable(spark, f"file://{tmp_path}/t")
+    df, limits = spark.range(5), {"negative": F.col("id") < 0, "large": F.col("id") > 3, "null": F.col("id").isNull()}
+    with pytest.raises(lake.Refused, match="'large': 1"):
+        lake.commit_checked(df, table, limits, lambda m, part: [part])
+    assert table.versions() == [] and not list((tmp_path / "t" / "data").iterdir())
+    lake.commit_checked(df.where("id < 4"), table, limits, lambda m, part: [part])
+    assert table.read(table.manifest()).count() == 4
 
 
 def test_readers(spark, tmp_path):
@@ -311,16 +364,42 @@ def test_silver_stream_logs_changes_and_repeats_batches(spark, tmp_path):
         lines = [f"({p}, timestamp'2024-01-0{d} 00:00:00', 's{d}', {d}, {price}D, {str(ok).lower()})" for p, d, price, ok in rows]
         spark.sql(f"select * from values {', '.join(lines)} as t(part, pulled_at, snapshot, seq, price, valid)").coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
-        table = streams.stream_silver(spark, stream, ["part"], out, state, values=["price"], buckets=4)
+        table = streams.stream_silver(spark, stream, ["part"], out, state, values=["price"])
         return {r.part: (r.seq, r.price) for r in table.collect()}
 
-    assert arrive(*[(p, 1, float(p), True) for p in range(20)]) == {p: (1, float(p)) for p in range(20)}
+    table = VersionedTable(spark, out)
+    rows = lambda kind: [p["rows"] for p in streams.parts_of(table.manifest(), kind)]
+    assert arrive(*[(p, 1, float(p), True) for p in range(100)]) == {p: (1, float(p)) for p in range(100)}
     assert arrive((3, 2, 30.0, True), (3, 3, 31.0, True), (4, 2, 40.0, False))[3] == (3, 31.0)
+    assert rows("run") == [100, 1]  # a batch of one key writes one row
     found = arrive((3, 2, 30.0, True), (5, 4, 5.0, True))
-    assert (found[3], found[4], found[5]) == ((3, 31.0), (1, 4.0), (4, 5.0)) and len(found) == 20
-    changes = spark.read.parquet(f"{out}/changes").orderBy("version", "new_pulled_at").collect()
-    assert [(r.part, r.old, r.new) for r in changes if r.version < 2] == [(3, 3.0, 30.0), (3, 30.0, 31.0)]
-    # A batch whose commit was lost runs again and gives the same table.
+    assert (found[3], found[4], found[5]) == ((3, 31.0), (1, 4.0), (4, 5.0)) and len(found) == 100
+    changes = streams.silver_changes(spark, out).orderBy("new_pulled_at").collect()
+    assert [(r.part, r.old, r.new) for r in changes if r.old_snapshot < r.new_snapshot][:2] == [(3, 3.0, 30.0), (3, 30.0, 31.0)]
+    assert rows("run") == [100, 2]  # the run of one row was merged with that of two
+    # A batch whose commit was lost runs again and changes nothing.
+    before = table.manifest()
     for log in (tmp_path / "state" / "commits").glob("*2*"):
         log.unlink()
-    assert {r.part: (r.seq, r.price) for r in streams.stream_silver(spark, spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source), ["part"], out, state, values=["price"], buckets=4).collect()} == found
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    assert {r.part: (r.seq, r.price) for r in streams.stream_silver(spark, stream, ["part"], out, state, values=["price"]).collect()} == found
+    assert table.manifest() == before
+
+
+def test_runs_fold_by_size():
+    sizes, written = [], 0
+    for _ in range(1000):
+        sizes.append(1)
+        written += 1
+        at = streams.foldable(sizes)
+        if len(sizes) - at > 1:
+            written += sum(sizes[at:])
+            sizes[at:] = [sum(sizes[at:])]
+    assert len(sizes) <= 11 and written < 1000 * 11 and streams.foldable([]) <= 0
+
+
+def test_mixed_types_are_logged_as_json(spark):
+    rows = [("s1", 1, 1.5, "a"), ("s2", 2, None, 'q"'), ("s3", 3, None, None)]
+    pulls = spark.createDataFrame([(1, *r) for r in rows], "k int, snapshot string, seq int, x double, y string").withColumn("pulled_at", F.timestamp_seconds("seq"))
+    log = lake.change_log(pulls, ["k"], ["x", "y"]).collect()
+    assert sorted((r.column, r.old, r.new) for r in log) == [("x", "1.5", "null"), ("y", '"a"', '"q\\""'), ("y", '"q\\""', "null")]

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.timeutils import TZ, local_date
+from tidemark.sources.versions import VersionedTable
 
 
 def keep_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -37,13 +43,20 @@ def contributing_snapshots(latest: DataFrame) -> DataFrame:
     return latest.select("snapshot").distinct()
 
 
+def as_json(value: Column) -> Column:
+    """A value as JSON text; null, and what JSON has no number for, as ``null``."""
+    inside = F.to_json(F.array(value))
+    return F.when(value.isNull() | (value.cast("string").isin("NaN", "Infinity", "-Infinity")), "null").otherwise(F.substring(inside, F.lit(2), F.length(inside) - 2))
+
+
 def change_log(pulls: DataFrame, keys: list[str], values: list[str], tie: str = "seq") -> DataFrame:
     """Per key and value column the consecutive pulls whose value changed (nulls compare equal), old and new.
 
-    Within one snapshot the last row of a key counts. Value columns of different types are logged as text.
+    Within one snapshot the last row of a key counts. Value columns of different types are logged as JSON text (null as
+    ``null``, text in quotes).
     """
     types = dict(pulls.dtypes)
-    logged = (lambda c: c.cast("string")) if len({types[c] for c in values}) > 1 else (lambda c: c)
+    logged = as_json if len({types[c] for c in values}) > 1 else (lambda c: c)
     once = keep_one(pulls, [*keys, "snapshot"], [F.desc("pulled_at"), F.desc(tie)])
     order = Window.partitionBy(*keys).orderBy("pulled_at", tie)
     before = {c: F.lag(c).over(order) for c in [*values, "pulled_at", "snapshot"]}
@@ -97,8 +110,14 @@ def list_snapshots(manifest: DataFrame, only_valid: bool = True) -> DataFrame:
 
 
 def input_signatures(pulls: DataFrame, by: str) -> DataFrame:
-    """The sorted set of snapshots that feed each table."""
-    return pulls.where("valid").groupBy(by).agg(F.array_join(F.sort_array(F.collect_set("snapshot")), ",").alias("signature"))
+    """What feeds each table, as a text of fixed length: count, sum and exclusive or of hashes of its distinct valid snapshots.
+
+    Snapshots are made distinct before anything is gathered; no set of them is held.
+    """
+    each = pulls.where("valid").select(by, "snapshot").distinct()
+    h = F.conv(F.substring(F.md5("snapshot"), 1, 15), 16, 10).cast("long")
+    sums = each.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(38,0)")).alias("s"), F.bit_xor(h).alias("x"))
+    return sums.select(by, F.concat_ws("-", "n", "s", "x").alias("signature"))
 
 
 def incremental_skip(now: DataFrame, before: DataFrame, by: str) -> DataFrame:
@@ -122,21 +141,31 @@ def append_new(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFram
 
 
 def store_new(df: DataFrame, root: str, by: list[str]) -> DataFrame:
-    """Append to a Parquet store partitioned by ``by`` what has a new partition; returns the stored rows of ``df``'s partitions.
+    """Append to a versioned store what has a new value of ``by``; returns the stored rows of ``df``'s values.
 
     A partition (a forecast's zone, role and origin) is written once: a run that is repeated, or made again by another
-    model, gets what was written. Which partitions there are is read from the folder names, not from the rows.
+    model, gets what was written. Which partitions there are is read from the manifest, not from the rows. Of two runs
+    that store the same partition at once the first to commit keeps it.
     """
-    spark, types = df.sparkSession, dict(df.dtypes)
-    schema = df.select(*[c for c in df.columns if c not in by], *by).schema
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(root)
-    exists = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
-    fresh = df
-    if exists:
-        fresh = df.join(spark.read.schema(schema).parquet(root).select(*by).distinct(), by, "left_anti")
-    fresh.repartition(*by).write.mode("append").partitionBy(*by).parquet(root)
-    stored = spark.read.schema(schema).parquet(root)
-    return stored.join(df.select(*by).distinct(), by, "left_semi").select(*[F.col(c).cast(types[c]).alias(c) for c in df.columns])
+    spark, table = df.sparkSession, VersionedTable(df.sparkSession, root)
+    names = [f"_k{i}" for i in range(len(by))]
+    as_text = [F.col(c).cast("string").alias(n) for c, n in zip(by, names)]
+    same = lambda a, b: reduce(and_, [a[n].eqNullSafe(b[n]) for n in names])
+    stored = lambda m: spark.createDataFrame([tuple(p["key"]) for p in m["parts"]], ", ".join(f"{n} string" for n in names))
+
+    before, keyed = table.manifest(), df.select("*", *as_text)
+    known = stored(before)
+    fresh = keyed.join(known, same(keyed, known), "left_anti").select(df.columns)
+    made = table.write_by(fresh, by)
+
+    def add(manifest: dict) -> list[dict] | None:
+        taken = {tuple(p["key"]) for p in manifest["parts"]}
+        new = [p for p in made if tuple(p["key"]) not in taken]
+        return manifest["parts"] + new if new else None
+
+    now = table.update(add, df.schema)
+    asked = {tuple(r) for r in keyed.select(*names).distinct().collect()}  # one row per partition of the run
+    return table.read(now, [p for p in now["parts"] if tuple(p["key"]) in asked], df.schema)
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -164,31 +193,87 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame], conflicts:
         prices_union(priced).createOrReplaceTempView("prices")
 
 
+class Refused(ValueError):
+    """Rows that a gate has turned away; nothing was committed."""
+
+
+def commit_checked(df: DataFrame, table: VersionedTable, limits: dict[str, Column], place: Callable[[dict, dict], list[dict]], **info) -> dict:
+    """Write ``df`` once, counting violations of ``limits`` on the way, and commit only if all counts are zero.
+
+    ``place`` makes the new list of parts from the manifest and the new part. Refused rows are removed.
+    """
+    part = table.write(df, **{name: F.count_if(F.coalesce(wrong, F.lit(False))) for name, wrong in limits.items()})
+    bad = {name: part[name] for name in limits if part[name]}
+    if bad:
+        table.discard(part)
+        raise Refused(f"{bad} of {part['rows']} rows")
+    return table.update(lambda manifest: place(manifest, part), df.schema, **info)
+
+
 def write_snapshot(df: DataFrame, root: str, source: str, dataset: str, key: str, pulled_at: str, passed: bool) -> DataFrame:
-    """Write a snapshot once (an existing one is an error) and return its manifest row."""
-    path = f"{root}/data/source={source}/dataset={dataset}/key={key}/pulled_at={pulled_at}"
-    df.write.mode("errorifexists").parquet(path)
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    row = stored.agg(F.count(F.lit(1)).alias("row_count"), F.min("timestamp").alias("data_start"), F.max("timestamp").alias("data_end"))
-    literals = {"source": source, "dataset": dataset, "key": key, "pulled_at": pulled_at, "passed": passed, "columns": ",".join(df.columns)}
-    row = row.select(*[F.lit(v).alias(k) for k, v in literals.items()], "*")
-    row.write.mode("append").parquet(f"{root}/manifest")
-    return row
+    """Write a snapshot once (an existing one is an error) and return its manifest row, counted while it was written."""
+    spark, table = df.sparkSession, VersionedTable(df.sparkSession, root)
+    name = [source, dataset, key, pulled_at]
+
+    def refuse(manifest: dict) -> None:
+        if any(p["key"] == name for p in manifest["parts"]):
+            raise Refused(f"snapshot {name} is stored already")
+
+    refuse(table.manifest())
+    part = table.write(df, data_start=F.min("timestamp"), data_end=F.max("timestamp"))
+    part |= {"key": name, "passed": passed, "columns": ",".join(df.columns)}
+
+    def add(manifest: dict) -> list[dict]:
+        refuse(manifest)
+        return [*manifest["parts"], part]
 
+    table.update(add, df.schema)
+    literals = {"source": source, "dataset": dataset, "key": key, "pulled_at": pulled_at, "passed": passed, "columns": part["columns"], "row_count": part["rows"]}
+    times = {n: F.lit(part[n]).cast(dict(df.dtypes)["timestamp"]) for n in ("data_start", "data_end")}
+    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in literals.items()], *[c.alias(n) for n, c in times.items()])
 
-def write_silver(df: DataFrame, root: str, ts: str = "timestamp") -> None:
-    """Replace the UTC years (and zones) that ``df`` has rows of."""
-    out = df.withColumn("year", F.year(ts)).repartition("zone", "year")
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("zone", "year").parquet(root)
+
+def write_silver(df: DataFrame, root: str, ts: str = "timestamp") -> dict:
+    """Replace the UTC years (and zones) that ``df`` has rows of, in one step; the manifest of the new version.
+
+    Readers see all years as they were or all as they are now. A table without rows is written as such.
+    """
+    table = VersionedTable(df.sparkSession, root)
+    out = df.withColumn("year", F.year(ts))
+    made = table.write_by(out, ["zone", "year"])
+    new = {tuple(p["key"]) for p in made}
+    return table.update(lambda m: [p for p in m["parts"] if tuple(p["key"]) not in new] + made, out.schema)
+
+
+def read_silver(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The newest version of a silver table, or a pinned one."""
+    table = VersionedTable(spark, root)
+    return table.read(table.manifest(version))
 
 
 def write_dataset(df: DataFrame, root: str, zone: str, kind: str, built_at: str) -> str:
     """Write a version named by its content, once; returns the version (the stored one if the content is the same)."""
     digest = content_digest(df).select(F.substring(F.sha2(F.concat_ws("|", "columns", "n_rows", "row_sum", "row_xor"), 256), 1, 12)).first()[0]
     version = f"{zone}-{kind}-{digest}"
-    path = f"{root}/dataset_version={version}"
-    hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
-        df.write.parquet(path)
-        df.sparkSession.range(1).select(F.lit(zone).alias("zone"), F.lit(kind).alias("kind"), F.lit(version).alias("version"), F.lit(built_at).alias("built_at")).write.mode("append").parquet(f"{root}-manifest")
+    table = VersionedTable(df.sparkSession, root)
+    known = lambda m: any(p["dataset_version"] == version for p in m["parts"])
+    if not known(table.manifest()):
+        part = table.write(df) | {"zone": zone, "kind": kind, "dataset_version": version, "built_at": built_at, "schema": df.schema.jsonValue()}
+        table.update(lambda m: None if known(m) else [*m["parts"], part], df.schema)
     return version
+
+
+def dataset_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """``zone, kind, version, built_at`` of the stored datasets."""
+    parts = VersionedTable(spark, root).manifest()["parts"]
+    return spark.createDataFrame([(p["zone"], p["kind"], p["dataset_version"], p["built_at"]) for p in parts], "zone string, kind string, version string, built_at string")
+
+
+def read_dataset(spark: SparkSession, root: str, version: str) -> DataFrame:
+    """The rows of a stored dataset."""
+    table = VersionedTable(spark, root)
+    manifest = table.manifest()
+    parts = [p for p in manifest["parts"] if p["dataset_version"] == version]
+    if not parts:
+        raise ValueError(f"{root} has no dataset {version}")
+    return table.read(manifest, parts, StructType.fromJson(parts[0]["schema"]))

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators.lake import change_log, latest_per_key
+from tidemark.sources.versions import Conflict, VersionedTable
 
 
 def stream_hourly(stream: DataFrame, watermark: str = "2 hours", keys: tuple[str, ...] = ("zone",), ts: str = "timestamp", value: str = "price") -> DataFrame:
@@ -23,61 +24,106 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
     return started
 
 
-def _files(spark: SparkSession, path: str):
-    """A path as Hadoop sees it, and its file system."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath, jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+# ---- silver ----------------------------------------------------------------------------------------
 
 
-def _versions(spark: SparkSession, folder: str) -> list[int]:
-    """The versions that a bucket has, in order."""
-    jpath, fs = _files(spark, folder)
-    names = [s.getPath().getName() for s in fs.listStatus(jpath)] if fs.exists(jpath) else []
-    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+def parts_of(manifest: dict, kind: str) -> list[dict]:
+    return [p for p in manifest["parts"] if p["kind"] == kind]
 
 
-def silver_table(spark: SparkSession, out: str, schema: StructType, buckets: int = 16) -> DataFrame:
-    """The newest version of every bucket that :func:`stream_silver` wrote."""
-    folders = [f"{out}/data/bucket={b}" for b in range(buckets)]
-    paths = [f"{f}/version={v[-1]}" for f in folders if (v := _versions(spark, f))]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+def silver_table(spark: SparkSession, out: str, keys: list[str], schema: StructType | None = None, manifest: dict | None = None) -> DataFrame:
+    """The newest row of every key over the runs of a silver table (of a pinned version, if its manifest is given)."""
+    table = VersionedTable(spark, out)
+    manifest = manifest or table.manifest()
+    runs = table.read(manifest, parts_of(manifest, "run"), schema)
+    return latest_per_key(runs, keys).select(runs.columns)
 
 
-def stream_silver(spark: SparkSession, pulls: DataFrame, keys: list[str], out: str, checkpoint: str, values: list[str] | None = None, buckets: int = 16) -> DataFrame:
-    """Latest valid row per key over a stream of pulls; with ``values`` their changes too, under ``out/changes``.
+def silver_changes(spark: SparkSession, out: str) -> DataFrame:
+    """The log of changes that :func:`stream_silver` committed together with its runs."""
+    table = VersionedTable(spark, out)
+    manifest = table.manifest()
+    return table.read(manifest, parts_of(manifest, "changes"), StructType.fromJson(manifest["info"]["changes"]))
 
-    The table is split into ``buckets`` by a hash of the key. A micro-batch reads and rewrites the buckets that it touches,
-    as a new version of each; a repeated batch starts from the versions before it and rewrites its own, so a restart
-    after a lost job gives the same table. Versions that no batch can start from any more are removed.
+
+def foldable(rows: list[int], ratio: int = 2) -> int:
+    """Of runs by age the first of the youngest ones to merge: each older one has at least ``ratio`` times all rows behind it."""
+    at, behind = len(rows) - 1, rows[-1] if rows else 0
+    while at > 0 and rows[at - 1] < ratio * behind:
+        at -= 1
+        behind += rows[at]
+    return at
+
+
+def compact(spark: SparkSession, out: str, keys: list[str], schema: StructType, ratio: int = 2) -> bool:
+    """Merge the youngest runs of a silver table into one until the runs' sizes fall by ``ratio`` at least; its changes alike.
+
+    A row is written again only when what was added since has grown to a share of its run: a logarithm of the table's size
+    times altogether. Says whether there was anything to merge; a version committed in between leaves it to the next time.
+    """
+    table = VersionedTable(spark, out)
+    before = table.manifest()
+    parts, made = before["parts"], []
+    for kind in ("run", "changes"):
+        same = parts_of(before, kind)
+        young = same[foldable([p["rows"] for p in same], ratio) :]
+        if len(young) < 2:
+            continue
+        if kind == "run":
+            merged = silver_table(spark, out, keys, schema, before | {"parts": young}).sortWithinPartitions(*keys)
+        else:
+            merged = table.read(before, young, StructType.fromJson(before["info"]["changes"]))
+        made.append(table.write(merged) | {"kind": kind})
+        folded = {p["path"] for p in young}
+        parts = [p for p in parts if p["path"] not in folded] + made[-1:]
+    if made:
+        try:
+            table.commit(before, parts, schema)
+        except Conflict:
+            for part in made:
+                table.discard(part)
+            return False
+    return bool(made)
+
+
+def stream_silver(
+    spark: SparkSession, pulls: DataFrame, keys: list[str], out: str, checkpoint: str, values: list[str] | None = None, ratio: int = 2, keep: int = 4, trigger: dict | None = None
+) -> DataFrame:
+    """Latest valid row per key over a stream of pulls; with ``values`` their changes too, in :func:`silver_changes`.
+
+    The table is log-structured: a micro-batch appends a run, sorted by key, of the rows of its own keys and nothing else;
+    readers take the newest row of a key over all runs, and small runs are merged by :func:`compact`. Run, changes and the
+    number of the batch are committed by one manifest, so a batch that is repeated after a lost job changes nothing and a
+    reader sees whole batches only. The last ``keep`` versions stay readable.
 
     Changes are those from the stored row of a key through the pulls of the batch, by time of pull; a pull older than the
-    stored row is logged as followed by it.
+    stored row is logged as followed by it. The stored rows of the batch's keys come by a semi-join on the sorted runs.
+    ``checkpoint`` and ``out`` belong together: numbers of batches go on from one run of the job to the next.
     """
-    spread = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    folder = lambda b: f"{out}/data/bucket={b}"
+    schema, table = pulls.schema, VersionedTable(spark, out)
 
     def merge(batch: DataFrame, epoch: int) -> None:
+        before = table.manifest()
+        if before["info"].get("epoch", -1) >= epoch:
+            return
         batch = batch.where("valid").persist()
         try:
-            touched = [r.b for r in batch.select(spread.alias("b")).distinct().collect()]  # at most ``buckets``
-            before = {b: [v for v in _versions(spark, folder(b)) if v < epoch] for b in touched}
-            paths = [f"{folder(b)}/version={v[-1]}" for b, v in before.items() if v]
-            held = spark.read.schema(pulls.schema).parquet(*paths) if paths else None
+            new, info = [], {}
             if values:
-                known = batch if held is None else batch.unionByName(held.join(batch.select(*keys).distinct(), keys, "left_semi"))
-                change_log(known, keys, values).write.mode("overwrite").parquet(f"{out}/changes/version={epoch}")
-            newest = latest_per_key(batch, keys)
-            if held is not None:
-                newest = latest_per_key(newest.unionByName(held), keys)
-            placed = newest.withColumn("bucket", spread).withColumn("version", F.lit(epoch))
-            placed.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(f"{out}/data")
-            for b, old in before.items():
-                for v in old[:-1]:
-                    jpath, fs = _files(spark, f"{folder(b)}/version={v}")
-                    fs.delete(jpath, True)
+                runs = table.read(before, parts_of(before, "run"), schema)
+                held = latest_per_key(runs.join(batch.select(*keys).distinct(), keys, "left_semi"), keys).select(schema.names)
+                changes = change_log(batch.unionByName(held), keys, values)
+                new.append(table.write(changes) | {"kind": "changes", "epoch": epoch})
+                info = {"changes": changes.schema.jsonValue()}
+            run = latest_per_key(batch, keys).select(schema.names).sortWithinPartitions(*keys)
+            new.append(table.write(run) | {"kind": "run", "epoch": epoch})
+            kept = [p for p in new if p["rows"]]
+            table.commit(before, before["parts"] + kept, schema, epoch=epoch, **info)
         finally:
             batch.unpersist()
+        compact(spark, out, keys, schema, ratio)
+        table.vacuum(keep)
 
-    started = pulls.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    started = pulls.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
     started.awaitTermination()
-    return silver_table(spark, out, pulls.schema, buckets)
+    return silver_table(spark, out, keys, schema)
