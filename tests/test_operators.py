@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import statistics
 
 import pytest
 from hypothesis import given, settings
@@ -403,3 +404,75 @@ def test_mixed_types_are_logged_as_json(spark):
     pulls = spark.createDataFrame([(1, *r) for r in rows], "k int, snapshot string, seq int, x double, y string").withColumn("pulled_at", F.timestamp_seconds("seq"))
     log = lake.change_log(pulls, ["k"], ["x", "y"]).collect()
     assert sorted((r.column, r.old, r.new) for r in log) == [("x", "1.5", "null"), ("y", '"a"', '"q\\""'), ("y", '"q\\""', "null")]
+
+
+def test_statistics_up_to_the_last_price(spark):
+    """Days without prices, a gap longer than the window, and the windows' borders, against the plain definition."""
+    rows = hours(spark, "2025-03-20 00:00:00", 24 * 25).withColumn("price", F.when(F.col("price").between(100, 130) | F.col("price").between(260, 480) | (F.col("price") % 7 == 3), None).otherwise((F.col("price") * 37) % 101))
+    rows = rows.unionByName(hours(spark, "2025-03-29 05:00:00", 30, "b").withColumn("price", F.lit(3.7)))
+    plain = sorted(((r.zone, r.timestamp, r.day, r.price) for r in rows.withColumn("day", t.local_date("timestamp")).collect()), key=str)
+    for size in (24, 168):
+        found = {(r[0], r[1]): r[2:] for r in features.rolling_stats(rows, size).collect()}
+        for zone, day in {(z, d) for z, _, d, _ in plain}:
+            known = [(ts, p) for z, ts, d, p in plain if z == zone and d <= day and p is not None]
+            if not known:
+                assert (zone, day) not in found
+                continue
+            last = max(known)[0]
+            window = [p for ts, p in known if ts > last - dt.timedelta(hours=size)]
+            want = [sum(window) / len(window), min(window), max(window)]
+            assert list(found[zone, day][:3]) == pytest.approx(want)
+            assert found[zone, day][3] == (pytest.approx(statistics.stdev(window), abs=1e-9) if len(window) > 1 else None)
+    wanted = spark.sql("select 'a' as zone, date'2025-06-01' as day union all select 'c', date'2025-06-01' union all select 'a', date'2025-03-01'")
+    assert [(r.zone, r.day.month) for r in features.rolling_stats(rows, 24, days=wanted).collect()] == [("a", 6)]
+
+
+def test_features_after_a_long_gap(spark):
+    """Live rows read as far back as the last price is; a dataset has the same statistics."""
+    rows = hours(spark, "2025-01-01 00:00:00", 24 * 40).withColumn("price", F.when(F.col("price") < 24 * 10, F.col("price")))
+    rows = t.hour_occurrence(rows, ["zone"])
+    live = features.live_rows(rows, spark.sql("select 'a' as zone, date'2025-02-05' as origin_date")).select("p_roll24h_mean", "p_lag1d", "y").distinct().collect()
+    assert [tuple(r) for r in live] == [(227.5, None, None)]
+
+
+@pytest.mark.parametrize("gap", [0, 10, 70])
+def test_naive_errors_up_to_the_last_training_day(spark, gap):
+    """However long ago the last training day is, a fit reads the ``residual_days`` up to it."""
+    n = 150
+    rows = spark.range(n).where((F.col("id") < 100 - gap) | (F.col("id") >= 101)).selectExpr("'a' as zone", "date_add(date'2025-01-01', cast(id as int)) as target_date", "date_add(date'2024-12-31', cast(id as int)) as origin_date", "7 as cal_hour", "cast(id * id % 13 as double) as y", "0D as p_lag1d", "1D as p_samehour_mean7d", "1D as p_dayD_mean", "timestamp_seconds(id * 86400) as target_time")
+    fit = dt.date(2025, 1, 1) + dt.timedelta(days=100)
+    schedule = rows.where(F.col("target_date") > F.lit(fit)).select("zone", "origin_date", F.lit(fit).alias("fit_origin"))
+    found = forecast.seasonal_naive(rows, schedule, 1, (0.5,), 56).select("q50").distinct().collect()
+    past = [i * i % 13 for i in range(100 - gap)][-56:]
+    assert [r.q50 for r in found] == [statistics.median(past)]
+
+
+def test_rolling_quantiles_read_an_error_once(spark):
+    plan = forecast.rolling_quantiles(spark.range(10).selectExpr("1 as k", "current_date() as d", "1D as e"), spark.sql("select 1 as k, current_date() as d"), ["k"], "d", 28, [("q", "e", 0.5)])
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in text and "Join" not in text
+
+
+def test_as_of_totals(spark):
+    rows = spark.range(300).selectExpr("if(id % 3 = 0, 'a', 'b') as zone", "timestamp_seconds(1700000000 + id * 3600) as timestamp", "timestamp_seconds(1700000000 + (id * 7919 % 300) * 5000) as available_at", "if(id % 11 = 0, null, cast(id * 31 % 17 as double)) as price")
+    origins = spark.range(60).selectExpr("if(id % 2 = 0, 'a', 'c') as zone", "timestamp_seconds(1699990000 + id * 25000) as origin")
+    plain = [tuple(r) for r in rows.collect()]
+    for r in features.as_of_totals(rows, origins).collect():
+        seen = [(ts, p) for z, ts, at, p in plain if z == r.zone and at <= r.origin]
+        prices = [p for _, p in seen if p is not None]
+        assert (r.n_rows, r.last_time, r.n_values, r.least, r.most) == (len(seen), max((ts for ts, _ in seen), default=None), len(prices), min(prices, default=None), max(prices, default=None))
+        assert r.total == (pytest.approx(sum(prices)) if prices else None)
+    assert features.as_of_totals(rows, origins).count() == 60
+
+
+@given(st.lists(st.one_of(st.none(), st.integers(-9, 9).map(float)), max_size=60), st.sampled_from([0.0, 0.1, 0.5, 0.9, 1.0]), st.integers(0, 5))
+@settings(max_examples=200, deadline=None)
+def test_quantiles_of_earlier_values(values, q, warmup):
+    for i, found in enumerate(metrics.earlier_quantiles(values, q, warmup)):
+        past = sorted(v for v in values[:i] if v is not None)
+        if len(past) < max(1, warmup):
+            assert found is None
+            continue
+        at = q * (len(past) - 1)
+        low = past[int(at)]
+        assert found == pytest.approx(low + (past[min(int(at) + 1, len(past) - 1)] - low) * (at - int(at)))

@@ -40,6 +40,29 @@ def as_of(df: DataFrame, origins: DataFrame, keys: tuple[str, ...] = ("zone",),
     return df.withColumn("_day", F.to_date("timestamp")).join(by_day, [*keys, "_day"]).where("available_at <= origin").drop("_day")
 
 
+def as_of_totals(df: DataFrame, origins: DataFrame, value: str = "price", keys: tuple[str, ...] = ("zone",), ts: str = "timestamp") -> DataFrame:
+    """Per origin what the as-of view adds up to: ``n_rows, last_time, n_values, total, least, most`` of the rows known by then.
+
+    Rows and origins are merged in order of availability within a day of it; of the days before one row of running totals per
+    day is carried in. Work is linear in rows plus origins, and no task holds more than a key's day. Origins by which
+    nothing is known have zero rows.
+    """
+    keys, nothing = list(keys), F.lit(None)
+    event = lambda at, kind, t, v: [*keys, F.col(at).alias("_at"), F.lit(kind).alias("_kind"), t.alias("_t"), v.cast("double").alias("_v")]
+    rows = df.select(*event("available_at", 0, F.col(ts), F.col(value))).where(F.col("_at").isNotNull())
+    asked = origins.select(*keys, "origin").distinct().select(*event("origin", 1, nothing.cast(dict(df.dtypes)[ts]), nothing))
+    merged = rows.unionByName(asked).withColumn("_day", F.to_date("_at"))
+    totals = {"n_rows": F.count_if(F.col("_kind") == 0), "last_time": F.max("_t"), "n_values": F.count("_v"), "total": F.sum("_v"), "least": F.min("_v"), "most": F.max("_v")}
+    before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    again = {"n_rows": F.sum, "last_time": F.max, "n_values": F.sum, "total": F.sum, "least": F.min, "most": F.max}
+    by_day = merged.groupBy(*keys, "_day").agg(*[c.alias(n) for n, c in totals.items()])
+    carried = by_day.select(*keys, "_day", *[again[n](n).over(before).alias(f"_c_{n}") for n in totals])
+    inside = Window.partitionBy(*keys, "_day").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    known = merged.select(*keys, "_day", "_at", "_kind", *[c.over(inside).alias(n) for n, c in totals.items()]).where("_kind = 1").join(carried, [*keys, "_day"])
+    both = {n: F.coalesce(F.col(n) + F.col(f"_c_{n}"), n, f"_c_{n}") for n in ("n_rows", "n_values", "total")} | {n: F.greatest(n, f"_c_{n}") for n in ("last_time", "most")} | {"least": F.least("least", "_c_least")}
+    return known.select(*keys, F.col("_at").alias("origin"), *[both[n].alias(n) for n in totals])
+
+
 # ---- price features --------------------------------------------------------------------------------
 
 
@@ -51,14 +74,45 @@ def day_stats(hourly: DataFrame, keys: tuple[str, ...] = ("zone",), ts: str = "t
     return days.withColumn("trend", F.col("day_mean") - before)
 
 
-def rolling_stats(hourly: DataFrame, hours: int, keys: tuple[str, ...] = ("zone",), ts: str = "timestamp", tz: str = TZ) -> DataFrame:
-    """Mean, min, max and sample deviation of the ``hours`` up to the last non-null price of each local day."""
-    known = hourly.where(F.col("price").isNotNull()).withColumn("_s", F.unix_timestamp(ts)).withColumn("day", local_date(ts, tz))
-    frame = Window.partitionBy(*keys).orderBy("_s").rangeBetween(-(hours - 1) * 3600, 0)
-    last = Window.partitionBy(*keys, "day").orderBy(F.desc("_s"))
-    names = {"mean": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp}
-    out = known.select(*keys, "day", *[f("price").over(frame).alias(f"p_roll{hours}h_{n}") for n, f in names.items()], F.row_number().over(last).alias("_n"))
-    return out.where("_n = 1").drop("_n")
+def carried(marks: DataFrame, wanted: DataFrame, keys: tuple[str, ...] | list[str], day: str, value: str) -> DataFrame:
+    """``wanted`` days (``keys, day``) with the ``value`` of the last mark on or before each; one row per day is ordered, no more."""
+    both = marks.select(*keys, day, value, F.lit(0).alias("_w")).unionByName(wanted.select(*keys, day, F.lit(None).cast(dict(marks.dtypes)[value]).alias(value), F.lit(1).alias("_w")).distinct())
+    order = Window.partitionBy(*keys).orderBy(day, "_w").rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn(value, F.last(value, ignorenulls=True).over(order)).where("_w = 1").drop("_w")
+
+
+def rolling_stats(hourly: DataFrame, hours: int, keys: tuple[str, ...] = ("zone",), ts: str = "timestamp", tz: str = TZ, days: DataFrame | None = None) -> DataFrame:
+    """Mean, min, max and sample deviation of the ``hours`` up to the last non-null price by the end of each local day.
+
+    ``days`` (``keys, day``) are the days asked for, else those of the rows. A day without prices has the statistics up to
+    the last price before it; only days before the first price have no row.
+
+    Hours are cut into blocks of ``hours``: a window is the beginning of one block and the end of the block before, so two
+    running aggregates within blocks give every window, each row is read once, and no task holds more than a block.
+    """
+    keys = list(keys)
+    known = hourly.where(F.col("price").isNotNull()).select(*keys, F.floor(F.unix_timestamp(ts) / 3600).alias("_h"), "price", local_date(ts, tz).alias("day"))
+    asked = hourly.select(*keys, local_date(ts, tz).alias("day")).distinct() if days is None else days
+    anchors = carried(known.groupBy(*keys, "day").agg(F.max("_h").alias("_a")), asked, keys, "day", "_a").where(F.col("_a").isNotNull())
+    start = F.col("_a") - (hours - 1)
+    split = F.floor(start / hours) < F.floor(F.col("_a") / hours)  # else the window is a whole block
+    ends = anchors.select(*keys, "_a").distinct()
+    probe = lambda h, kind: [*keys, h.alias("_h"), F.lit(None).cast("double").alias("price"), F.lit(kind).alias("_kind"), "_a"]
+    merged = known.select(*keys, "_h", F.col("price").cast("double"), F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_a"))
+    merged = merged.unionByName(ends.select(*probe(F.col("_a"), 1))).unionByName(ends.where(split).select(*probe(start, -1))).withColumn("_block", F.floor(F.col("_h") / hours))
+    block = Window.partitionBy(*keys, "_block")
+    head = block.orderBy("_h", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    tail = block.orderBy(F.desc("_h"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, 0)
+    parts = {"n": F.count, "mean": F.avg, "var": F.var_pop, "min": F.min, "max": F.max}
+    merged = merged.select(*keys, "_kind", "_a", *[f("price").over(w).alias(f"_{s}_{n}") for s, w in (("h", head), ("t", tail)) for n, f in parts.items()]).where("_kind <> 0")
+    both = merged.groupBy(*keys, "_a").agg(*[F.max(F.when(F.col("_kind") == kind, F.col(f"_{s}_{n}"))).alias(f"_{s}_{n}") for s, kind in (("h", 1), ("t", -1)) for n in parts])
+    h, t = ({n: F.coalesce(f"_{s}_{n}", F.lit(0)) for n in ("n", "mean", "var")} for s in ("h", "t"))
+    n = h["n"] + t["n"]
+    apart = h["mean"] - t["mean"]
+    squares = h["var"] * h["n"] + t["var"] * t["n"] + apart * apart * h["n"] * t["n"] / n
+    found = {"mean": (h["mean"] * h["n"] + t["mean"] * t["n"]) / n, "min": F.least("_h_min", "_t_min"), "max": F.greatest("_h_max", "_t_max"), "std": F.when(n > 1, F.sqrt(squares / (n - 1)))}
+    stats = both.select(*keys, "_a", *[c.alias(f"p_roll{hours}h_{k}") for k, c in found.items()])
+    return anchors.join(stats, [*keys, "_a"]).drop("_a")
 
 
 def samehour_mean(rows: DataFrame, keyed: DataFrame, days: int, keys: tuple[str, ...] = ("zone",)) -> DataFrame:
@@ -105,8 +159,9 @@ def origin_dataset(keyed: DataFrame, groups: tuple[FeatureGroup, ...] = (), tz:
     rows = samehour_mean(rows, keyed, 7)
     days = day_stats(keyed).withColumnRenamed("day", "origin_date")
     rows = rows.join(days, ["zone", "origin_date"], "left")
+    origin_days = rows.select("zone", F.col("origin_date").alias("day")).distinct()
     for hours in rolls:
-        rows = rows.join(rolling_stats(keyed, hours).withColumnRenamed("day", "origin_date"), ["zone", "origin_date"], "left")
+        rows = rows.join(rolling_stats(keyed, hours, days=origin_days, tz=tz).withColumnRenamed("day", "origin_date"), ["zone", "origin_date"], "left")
     rows = calendar_features(rows.withColumn("origin", origin_timestamp(F.col("origin_date"), 9, tz)), "timestamp", "origin", tz)
     rows = rows.select(
         "zone", "origin", "origin_date", F.col("timestamp").alias("target_time"), F.col("local_date").alias("target_date"), F.col("price").alias("y"),
@@ -119,17 +174,29 @@ def origin_dataset(keyed: DataFrame, groups: tuple[FeatureGroup, ...] = (), tz:
     return rows
 
 
-#: Days before an origin day that the features look back on.
+#: Days before an origin day that lags, means and day statistics look back on.
 LOOK_BACK = 9
 
 
+def days_to_read(keyed: DataFrame, origins: DataFrame, rolls: tuple[int, ...]) -> DataFrame:
+    """``zone, origin_date, local_date``: the days that features of the origins read.
+
+    Those of :data:`LOOK_BACK`, and those of the trailing statistics, which end at the last price by the origin day, however
+    long before that was.
+    """
+    priced = keyed.where(F.col("price").isNotNull()).select("zone", F.col("local_date").alias("origin_date"), F.col("local_date").alias("_last")).distinct()
+    last = carried(priced, origins, ["zone"], "origin_date", "_last")
+    near = lambda end, back: F.sequence(F.date_sub(end, back), end)
+    rolled = F.when(F.col("_last").isNotNull(), near(F.col("_last"), max(rolls, default=0) // 24 + 1)).otherwise(F.array().cast("array<date>"))
+    return last.select("zone", "origin_date", F.explode(F.array_union(near(F.date_add("origin_date", 1), LOOK_BACK + 1), rolled)).alias("local_date"))
+
+
 def live_rows(keyed: DataFrame, origins: DataFrame, groups: tuple[FeatureGroup, ...] = (), tz: str = TZ, rolls: tuple[int, ...] = (24,)) -> DataFrame:
     """Rows of the given origins (distinct ``zone, origin_date``): every hour of the day after, whether it has a price yet or not.
 
     Only the days that the features look back on are read.
     """
-    near = origins.select("zone", F.explode(F.sequence(F.date_sub("origin_date", LOOK_BACK), F.date_add("origin_date", 1))).alias("local_date"))
-    keyed = keyed.join(near, ["zone", "local_date"], "left_semi")
+    keyed = keyed.join(days_to_read(keyed, origins, rolls), ["zone", "local_date"], "left_semi")
     hours = hour_occurrence(target_hours(origins, tz=tz).select("zone", F.col("target_time").alias("timestamp")), ["zone"], tz=tz)
     return origin_dataset(keyed, groups, tz, rolls, hours.join(keyed.select("zone", "timestamp", "price"), ["zone", "timestamp"], "left"))
 
@@ -152,13 +219,15 @@ def perturb_unavailable(df: DataFrame, origin: Column, seed: int, value: str = "
     return df.withColumn("_s", F.unix_timestamp(ts)).withColumn(value, F.when(F.col("available_at") > origin, new).otherwise(F.col(value))).drop("_s")
 
 
-def audit_copies(keyed: DataFrame, days: DataFrame) -> DataFrame:
+def audit_copies(keyed: DataFrame, days: DataFrame, rolls: tuple[int, ...] = (24,)) -> DataFrame:
     """The rows around each audited origin day, with ``audit_date`` and the day appended to the zone: one plan builds them all.
 
     ``days`` is a sample of a fixed size (``audit_sample``) with the column ``day``.
     """
-    near = days.select(F.col("day").alias("audit_date"), F.explode(F.sequence(F.date_sub("day", LOOK_BACK), F.date_add("day", 1))).alias("local_date"))
-    return keyed.join(near, "local_date").withColumn("zone", F.concat_ws("@", "zone", F.col("audit_date").cast("string")))
+    origins = keyed.select("zone", F.explode(F.array("local_date", F.date_sub("local_date", 1))).alias("origin_date")).distinct()
+    origins = origins.join(F.broadcast(days.select(F.col("day").alias("origin_date"))), "origin_date", "left_semi")
+    near = days_to_read(keyed, origins, rolls).withColumnRenamed("origin_date", "audit_date")
+    return keyed.join(near, ["zone", "local_date"]).withColumn("zone", F.concat_ws("@", "zone", F.col("audit_date").cast("string")))
 
 
 def audited(dataset: DataFrame) -> DataFrame:

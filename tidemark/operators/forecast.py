@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeutils import quantile_label
+from tidemark.operators.features import carried
 
 
 def residual_quantiles(rows: DataFrame, keys: list[str], qs: tuple[float, ...]) -> DataFrame:
@@ -27,22 +28,48 @@ def naive_point(lag: int | str, rows: DataFrame) -> Column:
     return F.coalesce(own, "p_samehour_mean7d", "p_dayD_mean")
 
 
+def sorted_quantile(values: Column, q: float) -> Column:
+    """The quantile of a sorted array, linear between its members; null if it is empty."""
+    at = (F.size(values) - 1) * F.lit(q)
+    low = F.floor(at).cast("int")
+    below, above = F.get(values, low), F.get(values, F.least(low + 1, F.size(values) - 1))
+    return F.when(F.size(values) > 0, below + (above - below) * (at - low))
+
+
+def rolling_quantiles(errors: DataFrame, wanted: DataFrame, keys: list[str], day: str, window_days: int, levels: list[tuple[str, str, float]]) -> DataFrame:
+    """``keys, day, n_days`` and exact quantiles of the errors of the ``window_days`` days up to each wanted day.
+
+    ``levels`` has (name, error column, level). The errors of a day are gathered once, as one array; a window joins the
+    arrays of its days. So no error is copied for each window that it is in, and a task orders one row per day.
+    """
+    columns = sorted({c for _, c, _ in levels})
+    per_day = errors.groupBy(*keys, day).agg(*[F.collect_list(c).alias(c) for c in columns], F.lit(0).alias("_w"))
+    both = per_day.unionByName(wanted.select(*keys, day, F.lit(1).alias("_w")).distinct(), allowMissingColumns=True)
+    frame = Window.partitionBy(*keys).orderBy(F.datediff(day, F.lit("1970-01-01"))).rangeBetween(-(window_days - 1), 0)
+    joined = both.select(*keys, day, "_w", F.count(columns[0]).over(frame).alias("n_days"), *[F.collect_list(c).over(frame).alias(c) for c in columns]).where("_w = 1")
+    ordered = joined.select(*keys, day, "n_days", *[F.array_sort(F.flatten(c)).alias(c) for c in columns])
+    return ordered.select(*keys, day, "n_days", *[sorted_quantile(F.col(c), q).alias(name) for name, c, q in levels])
+
+
 def seasonal_naive(rows: DataFrame, schedule: DataFrame, lag: int | str, qs: tuple[float, ...], residual_days: int = 56, by_hour: bool = True) -> DataFrame:
-    """Forecasts of all origins: quantiles of the method's own errors over the last ``residual_days`` published days at each fit.
+    """Forecasts of all origins: quantiles of the method's own errors over the ``residual_days`` days up to the last training day of each fit.
 
-    ``rows`` is an origin dataset; ``schedule`` gives ``zone, origin_date, fit_origin``.
+    ``rows`` is an origin dataset; ``schedule`` gives ``zone, origin_date, fit_origin``. The last training day is the last one
+    with rows by the day of the fit, however long before. A fit without errors at an hour gives no forecast there.
     """
     rows = rows.withColumn("point", naive_point(lag, rows))
-    keys = ["zone", "fit_origin"] + (["cal_hour"] if by_hour else [])
+    hour = ["cal_hour"] if by_hour else []
     fits = schedule.select("zone", "fit_origin").distinct()
-    # A fit reads a fixed number of days, so the range join is an equi-join on its days; a week more than the
-    # residuals need leaves room for days without prices.
-    days = fits.withColumn("target_date", F.explode(F.sequence(F.date_sub("fit_origin", residual_days + 6), F.col("fit_origin"))))
-    past = rows.select("zone", "target_date", "cal_hour", "y", "point").join(days, ["zone", "target_date"])
-    past = past.withColumn("_last", F.max("target_date").over(Window.partitionBy("zone", "fit_origin")))
-    train = past.where(F.col("target_date") > F.date_sub("_last", residual_days))
-    out = with_quantiles(rows.join(schedule, ["zone", "origin_date"]), residual_quantiles(train, keys, qs), keys, qs)
-    return out
+    trained = rows.where(F.col("y").isNotNull()).select("zone", F.col("target_date").alias("fit_origin"), F.col("target_date").alias("_last")).distinct()
+    last = carried(trained, fits, ["zone"], "fit_origin", "_last").where(F.col("_last").isNotNull())
+    errors = rows.select("zone", *hour, F.col("target_date").alias("_last"), (F.col("y") - F.col("point")).alias("_e")).where(F.col("_e").isNotNull())
+    wanted = last.select("zone", "_last").distinct()
+    if by_hour:
+        wanted = wanted.join(rows.select("zone", "cal_hour").distinct(), "zone")
+    names = [f"_o{i}" for i in range(len(qs))]
+    offsets = rolling_quantiles(errors, wanted, ["zone", *hour], "_last", residual_days, [(n, "_e", q) for n, q in zip(names, qs)]).where("n_days > 0")
+    offsets = last.join(offsets.select("zone", *hour, "_last", F.array(*names).alias("offsets")), ["zone", "_last"]).drop("_last")
+    return with_quantiles(rows.join(schedule, ["zone", "origin_date"]), offsets, ["zone", "fit_origin", *hour], qs)
 
 
 #: Standard normal quantiles of the seven levels.
@@ -103,15 +130,12 @@ def recalibrate(fc: DataFrame, columns: list[str], qs: tuple[float, ...], window
     keys = list(keys)
     errors = fc.where(F.col("y").isNotNull()).select(*keys, F.col("target_date").alias("_day"), *[(F.col("y") - F.col(c)).alias(f"_e_{c}") for c in columns])
     origins = fc.select(*keys, "origin_date").distinct()
-    # The window has a fixed number of days, so the range join is an equi-join on its days.
-    days = origins.withColumn("_day", F.explode(F.sequence(F.date_sub("origin_date", window_days - 1), F.col("origin_date"))))
-    offsets = days.join(errors, [*keys, "_day"]).groupBy(*keys, "origin_date").agg(F.count_distinct("_day").alias("_n"), *[F.percentile(f"_e_{c}", F.lit(q)).alias(f"_o_{c}") for c, q in zip(columns, qs)])
-    order = Window.partitionBy(*keys).orderBy("origin_date").rowsBetween(Window.unboundedPreceding, 0)
-    carried = origins.join(offsets, [*keys, "origin_date"], "left").select(
-        *keys, "origin_date", *[F.coalesce(F.last(F.when(F.col("_n") >= min_days, F.col(f"_o_{c}")), ignorenulls=True).over(order), F.lit(0.0)).alias(f"_o_{c}") for c in columns]
-    )
+    offsets = rolling_quantiles(errors, origins.withColumnRenamed("origin_date", "_day"), keys, "_day", window_days, [(f"_o_{c}", f"_e_{c}", q) for c, q in zip(columns, qs)])
+    order = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    kept = [F.coalesce(F.last(F.when(F.col("n_days") >= min_days, F.col(f"_o_{c}")), ignorenulls=True).over(order), F.lit(0.0)).alias(f"_o_{c}") for c in columns]
+    offsets = offsets.select(*keys, F.col("_day").alias("origin_date"), *kept)
     rest = [c for c in fc.columns if c not in columns]
-    return fc.join(carried, [*keys, "origin_date"]).select(*rest, *[(F.col(c) + F.col(f"_o_{c}")).alias(c) for c in columns])
+    return fc.join(offsets, [*keys, "origin_date"]).select(*rest, *[(F.col(c) + F.col(f"_o_{c}")).alias(c) for c in columns])
 
 
 def simplex_grid(spark: SparkSession, k: int, steps: int) -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from heapq import heappop, heappush
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.functions.timeutils import TZ, local, quantile_label, season
 from tidemark.operators.forecast import pinball
@@ -86,11 +90,46 @@ def running_min(df: DataFrame, col: str, keys: list[str], order: list[str]) -> D
     return df.withColumn("best", F.min(col).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
 
 
+def earlier_quantiles(values: list[float | None], q: float, warmup: int) -> list[float | None]:
+    """For each value the quantile of those before it, from ``warmup`` of them on; nulls don't count.
+
+    Two heaps split the values at the quantile's rank, which never moves back: each value costs a logarithm.
+    """
+    low, high, out = [], [], []  # the lesser ones (negated), and the others
+    for v in values:
+        n = len(low) + len(high)
+        if n < max(1, warmup):
+            out.append(None)
+        else:
+            at = q * (n - 1) - (len(low) - 1)
+            out.append(-low[0] + ((high[0] + low[0]) * at if high else 0.0))
+        if v is None:
+            continue
+        if low and v < -low[0]:
+            heappush(low, -v)
+        else:
+            heappush(high, v)
+        share = int(q * n) + 1  # of the n + 1 values now, those up to the quantile's rank
+        while len(low) < share:
+            heappush(low, -heappop(high))
+        while len(low) > share:
+            heappush(high, -heappop(low))
+    return out
+
+
 def regime_days(daily: DataFrame, score: str, keys: list[str], q: float = 0.9, warmup: int = 28, day: str = "day") -> DataFrame:
-    """Days whose score exceeds the quantile of strictly earlier days, after ``warmup`` of them."""
-    past = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    limit = F.when(F.count(score).over(past) >= warmup, F.percentile(score, F.lit(q)).over(past))
-    return daily.withColumn("threshold", limit).withColumn("is_regime", F.coalesce(F.col(score) > F.col("threshold"), F.lit(False)))
+    """Days whose score exceeds the quantile of strictly earlier days, after ``warmup`` of them.
+
+    A group is a key's days: one row per calendar day, so its size is bounded by the calendar.
+    """
+    schema = StructType([*[StructField(f.name, f.dataType) for f in daily.schema], StructField("threshold", DoubleType())])
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by(day)
+        scores = rows.column(score).cast(pa.float64()).to_pylist()
+        return rows.append_column("threshold", pa.array(earlier_quantiles(scores, q, warmup), pa.float64()))
+
+    return daily.groupBy(*keys).applyInArrow(run, schema).withColumn("is_regime", F.coalesce(F.col(score) > F.col("threshold"), F.lit(False)))
 
 
 def day_over_day_change(daily: DataFrame, col: str, keys: list[str], day: str = "day") -> DataFrame:

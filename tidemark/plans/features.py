@@ -33,8 +33,8 @@ def fixed_lead_availability(spark, sf_dir):
 def as_of_view(spark, sf_dir):
     rows = hourly(spark, sf_dir).withColumn("available_at", op.auction_availability())
     origins = rows.select("zone", origin_timestamp(local_date("timestamp")).alias("origin")).distinct()
-    seen = op.as_of(rows, origins)
-    return seen.groupBy("zone", ntz("origin").alias("origin")).agg(F.count(F.lit(1)).alias("n_rows"), F.max(ntz("timestamp")).alias("last_time"), r6(F.avg("price")).alias("mean_price"))
+    seen = op.as_of_totals(rows, origins).where("n_rows > 0")
+    return seen.select("zone", ntz("origin").alias("origin"), "n_rows", ntz("last_time").alias("last_time"), r6(F.col("total") / F.col("n_values")).alias("mean_price"))
 
 
 @query("price_lags", f"with {lagged_sql()} select zone, target_time, round(y, 6) as y, round(p_lag1d, 6) as p_lag1d, round(p_lag7d, 6) as p_lag7d from lagged")
@@ -62,15 +62,22 @@ def day_stats(spark, sf_dir):
     return op.day_stats(hourly(spark, sf_dir)).select("zone", "day", r6("day_mean").alias("day_mean"), "neg_hours", r6("trend").alias("trend"))
 
 
-def rolls_sql(hours: int) -> str:
-    return f"""last{hours} as (select zone, local_date as day, max(timestamp) as t from keyed where price is not null group by 1, 2),
+def rolls_sql(hours: int, days: str = "select distinct zone, local_date as day from keyed") -> str:
+    """The hours up to the last price by the end of each day, whenever that was."""
+    return f"""last{hours} as (select d.zone, d.day, max(k.timestamp) as t from ({days}) d join keyed k on k.zone = d.zone and k.local_date <= d.day and k.price is not null group by 1, 2),
 roll{hours} as (select e.zone, e.day, avg(k.price) as mean, min(k.price) as min, max(k.price) as max, stddev_samp(k.price) as std from last{hours} e
   join keyed k on k.zone = e.zone and k.timestamp <= e.t and k.timestamp > e.t - interval {hours} hour group by 1, 2)"""
 
 
-@query("rolling_stats", f"with {keyed_sql()}, {rolls_sql(24)}, {rolls_sql(168)} select a.zone, a.day, {', '.join(f'round({t}.{n}, 6) as p_roll{h}h_{n}' for t, h in (('a', 24), ('b', 168)) for n in ('mean', 'min', 'max', 'std'))} from roll24 a join roll168 b using (zone, day)")
+#: Days whose prices the statistics queries take away in two of the zones: a single one, and more than the window is long.
+UNPRICED = (("click", "2024-03-27", "2024-03-27"), ("view", "2024-03-22", "2024-04-01"))
+UNPRICED_SQL = "(" + " or ".join(f"(zone = '{z}' and local_date between date '{a}' and date '{b}')" for z, a, b in UNPRICED) + ")"
+
+
+@query("rolling_stats", f"with {keyed_sql().replace('keyed as', 'whole as')}, keyed as (select * replace (case when not {UNPRICED_SQL} then price end as price) from whole), {rolls_sql(24)}, {rolls_sql(168)} select a.zone, a.day, {', '.join(f'round({t}.{n}, 6) as p_roll{h}h_{n}' for t, h in (('a', 24), ('b', 168)) for n in ('mean', 'min', 'max', 'std'))} from roll24 a join roll168 b using (zone, day)")
 def rolling_stats(spark, sf_dir):
-    rows = hourly(spark, sf_dir)
+    gaps = [(F.col("zone") == z) & local_date("timestamp").between(F.lit(a).cast("date"), F.lit(b).cast("date")) for z, a, b in UNPRICED]
+    rows = hourly(spark, sf_dir).withColumn("price", F.when(~(gaps[0] | gaps[1]), F.col("price")))
     both = op.rolling_stats(rows, 24).join(op.rolling_stats(rows, 168), ["zone", "day"])
     return both.select("zone", "day", *[r6(c).alias(c) for c in both.columns[2:]])
 
@@ -91,7 +98,8 @@ def neighbour_spread(spark, sf_dir):
 
 def dataset_sql(more: str = "", targets: str = "(select * from keyed where price is not null)") -> str:
     lags = "\n".join(f"left join keyed l{k} on l{k}.zone = k.zone and l{k}.local_date = k.local_date - {k} and l{k}.local_hour = k.local_hour and l{k}.occurrence = 1" for k in (1, 2, 7, 8))
-    return f"""{keyed_sql()}, {more} {samehour_sql(targets)}, {DAYS_SQL}, {rolls_sql(24)}, {rolls_sql(168)},
+    days = f"select distinct zone, local_date - 1 as day from {targets}"
+    return f"""{keyed_sql()}, {more} {samehour_sql(targets)}, {DAYS_SQL}, {rolls_sql(24, days)}, {rolls_sql(168, days)},
     dataset as (select k.zone, {at_local('k.local_date - 1', 9)} as origin, k.local_date - 1 as origin_date, k.timestamp as target_time, k.local_date as target_date, k.price as y,
       cast(k.local_hour as integer) as cal_hour, cast(isodow(k.local_date) - 1 as integer) as cal_dow, cast(isodow(k.local_date) >= 6 as integer) as cal_weekend, cast(month(k.local_date) as integer) as cal_month,
       cast((epoch({at_local('k.local_date + 1', 0)}) - epoch({at_local('k.local_date', 0)})) / 3600 as integer) as cal_hours_in_day,
@@ -167,7 +175,7 @@ def leakage_audit(spark, sf_dir):
     from tidemark.operators.backtest import audit_sample
 
     rows = keyed(spark, sf_dir)
-    near = op.audit_copies(rows, audit_sample(rows.select(F.col("local_date").alias("day")).distinct(), 5, 5)).withColumn("available_at", op.auction_availability())
+    near = op.audit_copies(rows, audit_sample(rows.select(F.col("local_date").alias("day")).distinct(), 5, 5), ROLLS).withColumn("available_at", op.auction_availability())
     origin = origin_timestamp(F.col("audit_date"))
     # A target that the noise made null is kept as a changed one.
     noisy = op.perturb_unavailable(near, origin, 7).withColumn("price", F.when(F.col("available_at") > origin, F.coalesce("price", F.lit(-1.0))).otherwise(F.col("price")))

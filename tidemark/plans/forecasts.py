@@ -195,7 +195,7 @@ def naive_sql(own: str) -> str:
     offs = ", ".join(f"quantile_cont(y - point, {q}) as o{c}" for q, c in zip(QS, QCOLS))
     return f"""{dataset_sql()}, {SCHEDULE_SQL}, pt as (select *, coalesce({own}, p_samehour_mean7d, "p_dayD_mean") as point from dataset),
     fits as (select distinct zone, fit_origin from sched),
-    past as (select p.*, f.fit_origin, max(p.target_date) over (partition by p.zone, f.fit_origin) as last from pt p join fits f on f.zone = p.zone and p.target_date <= f.fit_origin and p.target_date > f.fit_origin - {RESIDUAL_DAYS + 7}),
+    past as (select p.*, f.fit_origin, max(p.target_date) over (partition by p.zone, f.fit_origin) as last from pt p join fits f on f.zone = p.zone and p.target_date <= f.fit_origin),
     offs as (select zone, fit_origin, cal_hour, {offs} from past where target_date > last - {RESIDUAL_DAYS} group by 1, 2, 3),
     naive as (select p.zone, p.origin_date, s.fit_origin, p.target_time, p.target_date, p.cal_hour, p.y, {', '.join(f'point + o{c} as {c}' for c in QCOLS)} from pt p join sched s using (zone, origin_date) join offs o on o.zone = p.zone and o.fit_origin = s.fit_origin and o.cal_hour = p.cal_hour)"""
 
