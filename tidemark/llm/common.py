@@ -78,19 +78,22 @@ def prepare(spark: SparkSession, rows: int = 512) -> None:
         spark.conf.set(key, str(rows))
 
 
-def join_uneven(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
-    """Left join with a stored table of unique keys, ``size`` being how many of the ``rows`` have the key.
+def join_uneven(rows: DataFrame, groups: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
+    """Left join of ``rows`` with a table of unique text keys, spread evenly whatever the keys.
 
-    At most ``4 * shuffle partitions`` keys can have such a share of the rows that their rows fill a partition: those
-    join by broadcast and spread over all partitions; the others join by a shuffle.
+    ``sizes`` is a stored table ``key, n``: how many of the ``rows`` have a key, for all keys that more than one has, whether
+    ``groups`` has them or not. At most ``4 * shuffle partitions`` keys can have such a share of these rows that they fill a
+    partition: those are looked up by broadcast and their rows dealt out by a running number, as are rows without a key,
+    which have no partner. The others join by a shuffle.
     """
     most = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = groups.agg(F.sum(size)).first()[0] or 0  # of the rows with a key: no fewer frequent keys than by all rows
-    frequent = F.col(size) * most > total
-    values = [c for c in groups.columns if c not in (key, size)]
-    hot = F.broadcast(groups.where(frequent).select(key, F.struct(*values).alias("_hot")))
-    spread = F.when(F.col("_hot").isNull(), F.col(key)).otherwise(F.concat(F.lit("#"), F.xxhash64(*[F.col(c) for c in rows.columns if c != "payload"]).cast("string")))
-    cold = groups.where(~frequent).select(F.col(key).alias("_key"), F.struct(*values).alias("_cold"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    values = [c for c in groups.columns if c != key]
+    hot = sizes.where(F.col("n") * most > total).select(key)
+    hot = F.broadcast(hot.join(groups, key, "left").select(key, F.struct(F.lit(True).alias("is"), *values).alias("_hot")))
+    dealt = F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string"))
+    spread = F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), F.col(key)).otherwise(dealt)
+    cold = groups.select(F.col(key).alias("_key"), F.struct(*values).alias("_cold"))
     joined = rows.join(hot, key, "left").withColumn("_key", spread).join(cold, "_key", "left")
     return joined.select(*rows.columns, *[F.coalesce(F.col(f"_hot.{v}"), F.col(f"_cold.{v}")).alias(v) for v in values])
 

@@ -169,11 +169,12 @@ def find_contamination(
         earlier = None
         for k in range(blocks - 1):
             hit = keyed.select("key", "text").mapInArrow(_scanner(block(items, k, blocks), window, True), f"key string, {FOUND}")
-            hit = materialise(hit.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.any_value("spans").alias("spans"), F.any_value("items").alias("items")), "decontam")
+            hit = materialise(hit.groupBy("key").agg(F.any_value("spans").alias("spans"), F.any_value("items").alias("items")), "decontam")
             earlier = hit if earlier is None else earlier.unionByName(hit)
-        earlier = earlier.groupBy("key").agg(F.max("size").alias("size"), F.flatten(F.collect_list("spans")).alias("earlier"), F.flatten(F.collect_list("items")).alias("more"))
-        own = keyed.mapInArrow(_scanner(block(items, blocks - 1, blocks), window, False), f"id {dict(docs.dtypes)[id_col]}, key string, {FOUND}")
-        both = join_uneven(own, materialise(earlier, "decontam"), "key", "size")
+        earlier = earlier.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("earlier"), F.flatten(F.collect_list("items")).alias("more"))
+        own = materialise(keyed.mapInArrow(_scanner(block(items, blocks - 1, blocks), window, False), f"id {dict(docs.dtypes)[id_col]}, key string, {FOUND}"), "decontam")
+        sizes = materialise(own.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "decontam")
+        both = join_uneven(own, materialise(earlier, "decontam"), "key", sizes)
         found = both.select("id", "n_words", "spans", "items", "earlier", "more").mapInArrow(_joined, schema)
     lengths = F.transform("spans", lambda s: s[1] - s[0])
     return found.select(

@@ -5,9 +5,10 @@ chunks between ASCII white space of each document; a block stores its distinct c
 and counts of its chunks. No term spans white space, so nothing is lost.
 
 *Each distinct chunk is tokenized once.* The chunks of all blocks are made distinct and only these meet the term pattern.
-Their terms join back to the chunk numbers of each block. However frequent a chunk is, a block has it once, so the join has
-no hot key. A block then turns its documents' chunk counts into term counts: distinct documents by language, occurrences by
-language and source.
+A term has at most as many documents as its chunks have together; terms that this bound keeps below ``min_docs`` are in no
+language's vocabulary, and with them most chunks need not be looked at again. The terms of the others join back to the chunk
+numbers of each block. However frequent a chunk is, a block has it once, so the join has no hot key. A block then turns its
+documents' chunk counts into term counts: distinct documents by language, occurrences by language and source.
 
 *Divergence.* Shares are integers (parts per thousand million), so results are exact. Pairs of sources are compared by tiles
 of 256 sources and blocks of about 1,024 terms: a task holds one small matrix, and sums of tiles add up.
@@ -36,7 +37,7 @@ BLOCK_BYTES = 16 << 20
 #: Sources of a tile, and terms (on average) of a block, of the pairwise comparison.
 TILE, TERMS = 256, 1024
 
-BLOCKS = "block long, chunks array<string>, langs array<string>, sources array<string>, doc_group binary, doc_size binary, codes binary, counts binary"
+BLOCKS = "block long, chunks array<string>, chunk_docs array<int>, langs array<string>, sources array<string>, doc_group binary, doc_size binary, codes binary, counts binary"
 
 
 class _Block:
@@ -61,8 +62,9 @@ class _Block:
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
         langs, sources = (pa.array([g[i] for g in self.groups], pa.string()) for i in (0, 1))
         raw = [np.array(self.doc_group, "<u4"), np.array(self.doc_size, "<u4"), np.concatenate(self.codes), np.concatenate(self.counts)]
-        columns = [pa.array([number], pa.int64()), one(chunks), one(langs), one(sources), *[pa.array([r.tobytes()], pa.binary()) for r in raw]]
-        return pa.RecordBatch.from_arrays(columns, ["block", "chunks", "langs", "sources", "doc_group", "doc_size", "codes", "counts"])
+        chunk_docs = pa.array(np.bincount(raw[2], minlength=len(chunks)), pa.int32())
+        columns = [pa.array([number], pa.int64()), one(chunks), one(chunk_docs), one(langs), one(sources), *[pa.array([r.tobytes()], pa.binary()) for r in raw]]
+        return pa.RecordBatch.from_arrays(columns, ["block", "chunks", "chunk_docs", "langs", "sources", "doc_group", "doc_size", "codes", "counts"])
 
 
 def chunk_blocks(docs: DataFrame, text_col: str, lang_col: str, source_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -133,13 +135,19 @@ def _block_terms(blocks: pa.Table, found: pa.Table) -> pa.Table:
     )
 
 
-def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``lang, term, docs, sources`` by block of documents: ``docs`` and the ``n`` in ``sources`` add up over rows."""
+def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", block_bytes: int = BLOCK_BYTES, min_docs: int = 1) -> DataFrame:
+    """``lang, term, docs, sources`` by block of documents: ``docs`` and the ``n`` in ``sources`` add up over rows.
+
+    Terms of fewer than ``min_docs`` documents (of all languages) can be missing.
+    """
     blocks = materialise(chunk_blocks(docs, text_col, lang_col, source_col, block_bytes), "chunk-blocks")
-    chunks = blocks.select("block", F.posexplode("chunks").alias("code", "chunk"))
-    terms = chunks.select("chunk").distinct().select("chunk", F.regexp_extract_all(ascii_lower(F.col("chunk")), F.lit(TERM), F.lit(0)).alias("terms"))
-    found = chunks.join(terms, "chunk").select(F.col("block").alias("of_block"), "code", "terms")
-    return blocks.drop("chunks").groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(_block_terms, "lang string, term string, docs long, sources array<struct<source:string,n:long>>")
+    chunks = blocks.select("block", F.posexplode(F.arrays_zip(F.col("chunks").alias("chunk"), F.col("chunk_docs").alias("docs"))).alias("code", "of")).select("block", "code", "of.chunk", "of.docs")
+    tokens = chunks.groupBy("chunk").agg(F.sum("docs").alias("docs"))
+    tokens = materialise(tokens.select("chunk", F.regexp_extract_all(ascii_lower(F.col("chunk")), F.lit(TERM), F.lit(0)).alias("terms"), "docs"), "chunk-terms")
+    likely = tokens.select(F.explode(F.array_distinct("terms")).alias("term"), "docs").groupBy("term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("term")
+    terms = tokens.select("chunk", F.explode("terms").alias("term")).join(likely, "term").groupBy("chunk").agg(F.collect_list("term").alias("terms"))
+    found = chunks.select("block", "code", "chunk").join(terms, "chunk").select(F.col("block").alias("of_block"), "code", "terms")
+    return blocks.drop("chunks", "chunk_docs").groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(_block_terms, "lang string, term string, docs long, sources array<struct<source:string,n:long>>")
 
 
 def share(n: Column | str, total: Column | str, terms: Column | str) -> Column:
@@ -178,7 +186,7 @@ def source_divergence(docs: DataFrame, min_docs: int = 30, top: int = 50, text_c
     to each other source, part ``term`` the ``top`` terms whose share lies most above the language's.
     """
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    found = materialise(term_counts(docs, text_col, lang_col, source_col, block_bytes), "term-counts")
+    found = materialise(term_counts(docs, text_col, lang_col, source_col, block_bytes, min_docs), "term-counts")
     kept = found.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).drop("docs")
     tall = found.join(kept, ["lang", "term"], "left_semi").select("lang", "term", F.inline("sources"))
     counts = materialise(tall.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "kept-counts")

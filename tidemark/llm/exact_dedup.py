@@ -68,10 +68,16 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
             .agg(best("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
             .select(sha, "keep_id", "group_size")
         )
-        again = frequent.select("id", norm, *with_row).select("id", sha, *with_row).join(groups, "text_sha256")
+        # As many groups as hot texts at most.
+        again = frequent.select("id", norm, *with_row).select("id", sha, *with_row).join(F.broadcast(groups), "text_sha256")
         of_best = F.col("id").eqNullSafe(F.col("keep_id"))
-        same = Window.partitionBy("text_sha256", "id").orderBy("id")
-        again = again.where(~of_best).withColumn("nth", F.lit(2)).unionByName(again.where(of_best).withColumn("nth", F.row_number().over(same)))
+        # Of rows that repeat the best id one of each partition meets the others'.
+        ones = again.where(of_best).withColumn("part", F.spark_partition_id())
+        ones = ones.withColumn("near", F.row_number().over(Window.partitionBy("text_sha256", "part").orderBy("id")))
+        first = F.col("near") == 1
+        ones = ones.withColumn("nth", F.row_number().over(Window.partitionBy("text_sha256", F.when(first, -1).otherwise(F.col("part"))).orderBy("near")))
+        ones = ones.withColumn("nth", F.when(first, F.col("nth")).otherwise(2)).drop("part", "near")
+        again = again.where(~of_best).withColumn("nth", F.lit(2)).unionByName(ones)
         found = found.unionByName(again.select(*found.columns))
 
     return found.select(

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import UPPER, discard, materialise, prepare, table
+from tidemark.llm.common import UPPER, discard, join_uneven, materialise, prepare, table
 
 BITS = 64
 #: Largest bucket whose members are compared pairwise.
@@ -209,12 +209,15 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 2) -> DataFrame:
     """One row per input row: ``id_col, fingerprint, component_id`` (the smallest id reachable over links)."""
     marked = materialise(fingerprints(docs, id_col, text_col, size), "simhash")
-    nodes = materialise(marked.groupBy("fp").agg(F.min("id").alias("first")), "simhash-nodes")  # read by every job of the planner
+    nodes = materialise(marked.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "simhash-nodes")  # read by every job of the planner
     roots = components(links(nodes.select("fp"), radius))
     grouped = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    names = grouped.join(named, "root").select("fp", "component_id")
-    return marked.join(names, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    fingerprint = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    names = grouped.join(named, "root").select(fingerprint, "component_id")
+    # A third of all rows can have one fingerprint, as all texts without words do.
+    found = join_uneven(marked.select(F.col("id").alias(id_col), fingerprint), names, "fingerprint", nodes.where("n > 1").select(fingerprint, "n"))
+    return found.select(id_col, "fingerprint", "component_id")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

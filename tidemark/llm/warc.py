@@ -115,8 +115,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     prepare(pages.sparkSession)
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    equal = rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = join_uneven(rows, materialise(equal, "warc-equal"), "digest", "n")
+    long = F.octet_length("payload") >= least
+    equal = materialise(rows.groupBy("digest").agg(F.min(F.when(long, F.col("id"))).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "warc-equal")
+    rows = join_uneven(rows, equal.where(F.col("first").isNotNull()).select("digest", "first"), "digest", equal.select("digest", "n"))
     rows = rows.select(F.col("id").cast("string").alias("id"), "url", "payload", "digest", F.when(F.col("id") > F.col("first"), F.col("first").cast("string")).alias("refers_to"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,8 +293,8 @@ def archive_and_read(pages: DataFrame, id_col: str = "page_id", url_col: str = "
     referring = captures.where("record_type = 'revisit'").groupBy(target.alias("target")).agg(F.count(F.lit(1)).alias("n"))
     full = captures.where("record_type = 'response'").groupBy(F.concat_ws(" ", "payload_digest", "id").alias("target")).agg(F.max("payload_bytes").alias("full"))
     sizes = materialise(full.join(referring, "target"), "warc-sizes")
-    own = F.when(F.col("refers_to").isNotNull(), target).otherwise(F.concat_ws(" ", "payload_digest", F.lit("-")))
-    found = join_uneven(captures.withColumn("target", own), sizes, "target", "n")
+    own = F.when(F.col("refers_to").isNotNull(), target)  # a response has no target
+    found = join_uneven(captures.withColumn("target", own), sizes.drop("n"), "target", sizes.select("target", "n"))
     id_type = dict(pages.dtypes)[id_col]
     return found.select(F.col("id").cast(id_type).alias(id_col), F.coalesce("payload_bytes", "full").alias("payload_bytes"), "payload_digest", "record_type", F.col("refers_to").cast(id_type).alias("refers_to"))
 
