@@ -46,11 +46,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and reread it: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

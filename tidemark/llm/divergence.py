@@ -4,11 +4,10 @@
 chunks between ASCII white space of each document; a block stores its distinct chunks once, and per document the numbers
 and counts of its chunks. No term spans white space, so nothing is lost.
 
-*Each distinct chunk is tokenized once.* The chunks of all blocks are made distinct and only these meet the term pattern.
-A term has at most as many documents as its chunks have together; terms that this bound keeps below ``min_docs`` are in no
-language's vocabulary, and with them most chunks need not be looked at again. The terms of the others join back to the chunk
-numbers of each block. However frequent a chunk is, a block has it once, so the join has no hot key. A block then turns its
-documents' chunk counts into term counts: distinct documents by language, occurrences by language and source.
+*Each distinct chunk is tokenized once.* The chunks of all blocks are sorted into their places, so that equal ones are
+neighbours: the first is tokenized, the others take over its terms, and all go back to the chunk numbers of their block.
+However frequent a chunk is, a block has it once, so no key is hot. A block then turns its documents' chunk counts into term
+counts: distinct documents by language, occurrences by language and source.
 
 *Divergence.* Shares are integers (parts per thousand million), so results are exact. Pairs of sources are compared by tiles
 of 256 sources and blocks of about 1,024 terms: a task holds one small matrix, and sums of tiles add up.
@@ -20,6 +19,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -30,14 +30,26 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, materialise, prepare, table
+from tidemark.llm.common import discard, materialise, prepare, table
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Runs of the bytes of a lower-cased text that no term has (line ends divide chunks here).
+OTHERS = re.compile(rb"[\x00-\x09\x0B-\x60\x7B-\x7F]+")
 BLOCK_BYTES = 16 << 20
+#: Rows and bytes of sorted chunks that are tokenized at a time.
+SORTED_ROWS, SORTED_BYTES = 1 << 16, 16 << 20
 #: Sources of a tile, and terms (on average) of a block, of the pairwise comparison.
 TILE, TERMS = 256, 1024
 
-BLOCKS = "block long, chunks array<string>, chunk_docs array<int>, langs array<string>, sources array<string>, doc_group binary, doc_size binary, codes binary, counts binary"
+BLOCKS = "block long, chunks array<string>, langs array<string>, sources array<string>, doc_group binary, doc_size binary, codes binary, counts binary"
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers by planes of their bytes: the upper ones are mostly zero and compress away."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
 class _Block:
@@ -62,9 +74,8 @@ class _Block:
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
         langs, sources = (pa.array([g[i] for g in self.groups], pa.string()) for i in (0, 1))
         raw = [np.array(self.doc_group, "<u4"), np.array(self.doc_size, "<u4"), np.concatenate(self.codes), np.concatenate(self.counts)]
-        chunk_docs = pa.array(np.bincount(raw[2], minlength=len(chunks)), pa.int32())
-        columns = [pa.array([number], pa.int64()), one(chunks), one(chunk_docs), one(langs), one(sources), *[pa.array([r.tobytes()], pa.binary()) for r in raw]]
-        return pa.RecordBatch.from_arrays(columns, ["block", "chunks", "chunk_docs", "langs", "sources", "doc_group", "doc_size", "codes", "counts"])
+        columns = [pa.array([number], pa.int64()), one(chunks), one(langs), one(sources), *[pa.array([_packed(r)], pa.binary()) for r in raw]]
+        return pa.RecordBatch.from_arrays(columns, ["block", "chunks", "langs", "sources", "doc_group", "doc_size", "codes", "counts"])
 
 
 def chunk_blocks(docs: DataFrame, text_col: str, lang_col: str, source_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -99,15 +110,15 @@ def _block_terms(blocks: pa.Table, found: pa.Table) -> pa.Table:
     if not blocks.num_rows or not found.num_rows:
         return schema.empty_table()
     block = blocks.to_pylist()[0]
-    doc_group, doc_size, codes, counts = (np.frombuffer(block[c], "<u4").astype(np.int64) for c in ("doc_group", "doc_size", "codes", "counts"))
+    doc_group, doc_size, codes, counts = (_unpacked(block[c]) for c in ("doc_group", "doc_size", "codes", "counts"))
     langs, lang_of = np.unique(np.array(block["langs"], object), return_inverse=True)
 
-    lists = found.column("terms").combine_chunks()
-    words = lists.flatten().dictionary_encode()
+    lines = b"\n".join(found.column("terms").to_pylist())
+    sizes = np.fromiter((line.count(b" ") for line in lines.split(b"\n")), np.int64) + 1
+    words = pa.array(lines.replace(b"\n", b" ").split(b" "), pa.binary()).cast(pa.string()).dictionary_encode()
     term_of, n_terms = words.indices.to_numpy(), len(words.dictionary)
-    sizes = lists.value_lengths().to_numpy().astype(np.int64)
     first, size = (np.zeros(int(codes.max(initial=0)) + 1, np.int64) for _ in range(2))
-    at = found.column("code").to_numpy()
+    at = np.concatenate([_unpacked(c) for c in found.column("codes").to_pylist()])
     first[at], size[at] = np.cumsum(sizes) - sizes, sizes
 
     # every chunk of every document, written out as its terms; then each (document, term) once
@@ -135,19 +146,54 @@ def _block_terms(blocks: pa.Table, found: pa.Table) -> pa.Table:
     )
 
 
-def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", block_bytes: int = BLOCK_BYTES, min_docs: int = 1) -> DataFrame:
-    """``lang, term, docs, sources`` by block of documents: ``docs`` and the ``n`` in ``sources`` add up over rows.
+def _tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``block, codes, terms`` from chunks in order: the chunk numbers of a block, and a line of terms for each.
 
-    Terms of fewer than ``min_docs`` documents (of all languages) can be missing.
+    Chunks without terms are left out. The last chunk is remembered, so that its run may go on in the next batch.
     """
-    blocks = materialise(chunk_blocks(docs, text_col, lang_col, source_col, block_bytes), "chunk-blocks")
-    chunks = blocks.select("block", F.posexplode(F.arrays_zip(F.col("chunks").alias("chunk"), F.col("chunk_docs").alias("docs"))).alias("code", "of")).select("block", "code", "of.chunk", "of.docs")
-    tokens = chunks.groupBy("chunk").agg(F.sum("docs").alias("docs"))
-    tokens = materialise(tokens.select("chunk", F.regexp_extract_all(ascii_lower(F.col("chunk")), F.lit(TERM), F.lit(0)).alias("terms"), "docs"), "chunk-terms")
-    likely = tokens.select(F.explode(F.array_distinct("terms")).alias("term"), "docs").groupBy("term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("term")
-    terms = tokens.select("chunk", F.explode("terms").alias("term")).join(likely, "term").groupBy("chunk").agg(F.collect_list("term").alias("terms"))
-    found = chunks.select("block", "code", "chunk").join(terms, "chunk").select(F.col("block").alias("of_block"), "code", "terms")
-    return blocks.drop("chunks", "chunk_docs").groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(_block_terms, "lang string, term string, docs long, sources array<struct<source:string,n:long>>")
+    last, line = None, b""
+    for rows in _gather(batches):
+        chunks = rows.column("chunk").cast(pa.binary()).combine_chunks().dictionary_encode()
+        distinct = chunks.dictionary.to_pylist()
+        known = int(bool(distinct) and distinct[0] == last)
+        if distinct[known:]:
+            # Chunks hold no line ends; of the bytes of the others, those of terms stay and runs of the rest become a space.
+            fresh = [x.strip() for x in OTHERS.sub(b" ", b"\n".join(distinct[known:]).lower()).split(b"\n")]
+            lines = [line] * known + fresh
+        else:
+            lines = [line] * known
+        last, line = distinct[-1], lines[-1]
+        which, blocks, codes = chunks.indices.to_numpy(), rows.column("block").to_numpy(), rows.column("code").to_numpy()
+        some = np.fromiter(map(bool, lines), bool)[which]
+        order = np.flatnonzero(some)[np.argsort(blocks[some], kind="stable")]
+        named, starts = np.unique(blocks[order], return_index=True)
+        parts = np.split(order, starts[1:]) if len(named) else []
+        texts = [b"\n".join([lines[i] for i in which[p].tolist()]) for p in parts]
+        yield pa.RecordBatch.from_arrays([pa.array(named, pa.int64()), pa.array([_packed(codes[p]) for p in parts], pa.binary()), pa.array(texts, pa.binary())], ["of_block", "codes", "terms"])
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= SORTED_ROWS or size >= SORTED_BYTES:
+            yield pa.Table.from_batches(held)
+            held, rows, size = [], 0, 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``lang, term, docs, sources`` by block of documents (stored): ``docs`` and the ``n`` in ``sources`` add up over rows."""
+    blocks = materialise(chunk_blocks(docs, text_col, lang_col, source_col, block_bytes), "chunk-blocks", "zstd")
+    chunks = blocks.select("block", F.posexplode("chunks").alias("code", "chunk")).repartition("chunk").sortWithinPartitions("chunk")
+    found = chunks.mapInArrow(_tokenized, "of_block long, codes binary, terms binary")
+    counts = blocks.drop("chunks").groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(_block_terms, "lang string, term string, docs long, sources array<struct<source:string,n:long>>")
+    counts = materialise(counts, "term-counts", "zstd")
+    discard(blocks)
+    return counts
 
 
 def share(n: Column | str, total: Column | str, terms: Column | str) -> Column:
@@ -186,7 +232,7 @@ def source_divergence(docs: DataFrame, min_docs: int = 30, top: int = 50, text_c
     to each other source, part ``term`` the ``top`` terms whose share lies most above the language's.
     """
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    found = materialise(term_counts(docs, text_col, lang_col, source_col, block_bytes, min_docs), "term-counts")
+    found = term_counts(docs, text_col, lang_col, source_col, block_bytes)
     kept = found.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).drop("docs")
     tall = found.join(kept, ["lang", "term"], "left_semi").select("lang", "term", F.inline("sources"))
     counts = materialise(tall.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "kept-counts")
