@@ -476,3 +476,84 @@ def test_quantiles_of_earlier_values(values, q, warmup):
         at = q * (len(past) - 1)
         low = past[int(at)]
         assert found == pytest.approx(low + (past[min(int(at) + 1, len(past) - 1)] - low) * (at - int(at)))
+
+
+def test_live_rows_with_new_nulls_or_columns_are_refused(spark, tmp_path):
+    keyed = t.hour_occurrence(hours(spark, "2025-03-01 00:00:00", 24 * 30), ["zone"])
+    reference = features.origin_dataset(keyed.where("local_date < '2025-03-28'"))
+    reference = reference.where("p_lag8d is not null and p_dayD_trend is not null")
+    live = features.live_rows(keyed, spark.sql("select 'a' as zone, date'2025-03-26' as origin_date"))
+    root = f"file://{tmp_path}/live"
+    with pytest.raises(ValueError, match="extra"):
+        features.store_live_rows(live.withColumn("extra", F.lit(1)), reference, root)
+    with pytest.raises(lake.Refused, match="'p_lag2d': 1"):
+        features.store_live_rows(live.withColumn("p_lag2d", F.when(F.col("cal_hour") != 5, F.col("p_lag2d"))), reference, root)
+    table = VersionedTable(spark, root)
+    assert table.versions() == []
+    # What the reference lacks at that hour may be missing, and so may columns that are named.
+    some = reference.withColumn("p_lag2d", F.when((F.col("cal_hour") != 5) | (F.dayofmonth("target_date") != 20), F.col("p_lag2d")))
+    features.store_live_rows(live.withColumns({"p_lag2d": F.when(F.col("cal_hour") != 5, F.col("p_lag2d")), "p_lag7d": F.lit(None).cast("double")}), some, root, nullable=("p_lag7d",))
+    features.store_live_rows(live, reference, root)  # replaces the rows of the same origin
+    stored = table.read(table.manifest())
+    assert stored.count() == 24 and stored.columns == live.columns and stored.where("p_lag7d is null").count() == 0
+
+
+def test_gaps_are_filled_across_days(spark):
+    """Against a plain interpolation: carries over several days, both ends, double rows, the trailing context."""
+    values = {h: float(h * h % 50) for h in [3, 4, 90, 91, 100, 160]}
+    rows = [("a", h, 0, v) for h, v in values.items()] + [("a", 4, 1, 999.0), ("a", 95, 0, None), ("a", 95, 1, 7.0), ("a", 170, 0, None), ("b", 5, 0, None), ("b", 60, 0, None)]
+    df = spark.createDataFrame(rows, "zone string, h int, seq int, price double").withColumn("timestamp", F.timestamp_seconds(F.col("h") * 3600))
+    for context, pad, first in ((None, False, 3), (100, False, 90), (100, True, 71)):
+        found = {(r.zone, int(r.timestamp.timestamp()) // 3600): (r.price, r.filled) for r in backtest.gap_fill_linear(df, "price", ["zone"], context_hours=context, arrival="seq", pad=pad).collect()}
+        known = sorted(h for h in values if h >= first)
+        for h in range(first, 171):
+            below, above = [k for k in known if k <= h], [k for k in known if k >= h]
+            want = values[below[-1]] if not above else values[above[0]] if not below else values[below[-1]] if below[-1] == above[0] else values[below[-1]] + (values[above[0]] - values[below[-1]]) * (h - below[-1]) / (above[0] - below[-1])
+            assert found["a", h] == (pytest.approx(want), h not in known)
+        assert min(h for z, h in found if z == "a") == first and {v for (z, _), v in found.items() if z == "b"} == {(None, True)}
+    counts = backtest.count_fills(backtest.gap_fill_linear(df, "price", ["zone"], arrival="seq"), ["zone"])
+    assert {r.zone: (r.n_hours, r.n_filled) for r in counts.collect()} == {"a": (168, 162), "b": (56, 56)}
+
+
+def test_origin_range_of_several_sources(spark):
+    def source(first, n, back, ahead, **kw):
+        return backtest.Source(hours(spark, first, n).withColumn("other", F.lit(None).cast("double")), ("other", "price"), back, ahead, **kw)
+
+    prices = source("2025-03-09 23:00:00", 24 * 40, 7, 1)  # whole local days from the 10th; the clocks change on the 30th
+    weather = source("2025-03-20 00:00:00", 24 * 20 + 5, 0, 1)  # misses the first hour of the 20th
+    row = backtest.origin_range([prices, weather]).first()
+    assert (str(row.first_origin), str(row.last_origin)) == ("2025-03-21", "2025-04-07")
+    row = backtest.origin_range([prices]).first()
+    assert (str(row.first_origin), str(row.last_origin)) == ("2025-03-17", "2025-04-17")
+    assert backtest.origin_range([source("2025-03-09 23:00:00", 24 * 8, 7, 1)]).count() == 0
+
+
+def test_examples_of_violations_are_bounded(spark):
+    rows = spark.range(1000).selectExpr("id % 2 as k", "cast(id as double) as v", "cast(id as string) as name")
+    found = quality.range_violations(rows, [quality.Rule("v", 0, 500, None, 998)], ["k"], F.col("name"), 3).collect()
+    for r in found:
+        assert 1 <= len(r.examples) <= 3 and all(int(e) > (500 if r.rule == "range" else 998) and int(e) % 2 == r.k for e in r.examples)
+    assert {(r.k, r.rule, r.n_bad) for r in found} == {(0, "range", 249), (1, "range", 250), (1, "soft_range", 1)}
+
+
+def test_groups_of_a_clock_change(spark):
+    """Neighbour and weather columns beside plain look-ups, over the day of 23 hours."""
+    rows = hours(spark, "2025-03-20 00:00:00", 24 * 15).unionByName(hours(spark, "2025-03-20 00:00:00", 24 * 15, "b").withColumn("price", F.col("price") * 2))
+    keyed = t.hour_occurrence(rows, ["zone"])
+    readings = rows.selectExpr("zone", "explode(array('n', 's')) as location", "timestamp", "price / 10 as temp", "price as wind_dir").where("not (location = 's' and hour(timestamp) = 3)")
+    groups = (features.neighbour_group(keyed, (("a", "b"),)), features.weather_group(readings, ["n", "s"], ["temp"], ["wind_dir"], "temp"), features.calendar_group(t.holiday_calendar(spark, "2025-03-01", "2025-05-01")))
+    out = {(r.zone, r.target_time): r for r in features.origin_dataset(keyed, groups).collect()}
+    price = {(r.zone, r.timestamp): r.price for r in rows.collect()}
+    for (zone, at), r in out.items():
+        if zone == "b":
+            assert r.nb_b_lag1d is None and r.nb_b_dayD_mean is None
+        elif r.p_lag1d is not None:
+            assert r.nb_b_lag1d == 2 * r.p_lag1d and r.nb_b_spread_lag1d == -r.p_lag1d and r.nb_b_dayD_mean == pytest.approx(2 * r.p_dayD_mean)
+        south = at.hour != 3
+        assert r.w_n_temp == price[zone, at] / 10 and (r.w_s_temp is not None) == south and r.weather_missing_frac == pytest.approx(0 if south else 0.5)
+        if (zone, at - dt.timedelta(hours=24)) in price:
+            assert r.wz_temp_d24 == pytest.approx((price[zone, at] - price[zone, at - dt.timedelta(hours=24)]) / 10)
+        assert r.cal_is_public_holiday == 0 and r.cal_days_to_holiday is not None
+    assert len(out) == len({(z, ts) for z, ts in price if (z, ts) in out})
+    lost = features.dropped_targets(keyed.withColumn("price", F.when(F.hour("timestamp") != 3, F.col("price"))), spark.sql("select 'a' as zone, explode(array(date'2025-03-29', date'2025-03-30')) as origin_date")).collect()
+    assert sorted(r.n_dropped for r in lost) == [1, 1]

@@ -44,14 +44,6 @@ def expected_periods(days: DataFrame, day: str = "day", tz: str = TZ) -> DataFra
     return days.withColumn("n_pt60m", hours).withColumn("n_pt15m", hours * 4)
 
 
-def refuse_naive(df: DataFrame, *columns: str) -> DataFrame:
-    """The same rows; a column of times without a zone is an error."""
-    wrong = [c for c in columns if dict(df.dtypes)[c] != "timestamp"]
-    if wrong:
-        raise ValueError(f"not instants in UTC: {', '.join(f'{c} {dict(df.dtypes)[c]}' for c in wrong)}")
-    return df
-
-
 def ensure_utc(df: DataFrame, *columns: str) -> DataFrame:
     """The frame itself if all the columns are instants; times without a zone are refused, since their offset is unknown."""
     types = dict(df.dtypes)

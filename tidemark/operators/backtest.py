@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 from typing import Protocol
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.timeutils import TZ, hours_in_local_day
+from tidemark.functions.timeutils import TZ, day_start, hours_in_local_day, local_date, plus_hours
 from tidemark.operators.forecast import sort_quantiles
 from tidemark.sources.scratch import stored
 
@@ -56,17 +58,42 @@ def new_nulls(live: DataFrame, reference: DataFrame, keys: list[str], columns: l
     return both.select(*keys, F.explode(lost).alias("column"))
 
 
-def gap_fill_linear(df: DataFrame, col: str, keys: list[str], ts: str = "timestamp") -> DataFrame:
-    """The series on its full hourly grid; gaps filled linearly in time, the ends with the nearest value."""
-    span = df.groupBy(*keys).agg(F.min(ts).alias("_a"), F.max(ts).alias("_b"))
-    grid = span.select(*keys, F.explode(F.sequence("_a", "_b", F.expr("interval 1 hour"))).alias(ts)).join(df.select(*keys, ts, col), [*keys, ts], "left")
-    order = Window.partitionBy(*keys).orderBy(ts)
-    back, ahead = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
-    known = F.when(F.col(col).isNotNull(), F.struct(F.col(col).alias("v"), F.unix_timestamp(ts).alias("t")))
-    rows = grid.withColumn("_p", F.last(known, ignorenulls=True).over(back)).withColumn("_n", F.first(known, ignorenulls=True).over(ahead))
+def gap_fill_linear(df: DataFrame, col: str, keys: list[str], ts: str = "timestamp", context_hours: int | None = None, arrival: str | None = None, pad: bool = False) -> DataFrame:
+    """The series on its full hourly grid; gaps filled linearly in time, the ends with the nearest value: ``keys, ts, col, filled``.
+
+    ``context_hours`` keeps the hours up to the last one only; with ``pad`` the grid has all of them, also those before the
+    first row. Of rows of the same hour the first by ``arrival`` counts, null or not (without ``arrival``: the least value).
+    A series without any value stays null. Rows are ordered within UTC days; one row per day carries the nearest values
+    of other days in, so that no task holds a series.
+    """
+    last = df.groupBy(*keys).agg(F.max(ts).alias("_b"))
+    rows = df.select(*keys, ts, col, *([arrival] if arrival else []))
+    if context_hours is not None:
+        start = F.col("_b") - F.make_dt_interval(hours=F.lit(context_hours - 1))
+        rows = rows.join(last.select(*keys, start.alias("_a")), keys).where(F.col(ts) >= F.col("_a")).drop("_a")
+    first = F.min_by(F.struct(col), F.struct(arrival)) if arrival else F.min(F.struct(col))
+    once = rows.groupBy(*keys, ts).agg(first.alias("_v")).select(*keys, ts, F.col(f"_v.{col}").alias(col))
+    span = once.groupBy(*keys).agg(F.min(ts).alias("_a"), F.max(ts).alias("_b"))
+    if pad and context_hours is not None:
+        span = span.withColumn("_a", F.col("_b") - F.make_dt_interval(hours=F.lit(context_hours - 1)))
+    grid = span.select(*keys, F.explode(F.sequence("_a", "_b", F.expr("interval 1 hour"))).alias(ts)).join(once, [*keys, ts], "left").withColumn("_day", F.to_date(ts))
+    known = F.when(F.col(col).isNotNull(), F.struct(F.unix_timestamp(ts).alias("t"), F.col(col).alias("v")))
+    ends = grid.groupBy(*keys, "_day").agg(F.min(known).alias("_first"), F.max(known).alias("_last"))
+    days = Window.partitionBy(*keys).orderBy("_day")
+    before = F.last("_last", ignorenulls=True).over(days.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first("_first", ignorenulls=True).over(days.rowsBetween(1, Window.unboundedFollowing))
+    order = Window.partitionBy(*keys, "_day").orderBy(ts)
+    near = grid.withColumn("_p", F.last(known, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    near = near.withColumn("_n", F.first(known, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing)))
+    near = near.join(ends.select(*keys, "_day", before.alias("_c"), after.alias("_d")), [*keys, "_day"]).withColumns({"_p": F.coalesce("_p", "_c"), "_n": F.coalesce("_n", "_d")})
     line = F.col("_p.v") + (F.col("_n.v") - F.col("_p.v")) * (F.unix_timestamp(ts) - F.col("_p.t")) / (F.col("_n.t") - F.col("_p.t"))
     value = F.when(F.col(col).isNotNull(), F.col(col)).when(F.col("_p").isNull(), F.col("_n.v")).when(F.col("_n").isNull(), F.col("_p.v")).otherwise(line)
-    return rows.select(*keys, ts, value.alias(col), F.col(col).isNull().alias("filled"))
+    return near.select(*keys, ts, value.alias(col), F.col(col).isNull().alias("filled"))
+
+
+def count_fills(filled: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, n_hours, n_filled`` of a filled series."""
+    return filled.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_hours"), F.count_if("filled").alias("n_filled"))
 
 
 def evaluation_rows(dataset: DataFrame, live: DataFrame, origin_date: str) -> DataFrame:
@@ -85,10 +112,33 @@ def variant(model: str, **spec: object) -> str:
     return "@".join(parts)
 
 
-def origin_range(keyed: DataFrame, back_days: int, ahead_days: int, keys: tuple[str, ...] = ("zone",)) -> DataFrame:
-    """First and last origin day for which every series covers the days that features and targets need."""
-    span = keyed.groupBy(*keys).agg(F.min("local_date").alias("a"), F.max("local_date").alias("b"))
-    return span.agg(F.date_add(F.max("a"), back_days).alias("first_origin"), F.date_sub(F.min("b"), ahead_days).alias("last_origin"))
+@dataclass(frozen=True)
+class Source:
+    """Hourly rows that origins need: from ``back_days`` before an origin day to ``ahead_days`` behind it.
+
+    Each series of ``keys`` must cover them by itself; hours without any of the ``values`` don't count.
+    """
+
+    rows: DataFrame
+    values: tuple[str, ...]
+    back_days: int
+    ahead_days: int
+    keys: tuple[str, ...] = ()
+
+
+def origin_range(sources: list[Source], ts: str = "timestamp", tz: str = TZ) -> DataFrame:
+    """``first_origin, last_origin``: the days whose needs all series of all sources cover; no row if there is none.
+
+    A series covers a local day if it begins by the day's first instant and its last hour ends no sooner than the day.
+    """
+    spans = None
+    for source in sources:
+        any_value = reduce(or_, [F.col(v).isNotNull() for v in source.values])
+        span = source.rows.where(any_value).groupBy(*source.keys).agg(F.min(ts).alias("a"), F.max(ts).alias("b"))
+        whole = F.when(day_start(local_date("a", tz), tz) < F.col("a"), F.date_add(local_date("a", tz), 1)).otherwise(local_date("a", tz))
+        span = span.where("a is not null").select(F.date_add(whole, source.back_days).alias("first"), F.date_sub(local_date(plus_hours(F.col("b"), 1), tz), 1 + source.ahead_days).alias("last"))
+        spans = span if spans is None else spans.unionByName(span)
+    return spans.agg(F.max("first").alias("first_origin"), F.min("last").alias("last_origin")).where("first_origin <= last_origin")
 
 
 def select_origins(days: DataFrame, start: str, end: str, every: int, day: str = "origin_date") -> DataFrame:

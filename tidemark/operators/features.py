@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.timeutils import TZ, calendar_features, hour_occurrence, local_date, origin_timestamp, plus_hours, target_hours
+from tidemark.functions.timeutils import TZ, calendar_features, cyclic, hour_occurrence, local_date, origin_timestamp, plus_hours, target_hours
+
+from tidemark.operators.lake import commit_checked
+from tidemark.operators.quality import assert_contract
+from tidemark.sources.versions import VersionedTable
 
 
 def same_local_hour(rows: DataFrame, keyed: DataFrame, days: int, name: str, keys: tuple[str, ...] = ("zone",), value: str = "price") -> DataFrame:
@@ -127,10 +131,16 @@ def samehour_mean(rows: DataFrame, keyed: DataFrame, days: int, keys: tuple[str,
     return rows.join(mean, [*keys, "local_date", "local_hour"], "left")
 
 
-def neighbour_spread(lagged: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Own lag less the neighbour's at the same hour; ``pairs`` has ``zone, neighbour`` (a map of fixed size)."""
+def neighbour_spread(lagged: DataFrame, pairs: DataFrame, hourly: DataFrame | None = None) -> DataFrame:
+    """Own lag less the neighbour's at the same hour; ``pairs`` has ``zone, neighbour`` (a map of fixed size).
+
+    With ``hourly`` prices the neighbour's mean of the day before too.
+    """
     other = lagged.select(F.col("zone").alias("neighbour"), "target_time", F.col("p_lag1d").alias("nb_lag1d"))
     joined = lagged.join(F.broadcast(pairs), "zone").join(other, ["neighbour", "target_time"], "left")
+    if hourly is not None:
+        means = day_stats(hourly).select(F.col("zone").alias("neighbour"), F.date_add("day", 1).alias("target_date"), F.col("day_mean").alias("nb_dayD_mean"))
+        joined = joined.join(means, ["neighbour", "target_date"], "left")
     return joined.withColumn("nb_spread", F.col("p_lag1d") - F.col("nb_lag1d"))
 
 
@@ -141,6 +151,74 @@ def zone_aggregates(readings: DataFrame, variables: list[str], keys: tuple[str,
     return readings.groupBy(*keys).agg(*aggs, missing.alias("missing_frac"))
 
 
+# ---- groups of features ------------------------------------------------------------------------------
+
+
+def calendar_group(holidays: DataFrame, tz: str = TZ) -> FeatureGroup:
+    """Cyclic hour and day of year, holidays of each kind, bridge days, days to and since a holiday.
+
+    ``holidays`` is a ``holiday_calendar``: one row per day of the span.
+    """
+
+    def add(rows: DataFrame) -> DataFrame:
+        hour, year = cyclic(F.col("cal_hour"), 24), cyclic(F.dayofyear("target_date"), 365.25)
+        flags = {"public_holiday": "is_public", "de_facto_holiday": "is_custom", "half_day": "is_half", "bridge_day": "is_bridge"}
+        days = holidays.select(F.col("day").alias("target_date"), *[F.col(c).cast("int").alias(f"cal_is_{n}") for n, c in flags.items()], F.col("days_to").alias("cal_days_to_holiday"), F.col("days_since").alias("cal_days_since_holiday"))
+        rows = rows.withColumns({"cal_hour_sin": hour[0], "cal_hour_cos": hour[1], "cal_doy_sin": year[0], "cal_doy_cos": year[1]})
+        return rows.join(F.broadcast(days), "target_date", "left")
+
+    return add
+
+
+def neighbour_group(keyed: DataFrame, pairs: tuple[tuple[str, str], ...]) -> FeatureGroup:
+    """Per neighbour of the map ``pairs`` (zone, neighbour): price of the same clock hour on the origin day, mean of that day, own lag less its.
+
+    Two joins whatever the number of neighbours, by local hour and by day; null where the zone has no such neighbour.
+    """
+    names = sorted({n for _, n in pairs})
+
+    def add(rows: DataFrame) -> DataFrame:
+        of = lambda n, value: F.max(F.when(F.col("zone") == n, value))
+        known = keyed.where(F.col("zone").isin(names))
+        hours = known.where("occurrence = 1").groupBy(F.date_add("local_date", 1).alias("target_date"), F.col("local_hour").alias("cal_hour")).agg(*[of(n, F.col("price")).alias(f"_lag_{n}") for n in names])
+        days = day_stats(known).groupBy(F.col("day").alias("origin_date")).agg(*[of(n, F.col("day_mean")).alias(f"_mean_{n}") for n in names])
+        rows = rows.join(hours, ["target_date", "cal_hour"], "left").join(days, "origin_date", "left")
+        for n in names:
+            mine = F.col("zone").isin([z for z, other in pairs if other == n])
+            lag = F.when(mine, F.col(f"_lag_{n}"))
+            rows = rows.withColumns({f"nb_{n}_lag1d": lag, f"nb_{n}_dayD_mean": F.when(mine, F.col(f"_mean_{n}")), f"nb_{n}_spread_lag1d": F.col("p_lag1d") - lag})
+        return rows.drop(*[f"_{k}_{n}" for n in names for k in ("lag", "mean")])
+
+    return add
+
+
+def weather_group(readings: DataFrame, locations: list[str], scalars: list[str], directions: list[str], day_of: str | None = None, tz: str = TZ) -> FeatureGroup:
+    """Readings of the target hour: by location, and mean, min and max over the locations of a zone.
+
+    ``readings`` has ``zone, location, timestamp`` and the variables; directions (degrees) become sine and cosine. For the
+    variable ``day_of`` there are the change of its mean over 24 hours and its mean over the target day. The share of missing
+    location values is 1 where an hour has no readings. One aggregation of the readings, then joins by hour.
+    """
+
+    def add(rows: DataFrame) -> DataFrame:
+        at = lambda loc, c: F.max(F.when(F.col("location") == loc, c))
+        own = {f"w_{loc}_{v}": at(loc, F.col(v)) for loc in locations for v in scalars}
+        own |= {f"w_{loc}_{v}_{n}": at(loc, f(F.radians(v))) for loc in locations for v in directions for n, f in (("sin", F.sin), ("cos", F.cos))}
+        over = {f"wz_{v}_{n}": f(v) for v in scalars for n, f in (("mean", F.avg), ("min", F.min), ("max", F.max))}
+        hours = readings.where(F.col("location").isin(locations)).groupBy("zone", F.col("timestamp").alias("target_time")).agg(*[c.alias(n) for n, c in (own | over).items()])
+        missing = sum((F.col(c).isNull().cast("int") for c in own), F.lit(0)) / len(own)
+        rows = rows.join(hours.withColumn("weather_missing_frac", missing), ["zone", "target_time"], "left")
+        if day_of:
+            mean = f"wz_{day_of}_mean"
+            before = hours.select("zone", plus_hours(F.col("target_time"), 24).alias("target_time"), F.col(mean).alias("_before"))
+            days = hours.groupBy("zone", local_date("target_time", tz).alias("target_date")).agg(F.avg(mean).alias(f"wz_{day_of}_daymean"))
+            rows = rows.join(before, ["zone", "target_time"], "left").join(days, ["zone", "target_date"], "left")
+            rows = rows.withColumn(f"wz_{day_of}_d24", F.col(mean) - F.col("_before")).drop("_before")
+        return rows.withColumn("weather_missing_frac", F.coalesce("weather_missing_frac", F.lit(1.0)))
+
+    return add
+
+
 # ---- dataset ---------------------------------------------------------------------------------------
 
 FeatureGroup = Callable[[DataFrame], DataFrame]
@@ -201,9 +279,41 @@ def live_rows(keyed: DataFrame, origins: DataFrame, groups: tuple[FeatureGroup,
     return origin_dataset(keyed, groups, tz, rolls, hours.join(keyed.select("zone", "timestamp", "price"), ["zone", "timestamp"], "left"))
 
 
+def dropped_targets(keyed: DataFrame, origins: DataFrame, tz: str = TZ) -> DataFrame:
+    """``zone, origin_date, n_dropped``: how many target hours of the origins have no price, where any; a dataset has no rows of them."""
+    hours = target_hours(origins.select("zone", "origin_date").distinct(), tz=tz).select("zone", "origin_date", F.col("target_time").alias("timestamp"))
+    priced = keyed.where(F.col("price").isNotNull()).select("zone", "timestamp").distinct()
+    return hours.join(priced, ["zone", "timestamp"], "left_anti").groupBy("zone", "origin_date").agg(F.count(F.lit(1)).alias("n_dropped"))
+
+
 META = ("zone", "origin", "origin_date", "target_time", "target_date")
 
 
+def store_live_rows(live: DataFrame, reference: DataFrame, root: str, nullable: tuple[str, ...] = ()) -> dict:
+    """Commit live rows to a versioned table, or refuse them: the manifest of the new version.
+
+    Columns and types must be those of ``reference`` (the dataset that the model was fitted on). A feature that the
+    reference always has, by local hour, may not be missing: its nulls are counted while the rows are written, and nothing
+    is committed if there are any. ``y`` and the columns named ``nullable`` may be missing. Rows of an origin that is stored
+    already replace it.
+    """
+    assert_contract(live, reference.schema)
+    checked = [c for c in reference.columns if c not in (*META, "y", "cal_hour", *nullable)]
+    seen = reference.groupBy("cal_hour").agg(*[(F.count(c) == F.count(F.lit(1))).alias(c) for c in checked])  # 24 rows
+    always = F.broadcast(seen.select(F.col("cal_hour").alias("_hour"), F.struct(*checked).alias("_always")))
+    rows = live.join(always, F.col("cal_hour") == F.col("_hour"), "left")
+    wrong = {c: F.col(c).isNull() & F.coalesce(F.col(f"_always.{c}"), F.lit(True)) for c in checked}
+    part_of = lambda p: (p["first_origin"], p["last_origin"], p["zones"])
+    span = live.agg(F.min("origin_date").cast("string"), F.max("origin_date").cast("string"), F.array_sort(F.collect_set("zone"))).first()  # zones of one run
+    table = VersionedTable(live.sparkSession, root)
+
+    def place(manifest: dict, part: dict) -> list[dict]:
+        new = part | dict(zip(("first_origin", "last_origin", "zones"), (span[0], span[1], list(span[2]))))
+        return [p for p in manifest["parts"] if part_of(p) != part_of(new)] + [new]
+
+    return commit_checked(rows, table, wrong, place, only=live.columns)
+
+
 def noise(seed: int, *keys: str) -> Column:
     """A number in [0, 1) from integer arithmetic on the key columns (numbers): the same in every engine."""
     x = F.lit(seed).cast("long")

@@ -96,8 +96,13 @@ def content_digest(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(row.cast("decimal(38,0)")).alias("row_sum"), F.bit_xor(row).alias("row_xor")).withColumn("columns", F.lit(",".join(sorted(df.columns))))
 
 
-def table_inventory(df: DataFrame, by: str, ts: str) -> DataFrame:
-    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.min(ts).alias("first_time"), F.max(ts).alias("last_time"))
+def table_inventory(df: DataFrame, by: str, ts: str, conflicts: DataFrame | None = None) -> DataFrame:
+    """Rows and time range per table, and with a change log (that has ``by``) the number of its entries."""
+    out = df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.min(ts).alias("first_time"), F.max(ts).alias("last_time"))
+    if conflicts is None:
+        return out
+    found = conflicts.groupBy(by).agg(F.count(F.lit(1)).alias("n_conflicts"))
+    return out.join(found, by, "left").na.fill(0, ["n_conflicts"])
 
 
 def manifest_of(pulls: DataFrame) -> DataFrame:
@@ -197,17 +202,19 @@ class Refused(ValueError):
     """Rows that a gate has turned away; nothing was committed."""
 
 
-def commit_checked(df: DataFrame, table: VersionedTable, limits: dict[str, Column], place: Callable[[dict, dict], list[dict]], **info) -> dict:
+def commit_checked(df: DataFrame, table: VersionedTable, limits: dict[str, Column], place: Callable[[dict, dict], list[dict]], only: list[str] | None = None, **info) -> dict:
     """Write ``df`` once, counting violations of ``limits`` on the way, and commit only if all counts are zero.
 
-    ``place`` makes the new list of parts from the manifest and the new part. Refused rows are removed.
+    ``place`` makes the new list of parts from the manifest and the new part; ``only`` names the columns to store, if the
+    limits need more. Refused rows are removed.
     """
-    part = table.write(df, **{name: F.count_if(F.coalesce(wrong, F.lit(False))) for name, wrong in limits.items()})
-    bad = {name: part[name] for name in limits if part[name]}
+    counts = {f"bad_{i}": F.count_if(F.coalesce(wrong, F.lit(False))) for i, wrong in enumerate(limits.values())}
+    part = table.write(df, only, **counts)
+    bad = {name: n for name, n in zip(limits, [part.pop(c) for c in counts]) if n}
     if bad:
         table.discard(part)
         raise Refused(f"{bad} of {part['rows']} rows")
-    return table.update(lambda manifest: place(manifest, part), df.schema, **info)
+    return table.update(lambda manifest: place(manifest, part), df.select(*(only or df.columns)).schema, **info)
 
 
 def write_snapshot(df: DataFrame, root: str, source: str, dataset: str, key: str, pulled_at: str, passed: bool) -> DataFrame:

@@ -31,8 +31,14 @@ def rule_for(column: str, by_prefix: dict[str, Rule]) -> Rule:
     return Rule(column, rule.low, rule.high, rule.soft_low, rule.soft_high, rule.max_null)
 
 
-def range_violations(df: DataFrame, rules: list[Rule], keys: list[str]) -> DataFrame:
-    """One row per key, column and violated rule: ``column, rule, severity, n_bad``. One pass over the data."""
+def range_violations(df: DataFrame, rules: list[Rule], keys: list[str], name: Column | None = None, examples: int = 3) -> DataFrame:
+    """One row per key, column and violated rule: ``column, rule, severity, n_bad``. One pass over the data.
+
+    With a text ``name`` of a row there are up to ``examples`` of the bad rows too: names are dealt to that many places by
+    their digest and the least of each place stays, so what is held for a rule is bounded and adds up before the shuffle.
+    """
+    h = F.conv(F.substring(F.md5(F.col("_name")), 1, 8), 16, 10).cast("long")
+    rows = df if name is None else df.withColumn("_name", name).withColumn("_place", F.pmod(h, F.lit(examples))).withColumn("_least", F.struct(h.alias("h"), F.col("_name").alias("name")))
 
     def outside(c: str, low: float | None, high: float | None) -> Column:
         bad = F.lit(False)
@@ -40,18 +46,28 @@ def range_violations(df: DataFrame, rules: list[Rule], keys: list[str]) -> DataF
             bad = bad | (F.col(c) < low)
         if high is not None:
             bad = bad | (F.col(c) > high)
-        return F.count_if(bad)
+        return bad
 
     aggs, checks = [], []
     for i, r in enumerate(rules):
-        aggs += [outside(r.column, r.low, r.high).alias(f"hard{i}"), outside(r.column, r.soft_low, r.soft_high).alias(f"soft{i}"), F.count_if(F.col(r.column).isNull()).alias(f"null{i}")]
-        entry = lambda rule, severity, n, bad, c=r.column: F.when(bad, F.struct(F.lit(c).alias("column"), F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), n.alias("n_bad")))
+        bad = {"hard": outside(r.column, r.low, r.high), "soft": outside(r.column, r.soft_low, r.soft_high), "null": F.col(r.column).isNull()}
+        aggs += [F.count_if(b).alias(f"{kind}{i}") for kind, b in bad.items()]
+        if name is not None:
+            aggs += [F.min(F.when(b & (F.col("_place") == k), F.col("_least"))).alias(f"{kind}{i}_{k}") for kind, b in bad.items() for k in range(examples)]
+
+        def entry(rule: str, severity: str, kind: str, violated: Column, c: str = r.column, i: int = i) -> Column:
+            fields = [F.lit(c).alias("column"), F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), F.col(f"{kind}{i}").alias("n_bad")]
+            if name is not None:
+                found = F.array_sort(F.filter(F.array(*[F.col(f"{kind}{i}_{k}") for k in range(examples)]), lambda x: x.isNotNull()))
+                fields.append(F.transform(found, lambda x: x["name"]).alias("examples"))
+            return F.when(violated, F.struct(*fields))
+
         checks += [
-            entry("range", "error", F.col(f"hard{i}"), F.col(f"hard{i}") > 0),
-            entry("soft_range", "warning", F.col(f"soft{i}"), F.col(f"soft{i}") > 0),
-            entry("null_fraction", "error", F.col(f"null{i}"), F.col(f"null{i}") > r.max_null * F.col("n_rows")),
+            entry("range", "error", "hard", F.col(f"hard{i}") > 0),
+            entry("soft_range", "warning", "soft", F.col(f"soft{i}") > 0),
+            entry("null_fraction", "error", "null", F.col(f"null{i}") > r.max_null * F.col("n_rows")),
         ]
-    totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *aggs)
+    totals = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *aggs)
     return totals.select(*keys, F.inline(F.filter(F.array(*checks), lambda x: x.isNotNull())))
 
 
@@ -60,7 +76,7 @@ def duplicate_timestamps(df: DataFrame, keys: list[str], ts: str = "timestamp")
 
 
 def not_monotone(df: DataFrame, keys: list[str], arrival: list[str], ts: str = "timestamp", chunk: Column | None = None) -> DataFrame:
-    """Per key the rows that arrive after a row with a later time, and rows without a time.
+    """Per key the rows that arrive right after a row with a later time (so that the series falls there), and rows without a time.
 
     ``chunk`` never falls in order of arrival (a day of arrival, say): rows are ordered within a chunk, and one row per chunk tells
     the next one where it left off, so that no task holds a whole series. ``arrival`` orders the rows of a key in full.
@@ -140,8 +156,13 @@ def consecutive_runs(days: DataFrame, keys: list[str], day: str = "day") -> Data
     return days.withColumn("_g", island).groupBy(*keys, "_g").agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"), F.count(F.lit(1)).alias("n_days")).drop("_g")
 
 
-def profile_nulls(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in columns])
+def profile_nulls(df: DataFrame, by: list[str], columns: list[str], resolution: str | None = None, known: tuple[str, ...] = tuple(RESOLUTIONS)) -> DataFrame:
+    """Null counts per table, and with a ``resolution`` column the rows of each known resolution and of none, in one aggregation."""
+    aggs = [F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in columns]
+    if resolution:
+        aggs += [F.count_if(F.col(resolution) == r).alias(f"n_{r.lower()}") for r in known]
+        aggs.append(F.count_if(F.coalesce(~F.col(resolution).isin(*known), F.lit(True))).alias("n_other"))
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *aggs)
 
 
 def validation_report(structure: DataFrame, gaps: DataFrame, days: DataFrame, keys: list[str], most: int = 20) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeutils import TZ, daypart, hours_in_local_day, local, quantile_label
@@ -126,24 +126,25 @@ def raw_freshness(manifest: DataFrame, now: str, by: list[str]) -> DataFrame:
 
 
 def data_alerts(forecasts: DataFrame, scores: DataFrame, freshness: DataFrame, today: str, levels: dict[str, float], by: str = "zone") -> DataFrame:
-    """``alert, subject, value`` of every rule that fires: missing, incomplete and drifting forecasts, stale scores and raw data, invalid pulls."""
+    """``alert, subject, value`` of every rule that fires: missing, incomplete and drifting forecasts, stale scores and raw data, invalid pulls.
+
+    Each input is aggregated once, to a row per subject; its rules are tried on that row.
+    """
     day = F.lit(today).cast("date")
+
+    def fired(df: DataFrame, subject: Column, rules: dict[str, tuple[Column, Column]]) -> DataFrame:
+        found = [F.when(when, F.struct(F.lit(name).alias("alert"), subject.cast("string").alias("subject"), value.cast("double").alias("value"))) for name, (when, value) in rules.items()]
+        return df.select(F.inline(F.filter(F.array(*found), lambda x: x.isNotNull())))
+
     newest = forecasts.groupBy("zone").agg(F.max("origin_date").alias("o"), F.count_if(F.col("origin_date") == day).alias("n"))
-    parts = [
-        newest.where(F.col("n") == 0).select(F.lit("forecast_missing").alias("alert"), F.col("zone").alias("subject"), F.datediff(day, "o").cast("double").alias("value")),
-        newest.where((F.col("n") > 0) & (F.col("n") < 23)).select(F.lit("forecast_incomplete"), "zone", F.col("n").cast("double")),
-    ]
+    about_forecasts = {"forecast_missing": (F.col("n") == 0, F.datediff(day, "o")), "forecast_incomplete": ((F.col("n") > 0) & (F.col("n") < 23), F.col("n"))}
     level = F.coalesce(*[F.when(F.col("zone") == z, F.lit(v)) for z, v in levels.items()])
-    recent = scores.where(F.col("origin_date") > F.date_sub(day, 14)).groupBy("zone").agg(F.avg("pinball").alias("p"), F.count(F.lit(1)).alias("d"))
-    parts.append(recent.where((F.col("d") >= 7) & (F.col("p") > 1.3 * level)).select(F.lit("drift"), "zone", (F.col("p") / level)))
-    last = scores.groupBy("zone").agg(F.max("origin_date").alias("o"))
-    parts.append(last.where(F.datediff(day, "o") > 3).select(F.lit("score_stale"), "zone", F.datediff(day, "o").cast("double")))
-    parts.append(freshness.where(F.col("age_h") > 30).select(F.lit("raw_stale"), F.col(by).cast("string"), "age_h"))
-    parts.append(freshness.where(~F.col("newest_passed")).select(F.lit("newest_pull_invalid"), F.col(by).cast("string"), F.lit(1.0)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+    recent = F.when(F.col("origin_date") > F.date_sub(day, 14), F.col("pinball"))
+    scored = scores.groupBy("zone").agg(F.max("origin_date").alias("o"), F.avg(recent).alias("p"), F.count_if(F.col("origin_date") > F.date_sub(day, 14)).alias("d"))
+    about_scores = {"drift": ((F.col("d") >= 7) & (F.col("p") > 1.3 * level), F.col("p") / level), "score_stale": (F.datediff(day, "o") > 3, F.datediff(day, "o"))}
+    about_pulls = {"raw_stale": (F.col("age_h") > 30, F.col("age_h")), "newest_pull_invalid": (~F.col("newest_passed"), F.lit(1.0))}
+    parts = [fired(newest, F.col("zone"), about_forecasts), fired(scored, F.col("zone"), about_scores), fired(freshness, F.col(by), about_pulls)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def champion_challenger(scores: DataFrame, champion: str, challenger: str) -> DataFrame:

@@ -46,7 +46,7 @@ def infer_resolution(spark, sf_dir):
     """A series that goes from hours to quarter hours, with gaps."""
     step = F.when(F.col("timestamp") < F.lit("2024-04-01").cast("timestamp"), 3600).otherwise(900)
     rows = series(spark, sf_dir).select("zone", F.timestamp_seconds(F.floor(F.unix_timestamp("timestamp") / step) * step).alias("timestamp")).distinct()
-    return t.infer_resolution(t.refuse_naive(rows, "timestamp"), ["zone"]).select("zone", ntz("timestamp").alias("timestamp"), "resolution")
+    return t.infer_resolution(t.ensure_utc(rows, "timestamp"), ["zone"]).select("zone", ntz("timestamp").alias("timestamp"), "resolution")
 
 
 TARGETS_SQL = days_sql() + f""", targets as (
@@ -111,8 +111,7 @@ def calendar_features(spark, sf_dir):
 
 
 # The Gregorian computus in its usual anonymous form, for the years around the orders.
-HOLIDAY_SQL = """with od as (select min(cast(o_orderdate as date)) as lo, max(cast(o_orderdate as date)) as hi from orders),
-y as (select unnest(generate_series(year(lo) - 1, year(hi) + 1)) as y from od),
+HOLIDAY_DAYS_SQL = """y as (select unnest(generate_series(year(lo) - 1, year(hi) + 1)) as y from od),
 a as (select y, y % 19 as a, y // 100 as b, y % 100 as c from y),
 b as (select *, b // 4 as d, b % 4 as e, (b + 8) // 25 as f, c // 4 as i, c % 4 as k from a),
 c as (select *, (19 * a + b - d - (b - f + 1) // 3 + 15) % 30 as h from b),
@@ -129,8 +128,8 @@ n as (select *, lag(hol) over o as lh, lead(hol) over o as nh, lag(is_off) over
     max(case when hol then day end) over (order by day rows between unbounded preceding and 1 preceding) as prev,
     min(case when hol then day end) over (order by day rows between 1 following and unbounded following) as next from h window o as (order by day))
 select day, is_public, is_custom, is_half, hol as is_holiday, not is_off and ((lh and no) or (lo and nh)) as is_bridge,
-    cast(least(day - prev, 14) as integer) as days_since, cast(least(next - day, 14) as integer) as days_to from n
-where day in (select cast(o_orderdate as date) from orders)"""
+    cast(least(day - prev, 14) as integer) as days_since, cast(least(next - day, 14) as integer) as days_to from n"""
+HOLIDAY_SQL = f"with od as (select min(cast(o_orderdate as date)) as lo, max(cast(o_orderdate as date)) as hi from orders), {HOLIDAY_DAYS_SQL} where day in (select cast(o_orderdate as date) from orders)"
 
 
 @query("holiday_calendar", HOLIDAY_SQL)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timeutils import local_date, origin_timestamp
 from tidemark.operators import features as op
-from tidemark.plans.feeds import hourly, hourly_sql, keyed, keyed_sql, lagged, lagged_sql, loc, ntz, r6
+from tidemark.plans.calendar import HOLIDAY_DAYS_SQL
+from tidemark.plans.feeds import AUTUMN, ev_sql, hourly, hourly_sql, keyed, keyed_sql, lagged, lagged_sql, loc, ntz, r6, series
 from tidemark.plans.registry import query
 
 
@@ -87,13 +88,14 @@ NEIGHBOURS = (("click", "view"), ("click", "error"), ("view", "purchase"), ("sig
 
 @query(
     "neighbour_spread",
-    f"""with {lagged_sql()}, n(zone, neighbour) as (values {', '.join(map(str, NEIGHBOURS))})
-    select l.zone, n.neighbour, l.target_time, round(o.p_lag1d, 6) as nb_lag1d, round(l.p_lag1d - o.p_lag1d, 6) as nb_spread from lagged l join n using (zone) left join lagged o on o.zone = n.neighbour and o.target_time = l.target_time""",
+    f"""with {lagged_sql()}, {DAYS_SQL}, n(zone, neighbour) as (values {', '.join(map(str, NEIGHBOURS))})
+    select l.zone, n.neighbour, l.target_time, round(o.p_lag1d, 6) as nb_lag1d, round(ds.day_mean, 6) as "nb_dayD_mean", round(l.p_lag1d - o.p_lag1d, 6) as nb_spread from lagged l join n using (zone)
+      left join lagged o on o.zone = n.neighbour and o.target_time = l.target_time left join ds on ds.zone = n.neighbour and ds.day = l.target_date - 1""",
 )
 def neighbour_spread(spark, sf_dir):
     pairs = spark.createDataFrame(NEIGHBOURS, "zone string, neighbour string")
-    out = op.neighbour_spread(lagged(spark, sf_dir), pairs)
-    return out.select("zone", "neighbour", ntz("target_time").alias("target_time"), r6("nb_lag1d").alias("nb_lag1d"), r6("nb_spread").alias("nb_spread"))
+    out = op.neighbour_spread(lagged(spark, sf_dir), pairs, hourly(spark, sf_dir))
+    return out.select("zone", "neighbour", ntz("target_time").alias("target_time"), *[r6(c).alias(c) for c in ("nb_lag1d", "nb_dayD_mean", "nb_spread")])
 
 
 def dataset_sql(more: str = "", targets: str = "(select * from keyed where price is not null)") -> str:
@@ -129,6 +131,94 @@ def origin_dataset(spark, sf_dir):
     return rounded(op.origin_dataset(keyed(spark, sf_dir), rolls=ROLLS))
 
 
+# Readings at two places of a zone, from its prices: the south has none in hours of a single period.
+LOCATIONS, SCALARS, DIRECTIONS = ("north", "south"), ("temperature", "wind"), ("wind_direction",)
+WEATHER_SQL = """weather as (select zone, 'north' as location, timestamp, price / 10 as temperature, cast(n_periods as double) as wind, price * 7 as wind_direction from hourly
+  union all select zone, 'south', timestamp, price / 9 - 1, case when n_periods > 2 then n_periods * 2.0 end, price * 3 from hourly where n_periods > 1)"""
+CYCLIC = {"cal_hour_sin": "sin(2 * pi() * cal_hour / 24)", "cal_hour_cos": "cos(2 * pi() * cal_hour / 24)", "cal_doy_sin": "sin(2 * pi() * dayofyear(target_date) / 365.25)", "cal_doy_cos": "cos(2 * pi() * dayofyear(target_date) / 365.25)"}
+HOLIDAYS = {"cal_is_public_holiday": "is_public", "cal_is_de_facto_holiday": "is_custom", "cal_is_half_day": "is_half", "cal_is_bridge_day": "is_bridge", "cal_days_to_holiday": "days_to", "cal_days_since_holiday": "days_since"}
+
+
+def weather(spark, sf_dir):
+    rows = hourly(spark, sf_dir)
+    north = rows.select("zone", F.lit("north").alias("location"), "timestamp", (F.col("price") / 10).alias("temperature"), F.col("n_periods").cast("double").alias("wind"), (F.col("price") * 7).alias("wind_direction"))
+    south = rows.where("n_periods > 1").select("zone", F.lit("south"), "timestamp", F.col("price") / 9 - 1, F.when(F.col("n_periods") > 2, F.col("n_periods") * 2.0), F.col("price") * 3)
+    return north.union(south)
+
+
+def _groups():
+    """Every column of the groups with the SQL that gives it, from ``dataset d``, the joins below and the hours ``x`` of the weather."""
+    own = {f"w_{loc}_{v}": f"max(case when location = '{loc}' then {v} end)" for loc in LOCATIONS for v in SCALARS}
+    own |= {f"w_{loc}_{v}_{f}": f"max(case when location = '{loc}' then {f}(radians({v})) end)" for loc in LOCATIONS for v in DIRECTIONS for f in ("sin", "cos")}
+    over = {f"wz_{v}_{n}": f"{f}({v})" for v in SCALARS for n, f in (("mean", "avg"), ("min", "min"), ("max", "max"))}
+    hours = f"x as (select zone, timestamp, {', '.join(f'{e} as {c}' for c, e in (own | over).items())} from weather group by 1, 2), xd as (select zone, cast({loc('timestamp')} as date) as day, avg(wz_temperature_mean) as m from x group by 1, 2)"
+    names = sorted({n for _, n in NEIGHBOURS})
+    joins = "left join x on x.zone = d.zone and x.timestamp = d.target_time left join x b on b.zone = d.zone and b.timestamp = d.target_time - interval 24 hour left join xd on xd.zone = d.zone and xd.day = d.target_date left join holi on holi.day = d.target_date"
+    columns = {c: f"{e}" for c, e in CYCLIC.items()} | {c: f"cast(holi.{h} as integer)" for c, h in HOLIDAYS.items()}
+    for n in names:
+        joins += f" left join n as n_{n} on n_{n}.zone = d.zone and n_{n}.neighbour = '{n}' left join keyed k_{n} on k_{n}.zone = n_{n}.neighbour and k_{n}.local_date = d.origin_date and k_{n}.local_hour = d.cal_hour and k_{n}.occurrence = 1 left join ds d_{n} on d_{n}.zone = n_{n}.neighbour and d_{n}.day = d.origin_date"
+        columns |= {f"nb_{n}_lag1d": f"k_{n}.price", f"nb_{n}_dayD_mean": f"d_{n}.day_mean", f"nb_{n}_spread_lag1d": f"d.p_lag1d - k_{n}.price"}
+    missing = " + ".join(f"(x.{c} is null)::integer" for c in own)
+    columns |= {c: f"x.{c}" for c in own | over} | {"wz_temperature_d24": "x.wz_temperature_mean - b.wz_temperature_mean", "wz_temperature_daymean": "xd.m", "weather_missing_frac": f"({missing}) / {len(own)}.0"}
+    return hours, joins, columns
+
+
+GROUP_HOURS, GROUP_JOINS, GROUP_COLUMNS = _groups()
+COUNTED = tuple(HOLIDAYS)
+#: The last hours of the zones' prices that the groups' query takes away, so that rows are dropped.
+CUT = "2024-04-10"
+
+
+def dataset_groups(spark, sf_dir, rows):
+    from tidemark.functions.timeutils import holiday_calendar
+
+    days = rows.agg(F.min("local_date"), F.date_add(F.max("local_date"), 1)).first()  # the calendar is one row per day of the span
+    holidays = holiday_calendar(spark, *[str(d or "2024-01-01") for d in days])
+    return (op.calendar_group(holidays), op.neighbour_group(rows, NEIGHBOURS), op.weather_group(weather(spark, sf_dir), list(LOCATIONS), list(SCALARS), list(DIRECTIONS), "temperature"))
+
+
+@query(
+    "dataset_features",
+    f"""with {dataset_sql()}, {WEATHER_SQL}, {GROUP_HOURS}, n(zone, neighbour) as (values {', '.join(map(str, NEIGHBOURS))}),
+    holi as (with od as (select min(local_date) as lo, max(local_date) as hi from keyed), {HOLIDAY_DAYS_SQL})
+    select d.zone, d.target_time, {', '.join(f'{e} as "{c}"' if c in COUNTED else f'round({e}, 6) as "{c}"' for c, e in GROUP_COLUMNS.items())} from dataset d {GROUP_JOINS}""",
+)
+def dataset_features(spark, sf_dir):
+    """Calendar, neighbour and weather groups of the dataset's rows."""
+    rows = keyed(spark, sf_dir)
+    out = op.origin_dataset(rows, dataset_groups(spark, sf_dir, rows), rolls=ROLLS)
+    return out.select("zone", ntz("target_time").alias("target_time"), *[F.col(c) if c in COUNTED else r6(c).alias(c) for c in GROUP_COLUMNS])
+
+
+@query(
+    "dropped_targets",
+    f"""with {keyed_sql()}, o as (select distinct zone, local_date as origin_date from keyed),
+    h as (select zone, origin_date, unnest(generate_series({at_local('origin_date + 1', 0)}, {at_local('origin_date + 2', 0)} - interval 1 hour, interval 1 hour)) as timestamp from o)
+    select zone, origin_date, count(*) as n_dropped from h where not exists (select 1 from keyed k where k.zone = h.zone and k.timestamp = h.timestamp and k.price is not null) group by 1, 2""",
+)
+def dropped_targets(spark, sf_dir):
+    rows = keyed(spark, sf_dir)
+    return op.dropped_targets(rows, rows.select("zone", F.col("local_date").alias("origin_date")).distinct())
+
+
+@query(
+    "stored_live_rows",
+    f"""with {dataset_sql()} select zone, target_time, round(p_lag1d, 6) as p_lag1d, round("p_dayD_mean", 6) as "p_dayD_mean", round("p_roll24h_mean", 6) as "p_roll24h_mean" from dataset where origin_date = date '{CUT}'""",
+)
+def stored_live_rows(spark, sf_dir):
+    """Rows of one origin, checked against the dataset of the origins before it and committed; a second run replaces the first."""
+    from tidemark.sources.versions import VersionedTable
+    from tidemark.sources.scratch import scratch
+
+    rows, root = keyed(spark, sf_dir), scratch(spark, "live")
+    reference = op.origin_dataset(rows.where(F.col("local_date") <= CUT))
+    live = op.live_rows(rows, rows.select("zone", F.lit(CUT).cast("date").alias("origin_date")).distinct()).where("y is not null")
+    for _ in range(2):
+        stored = op.store_live_rows(live, reference, root)
+    found = VersionedTable(spark, root).read(stored)
+    return found.select("zone", ntz("target_time").alias("target_time"), *[r6(c).alias(c) for c in ("p_lag1d", "p_dayD_mean", "p_roll24h_mean")])
+
+
 # The origin of a day in the past, and that of each zone's last day: its target hours have no prices yet.
 LIVE_SQL = f"""lo as (select distinct zone, date '2024-04-10' as origin_date from keyed union select zone, max(local_date) from keyed group by 1),
 lh as (select zone, unnest(generate_series({at_local('origin_date + 1', 0)}, {at_local('origin_date + 2', 0)} - interval 1 hour, interval 1 hour)) as timestamp from lo),
@@ -217,11 +307,39 @@ def gap_fill_linear(spark, sf_dir):
     return fill(hourly(spark, sf_dir), "price", ["zone"]).select("zone", ntz("timestamp").alias("timestamp"), r6("price").alias("price"), "filled")
 
 
+@query(
+    "gap_fill_context",
+    f"""with {ev_sql(AUTUMN)}, l as (select zone, date_trunc('hour', max(timestamp)) as b from ev group by 1),
+    g as (select zone, unnest(generate_series(b - interval 239 hour, b, interval 1 hour)) as timestamp from l),
+    o as (select zone, date_trunc('hour', timestamp) as timestamp, arg_min(case when price < 60 then price end, event_id) as price, min_by(price < 60, event_id) as low from ev group by 1, 2),
+    j as (select g.zone, g.timestamp, case when low then price end as price from g left join o using (zone, timestamp)),
+    w as (select *, last_value(price ignore nulls) over p as p0, last_value(case when price is not null then timestamp end ignore nulls) over p as t0,
+      first_value(price ignore nulls) over n as p1, first_value(case when price is not null then timestamp end ignore nulls) over n as t1 from j
+      window p as (partition by zone order by timestamp rows between unbounded preceding and current row), n as (partition by zone order by timestamp rows between current row and unbounded following)),
+    f as (select zone, coalesce(price, case when p0 is null then p1 when p1 is null then p0 else p0 + (p1 - p0) * (epoch(timestamp) - epoch(t0)) / (epoch(t1) - epoch(t0)) end) as price, price is null as filled from w)
+    select zone, count(*) as n_hours, count(*) filter (where filled) as n_filled, round(sum(price), 6) as total from f group by 1""",
+)
+def gap_fill_context(spark, sf_dir):
+    """The last ten days of each series: the first row of an hour counts (high ones are taken for missing), gaps are filled and counted."""
+    from tidemark.operators import backtest as bt
+
+    rows = series(spark, sf_dir, AUTUMN).select("zone", F.date_trunc("hour", "timestamp").alias("timestamp"), "event_id", F.when(F.col("price") < 60, F.col("price")).alias("price"))
+    filled = bt.gap_fill_linear(rows, "price", ["zone"], context_hours=240, arrival="event_id", pad=True)
+    return bt.count_fills(filled, ["zone"]).join(filled.groupBy("zone").agg(F.sum("price").alias("total")), "zone").select("zone", "n_hours", "n_filled", r6("total").alias("total"))
+
+
+RANGES = (("prices", "price is not null", 7, 1), ("neighbour", "zone = 'view'", 0, 0), ("weather", "n_periods > 2", 0, 1))
+
+
 @query(
     "origin_range",
-    f"""with {keyed_sql()}, s as (select zone, min(local_date) as a, max(local_date) as b from keyed group by 1) select max(a) + 8 as first_origin, min(b) - 1 as last_origin from s""",
+    f"""with {keyed_sql()}, s as ({' union all '.join(f"select zone, {back} as back, {ahead} as ahead, min(timestamp) as a, max(timestamp) + interval 1 hour as b from keyed where {rows} and price is not null group by 1" for _, rows, back, ahead in RANGES)}),
+    d as (select distinct local_date as day from keyed), ok as (select day from d where not exists (select 1 from s where s.a > {at_local('day - back', 0)} or s.b < {at_local('day + ahead + 1', 0)}))
+    select min(day) as first_origin, max(day) as last_origin from ok having count(*) > 0""",
 )
 def origin_range(spark, sf_dir):
-    from tidemark.operators.backtest import origin_range as span
+    """Every zone's prices, a neighbour's, and readings with gaps at both ends, each with the days that origins need of it."""
+    from tidemark.operators import backtest as bt
 
-    return span(keyed(spark, sf_dir), back_days=8, ahead_days=1)
+    rows = keyed(spark, sf_dir)
+    return bt.origin_range([bt.Source(rows.where(which), ("price",), back, ahead, ("zone",)) for _, which, back, ahead in RANGES])

@@ -134,9 +134,16 @@ def snapshot_inventory(spark, sf_dir):
     return out.select("snapshot", "row_count", ntz("pulled_at").alias("pulled_at"), "data_start", "data_end")
 
 
-@query("table_inventory", f"with {ev_sql()} select zone, count(*) as n_rows, min(timestamp) as first_time, max(timestamp) as last_time from ev group by 1")
+@query(
+    "table_inventory",
+    f"""with {PULLS_SQL}, log as ({CHANGES_SQL}), t as (select part % 50 as tab, count(*) as n_rows, min(pulled_at) as first_time, max(pulled_at) as last_time from pulls group by 1),
+    c as (select part % 50 as tab, count(*) as n_conflicts from log group by 1) select t.*, coalesce(n_conflicts, 0) as n_conflicts from t left join c using (tab)""",
+)
 def table_inventory(spark, sf_dir):
-    return op.table_inventory(series(spark, sf_dir), "zone", "timestamp").withColumn("first_time", ntz("first_time")).withColumn("last_time", ntz("last_time"))
+    rows, tab = pulls(spark, sf_dir), F.col("part") % 50
+    log = op.change_log(rows.where("valid"), ["part"], ["quantity", "discount"]).withColumn("tab", tab)
+    out = op.table_inventory(rows.withColumn("tab", tab), "tab", "pulled_at", log)
+    return out.withColumn("first_time", ntz("first_time")).withColumn("last_time", ntz("last_time"))
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.timeutils import local_date
+from tidemark.functions.timeutils import infer_resolution, local_date
 from tidemark.operators import quality as op
 from tidemark.operators.quality import Rule
 from tidemark.plans.feeds import AUTUMN, PULLS_SQL, READINGS_SQL, ZONED_SQL, ev_sql, forecasts, forecasts_sql, hourly, hourly_sql, loc, ntz, pulls, r6, readings, series, zoned_orders
@@ -13,20 +13,31 @@ from tidemark.plans.registry import query
 RULES = [Rule("temperature", 1, 49.5, 3, 48), Rule("wind", 0, 0.0795, None, 0.075, 0.3), Rule("cloud", 0, 0.2, 0.0, 0.095)]
 
 
+ROW_NAME = "location || '@' || day"
+DIGEST = f"('0x' || substr(md5({ROW_NAME}), 1, 8))::bigint"
+
+
 def _rules_sql() -> str:
     parts = []
     for r in RULES:
         for name, severity, low, high in (("range", "error", r.low, r.high), ("soft_range", "warning", r.soft_low, r.soft_high)):
             conds = [c for c in (f"{r.column} < {low}" if low is not None else "", f"{r.column} > {high}" if high is not None else "") if c]
             if conds:
-                parts.append(f"""select zone, '{r.column}' as "column", '{name}' as rule, '{severity}' as severity, count(*) filter (where {' or '.join(conds)}) as n_bad from readings group by 1 having n_bad > 0""")
-        parts.append(f"""select zone, '{r.column}', 'null_fraction', 'error', count(*) filter (where {r.column} is null) as n_bad from readings group by 1 having n_bad > {r.max_null} * count(*)""")
-    return " union all ".join(parts)
+                parts.append((r.column, name, severity, " or ".join(conds), "0"))
+        parts.append((r.column, "null_fraction", "error", f"{r.column} is null", f"{r.max_null} * any_value(n_zone)"))
+    bad = " union all ".join(f"select zone, '{c}' as col, '{n}' as rule, '{s}' as severity, {ROW_NAME} as name, {DIGEST} as h, {limit.replace('any_value(n_zone)', 'n_zone')} as lim from readings join sizes using (zone) where {where}" for c, n, s, where, limit in parts)
+    return f"""with {READINGS_SQL}, sizes as (select zone, count(*) as n_zone from readings group by 1), bad as ({bad}),
+    counts as (select zone, col, rule, severity, count(*) as n_bad from bad group by all having count(*) > any_value(lim)),
+    least as (select zone, col, rule, h % 3 as place, min(h) as h, arg_min(name, {{'h': h, 'n': name}}) as name from bad group by 1, 2, 3, 4),
+    names as (select zone, col, rule, string_agg(name, ' ' order by h, name) as examples from least group by 1, 2, 3)
+    select zone, col as "column", rule, severity, n_bad, examples from counts join names using (zone, col, rule)"""
 
 
-@query("range_violations", f"with {READINGS_SQL} {_rules_sql()}")
+@query("range_violations", _rules_sql())
 def range_violations(spark, sf_dir):
-    return op.range_violations(readings(spark, sf_dir), RULES, ["zone"])
+    name = F.concat_ws("@", F.col("location").cast("string"), F.col("day").cast("string"))
+    out = op.range_violations(readings(spark, sf_dir), RULES, ["zone"], name)
+    return out.withColumn("examples", F.array_join("examples", " "))
 
 
 @query("duplicate_timestamps", f"with {PULLS_SQL} select part, pulled_at, count(*) as n from pulls group by 1, 2 having n > 1")
@@ -132,9 +143,15 @@ def consecutive_runs(spark, sf_dir):
     return op.consecutive_runs(zoned_orders(spark, sf_dir).where("n >= 2").select("zone", "day"), ["zone"])
 
 
-@query("profile_nulls", f"with {READINGS_SQL} select zone, count(*) as n_rows, count(*) filter (where temperature is null) as temperature_nulls, count(*) filter (where wind is null) as wind_nulls from readings group by 1")
+@query(
+    "profile_nulls",
+    f"""with {hourly_sql()}, s as (select *, epoch(lead(timestamp) over w) - epoch(timestamp) as ahead, epoch(timestamp) - epoch(lag(timestamp) over w) as back from hourly window w as (partition by zone order by timestamp)),
+    l as (select *, case when ahead = 900 or (ahead is distinct from 3600 and back = 900) then 'PT15M' when ahead = 3600 or back = 3600 then 'PT60M' end as resolution from s)
+    select zone, count(*) as n_rows, count(*) filter (where price is null) as price_nulls, count(*) filter (where resolution = 'PT15M') as n_pt15m, count(*) filter (where resolution = 'PT60M') as n_pt60m, count(*) filter (where resolution is null) as n_other from l group by 1""",
+)
 def profile_nulls(spark, sf_dir):
-    return op.profile_nulls(readings(spark, sf_dir), ["zone"], ["temperature", "wind"])
+    rows = infer_resolution(hourly(spark, sf_dir), ["zone"])
+    return op.profile_nulls(rows, ["zone"], ["price"], "resolution")
 
 
 @query(

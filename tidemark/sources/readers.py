@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.timeutils import ensure_utc
+
 DAY_PRICES = T.StructType([T.StructField(n, T.DoubleType() if n.endswith(("kWh", "EXR")) else T.StringType()) for n in ("SEK_per_kWh", "EUR_per_kWh", "EXR", "time_start", "time_end")])
 
 
@@ -54,8 +56,9 @@ def snake(name: str) -> str:
 
 
 def normalise_series(df: DataFrame, value_name: str | None = None, ts: str = "timestamp") -> DataFrame:
-    """Snake-case names, a UTC timestamp, doubles; a single value column can be renamed."""
+    """Snake-case names, a UTC timestamp, doubles; a single value column can be renamed. Times without a zone are refused."""
     out = df.toDF(*[snake(c) for c in df.columns])
+    ensure_utc(out, *[c for c, kind in out.dtypes if kind == "timestamp_ntz"])
     values = [c for c in out.columns if c != ts]
     names = {values[0]: value_name} if value_name and len(values) == 1 else {}
     return out.select(F.col(ts).cast("timestamp").alias(ts), *[F.col(c).try_cast("double").alias(names.get(c, c)) for c in values])
@@ -64,6 +67,7 @@ def normalise_series(df: DataFrame, value_name: str | None = None, ts: str = "ti
 def normalise_events(df: DataFrame) -> DataFrame:
     """``start`` becomes ``timestamp`` and comes first; other times become UTC timestamps; sorted by time."""
     out = df.toDF(*[snake(c) for c in df.columns]).withColumnRenamed("start", "timestamp")
+    ensure_utc(out, *[c for c, kind in out.dtypes if kind == "timestamp_ntz"])
     times = {c for c, kind in out.dtypes if kind.startswith("timestamp")}
     rest = [c for c in out.columns if c != "timestamp"]
     return out.select(*[F.col(c).cast("timestamp").alias(c) if c in times else F.col(c) for c in ["timestamp", *rest]]).orderBy("timestamp")
