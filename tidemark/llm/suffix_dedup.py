@@ -13,16 +13,19 @@ the rows of an interval on both sides form a class, a class with two documents i
 longest such windows on either side. Classes stand in for pairs: nothing is lost however many rows share a passage.
 
 *Borders and crowds.* The first and last k-gram of a partition can go on in the next one, and a k-gram of more than
-``HELD`` rows isn't held in memory. Such rows are compared with those at hand; what is still open (rows with unmatched
-windows, and the ends of each class of equal contexts for them to find) becomes classes by an aggregation; the windows
-of these classes are hashed to 64 bits and aggregated by hash, and what that adds returns to the rows by salted joins.
+``HELD`` rows isn't held in memory. Their rows become classes of equal contexts by an aggregation; the windows of these
+classes are hashed to 64 bits and aggregated by hash, and what that gives returns to the rows by salted joins. Of rows all
+of whose windows are matched at hand only the class and the places go that way, and the two least documents of each class
+stand for the others.
 
 Words are lower-cased (A-Z) and stand between white space; they are compared by CRC32. Two different windows can only
-be taken for the same if all differing words collide in 32 bits at once, or in the hash of a k-gram or window.
+be taken for the same if all differing words collide in 32 bits at once, or in the hash of a k-gram, class or window.
 
 Nulls, ties, odd inputs: a null text or one of fewer than ``min_words`` words has no passages. Very long texts are read
-whole. Repeats inside one document alone don't count; rows with equal ids are one document; rows with a null id are
-skipped. Ids may have any type that Spark can order. An empty table gives an empty result; other columns are ignored.
+whole. Repeats inside one document alone don't count. Rows with equal ids are one document, so a passage that only they
+have isn't repeated; each of their different texts has spans of its own, rows that repeat id and text count once. Rows with
+a null id are skipped. Ids may have any type that Spark can order; of several other documents with a window of a passage
+the least is named, whatever the partitions. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,9 +35,9 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from tidemark.llm.common import UPPER, materialise, prepare, table
 
@@ -43,7 +46,7 @@ HELD = 1 << 16
 CHUNK = 1 << 13
 SALT = 16
 LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
-COLUMNS = ["id", "gram", "suffix", "before", "places"]
+COLUMNS = ["id", "text_tag", "gram", "suffix", "before", "places"]
 
 
 # ---- sparse suffixes -------------------------------------------------------------------------------
@@ -103,18 +106,17 @@ def sparse_suffixes(docs: DataFrame, id_col: str, text_col: str, min_words: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("id")
             for i, text in enumerate(batch.column("text").to_pylist()):
                 for columns in document_rows(text, min_words):
-                    own = ids.take(pa.array(np.full(len(columns[0]), i)))
-                    yield pa.RecordBatch.from_arrays([own, *columns], COLUMNS)
+                    at = pa.array(np.full(len(columns[0]), i))
+                    yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("text_tag").take(at), *columns], COLUMNS)
 
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_tag"))
     return rows.mapInArrow(run, row_type(dict(docs.dtypes)[id_col]))
 
 
 def row_type(id_type: str) -> str:
-    return f"id {id_type}, gram long, suffix binary, before binary, places array<int>"
+    return f"id {id_type}, text_tag long, gram long, suffix binary, before binary, places array<int>"
 
 
 # ---- sorted rows -----------------------------------------------------------------------------------
@@ -150,14 +152,14 @@ def matches(gram: np.ndarray, suffix: tuple, before: tuple, owner: np.ndarray, m
     """
     (after, n_after), (back, n_back) = suffix, before
     size = len(gram)
-    left, right, other = np.zeros(size, np.int64), np.zeros(size, np.int64), np.full(size, -1, np.int64)
+    left, right = np.zeros(size, np.int64), np.zeros(size, np.int64)
     new_gram = np.ones(size, bool)
     new_gram[1:] = gram[1:] != gram[:-1]
     shared = np.where(new_gram, 0, K + common_with_previous(after, n_after))
     by_left = np.argsort(np.ascontiguousarray(back).view(np.dtype((np.void, back.shape[1] * 4))).ravel(), kind="stable")
     shared_left = common_with_previous(back[by_left], n_back[by_left])
     owners = int(owner.max(initial=0)) + 1
-    least, second = np.full(size, owners, np.int64), np.full(size, owners, np.int64)
+    other = np.full(size, owners, np.int64)
     left_class = np.empty(size, np.int64)
     for j in range(min_words - K + 1):
         at = np.flatnonzero((n_back >= j) & (n_after + K >= min_words - j))
@@ -166,18 +168,20 @@ def matches(gram: np.ndarray, suffix: tuple, before: tuple, owner: np.ndarray, m
         left_class[by_left] = np.cumsum(shared_left < j)
         key = (np.cumsum(shared < min_words - j) * (size + 1) + left_class)[at] * owners + owner[at]
         order = np.argsort(key)
-        at, key = at[order], key[order] // owners
+        at, key = at[order], key[order]
+        one = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])  # each document of a class once, the least first
+        key = key // owners
         begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         counts = np.diff(np.r_[begins, len(key)])
-        low, high = owner[at[begins]], owner[at[begins + counts - 1]]
-        hit = low < high
+        heads = np.searchsorted(one, begins)
+        hit = np.diff(np.r_[heads, len(one)]) > 1
+        low, next_low = owner[at[begins[hit]]], owner[at[one[heads[hit] + 1]]]
         rows = at[np.repeat(hit, counts)]
         left[rows] = j
         right[rows] = np.maximum(right[rows], min_words - j)
-        least[rows] = np.minimum(least[rows], np.repeat(low[hit], counts[hit]))
-        second[rows] = np.minimum(second[rows], np.repeat(high[hit], counts[hit]))
-    found = right > 0
-    other[found] = np.where(least == owner, second, least)[found]
+        low, next_low = np.repeat(low, counts[hit]), np.repeat(next_low, counts[hit])
+        other[rows] = np.minimum(other[rows], np.where(low == owner[rows], next_low, low))
+    other[right == 0] = -1
     return left, right, other
 
 
@@ -191,11 +195,11 @@ def ranks(ids: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return rank[coded.indices.to_numpy()], coded.dictionary.take(pa.array(order))
 
 
-FOUND = ["start", "stop", "other", *COLUMNS, "known_left", "known_right"]
+FOUND = ["start", "stop", "other", *COLUMNS, "cls"]
 
 
 def found_type(id_type: str) -> str:
-    return f"start int, stop int, other {id_type}, {row_type(id_type)}, known_left int, known_right int"
+    return f"start int, stop int, other {id_type}, {row_type(id_type)}, cls long"
 
 
 def local_matches(rows: pa.Table, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
@@ -213,8 +217,9 @@ def marked(rows: pa.Table, left: np.ndarray, right: np.ndarray, other: np.ndarra
     counts, place = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
     row = np.repeat(hit, counts)
     start, stop = (place - left[row]).astype(np.int32), (place + right[row]).astype(np.int32)
-    empty = [pa.nulls(len(row), rows.schema.field(c).type) for c in COLUMNS[1:]] + [pa.nulls(len(row), pa.int32())] * 2
-    return pa.RecordBatch.from_arrays([pa.array(start), pa.array(stop), names.take(pa.array(other[row])), rows.column("id").chunk(0).take(pa.array(row)), *empty], FOUND)
+    own = [rows.column(c).chunk(0).take(pa.array(row)) for c in COLUMNS[:2]]
+    empty = [pa.nulls(len(row), rows.schema.field(c).type) for c in COLUMNS[2:]] + [pa.nulls(len(row), pa.int64())]
+    return pa.RecordBatch.from_arrays([pa.array(start), pa.array(stop), names.take(pa.array(other[row])), *own, *empty], FOUND)
 
 
 def spans_of(parts: list[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
@@ -232,33 +237,29 @@ def spans_of(parts: list[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordB
 
 
 def open_rows(parts: list[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    """Matched spans among rows of a k-gram that has more rows elsewhere, and what those have to be held against.
+    """The rows of a k-gram that has more rows elsewhere, with their class of equal contexts.
 
-    A row all of whose windows are matched here needs nothing more; of each class of such rows with equal contexts the
-    first and last document stay, without places, for the others to find. All other rows stay with what they know.
+    A row all of whose windows are matched here stays without its context; of each class of such rows the two least
+    documents stay with it and without places, for the others to find. All other rows stay whole.
     """
     rows = pa.Table.from_batches(parts).combine_chunks()
     if not rows.num_rows:
         return
-    left, right, other, names, owner = local_matches(rows, min_words)
-    yield marked(rows, left, right, other, names)
-    width = [rows.column(c).chunk(0) for c in ("suffix", "before")]
-    after, before = (np.array(pc.binary_length(c)) // 4 for c in width)
-    done = (left == before) & (right == after + K) & (other >= 0)
-    firsts: dict[tuple, list[int]] = {}
-    for i in np.flatnonzero(done).tolist():
-        ends = firsts.setdefault((rows.column("gram")[i].as_py(), width[0][i].as_py(), width[1][i].as_py()), [i, i])
-        ends[0] = i if owner[i] < owner[ends[0]] else ends[0]
-        ends[1] = i if owner[i] > owner[ends[1]] else ends[1]
-    heads = np.array(sorted({i for ends in firsts.values() for i in ends}), np.int64)
-    for at, places in ((np.flatnonzero(~done), True), (heads, False)):
-        kept, n = rows.take(pa.array(at)).combine_chunks(), len(at)
-        if not n:
-            continue
-        columns = [kept.column(c).chunk(0) for c in COLUMNS]
-        if not places:
-            columns[-1] = pa.array([[]] * n, pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, kept.schema.field("id").type), *columns, pa.array(left[at].astype(np.int32)), pa.array(right[at].astype(np.int32))], FOUND)
+    left, right, other, _, owner = local_matches(rows, min_words)
+    gram, suffix, before = (rows.column(c).to_pylist() for c in COLUMNS[2:5])
+    cls = np.array([xxh64_intdigest(g.to_bytes(8, "little", signed=True) + len(b).to_bytes(4, "little") + b + s) for g, s, b in zip(gram, suffix, before)], np.uint64).view(np.int64)
+    after, back = (np.array([len(x) // 4 for x in c]) for c in (suffix, before))
+    done = (left == back) & (right == after + K) & (other >= 0)
+    at = np.flatnonzero(done)
+    order = at[np.lexsort((owner[at], cls[at]))]
+    fresh = np.r_[True, (cls[order][1:] != cls[order][:-1]) | (owner[order][1:] != owner[order][:-1])] if len(order) else np.zeros(0, bool)
+    once = order[fresh]  # a row of each document of each class
+    nth = np.arange(len(once)) - np.searchsorted(cls[once], cls[once]) if len(once) else once
+    for pick, without in ((np.flatnonzero(~done), ()), (at, ("gram", "suffix", "before")), (once[nth < 2], ("places",))):
+        n, kept = len(pick), rows.take(pa.array(pick)).combine_chunks()
+        if n:
+            columns = [pa.nulls(n, kept.schema.field(c).type) if c in without else kept.column(c).chunk(0) for c in COLUMNS]
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, kept.schema.field("id").type), *columns, pa.array(cls[pick])], FOUND)
 
 
 def compare_sorted(min_words: int, held: int):
@@ -301,7 +302,7 @@ def compare_sorted(min_words: int, held: int):
 
 
 def window_hashes(min_words: int):
-    """``cls, j, h, lo, hi`` of every window of a class of equal contexts."""
+    """``cls, j, h, lo, next_lo`` of every window of a class of equal contexts."""
     width = min_words - K
     draw = np.random.default_rng(11).integers(1, 1 << 63, (2, width + 1), np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -321,24 +322,31 @@ def window_hashes(min_words: int):
                 h *= np.uint64(0x94D049BB133111EB)
                 h ^= h >> np.uint64(29)
                 pick = pa.array(at)
-                yield pa.RecordBatch.from_arrays([batch.column("cls").take(pick), pa.array(np.full(len(at), j, np.int32)), pa.array(h.view(np.int64)), batch.column("lo").take(pick), batch.column("hi").take(pick)], ["cls", "j", "h", "lo", "hi"])
+                yield pa.RecordBatch.from_arrays([batch.column("cls").take(pick), pa.array(np.full(len(at), j, np.int32)), pa.array(h.view(np.int64)), batch.column("lo").take(pick), batch.column("next_lo").take(pick)], ["cls", "j", "h", "lo", "next_lo"])
 
     return run
 
 
 def spans_across(rows: DataFrame, id_type: str, min_words: int) -> DataFrame:
-    """Spans that go beyond what the rows know: by classes of equal contexts and hashes of their windows."""
-    rows = rows.withColumn("cls", F.xxhash64("gram", "suffix", "before"))
-    classes = rows.groupBy("cls", "gram", "suffix", "before").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    windows = classes.mapInArrow(window_hashes(min_words), f"cls long, j int, h long, lo {id_type}, hi {id_type}").withColumn("salt", F.pmod("cls", F.lit(SALT)).cast("int"))
+    """Spans of the rows of :func:`open_rows`: by classes of equal contexts and hashes of their windows."""
+    # A partition leaves at most two documents of a class for each ``HELD`` of its rows.
+    docs = F.array_sort(F.collect_set("id"))
+    classes = rows.where(F.col("gram").isNotNull()).groupBy("cls", "gram", "suffix", "before").agg(docs.alias("ids"))
+    classes = classes.select("cls", "gram", "suffix", "before", F.get("ids", F.lit(0)).alias("lo"), F.get("ids", F.lit(1)).alias("next_lo"))
+    windows = materialise(classes.mapInArrow(window_hashes(min_words), f"cls long, j int, h long, lo {id_type}, next_lo {id_type}"), "suffix-windows")
     salts = F.explode(F.array(*map(F.lit, range(SALT)))).alias("salt")
-    shared = windows.groupBy("h").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first < last").select("h", "first", "last", salts)
-    matched = windows.join(shared, ["h", "salt"]).groupBy("cls").agg(F.max("j").alias("left"), F.min("j").alias("least"), F.min("first").alias("first"), F.min("last").alias("last"))
-    spread = matched.select("cls", "left", (F.lit(min_words) - F.col("least")).alias("right"), "first", "last", salts)
-    hit = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALT)).cast("int")).join(spread, ["cls", "salt"])
-    hit = hit.where((F.col("left") > F.col("known_left")) | (F.col("right") > F.col("known_right")))
-    place = hit.select("id", "left", "right", F.when(F.col("id") == F.col("first"), F.col("last")).otherwise(F.col("first")).alias("other"), F.explode("places").alias("place"))
-    return place.select("id", (F.col("place") - F.col("left")).alias("start"), (F.col("place") + F.col("right")).alias("stop"), "other")
+    salted = windows.withColumn("salt", F.pmod("cls", F.lit(SALT)).cast("int"))
+    first = windows.groupBy("h").agg(F.min("lo").alias("first"), F.max(F.coalesce("next_lo", "lo")).alias("some")).where("first < some").select("h", "first", salts)
+    # The least document of a window that isn't its first.
+    seconds = salted.join(first, ["h", "salt"]).groupBy("h", "first").agg(F.min(F.when(F.col("lo") > F.col("first"), F.col("lo")).otherwise(F.col("next_lo"))).alias("second")).select("h", "first", "second", salts)
+    matched = salted.join(seconds, ["h", "salt"]).groupBy("cls").agg(F.max("j").alias("left"), F.min("j").alias("least"), F.collect_list(F.struct("first", "second")).alias("docs"))  # of at most ``min_words`` windows
+    least = F.array_min(F.transform("docs", lambda d: d["first"]))
+    matched = matched.select("cls", "left", (F.lit(min_words) - F.col("least")).alias("right"), "docs", least.alias("a"))
+    others = F.transform("docs", lambda d: F.when(d["first"] > F.col("a"), d["first"]).otherwise(d["second"]))
+    spread = matched.select("cls", "left", "right", "a", F.array_min(others).alias("b"), salts)
+    hit = rows.where(F.col("places").isNotNull()).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALT)).cast("int")).join(spread, ["cls", "salt"])
+    place = hit.select("id", "text_tag", "left", "right", F.when(F.col("id") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other"), F.explode("places").alias("place"))
+    return place.select("id", "text_tag", (F.col("place") - F.col("left")).alias("start"), (F.col("place") + F.col("right")).alias("stop"), "other")
 
 
 # ---- the operator ----------------------------------------------------------------------------------
@@ -347,7 +355,7 @@ def spans_across(rows: DataFrame, id_type: str, min_words: int) -> DataFrame:
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, held: int = HELD) -> DataFrame:
     """``id_col, first_word, end_word, n_words, other_id``: the passages (word positions) that another document has too.
 
-    ``other_id`` is a document with a window of the passage; if there are several, which one can depend on the partitions.
+    ``other_id`` is the least other document with a window of the passage.
     """
     if min_words < 2 * K:
         raise ValueError(f"min_words must be at least {2 * K}")
@@ -355,12 +363,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = sparse_suffixes(docs, id_col, text_col, min_words).repartitionByRange(*order).sortWithinPartitions(*order)
     found = materialise(rows.mapInArrow(compare_sorted(min_words, held), found_type(id_type)), "suffix-spans")
     across = spans_across(found.where("start is null").drop("start", "stop", "other"), id_type, min_words)
-    spans = found.where("start is not null").select("id", "start", "stop", "other").unionByName(across)
+    spans = found.where("start is not null").select("id", "text_tag", "start", "stop", "other").unionByName(across)
 
-    by_doc = Window.partitionBy("id").orderBy("start", "stop")
+    by_doc = Window.partitionBy("id", "text_tag").orderBy("start", "stop")
     reach = F.max("stop").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
     islands = spans.withColumn("new", F.when(F.col("start") <= reach, 0).otherwise(1)).withColumn("island", F.sum("new").over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = islands.groupBy("id", "island").agg(F.min("start").alias("first_word"), F.max("stop").alias("end_word"), F.min("other").alias("other_id"))
+    merged = islands.groupBy("id", "text_tag", "island").agg(F.min("start").alias("first_word"), F.max("stop").alias("end_word"), F.min("other").alias("other_id"))
     return merged.select(F.col("id").alias(id_col), "first_word", "end_word", (F.col("end_word") - F.col("first_word")).alias("n_words"), "other_id")
 
 
