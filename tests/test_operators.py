@@ -281,6 +281,70 @@ def test_quantile_forest(spark):
     assert ml.mean_importance([importance, importance]).count() == 2
 
 
+def test_quantiles_of_pooled_leaves(spark):
+    """Against a plain forest: training rows weighted by 1 / leaf size, over the same trees."""
+    rows = spark.range(3000).select(F.lit("a").alias("zone"), F.lit("2024-01-01").cast("date").alias("origin_date"), F.col("id").alias("target_time"), (F.col("id") * 7919 % 1000 / 100).alias("x"), (F.col("id") * 31 % 17).cast("double").alias("z"))
+    rows = rows.withColumn("y", F.col("x") * F.col("x") + F.col("z") * (F.col("target_time") * 13 % 29 / 10))
+    train, new = rows.where("target_time < 2900"), rows.where("target_time >= 2900")
+    params = {"depth": 5, "trees": 6, "min_rows": 5, "seed": 3}
+    fitted = ml.fit_forest(train, ["x", "z"], **params)
+    leaf = {}
+    for r in fitted.leaves(train).collect():
+        leaf.setdefault((r._tree, r._node), []).append(r.y)
+    near = {}
+    for r in fitted.leaves(new).collect():
+        near.setdefault(r.target_time, []).append(sorted(leaf[r._tree, r._node]))
+    found, _ = ml.quantile_forest(train, new, ["x", "z"], (0.05, 0.5, 0.9), **params)
+    for r in found.collect():
+        leaves = near[r.target_time]
+        for q, name in ((0.05, "q05"), (0.5, "q50"), (0.9, "q90")):
+            below = sum(sum(v < r[name] - 1e-9 for v in vs) / len(vs) for vs in leaves) / len(leaves)
+            up_to = sum(sum(v <= r[name] + 1e-9 for v in vs) / len(vs) for vs in leaves) / len(leaves)
+            assert below - 0.03 <= q <= up_to + 0.03
+
+
+def search_rows(spark):
+    rows = spark.range(1500).selectExpr("if(id % 2 = 0, 'a', 'b') as zone", "timestamp_seconds(id * 3600) as target_time", "date_add(date'2024-01-01', cast(id / 50 as int)) as target_date", "cast(id * 7919 % 1000 as double) / 100 as x", "cast(id * 31 % 17 as double) as z", "if(id % 40 = 0, null, cast(id % 7 as double)) as w", "id")
+    return rows.withColumn("y", F.col("x") * F.col("x") + F.col("z") * (F.col("id") * 13 % 29 / 10)).drop("id")
+
+
+FOLDS = [(f"2024-01-{d:02d}", f"2024-01-{d + 1:02d}", f"2024-01-{d + 2:02d}") for d in (12, 16, 20, 24)]
+POINTS = [{"depth": d, "trees": n, "min_rows": m} for d in (1, 4) for n in (2, 5) for m in (5, 40)]
+
+
+def test_grid_search_equals_single_fits(spark):
+    """All points and folds at once give what each point gives by itself, and each fold adds its own rows."""
+    rows = search_rows(spark)
+    found = {r.point: r for r in ml.grid_search(rows, FOLDS, POINTS, ["x", "z", "w"], QS).collect()}
+    assert sorted(found) == list(range(8)) and {r.n for r in found.values()} == {400}
+    for i in (0, 5, 7):
+        alone = ml.grid_search(rows, FOLDS, [POINTS[i]], ["x", "z", "w"], QS).first()
+        assert alone.pinball == pytest.approx(found[i].pinball) and (alone.depth, alone.trees, alone.min_rows) == tuple(POINTS[i].values())
+    per_fold = [ml.grid_search(rows, [f], [POINTS[6]], ["x", "z", "w"], QS).first() for f in FOLDS]
+    assert sum(r.pinball * r.n for r in per_fold) / 400 == pytest.approx(found[6].pinball)
+    # Deeper trees do better here; the future has no part in it.
+    assert min(r.pinball for r in found.values() if r.depth == 4) < min(r.pinball for r in found.values() if r.depth == 1)
+    changed = rows.withColumn("y", F.when(F.col("target_date") > "2024-01-26", -1e6).otherwise(F.col("y"))).withColumn("x", F.when(F.col("target_date") > "2024-01-26", 0.0).otherwise(F.col("x")))
+    assert ml.grid_search(changed, FOLDS, [POINTS[6]], ["x", "z", "w"], QS).first().pinball == pytest.approx(found[6].pinball)
+
+
+def test_splits_against_a_scan(spark):
+    """The split of a root by histograms is the one that trying all of them finds."""
+    base = ml.binned_folds(search_rows(spark), FOLDS[:1], ["x", "z", "w"]).where("train")
+    root = base.select("fold", F.lit(20).alias("min_rows"), F.lit(0).alias("tree"), F.lit(1).cast("long").alias("node"), "y", "bins")
+    plain, drawn = [(r.y, r.bins) for r in root.collect()], {r.f for r in spark.range(3).select(F.col("id").cast("int").alias("f")).where(F.pmod(F.xxhash64(F.lit(4), F.lit(0), F.lit(1).cast("long"), "f"), F.lit(3)) < 2).collect()}
+    best = None
+    for f in sorted(drawn):
+        for b in range(ml.BINS):
+            left, right = [y for y, bins in plain if bins[f] <= b], [y for y, bins in plain if bins[f] > b]
+            if min(len(left), len(right)) >= 20:
+                gain = round(sum(left) ** 2 / len(left) + sum(right) ** 2 / len(right) - sum(left + right) ** 2 / len(plain), 6)
+                best = max(best, (gain, -f, -b)) if best else (gain, -f, -b)
+    row = ml.best_splits(root, 4).first()
+    gain = lambda f, b: sum(sum(s) ** 2 / len(s) for s in ([y for y, bins in plain if bins[f] <= b], [y for y, bins in plain if bins[f] > b]))
+    assert gain(row.feature, row.bin) == pytest.approx(gain(-best[1], -best[2]))
+
+
 def test_backtest_trains_on_the_past_only(spark):
     rows = features.origin_dataset(t.hour_occurrence(hours(spark, "2025-01-20 00:00:00", 24 * 30), ["zone"]))
     schedule = backtest.refit_schedule(rows.select("zone", "origin_date").distinct(), ["zone"])

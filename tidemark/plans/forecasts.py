@@ -534,10 +534,14 @@ def quantile_forest(spark, sf_dir):
     return fc_columns(out)
 
 
+#: Ends of training, first and last day of validation of the search's folds, and its points.
+FOLDS = tuple((f"2024-04-{d:02d}", f"2024-04-{d + 1:02d}", f"2024-04-{d + 3:02d}") for d in (1, 4, 7, 10))
+GRID = tuple({"depth": d, "trees": t, "min_rows": m} for d in (3, 5) for t in (4, 8) for m in (5, 20))
+
+
 @query("grid_search")
 def grid_search(spark, sf_dir):
     from tidemark.operators.ml import FEATURES, grid_search as search
 
     rows = ft.origin_dataset(keyed(spark, sf_dir))
-    folds = [("2024-04-03", "2024-04-04", "2024-04-08"), ("2024-04-08", "2024-04-09", "2024-04-13")]
-    return search(rows, folds, [{"depth": 3, "trees": 5}, {"depth": 5, "trees": 5}], FEATURES, QS)
+    return search(rows, list(FOLDS), list(GRID), FEATURES, QS)
