@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.test_llm import plain_pages
-from tidemark.llm import decontam, exact_dedup, simhash, warc
+from tidemark.llm import decontam, exact_dedup, lm_scoring, simhash, warc
 from tidemark.llm.common import join_uneven, materialise
 
 
@@ -75,3 +75,18 @@ def test_contamination_of_many_clean_texts(sixteen):
     items = sixteen.createDataFrame([(i, f"a b c d e f g h i j {i * 30 + 2}") for i in range(40)], "item_id long, text string")
     one, many = (sorted(map(tuple, decontam.find_contamination(docs, items, block_bytes=b).collect())) for b in (1 << 24, 400))
     assert one == many and sum(r[-1] for r in one) == 1000
+
+
+def test_long_words_and_equal_rows_of_the_language_model(sixteen):
+    """Texts without spaces leave digests only; equal rows are dealt to all shards, on any layout."""
+    text = F.when(F.col("id") % 2 == 0, F.lit("a b c d")).otherwise(F.concat(F.lit("x y "), F.repeat(F.lit("long"), F.lit(25_000)), F.col("id") % 500))
+    docs = sixteen.range(4000).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("doc_id"), text.alias("text"))
+    words, counts, total = lm_scoring.corpus_words(docs, "text")
+    assert max(len(w) for w, _ in words) <= lm_scoring.LONGEST and len(words) == 6 + 250 and total == 2000 * 4 + 2000 * 3
+    assert counts.agg(F.max(F.octet_length("word"))).first()[0] <= lm_scoring.LONGEST
+    tokens = lm_scoring.tokenise(docs, [w for w, _ in words], "doc_id", "text")
+    dealt = lm_scoring.training_rows(tokens)
+    per_shard = {r.s: r["count"] for r in dealt.groupBy(F.pmod(F.shiftright("h", 20), F.lit(8)).alias("s")).count().collect()}
+    assert sum(per_shard.values()) == 4000 and max(per_shard.values()) < 1.3 * 4000 / 8
+    again = lm_scoring.training_rows(lm_scoring.tokenise(docs.repartition(7), [w for w, _ in words], "doc_id", "text"))
+    assert sorted(r.h for r in dealt.select("h").collect()) == sorted(r.h for r in again.select("h").collect())

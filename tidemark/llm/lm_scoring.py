@@ -13,7 +13,9 @@ counts, joined from the counts in Spark. So every distinct word of the corpus ha
 many as the corpus needs; a shard runs Adagrad over its documents in hash order from the parameters that all share.
 Each round has its share of the documents, by hash, so that every token is predicted in one of them; Spark then averages
 each parameter row over the shards, weighted by how often they trained it. Nothing depends on how the input is
-partitioned. The driver holds the frequent words and one parameter set; counts, tokens and shards grow with the input.
+partitioned. Equal rows that are so many that they would fill a shard are counted, and their copies dealt one by one. The
+driver holds the frequent words (of 64 bytes at most: digests stand for longer ones) and one parameter set; counts, tokens
+and shards grow with the input.
 
 Nulls, ties, odd inputs: a null or wordless text has no tokens and score 0; very long texts are read whole; every row is
 scored, repeated or not; an empty table gives an empty result; extra columns are ignored. Words are taken between
@@ -46,10 +48,15 @@ SHARD_TOKENS = 5_000_000
 BLOCK = 1024
 FAN_IN = 64
 COUNTED = 200_000
+LONGEST = 64
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(LOWER).split()
+    """The words of a text; a digest stands for one of more than ``LONGEST`` bytes, as texts without spaces are."""
+    words = (text or "").encode().translate(LOWER).split()
+    if words and len(max(words, key=len)) > LONGEST:
+        return [w if len(w) <= LONGEST else b"\0" + xxhash.xxh3_128_digest(w) for w in words]
+    return words
 
 
 # ---- vocabulary ------------------------------------------------------------------------------------
@@ -289,8 +296,25 @@ def add_blocks(rows: pa.Table) -> pa.Table:
     return pa.table({"shard": first.column("shard"), "block": first.column("block"), "value": pa.array([mean.astype("<f4").tobytes()], pa.binary()), "uses": pa.array([total.astype("<i8").tobytes()], pa.binary())})
 
 
-def train_round(tokens: DataFrame, shards: int, net: Network, tree: Tree, turn: int, rounds: int) -> Network:
-    """Local training in every shard, then the average of their parameters."""
+def training_rows(tokens: DataFrame) -> DataFrame:
+    """``h, tokens`` of the documents with words: the hash decides about round, shard and order.
+
+    At most ``4 * shuffle partitions`` hashes can have a share of the rows that fills a shard: such equal rows are counted
+    before the shuffle, and each copy has a hash of its own.
+    """
+    rows = tokens.where("n > 0").select(F.xxhash64("id", "tokens").alias("h"), "tokens")
+    most = 4 * int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = tokens.count()
+    hot = [r.h for r in rows.groupBy("h").count().where((F.col("count") > 1) & (F.col("count") * most > total)).collect()]
+    if not hot:
+        return rows
+    groups = rows.where(F.col("h").isin(hot)).groupBy("h").agg(F.count(F.lit(1)).alias("copies"), F.any_value("tokens").alias("tokens"))
+    copies = groups.select("h", "tokens", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    return rows.where(~F.col("h").isin(hot)).unionByName(copies.select(F.xxhash64("h", "copy").alias("h"), "tokens"))
+
+
+def train_round(tokens: DataFrame, shards: int, net: Network, tree: Tree, turn: int, rounds: int, rows: DataFrame | None = None) -> Network:
+    """Local training in every shard, then the average of their parameters; ``rows`` are those of :func:`training_rows`, if known."""
     outside = len(tree.size)
 
     def run(rows: pa.Table) -> pa.Table:
@@ -312,8 +336,8 @@ def train_round(tokens: DataFrame, shards: int, net: Network, tree: Tree, turn:
             train()
         return blocks(rows.column("shard")[0].as_py(), trainer.net.parts(), trainer.uses)
 
-    dealt = tokens.where("n > 0").select(F.xxhash64("id", "tokens").alias("h"), "tokens")
-    dealt = dealt.where(F.pmod("h", F.lit(rounds)) == turn).withColumn("shard", F.pmod(F.shiftright("h", 20), F.lit(shards)))
+    rows = training_rows(tokens) if rows is None else rows
+    dealt = rows.where(F.pmod("h", F.lit(rounds)) == turn).withColumn("shard", F.pmod(F.shiftright("h", 20), F.lit(shards)))
     sums, n = dealt.groupBy("shard").applyInArrow(run, ROWS), shards
     while n > 1:
         sums, n = sums.withColumn("from", F.col("shard")).withColumn("shard", F.floor(F.col("shard") / FAN_IN)).groupBy("shard", "block").applyInArrow(add_blocks, ROWS), -(-n // FAN_IN)
@@ -366,8 +390,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", own: in
     if rounds and total:
         tokens = tokenise(docs, names, id_col, text_col) if tokens is None else tokens
         shards = -(-total // (rounds * shard_tokens))
+        dealt = training_rows(tokens)
         for turn in range(rounds):
-            network = train_round(tokens, shards, network, tree, turn, rounds)
+            network = train_round(tokens, shards, network, tree, turn, rounds, dealt)
     return MaskedModel(names, tree, network, counts, others)
 
 
