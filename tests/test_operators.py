@@ -621,3 +621,13 @@ def test_groups_of_a_clock_change(spark):
     assert len(out) == len({(z, ts) for z, ts in price if (z, ts) in out})
     lost = features.dropped_targets(keyed.withColumn("price", F.when(F.hour("timestamp") != 3, F.col("price"))), spark.sql("select 'a' as zone, explode(array(date'2025-03-29', date'2025-03-30')) as origin_date")).collect()
     assert sorted(r.n_dropped for r in lost) == [1, 1]
+
+
+def test_days_of_23_and_25_hours_are_scored_whole(spark):
+    for day, n in (("2025-03-30", 23), ("2025-10-26", 25), ("2025-06-01", 24)):
+        rows = t.target_hours(spark.sql(f"select 'a' as zone, 'champion' as role, date_sub(date'{day}', 1) as origin_date")).select("*", *[F.lit(float(q)).alias(c) for q, c in enumerate(QCOLS)], F.lit(3.0).alias("actual"), F.lit(4.0).alias("naive_7d"))
+        assert [r.n_hours for r in serving.daily_score(rows, QS).collect()] == [n]
+        assert serving.daily_score(rows.where(F.hour("target_time") != 5), QS).count() == 0
+        summary = serving.day_summary(rows.withColumnRenamed("actual", "y"), ("zone", "role")).first()
+        assert (summary.n_hours, summary.actual_mean) == (n, 3.0)
+        assert serving.day_summary(rows.withColumn("y", F.when(F.hour("target_time") != 5, F.col("actual"))), ("zone", "role")).first().actual_mean is None

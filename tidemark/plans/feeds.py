@@ -17,6 +17,8 @@ QCOLS = tuple(f"q{round(q * 100):02d}" for q in QS)
 SPRING, AUTUMN = 75, 285
 #: Last target day that forecasts of the metric queries learn from.
 SPLIT = "2024-04-04"
+#: Shifts and last days of learning by which forecasts have days of 23 and of 25 hours.
+CLOCK_CHANGES = ((SPRING, "2024-03-27"), (AUTUMN, "2024-10-24"))
 
 
 def ntz(col: str | Column) -> Column:
@@ -92,30 +94,30 @@ def lagged_sql(shift: int = SPRING, lags: tuple[int, ...] = LAGS) -> str:
 {joins})"""
 
 
-def points(spark: SparkSession, sf_dir: str, lags: tuple[int, ...] = LAGS) -> DataFrame:
+def points(spark: SparkSession, sf_dir: str, lags: tuple[int, ...] = LAGS, shift: int = SPRING) -> DataFrame:
     """A model per lag on the same series: the prices of the same clock hour that many days before."""
     models = F.array(*[F.struct(F.lit(f"naive_{k}d").alias("model"), F.col(f"p_lag{k}d").alias("point")) for k in lags])
-    return lagged(spark, sf_dir, lags=lags).select("zone", "target_time", "target_date", "local_hour", "y", F.inline(models)).where("point is not null")
+    return lagged(spark, sf_dir, shift, lags).select("zone", "target_time", "target_date", "local_hour", "y", F.inline(models)).where("point is not null")
 
 
-def forecasts(spark: SparkSession, sf_dir: str, lags: tuple[int, ...] = LAGS) -> DataFrame:
-    """``model, zone, origin_date, target_time, target_date, local_hour, y, q05 .. q95`` after SPLIT."""
+def forecasts(spark: SparkSession, sf_dir: str, lags: tuple[int, ...] = LAGS, shift: int = SPRING, split: str = SPLIT) -> DataFrame:
+    """``model, zone, origin_date, target_time, target_date, local_hour, y, q05 .. q95`` after the split."""
     from tidemark.operators.forecast import residual_quantiles, with_quantiles
 
-    rows = points(spark, sf_dir, lags)
-    offsets = residual_quantiles(rows.where(F.col("target_date") <= SPLIT), ["model", "zone", "local_hour"], QS)
-    out = with_quantiles(rows.where(F.col("target_date") > SPLIT), offsets, ["model", "zone", "local_hour"], QS)
+    rows = points(spark, sf_dir, lags, shift)
+    offsets = residual_quantiles(rows.where(F.col("target_date") <= split), ["model", "zone", "local_hour"], QS)
+    out = with_quantiles(rows.where(F.col("target_date") > split), offsets, ["model", "zone", "local_hour"], QS)
     return out.select("model", "zone", F.date_sub("target_date", 1).alias("origin_date"), "target_time", "target_date", "local_hour", "y", *QCOLS)
 
 
-def forecasts_sql(lags: tuple[int, ...] = LAGS) -> str:
+def forecasts_sql(lags: tuple[int, ...] = LAGS, shift: int = SPRING, split: str = SPLIT) -> str:
     offsets = ", ".join(f"quantile_cont(y - point, {q}) as o{c[1:]}" for q, c in zip(QS, QCOLS))
     models = "\n  union all ".join(f"select 'naive_{k}d' as model, zone, target_time, target_date, local_hour, y, p_lag{k}d as point from lagged where p_lag{k}d is not null" for k in lags)
-    return lagged_sql(lags=lags) + f""", points as (
+    return lagged_sql(shift, lags) + f""", points as (
   {models}),
-offs as (select model, zone, local_hour, {offsets} from points where target_date <= date '{SPLIT}' group by all),
+offs as (select model, zone, local_hour, {offsets} from points where target_date <= date '{split}' group by all),
 fc as (select model, zone, target_date - 1 as origin_date, target_time, target_date, local_hour, y, {', '.join(f'point + o{c[1:]} as {c}' for c in QCOLS)}
-  from points join offs using (model, zone, local_hour) where target_date > date '{SPLIT}')"""
+  from points join offs using (model, zone, local_hour) where target_date > date '{split}')"""
 
 
 def pulls(spark: SparkSession, sf_dir: str) -> DataFrame:

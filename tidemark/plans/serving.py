@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import lake
 from tidemark.operators import serving as op
-from tidemark.plans.feeds import PULLS_SQL, QCOLS, QS, forecasts, forecasts_sql, keyed, ntz, pulls, r6
+from tidemark.plans.feeds import CLOCK_CHANGES, PULLS_SQL, QCOLS, QS, forecasts, forecasts_sql, keyed, ntz, pulls, r6
+from tidemark.plans.features import at_local
 from tidemark.plans.forecasts import loss_sql
 from tidemark.plans.lake import MANIFEST_SQL
 from tidemark.plans.registry import query
@@ -61,6 +62,43 @@ def daily_score(spark, sf_dir):
     return scored(op.daily_score(served(spark, sf_dir), QS), "zone", "role", "origin_date")
 
 
+def changes_sql(columns: str, ctes: str, source: str) -> str:
+    """A query over the forecasts around both changes of clocks."""
+    parts = [f"select {columns} from (with {forecasts_sql(shift=shift, split=split)}, {CHANGED_SQL}{ctes} select * from {source})" for shift, split in CLOCK_CHANGES]
+    return " union all ".join(parts)
+
+
+HOURS_OF = f"cast((epoch({at_local('{d} + 1', 0)}) - epoch({at_local('{d}', 0)})) / 3600 as integer)"
+# With the price of the same clock hour a week before, of two the one with the same offset from UTC, that is just a week before.
+CHANGED_SQL = SERVED_SQL.replace("b.price as naive_7d", "coalesce(same.price, b.price) as naive_7d").replace("left join keyed b on", "left join keyed same on same.zone = fc.zone and same.timestamp = fc.target_time - interval 7 day and same.local_hour = fc.local_hour left join keyed b on")
+GOOD_SQL = f""", good as (select zone, role, origin_date from srv group by 1, 2, 3 having count(*) = {HOURS_OF.format(d='(origin_date + 1)')} and count(distinct target_time) = count(*) and bool_and(actual is not null)),
+dsc as ({skill_sql('zone, role, origin_date', 'srv join good using (zone, role, origin_date)')})"""
+SUMMARY_SQL = f""", sm as (select zone, role, target_date, count(*) as n_hours, avg(q50) as mean_median, arg_max(target_time, {{'v': q50, 't': target_time}}) as peak_time, avg(q95 - q05) as width_90,
+  case when count(actual) = {HOURS_OF.format(d='target_date')} then avg(actual) end as actual_mean from srv group by 1, 2, 3)"""
+
+
+def around_changes(spark, sf_dir, build):
+    from functools import reduce
+
+    parts = []
+    for shift, split in CLOCK_CHANGES:
+        fc = forecasts(spark, sf_dir, shift=shift, split=split).withColumn("role", F.when(F.col("model") == "naive_1d", "champion").otherwise("challenger")).drop("y", "model")
+        parts.append(build(op.enrich_actual_naive(fc, keyed(spark, sf_dir, shift))))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("daily_score_clock_changes", changes_sql(f"zone, role, origin_date, n_hours, {ROUNDED}", GOOD_SQL, "dsc"))
+def daily_score_clock_changes(spark, sf_dir):
+    """Scores of whole days around both changes of clocks: those days count with 23 and 25 hours."""
+    return scored(around_changes(spark, sf_dir, lambda rows: op.daily_score(rows, QS)), "zone", "role", "origin_date")
+
+
+@query("day_summary_clock_changes", changes_sql("zone, role, target_date, n_hours, round(mean_median, 6) as mean_median, peak_time, round(width_90, 6) as width_90, round(actual_mean, 6) as actual_mean", SUMMARY_SQL, "sm"))
+def day_summary_clock_changes(spark, sf_dir):
+    out = around_changes(spark, sf_dir, lambda rows: op.day_summary(rows.withColumnRenamed("actual", "y"), ("zone", "role")))
+    return out.select("zone", "role", "target_date", "n_hours", r6("mean_median").alias("mean_median"), ntz("peak_time").alias("peak_time"), r6("width_90").alias("width_90"), r6("actual_mean").alias("actual_mean"))
+
+
 ALL_SQL = f"osc as ({skill_sql('zone, role, origin_date', 'srv')})"
 
 
