@@ -82,8 +82,8 @@ def test_long_words_and_equal_rows_of_the_language_model(sixteen):
     text = F.when(F.col("id") % 2 == 0, F.lit("a b c d")).otherwise(F.concat(F.lit("x y "), F.repeat(F.lit("long"), F.lit(25_000)), F.col("id") % 500))
     docs = sixteen.range(4000).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("doc_id"), text.alias("text"))
     words, counts, total = lm_scoring.corpus_words(docs, "text")
-    assert max(len(w) for w, _ in words) <= lm_scoring.LONGEST and len(words) == 6 + 250 and total == 2000 * 4 + 2000 * 3
-    assert counts.agg(F.max(F.octet_length("word"))).first()[0] <= lm_scoring.LONGEST
+    assert sorted(words) == sorted([(b"a", 2000), (b"b", 2000), (b"c", 2000), (b"d", 2000), (b"x", 2000), (b"y", 2000)]) and total == 2000 * 4 + 2000 * 3
+    assert counts.agg(F.max(F.octet_length("word"))).first()[0] <= lm_scoring.LONGEST and counts.count() == 6 + 250
     tokens = lm_scoring.tokenise(docs, [w for w, _ in words], "doc_id", "text")
     dealt = lm_scoring.training_rows(tokens)
     per_shard = {r.s: r["count"] for r in dealt.groupBy(F.pmod(F.shiftright("h", 20), F.lit(8)).alias("s")).count().collect()}

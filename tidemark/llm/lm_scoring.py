@@ -5,8 +5,8 @@ and 2, each scaled by its offset's weights, add up and pass through tanh; a bina
 by word counts) turns the result into a normalised probability: the product of the logistic decisions on the way to a
 word. A document's score is the sum over its tokens of log P(token | the tokens around it).
 
-*Vocabulary.* Word counts cover all documents. The ``own`` most frequent words (within a hundredth, by hash) have codes of
-their own; the other words share one, and P(word) then is that code's probability times the word's share of their
+*Vocabulary.* Word counts cover all documents. The ``own`` most frequent words (within a hundredth, by hash; of 64 bytes at
+most, digests are counted for longer ones) have codes of their own; the other words share one, and P(word) then is that code's probability times the word's share of their
 counts, joined from the counts in Spark. So every distinct word of the corpus has a probability of its own.
 
 *Training* (numpy) covers all tokens of all documents. Documents are dealt to shards by the hash of their id and text, as
@@ -14,8 +14,7 @@ many as the corpus needs; a shard runs Adagrad over its documents in hash order
 Each round has its share of the documents, by hash, so that every token is predicted in one of them; Spark then averages
 each parameter row over the shards, weighted by how often they trained it. Nothing depends on how the input is
 partitioned. Equal rows that are so many that they would fill a shard are counted, and their copies dealt one by one. The
-driver holds the frequent words (of 64 bytes at most: digests stand for longer ones) and one parameter set; counts, tokens
-and shards grow with the input.
+driver holds the frequent words, of 64 bytes at most, and one parameter set; counts, tokens and shards grow with the input.
 
 Nulls, ties, odd inputs: a null or wordless text has no tokens and score 0; very long texts are read whole; every row is
 scored, repeated or not; an empty table gives an empty result; extra columns are ignored. Words are taken between
@@ -47,36 +46,41 @@ BATCH = 4096
 SHARD_TOKENS = 5_000_000
 BLOCK = 1024
 FAN_IN = 64
-COUNTED = 200_000
+#: Distinct words, and bytes of text, that a task counts at a time.
+COUNTED, COUNTED_BYTES = 200_000, 128 << 20
 LONGEST = 64
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """The words of a text; a digest stands for one of more than ``LONGEST`` bytes, as texts without spaces are."""
-    words = (text or "").encode().translate(LOWER).split()
-    if words and len(max(words, key=len)) > LONGEST:
-        return [w if len(w) <= LONGEST else b"\0" + xxhash.xxh3_128_digest(w) for w in words]
-    return words
+    return (text or "").encode().translate(LOWER).split()
+
+
+def name_of(word: bytes) -> bytes:
+    """The word, or a digest behind a zero byte for one of more than ``LONGEST`` bytes, as texts without spaces are."""
+    return word if len(word) <= LONGEST else b"\0" + xxhash.xxh3_128_digest(word)
 
 
 # ---- vocabulary ------------------------------------------------------------------------------------
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """``h, n``: hash and count of every word over all documents, and ``word``; each task adds up before the shuffle."""
+    """``h, n``: hash and count of every word over all documents, and its ``word`` (name); each task adds up before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+        size = 0
 
         def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(list(map(name_of, seen)), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 seen.update(words_of(text))
-            if len(seen) >= COUNTED:
+            size += batch.nbytes
+            if len(seen) >= COUNTED or size >= COUNTED_BYTES:
                 yield rows()
                 seen.clear()
+                size = 0
         yield rows()
 
     return texts.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).withColumn("h", F.xxhash64("word"))
@@ -372,7 +376,7 @@ def tokenise(docs: DataFrame, words: list[bytes], id_col: str, text_col: str) ->
                 t = vocabulary.tokens(own)
                 sizes.append(len(own))
                 tokens.append(t.astype("<u2").tobytes())
-                others.append(np.fromiter((xxhash.xxh64_intdigest(own[i], 42) for i in np.flatnonzero(t == vocabulary.other)), np.uint64).view(np.int64))
+                others.append(np.fromiter((xxhash.xxh64_intdigest(name_of(own[i]), 42) for i in np.flatnonzero(t == vocabulary.other)), np.uint64).view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, others)]).astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int64), *others])))
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), pa.array(sizes, pa.int64()), pa.array(tokens, pa.binary()), lists], ["row", "id", "n", "tokens", "others"])
 
@@ -401,7 +405,8 @@ def corpus_words(docs: DataFrame, text_col: str, own: int = OWN) -> tuple[list[t
     if own > 65_000:
         raise ValueError("tokens have 16 bits")
     counts = materialise(count_words(docs.select(F.col(text_col).alias("text"))), "word-counts")
-    return frequent_words(counts, own), counts, counts.agg(F.sum("n")).first()[0] or 0
+    short = counts.where(F.substring("word", 1, 1) != F.lit(b"\0"))  # digests have no code of their own
+    return frequent_words(short, own), counts, counts.agg(F.sum("n")).first()[0] or 0
 
 
 def score(docs: DataFrame, model: MaskedModel, id_col: str = "doc_id", text_col: str = "text", tokens: DataFrame | None = None) -> DataFrame:
