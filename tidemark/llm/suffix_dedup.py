@@ -13,10 +13,9 @@ the rows of an interval on both sides form a class, a class with two documents i
 longest such windows on either side. Classes stand in for pairs: nothing is lost however many rows share a passage.
 
 *Borders and crowds.* The first and last k-gram of a partition can go on in the next one, and a k-gram of more than
-``HELD`` rows isn't held in memory. Their rows become classes of equal contexts by an aggregation; the windows of these
-classes are hashed to 64 bits and aggregated by hash, and what that gives returns to the rows by salted joins. Of rows all
-of whose windows are matched at hand only the class and the places go that way, and the two least documents of each class
-stand for the others.
+``HELD`` rows isn't held in memory. Their rows become classes of equal contexts, each with its places in one row and its
+two least documents with the context; the windows of these classes are hashed to 64 bits and aggregated by hash, and what
+that gives returns to the classes by a salted join.
 
 Words are lower-cased (A-Z) and stand between white space; they are compared by CRC32. Two different windows can only
 be taken for the same if all differing words collide in 32 bits at once, or in the hash of a k-gram, class or window.
@@ -35,6 +34,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -195,11 +195,11 @@ def ranks(ids: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return rank[coded.indices.to_numpy()], coded.dictionary.take(pa.array(order))
 
 
-FOUND = ["start", "stop", "other", *COLUMNS, "cls"]
+FOUND = ["start", "stop", "other", *COLUMNS, "cls", "ids", "tags"]
 
 
 def found_type(id_type: str) -> str:
-    return f"start int, stop int, other {id_type}, {row_type(id_type)}, cls long"
+    return f"start int, stop int, other {id_type}, {row_type(id_type)}, cls long, ids array<{id_type}>, tags array<long>"
 
 
 def local_matches(rows: pa.Table, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
@@ -218,7 +218,8 @@ def marked(rows: pa.Table, left: np.ndarray, right: np.ndarray, other: np.ndarra
     row = np.repeat(hit, counts)
     start, stop = (place - left[row]).astype(np.int32), (place + right[row]).astype(np.int32)
     own = [rows.column(c).chunk(0).take(pa.array(row)) for c in COLUMNS[:2]]
-    empty = [pa.nulls(len(row), rows.schema.field(c).type) for c in COLUMNS[2:]] + [pa.nulls(len(row), pa.int64())]
+    ids = rows.schema.field("id").type
+    empty = [pa.nulls(len(row), t) for t in (*[rows.schema.field(c).type for c in COLUMNS[2:]], pa.int64(), pa.list_(ids), pa.list_(pa.int64()))]
     return pa.RecordBatch.from_arrays([pa.array(start), pa.array(stop), names.take(pa.array(other[row])), *own, *empty], FOUND)
 
 
@@ -236,30 +237,35 @@ def spans_of(parts: list[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordB
         yield marked(rows, left, right, other, names)
 
 
-def open_rows(parts: list[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    """The rows of a k-gram that has more rows elsewhere, with their class of equal contexts.
+def open_rows(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The classes of equal contexts of a k-gram that has more rows elsewhere.
 
-    A row all of whose windows are matched here stays without its context; of each class of such rows the two least
-    documents stay with it and without places, for the others to find. All other rows stay whole.
+    A class is one row with the documents, texts and places of its rows, and up to two rows with its context, of its least
+    documents.
     """
     rows = pa.Table.from_batches(parts).combine_chunks()
     if not rows.num_rows:
         return
-    left, right, other, _, owner = local_matches(rows, min_words)
-    gram, suffix, before = (rows.column(c).to_pylist() for c in COLUMNS[2:5])
-    cls = np.array([xxh64_intdigest(g.to_bytes(8, "little", signed=True) + len(b).to_bytes(4, "little") + b + s) for g, s, b in zip(gram, suffix, before)], np.uint64).view(np.int64)
-    after, back = (np.array([len(x) // 4 for x in c]) for c in (suffix, before))
-    done = (left == back) & (right == after + K) & (other >= 0)
-    at = np.flatnonzero(done)
-    order = at[np.lexsort((owner[at], cls[at]))]
-    fresh = np.r_[True, (cls[order][1:] != cls[order][:-1]) | (owner[order][1:] != owner[order][:-1])] if len(order) else np.zeros(0, bool)
-    once = order[fresh]  # a row of each document of each class
-    nth = np.arange(len(once)) - np.searchsorted(cls[once], cls[once]) if len(once) else once
-    for pick, without in ((np.flatnonzero(~done), ()), (at, ("gram", "suffix", "before")), (once[nth < 2], ("places",))):
-        n, kept = len(pick), rows.take(pa.array(pick)).combine_chunks()
-        if n:
-            columns = [pa.nulls(n, kept.schema.field(c).type) if c in without else kept.column(c).chunk(0) for c in COLUMNS]
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, kept.schema.field("id").type), *columns, pa.array(cls[pick])], FOUND)
+    column = {c: rows.column(c).chunk(0) for c in COLUMNS}
+    owner, _ = ranks(column["id"])
+    keys = zip(column["gram"].to_pylist(), column["suffix"].to_pylist(), column["before"].to_pylist())
+    cls = np.array([xxh64_intdigest(g.to_bytes(8, "little", signed=True) + len(b).to_bytes(4, "little") + b + s) for g, s, b in keys], np.uint64).view(np.int64)
+    order = np.lexsort((owner, cls))
+    one_class = np.r_[True, cls[order][1:] != cls[order][:-1]]
+    once = order[one_class | np.r_[True, owner[order][1:] != owner[order][:-1]]]  # a row of each document of each class
+    heads = once[np.arange(len(once)) - np.searchsorted(cls[once], cls[once]) < 2]
+    lists, ids = column["places"].take(pa.array(order)), rows.schema.field("id").type
+    counts = lists.value_lengths().to_numpy()
+    row = pa.array(np.repeat(order, counts))
+    begins = np.flatnonzero(one_class)
+    ends = np.r_[0, np.cumsum(counts)][np.r_[begins, len(order)]].astype(np.int32)
+    grouped = lambda values: pa.ListArray.from_arrays(pa.array(ends), values)
+    nothing = lambda n, *types: [pa.nulls(n, t) for t in types]
+    n, m, text = len(heads), len(begins), rows.schema.field
+    whole = [column[c].take(pa.array(heads)) for c in COLUMNS[:-1]]
+    yield pa.RecordBatch.from_arrays([*nothing(n, pa.int32(), pa.int32(), ids), *whole, *nothing(n, text("places").type), pa.array(cls[heads]), *nothing(n, pa.list_(ids), pa.list_(pa.int64()))], FOUND)
+    members = [grouped(lists.flatten()), pa.array(cls[order[begins]]), grouped(column["id"].take(row)), grouped(column["text_tag"].take(row))]
+    yield pa.RecordBatch.from_arrays([*nothing(m, pa.int32(), pa.int32(), ids), *nothing(m, *[text(c).type for c in COLUMNS[:-1]]), *members], FOUND)
 
 
 def compare_sorted(min_words: int, held: int):
@@ -278,14 +284,14 @@ def compare_sorted(min_words: int, held: int):
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if tail_gram is not None and gram[a] != tail_gram:  # the one before is complete
                     if goes_on_elsewhere:
-                        yield from open_rows(tail, min_words)
+                        yield from open_rows(tail)
                     else:
                         waiting += tail
                     tail, goes_on_elsewhere = [], False
                 tail_gram = gram[b - 1]
                 tail.append(batch.slice(a, b - a))
             if sum(p.num_rows for p in tail) > held:
-                yield from open_rows(tail, min_words)
+                yield from open_rows(tail)
                 tail, goes_on_elsewhere = [batch.slice(0, 0)], True
             if sum(p.num_rows for p in waiting) >= CHUNK:
                 yield from spans_of(waiting, min_words)
@@ -293,7 +299,7 @@ def compare_sorted(min_words: int, held: int):
         if waiting:
             yield from spans_of(waiting, min_words)
         if tail:
-            yield from open_rows(tail, min_words)
+            yield from open_rows(tail)
 
     return run
 
@@ -328,7 +334,7 @@ def window_hashes(min_words: int):
 
 
 def spans_across(rows: DataFrame, id_type: str, min_words: int) -> DataFrame:
-    """Spans of the rows of :func:`open_rows`: by classes of equal contexts and hashes of their windows."""
+    """Spans of the classes of :func:`open_rows`, by hashes of their windows."""
     # A partition leaves at most two documents of a class for each ``HELD`` of its rows.
     docs = F.array_sort(F.collect_set("id"))
     classes = rows.where(F.col("gram").isNotNull()).groupBy("cls", "gram", "suffix", "before").agg(docs.alias("ids"))
@@ -344,9 +350,20 @@ def spans_across(rows: DataFrame, id_type: str, min_words: int) -> DataFrame:
     matched = matched.select("cls", "left", (F.lit(min_words) - F.col("least")).alias("right"), "docs", least.alias("a"))
     others = F.transform("docs", lambda d: F.when(d["first"] > F.col("a"), d["first"]).otherwise(d["second"]))
     spread = matched.select("cls", "left", "right", "a", F.array_min(others).alias("b"), salts)
-    hit = rows.where(F.col("places").isNotNull()).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALT)).cast("int")).join(spread, ["cls", "salt"])
-    place = hit.select("id", "text_tag", "left", "right", F.when(F.col("id") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other"), F.explode("places").alias("place"))
-    return place.select("id", "text_tag", (F.col("place") - F.col("left")).alias("start"), (F.col("place") + F.col("right")).alias("stop"), "other")
+    members = rows.where(F.col("ids").isNotNull()).select("cls", "ids", "tags", "places", F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(SALT)).cast("int").alias("salt"))
+    hit = members.join(spread, ["cls", "salt"]).select("ids", "tags", "places", "left", "right", "a", "b")
+    return hit.mapInArrow(class_spans, f"id {id_type}, text_tag long, start int, stop int, other {id_type}")
+
+
+def class_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The spans of the members of classes, each with the least document that isn't its own."""
+    for batch in batches:
+        lists = batch.column("ids")
+        row = pa.array(np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy()))
+        ids, place = lists.flatten(), batch.column("places").flatten()
+        of = {c: batch.column(c).take(row) for c in ("left", "right", "a", "b")}
+        other = pc.if_else(pc.equal(ids, of["a"]), of["b"], of["a"])
+        yield pa.RecordBatch.from_arrays([ids, batch.column("tags").flatten(), pc.subtract(place, of["left"]), pc.add(place, of["right"]), other], ["id", "text_tag", "start", "stop", "other"])
 
 
 # ---- the operator ----------------------------------------------------------------------------------
