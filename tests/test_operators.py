@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import statistics
+from hashlib import md5
 
 import pytest
 from hypothesis import given, settings
@@ -600,6 +601,18 @@ def test_examples_of_violations_are_bounded(spark):
     assert {(r.k, r.rule, r.n_bad) for r in found} == {(0, "range", 249), (1, "range", 250), (1, "soft_range", 1)}
 
 
+def test_signatures_digest_whole_sets(spark):
+    """The digest of the whole sorted set, however often and in what order snapshots come, also where one has several pull times."""
+    rows = [(k, f"{i * 37 % 500:04d}", i) for k in (1, 2) for i in range(1500)] + [(3, None, 0), (3, "b", 0), (3, "a", 0), (4, None, 0), (None, "a", 0)]
+    pulls = spark.createDataFrame(rows, "tab int, snapshot string, pulled_at int").withColumn("valid", F.lit(True))
+    pulls = pulls.unionByName(spark.createDataFrame([(1, "x", 0, False), (5, "x", 0, False)], pulls.schema)).repartition(7)
+    found = {r.tab: r.signature for r in lake.input_signatures(pulls, "tab").collect()}
+    whole = md5(",".join(f"{i:04d}" for i in range(500)).encode()).hexdigest()
+    assert found == {1: whole, 2: whole, 3: md5(b"a,b").hexdigest(), 4: None, None: md5(b"a").hexdigest()}
+    before = lake.input_signatures(pulls.where("tab is null or tab <> 2 or snapshot <> '0007'"), "tab")
+    assert {r.tab for r in lake.incremental_skip(lake.input_signatures(pulls, "tab"), before, "tab").collect()} == {2, 4, None}
+
+
 def test_groups_of_a_clock_change(spark):
     """Neighbour and weather columns beside plain look-ups, over the day of 23 hours."""
     rows = hours(spark, "2025-03-20 00:00:00", 24 * 15).unionByName(hours(spark, "2025-03-20 00:00:00", 24 * 15, "b").withColumn("price", F.col("price") * 2))
