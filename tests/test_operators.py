@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import timeutils as t
 from tidemark.operators import backtest, features, forecast, lake, metrics, ml, quality, serving, stats
-from tidemark.plans.feeds import QCOLS, QS
+from tidemark.plans.feeds import QCOLS, QS, readings
 from tidemark.sources import readers
 from tidemark.sources.versions import Conflict, VersionedTable
 from tidemark.streaming import streams
@@ -613,6 +613,27 @@ def test_signatures_digest_whole_sets(spark):
     assert {r.tab for r in lake.incremental_skip(lake.input_signatures(pulls, "tab"), before, "tab").collect()} == {2, 4, None}
 
 
+def test_violations_are_found_without_sorting_rows(spark, tmp_path):
+    """Rows are neither sorted nor grouped ahead of their shuffle; names by brute force, with null keys, names and repeated names."""
+    rows = spark.range(3000).selectExpr("nullif(id % 3, 2) as k", "nullif(id % 7, 3) * 1.0 as v", "id % 11 * 1.0 as w", "nullif(concat('n', id % 400), 'n5') as name").localCheckpoint()
+    rules = [quality.Rule("v", 1, 5, None, 4, 0.5), quality.Rule("w", 11, None, 0, 9), quality.Rule("v", None, None, None, None, 0.1)]
+    found = quality.range_violations(rows, rules, ["k"], F.col("name"), 3)
+    assert not [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "SortAggregate" in x and "count" in x]
+    kinds = {("v", "range", "error"): lambda r: r.v is not None and not 1 <= r.v <= 5, ("v", "soft_range", "warning"): lambda r: (r.v or 0) > 4, ("v", "null_fraction", "error"): lambda r: r.v is None, ("w", "range", "error"): lambda r: r.w < 11, ("w", "soft_range", "warning"): lambda r: r.w > 9}
+    want = set()
+    for key in (0, 1, None):
+        for kind, bad in kinds.items():
+            hits = [r for r in rows.collect() if r.k == key and bad(r)]
+            named = sorted({(int(md5(r.name.encode()).hexdigest()[:8], 16), r.name) for r in hits if r.name})
+            least = sorted(min(x for x in named if x[0] % 3 == p) for p in {x[0] % 3 for x in named})
+            want.add((key, *kind, len(hits), tuple(n for _, n in least)))
+    assert {(r.k, r.column, r.rule, r.severity, r.n_bad, tuple(r.examples)) for r in found.collect()} == want
+    spark.createDataFrame([(1, 2, dt.datetime(2024, 1, 1), 3.0, 0.01, 0.1)], "l_orderkey int, l_suppkey int, l_shipdate timestamp, l_quantity double, l_tax double, l_discount double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(2, 5)], "s_suppkey int, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    plan = readings(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_avg") < plan.index("Exchange")
+
+
 def test_groups_of_a_clock_change(spark):
     """Neighbour and weather columns beside plain look-ups, over the day of 23 hours."""
     rows = hours(spark, "2025-03-20 00:00:00", 24 * 15).unionByName(hours(spark, "2025-03-20 00:00:00", 24 * 15, "b").withColumn("price", F.col("price") * 2))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,13 +34,15 @@ def rule_for(column: str, by_prefix: dict[str, Rule]) -> Rule:
 
 
 def range_violations(df: DataFrame, rules: list[Rule], keys: list[str], name: Column | None = None, examples: int = 3) -> DataFrame:
-    """One row per key, column and violated rule: ``column, rule, severity, n_bad``. One pass over the data.
+    """One row per key, column and violated rule: ``column, rule, severity, n_bad``. Counts add up before the shuffle.
 
     With a text ``name`` of a row there are up to ``examples`` of the bad rows too: names are dealt to that many places by
-    their digest and the least of each place stays, so what is held for a rule is bounded and adds up before the shuffle.
+    their digest and the least of each place stays. The first pass finds the least digests as numbers, a second one
+    the names that have them, so that no rows are sorted. Keys are few: their digests are broadcast, at most ``examples``
+    of each key and rule.
     """
     h = F.conv(F.substring(F.md5(F.col("_name")), 1, 8), 16, 10).cast("long")
-    rows = df if name is None else df.withColumn("_name", name).withColumn("_place", F.pmod(h, F.lit(examples))).withColumn("_least", F.struct(h.alias("h"), F.col("_name").alias("name")))
+    rows = df if name is None else df.withColumn("_name", name).withColumn("_h", h)
 
     def outside(c: str, low: float | None, high: float | None) -> Column:
         bad = F.lit(False)
@@ -48,27 +52,36 @@ def range_violations(df: DataFrame, rules: list[Rule], keys: list[str], name: Co
             bad = bad | (F.col(c) > high)
         return bad
 
-    aggs, checks = [], []
-    for i, r in enumerate(rules):
-        bad = {"hard": outside(r.column, r.low, r.high), "soft": outside(r.column, r.soft_low, r.soft_high), "null": F.col(r.column).isNull()}
-        aggs += [F.count_if(b).alias(f"{kind}{i}") for kind, b in bad.items()]
-        if name is not None:
-            aggs += [F.min(F.when(b & (F.col("_place") == k), F.col("_least"))).alias(f"{kind}{i}_{k}") for kind, b in bad.items() for k in range(examples)]
-
-        def entry(rule: str, severity: str, kind: str, violated: Column, c: str = r.column, i: int = i) -> Column:
-            fields = [F.lit(c).alias("column"), F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), F.col(f"{kind}{i}").alias("n_bad")]
+    aggs, checks, bad = [], [], []
+    for r in rules:
+        kinds = (
+            ("range", "error", outside(r.column, r.low, r.high), 0),
+            ("soft_range", "warning", outside(r.column, r.soft_low, r.soft_high), 0),
+            ("null_fraction", "error", F.col(r.column).isNull(), r.max_null * F.col("n_rows")),
+        )
+        for rule, severity, violated, most in kinds:
+            i = len(bad)
+            bad.append(violated)
+            aggs.append(F.count_if(violated).alias(f"bad{i}"))
+            fields = [F.lit(r.column).alias("column"), F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), F.col(f"bad{i}").alias("n_bad")]
             if name is not None:
-                found = F.array_sort(F.filter(F.array(*[F.col(f"{kind}{i}_{k}") for k in range(examples)]), lambda x: x.isNotNull()))
-                fields.append(F.transform(found, lambda x: x["name"]).alias("examples"))
-            return F.when(violated, F.struct(*fields))
-
-        checks += [
-            entry("range", "error", "hard", F.col(f"hard{i}") > 0),
-            entry("soft_range", "warning", "soft", F.col(f"soft{i}") > 0),
-            entry("null_fraction", "error", "null", F.col(f"null{i}") > r.max_null * F.col("n_rows")),
-        ]
+                places = [f"least{i}_{k}" for k in range(examples)]
+                aggs += [F.min(F.when(violated & (F.pmod("_h", F.lit(examples)) == k), F.col("_h"))).alias(c) for k, c in enumerate(places)]
+                fields += [F.lit(i).alias("_rule"), F.array_compact(F.array(*places)).alias("_least")]
+            checks.append(F.when(F.col(f"bad{i}") > most, F.struct(*fields)))
     totals = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *aggs)
-    return totals.select(*keys, F.inline(F.filter(F.array(*checks), lambda x: x.isNotNull())))
+    out = totals.select(*keys, F.inline(F.array_compact(F.array(*checks))))
+    if name is None:
+        return out
+    of = [F.col(k).alias(f"_of{i}") for i, k in enumerate(keys)]
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of{i}")) for i, k in enumerate(keys)])
+    least = out.select(*of, F.col("_rule").alias("_of_rule"), F.explode("_least").alias("_of_h"))
+    found = rows.join(F.broadcast(least), same & F.col("_h").eqNullSafe(F.col("_of_h")) & F.get(F.array(*bad), F.col("_of_rule")))
+    named = found.groupBy(*[f"_of{i}" for i in range(len(keys))], "_of_rule", "_h").agg(F.min("_name").alias("_name"))
+    named = named.groupBy(*[f"_of{i}" for i in range(len(keys))], "_of_rule").agg(F.array_sort(F.collect_list(F.struct("_h", "_name"))).alias("_named"))
+    out = out.join(named, same & (F.col("_rule") == F.col("_of_rule")), "left")
+    texts = F.transform("_named", lambda x: x["_name"])
+    return out.select(*keys, "column", "rule", "severity", "n_bad", F.coalesce(texts, F.array().cast("array<string>")).alias("examples"))
 
 
 def duplicate_timestamps(df: DataFrame, keys: list[str], ts: str = "timestamp") -> DataFrame:
