@@ -467,6 +467,21 @@ def test_lm_gradients_equal_finite_differences():
             assert abs((up - down) / 2e-5 - full[i]) < 1e-3
 
 
+def test_lm_network_in_columns_equals_single_positions():
+    rng = np.random.default_rng(4)
+    tree = lm_scoring.Tree.of(rng.integers(1, 50, 30).tolist())
+    net = lm_scoring.Network(*(p + rng.normal(0, 0.3, p.shape) for p in lm_scoring.Network.start(tree, dim=6).parts()))
+    tokens, at = lm_scoring.padded([rng.integers(0, 30, n).astype(np.uint16) for n in (1, 40, 3)], 30)
+    batch = lm_scoring.Batch.of(tree, tokens, at[1:])
+    hidden = net.hidden(lm_scoring.columns_of(net.embed, batch.context), batch.at)
+    for i, p in enumerate(at[1:][batch.order]):
+        plain = np.tanh(net.shared[-1] + sum(net.shared[k] * net.embed[tokens[p + off]] for k, off in enumerate(lm_scoring.OFFSETS)))
+        assert np.allclose(hidden[:, i], plain)
+        logits = [m[i] for _, _, _, m in batch.branches(net, tree, hidden) if i < len(m)]
+        branches = tree.levels[: tree.size[tokens[p]], tokens[p]]
+        assert np.allclose(logits, [((b & 1) * 2 - 1) * (net.node[b >> 1] @ plain + net.bias[b >> 1, 0]) for b in branches])
+
+
 def test_lm_step_is_adagrad_on_the_gradients():
     rng = np.random.default_rng(9)
     tree = lm_scoring.Tree.of([5, 4, 3, 2, 1])

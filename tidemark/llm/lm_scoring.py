@@ -168,11 +168,12 @@ class Network:
         return [self.embed, self.node, self.bias, self.shared]
 
     def hidden(self, near: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Of the positions ``at``; ``near`` has the embeddings of all tokens."""
-        total = self.shared[-1] + self.shared[0] * near[at + OFFSETS[0]]
+        """Of the positions ``at`` (in columns); ``near`` has the embeddings of all tokens, in columns too."""
+        n = near.shape[1] - 2 * PAD
+        total = self.shared[-1][:, None] + self.shared[0][:, None] * near[:, PAD + OFFSETS[0] :][:, :n]
         for k, off in enumerate(OFFSETS[1:], 1):
-            total += self.shared[k] * near[at + off]
-        return np.tanh(total)
+            total += self.shared[k][:, None] * near[:, PAD + off :][:, :n]
+        return np.tanh(np.take(total, at - PAD, axis=1, mode="clip"))
 
 
 @dataclass
@@ -194,12 +195,17 @@ class Batch:
         return cls(order, context, at[order] - first, tokens[at][order], on.tolist())
 
     def branches(self, net: Network, tree: Tree, hidden: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-        """Level by level: nodes, their weights, signs, signed logits."""
+        """Level by level: nodes, their weights (in columns, as ``hidden``), signs, signed logits."""
         for level, k in enumerate(self.on):
             branch = np.take(tree.levels[level], self.tokens[:k], mode="clip")
             nodes, signs = branch >> 1, ((branch & 1) * 2 - 1).astype(np.float32)
-            weights = np.take(net.node, nodes, axis=0, mode="clip")
-            yield nodes, weights, signs, signs * (np.einsum("ij,ij->i", weights, hidden[:k]) + np.take(net.bias[:, 0], nodes, mode="clip"))
+            weights = np.ascontiguousarray(np.take(net.node, nodes, axis=0, mode="clip").T)
+            yield nodes, weights, signs, signs * ((weights * hidden[:, :k]).sum(axis=0) + np.take(net.bias[:, 0], nodes, mode="clip"))
+
+
+def columns_of(rows: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """Rows of a matrix as columns: what numpy then does along them it does for many tokens at a time."""
+    return np.ascontiguousarray(np.take(rows, index, axis=0, mode="clip").T)
 
 
 def log_probabilities(net: Network, tree: Tree, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -208,7 +214,7 @@ def log_probabilities(net: Network, tree: Tree, tokens: np.ndarray, at: np.ndarr
     for i in range(0, len(at), BATCH):
         batch = Batch.of(tree, tokens, at[i : i + BATCH])
         inverse = np.ones(len(batch.at), np.float64)
-        for _, _, _, m in batch.branches(net, tree, net.hidden(net.embed[batch.context], batch.at)):
+        for _, _, _, m in batch.branches(net, tree, net.hidden(columns_of(net.embed, batch.context), batch.at)):
             inverse[: len(m)] *= 1 + np.exp(np.minimum(-m, 30))
         found[i : i + BATCH][batch.order] = -np.log(inverse)
     return found
@@ -217,7 +223,7 @@ def log_probabilities(net: Network, tree: Tree, tokens: np.ndarray, at: np.ndarr
 def row_sums(index: np.ndarray, columns: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct values of ``index``, the sums of their entries in every column, and how many there are. One column after the other."""
     uses = np.bincount(index, minlength=rows)
-    found = np.flatnonzero(uses)
+    found = np.flatnonzero(uses > 0)
     place = np.empty(rows, np.int64)
     place[found] = np.arange(len(found))
     at = place[index]
@@ -227,28 +233,32 @@ def row_sums(index: np.ndarray, columns: np.ndarray, rows: int) -> tuple[np.ndar
 def gradients(net: Network, tree: Tree, tokens: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Of the summed negative log-probability of the positions ``at``: rows, gradients and uses, for each part of the network."""
     batch = Batch.of(tree, tokens, at)
-    near, at = net.embed[batch.context], batch.at
+    near, at = columns_of(net.embed, batch.context), batch.at
     hidden = net.hidden(near, at)
-    by_column, back = np.ascontiguousarray(hidden.T), np.zeros_like(hidden)
-    total, dim = sum(batch.on), hidden.shape[1]
+    back = np.zeros_like(hidden)
+    total, dim = sum(batch.on), len(hidden)
     nodes_all, of_nodes, done = np.empty(total, np.int64), np.empty((dim + 1, total), np.float32), 0
     for nodes, weights, signs, m in batch.branches(net, tree, hidden):
         k = len(m)
         slope = -signs / (1 + np.exp(np.minimum(m, 80)))
-        np.multiply(weights, slope[:, None], out=weights)
-        back[:k] += weights
+        weights *= slope
+        back[:, :k] += weights
         nodes_all[done : done + k] = nodes
-        np.multiply(by_column[:, :k], slope, out=of_nodes[:-1, done : done + k])
+        np.multiply(hidden[:, :k], slope, out=of_nodes[:-1, done : done + k])
         of_nodes[-1, done : done + k] = slope
         done += k
     back *= 1 - hidden * hidden
+    n = near.shape[1] - 2 * PAD
+    placed = np.zeros((n, dim), back.dtype)  # as the tokens stand, zero where none is
+    placed[at - PAD] = back.T
+    placed = np.ascontiguousarray(placed.T)
     of_near, of_shared = np.zeros_like(near), np.empty_like(net.shared)
     for k, off in enumerate(OFFSETS):
-        of_near[at + off] += back * net.shared[k]
-        of_shared[k] = np.einsum("ij,ij->j", back, near[at + off])
-    of_shared[-1] = back.sum(axis=0)
+        of_near[:, PAD + off :][:, :n] += placed * net.shared[k][:, None]
+        of_shared[k] = (placed * near[:, PAD + off :][:, :n]).sum(axis=1)
+    of_shared[-1] = back.sum(axis=1)
     rows, sums, uses = row_sums(nodes_all, of_nodes, len(net.node))
-    return [row_sums(batch.context, np.ascontiguousarray(of_near.T), len(net.embed)), (rows, sums[:, :-1], uses), (rows, sums[:, -1:], uses), (np.arange(len(of_shared)), of_shared, np.full(len(of_shared), len(at)))]
+    return [row_sums(batch.context, of_near, len(net.embed)), (rows, sums[:, :-1], uses), (rows, sums[:, -1:], uses), (np.arange(len(of_shared)), of_shared, np.full(len(of_shared), len(at)))]
 
 
 class Trainer:
@@ -261,9 +271,12 @@ class Trainer:
 
     def step(self, tokens: np.ndarray, at: np.ndarray) -> None:
         for value, seen, uses, (rows, grad, n) in zip(self.net.parts(), self.seen, self.uses, gradients(self.net, self.tree, tokens, at)):
-            now = seen[rows] + grad * grad
+            now = np.take(seen, rows, axis=0, mode="clip")
+            now += grad * grad
             seen[rows] = now
-            value[rows] -= self.rate * grad / np.sqrt(now)
+            grad *= np.float32(self.rate)
+            grad /= np.sqrt(now, out=now)
+            value[rows] = np.subtract(np.take(value, rows, axis=0, mode="clip"), grad, out=now)
             uses[rows] += n
 
 
