@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.test_llm import LOWER, SMALL, documents
@@ -66,3 +68,16 @@ def test_texts_that_share_an_id(plain_plans, held):
     rows += [(7, " ".join(only)), (7, " ".join(["b", *only]))]  # two texts of one id have only each other
     found = spans(spark.createDataFrame(rows, "doc_id long, text string"), held=held)
     assert found == plain_spans(rows) == [(1, 0, 60, 2), (1, 40, 100, 3), (2, 0, 60, 1), (3, 0, 60, 1)]
+
+
+@pytest.mark.parametrize("n", [30, 60])
+def test_equal_contexts_are_one_row_and_a_span_for_each_place(n):
+    """Spans grow with the places, not with their pairs; every document names the least other one."""
+    context = [np.arange(1, 43, dtype=">u4").tobytes(), np.arange(50, 92, dtype=">u4").tobytes()]
+    columns = [pa.array([f"{i:03d}" for i in range(n)]), pa.array(range(n), pa.int64()), pa.array([7] * n, pa.int64()), *(pa.array([c] * n, pa.binary()) for c in context), pa.array([[100, 900]] * n, pa.list_(pa.int32()))]
+    rows = pa.RecordBatch.from_arrays(columns, suffix_dedup.COLUMNS)
+    (found,) = suffix_dedup.spans_of([rows], 50)
+    assert found.num_rows == 1
+    (spans,) = suffix_dedup.class_spans(iter([found]))
+    assert spans.num_rows == 2 * n
+    assert {(r["id"], r["start"], r["stop"], r["other"]) for r in spans.to_pylist()} == {(f"{i:03d}", p - 42, p + 50, "000" if i else "001") for i in range(n) for p in (100, 900)}

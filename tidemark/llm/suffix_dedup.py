@@ -13,9 +13,11 @@ the rows of an interval on both sides form a class, a class with two documents i
 longest such windows on either side. Classes stand in for pairs: nothing is lost however many rows share a passage.
 
 *Borders and crowds.* The first and last k-gram of a partition can go on in the next one, and a k-gram of more than
-``HELD`` rows isn't held in memory. Their rows become classes of equal contexts, each with its places in one row and its
-two least documents with the context; the windows of these classes are hashed to 64 bits and aggregated by hash, and what
-that gives returns to the classes by a salted join.
+``HELD`` rows isn't held in memory. Of their classes of equal contexts the two least documents go on with the context; the
+windows of these classes are hashed to 64 bits and aggregated by hash, and what that gives returns by a salted join.
+
+*Spans.* All rows with equal contexts have the same extension. A class of them goes on as one row with its documents, texts and
+places, wherever its match was found; one step then gives the spans, one per place.
 
 Words are lower-cased (A-Z) and stand between white space; they are compared by CRC32. Two different windows can only
 be taken for the same if all differing words collide in 32 bits at once, or in the hash of a k-gram, class or window.
@@ -195,11 +197,11 @@ def ranks(ids: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return rank[coded.indices.to_numpy()], coded.dictionary.take(pa.array(order))
 
 
-FOUND = ["start", "stop", "other", *COLUMNS, "cls", "ids", "tags"]
+FOUND = ["left", "right", "a", "b", *COLUMNS, "cls", "ids", "tags"]
 
 
 def found_type(id_type: str) -> str:
-    return f"start int, stop int, other {id_type}, {row_type(id_type)}, cls long, ids array<{id_type}>, tags array<long>"
+    return f"left int, right int, a {id_type}, b {id_type}, {row_type(id_type)}, cls long, ids array<{id_type}>, tags array<long>"
 
 
 def local_matches(rows: pa.Table, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
@@ -210,21 +212,37 @@ def local_matches(rows: pa.Table, min_words: int) -> tuple[np.ndarray, np.ndarra
     return (*matches(gram, matrix(get("suffix"), width), matrix(get("before"), width), owner, min_words), names, owner)
 
 
+def gathered(rows: pa.Table, order: np.ndarray, begins: np.ndarray) -> tuple[list[pa.Array], list[pa.Array]]:
+    """Of classes, whose rows stand together in ``order``: the columns of rows with nothing but places, and lists of documents and texts, place by place."""
+    lists = rows.column("places").chunk(0).take(pa.array(order))
+    counts = lists.value_lengths().to_numpy()
+    row = pa.array(np.repeat(order, counts))
+    ends = pa.array(np.r_[0, np.cumsum(counts)][np.r_[begins, len(order)]].astype(np.int32))
+    places, ids, tags = lists.flatten(), *(rows.column(c).chunk(0).take(row) for c in COLUMNS[:2])
+    nothing = [pa.nulls(len(begins), rows.schema.field(c).type) for c in COLUMNS[:-1]]
+    return [*nothing, pa.ListArray.from_arrays(ends, places)], [pa.ListArray.from_arrays(ends, ids), pa.ListArray.from_arrays(ends, tags)]
+
+
 def marked(rows: pa.Table, left: np.ndarray, right: np.ndarray, other: np.ndarray, names: pa.Array) -> pa.RecordBatch:
-    """Spans of the rows that have a match, at all their places."""
+    """The classes of equal contexts that have a match: one row each, with what :func:`class_spans` needs.
+
+    Equal contexts have the same extension and stand next to each other. Of a class all rows name the least document of its
+    windows but that document's own, which name the next one: ``a`` and ``b`` are the least and the greatest of the names.
+    """
     hit = np.flatnonzero(other >= 0)
-    lists = rows.column("places").chunk(0).take(pa.array(hit))
-    counts, place = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
-    row = np.repeat(hit, counts)
-    start, stop = (place - left[row]).astype(np.int32), (place + right[row]).astype(np.int32)
-    own = [rows.column(c).chunk(0).take(pa.array(row)) for c in COLUMNS[:2]]
-    ids = rows.schema.field("id").type
-    empty = [pa.nulls(len(row), t) for t in (*[rows.schema.field(c).type for c in COLUMNS[2:]], pa.int64(), pa.list_(ids), pa.list_(pa.int64()))]
-    return pa.RecordBatch.from_arrays([pa.array(start), pa.array(stop), names.take(pa.array(other[row])), *own, *empty], FOUND)
+    new = np.arange(len(hit)) == 0
+    for c in COLUMNS[2:5]:
+        values = rows.column(c).chunk(0).take(pa.array(hit))
+        new[1:] |= pc.not_equal(values[1:], values[:-1]).to_numpy(zero_copy_only=False)
+    begins = np.flatnonzero(new)
+    own, whose = gathered(rows, hit, begins)
+    reach = [pa.array(x[hit[begins]].astype(np.int32)) for x in (left, right)]
+    of = [names.take(pa.array(f.reduceat(other[hit], begins) if len(begins) else begins)) for f in (np.minimum, np.maximum)]
+    return pa.RecordBatch.from_arrays([*reach, *of, *own, pa.nulls(len(begins), pa.int64()), *whose], FOUND)
 
 
 def spans_of(parts: list[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    """Matched spans of complete k-grams."""
+    """Matched classes of complete k-grams."""
     rows = pa.Table.from_batches(parts)
     gram = rows.column("gram").to_numpy()
     codes = rows.column("id").combine_chunks().dictionary_encode().indices.to_numpy()
@@ -254,22 +272,17 @@ def open_rows(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     one_class = np.r_[True, cls[order][1:] != cls[order][:-1]]
     once = order[one_class | np.r_[True, owner[order][1:] != owner[order][:-1]]]  # a row of each document of each class
     heads = once[np.arange(len(once)) - np.searchsorted(cls[once], cls[once]) < 2]
-    lists, ids = column["places"].take(pa.array(order)), rows.schema.field("id").type
-    counts = lists.value_lengths().to_numpy()
-    row = pa.array(np.repeat(order, counts))
-    begins = np.flatnonzero(one_class)
-    ends = np.r_[0, np.cumsum(counts)][np.r_[begins, len(order)]].astype(np.int32)
-    grouped = lambda values: pa.ListArray.from_arrays(pa.array(ends), values)
+    begins, ids = np.flatnonzero(one_class), rows.schema.field("id").type
     nothing = lambda n, *types: [pa.nulls(n, t) for t in types]
-    n, m, text = len(heads), len(begins), rows.schema.field
+    n, m = len(heads), len(begins)
     whole = [column[c].take(pa.array(heads)) for c in COLUMNS[:-1]]
-    yield pa.RecordBatch.from_arrays([*nothing(n, pa.int32(), pa.int32(), ids), *whole, *nothing(n, text("places").type), pa.array(cls[heads]), *nothing(n, pa.list_(ids), pa.list_(pa.int64()))], FOUND)
-    members = [grouped(lists.flatten()), pa.array(cls[order[begins]]), grouped(column["id"].take(row)), grouped(column["text_tag"].take(row))]
-    yield pa.RecordBatch.from_arrays([*nothing(m, pa.int32(), pa.int32(), ids), *nothing(m, *[text(c).type for c in COLUMNS[:-1]]), *members], FOUND)
+    yield pa.RecordBatch.from_arrays([*nothing(n, pa.int32(), pa.int32(), ids, ids), *whole, *nothing(n, rows.schema.field("places").type), pa.array(cls[heads]), *nothing(n, pa.list_(ids), pa.list_(pa.int64()))], FOUND)
+    own, whose = gathered(rows, order, begins)
+    yield pa.RecordBatch.from_arrays([*nothing(m, pa.int32(), pa.int32(), ids, ids), *own, pa.array(cls[order[begins]]), *whose], FOUND)
 
 
 def compare_sorted(min_words: int, held: int):
-    """Over a sorted partition: spans of its k-grams, and of its first and last k-gram and crowded ones what :func:`open_rows` leaves open."""
+    """Over a sorted partition: matched classes of its k-grams, and of its first and last k-gram and crowded ones what :func:`open_rows` leaves open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -333,8 +346,11 @@ def window_hashes(min_words: int):
     return run
 
 
-def spans_across(rows: DataFrame, id_type: str, min_words: int) -> DataFrame:
-    """Spans of the classes of :func:`open_rows`, by hashes of their windows."""
+MATCHED = ["ids", "tags", "places", "left", "right", "a", "b"]
+
+
+def matched_across(rows: DataFrame, id_type: str, min_words: int) -> DataFrame:
+    """The matched ones of the classes of :func:`open_rows`, by hashes of their windows."""
     # A partition leaves at most two documents of a class for each ``HELD`` of its rows.
     docs = F.array_sort(F.collect_set("id"))
     classes = rows.where(F.col("gram").isNotNull()).groupBy("cls", "gram", "suffix", "before").agg(docs.alias("ids"))
@@ -351,8 +367,7 @@ def spans_across(rows: DataFrame, id_type: str, min_words: int) -> DataFrame:
     others = F.transform("docs", lambda d: F.when(d["first"] > F.col("a"), d["first"]).otherwise(d["second"]))
     spread = matched.select("cls", "left", "right", "a", F.array_min(others).alias("b"), salts)
     members = rows.where(F.col("ids").isNotNull()).select("cls", "ids", "tags", "places", F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(SALT)).cast("int").alias("salt"))
-    hit = members.join(spread, ["cls", "salt"]).select("ids", "tags", "places", "left", "right", "a", "b")
-    return hit.mapInArrow(class_spans, f"id {id_type}, text_tag long, start int, stop int, other {id_type}")
+    return members.join(spread, ["cls", "salt"]).select(*MATCHED)
 
 
 def class_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,8 +394,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     id_type, order = dict(docs.dtypes)[id_col], ("gram", "suffix", "before", "id")
     rows = sparse_suffixes(docs, id_col, text_col, min_words).repartitionByRange(*order).sortWithinPartitions(*order)
     found = materialise(rows.mapInArrow(compare_sorted(min_words, held), found_type(id_type)), "suffix-spans")
-    across = spans_across(found.where("start is null").drop("start", "stop", "other"), id_type, min_words)
-    spans = found.where("start is not null").select("id", "text_tag", "start", "stop", "other").unionByName(across)
+    across = matched_across(found.where("left is null").drop("left", "right", "a", "b"), id_type, min_words)
+    classes = found.where("left is not null").select(*MATCHED).unionByName(across)
+    spans = classes.mapInArrow(class_spans, f"id {id_type}, text_tag long, start int, stop int, other {id_type}")
 
     by_doc = Window.partitionBy("id", "text_tag").orderBy("start", "stop")
     reach = F.max("stop").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
