@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -81,3 +81,43 @@ def test_equal_contexts_are_one_row_and_a_span_for_each_place(n):
     (spans,) = suffix_dedup.class_spans(iter([found]))
     assert spans.num_rows == 2 * n
     assert {(r["id"], r["start"], r["stop"], r["other"]) for r in spans.to_pylist()} == {(f"{i:03d}", p - 42, p + 50, "000" if i else "001") for i in range(n) for p in (100, 900)}
+
+
+def edited(rng, n):
+    """Copies of a passage, each with two words of its own."""
+    out = []
+    for i in range(n):
+        words = [f"e{k}" for k in range(150)]
+        for k in rng.sample(range(150), 2):
+            words[k] = f"own{i}x{k}"
+        out.append(words)
+    return out
+
+
+@pytest.mark.parametrize("n", [150, 300])
+def test_windows_of_open_classes_are_those_that_another_can_share(n):
+    """Of near copies, few windows that occur once are made (at most those of border rows), and all that occur twice."""
+    copies = [w[45:137] for w in edited(random.Random(5), n)]  # 42 words, a k-gram that all have, 42 words
+    contexts = sorted({(tuple(w[50:]), tuple(w[:42][::-1])) for w in copies if w[42:50] == [f"e{k}" for k in range(87, 95)]})
+    code = {w: i for i, w in enumerate(sorted({w for c in contexts for side in c for w in side}), 1)}
+    coded = [tuple(np.array([code[w] for w in side], ">u4").tobytes() for side in c) for c in contexts]
+    m = len(coded)
+    columns = [pa.array(range(m), pa.int64()), pa.array([7] * m, pa.int64()), pa.array([7] * m, pa.int64()), *(pa.array(side, pa.binary()) for side in zip(*sorted(coded))), pa.array([[42]] * m, pa.list_(pa.int32()))]
+    heads, _ = suffix_dedup.open_rows([pa.RecordBatch.from_arrays(columns, suffix_dedup.COLUMNS)], 50)
+    classes = pa.Table.from_batches([heads]).rename_columns({"id": "lo"}).append_column("next_lo", pa.nulls(m, pa.int64()))
+    classes = classes.sort_by([("gram", "ascending"), ("before", "ascending"), ("suffix", "ascending")]).combine_chunks()
+    made = [(r["j"], r["h"]) for b in suffix_dedup.window_hashes(50)(iter(classes.to_batches())) for r in b.to_pylist()]
+    every = Counter((j, before[:j], after[: 42 - j]) for after, before in contexts for j in range(43))
+    shared = sorted(k for k in every.values() if k > 1)
+    assert sorted(k for k in Counter(made).values() if k > 1) == shared
+    assert len(made) - sum(shared) <= m + 4 * 43 < sum(every.values()) - sum(shared)
+
+
+@pytest.mark.parametrize(("partitions", "held"), [(5, suffix_dedup.HELD), (7, 8), (3, 0)])
+def test_near_copies_behind_borders(plain_plans, partitions, held):
+    spark, rng = plain_plans, random.Random(6)
+    rows = [(i // 2 if i % 7 == 0 else i, " ".join(w)) for i, w in enumerate(edited(rng, 120))]
+    rows += [(i + 500, t) for i, t in rows[:5]]
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    found = spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), held=held)
+    assert found == plain_spans(rows) and len(found) > 100

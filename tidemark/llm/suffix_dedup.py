@@ -13,8 +13,11 @@ the rows of an interval on both sides form a class, a class with two documents i
 longest such windows on either side. Classes stand in for pairs: nothing is lost however many rows share a passage.
 
 *Borders and crowds.* The first and last k-gram of a partition can go on in the next one, and a k-gram of more than
-``HELD`` rows isn't held in memory. Of their classes of equal contexts the two least documents go on with the context; the
-windows of these classes are hashed to 64 bits and aggregated by hash, and what that gives returns by a salted join.
+``HELD`` rows isn't held in memory. Of their classes of equal contexts the two least documents go on with the context. Of
+sorted rows, the neighbours have the longest common prefixes: in the first order they bound what a class shares to the right,
+in an order of the classes by the words before, to the left (where a neighbour stands elsewhere, nothing is bounded). Windows
+within both bounds, few of which occur once, are hashed to 64 bits and aggregated by hash, and what that gives returns by a
+salted join.
 
 *Spans.* All rows with equal contexts have the same extension. A class of them goes on as one row with its documents, texts and
 places, wherever its match was found; one step then gives the spans, one per place.
@@ -147,6 +150,17 @@ def common_with_previous(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out
 
 
+def longest_shared(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Length of the longest beginning that each of sorted rows shares with any other row, here or before or behind them.
+
+    That is one with a neighbour; the neighbours of the first and last row may stand elsewhere, so for these it's their length.
+    """
+    shared = np.r_[common_with_previous(rows, lengths), 0]
+    out = np.maximum(shared[:-1], shared[1:])
+    out[[0, -1]] = lengths[[0, -1]]
+    return out
+
+
 def matches(gram: np.ndarray, suffix: tuple, before: tuple, owner: np.ndarray, min_words: int) -> tuple[np.ndarray, ...]:
     """Of each row of sorted, complete k-grams: words of its matches to the left and right, and the least other owner (or -1).
 
@@ -255,11 +269,11 @@ def spans_of(parts: list[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordB
         yield marked(rows, left, right, other, names)
 
 
-def open_rows(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def open_rows(parts: list[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     """The classes of equal contexts of a k-gram that has more rows elsewhere.
 
     A class is one row with the documents, texts and places of its rows, and up to two rows with its context, of its least
-    documents.
+    documents. ``right`` of these is the number of words from the minimiser on that they can share with other rows.
     """
     rows = pa.Table.from_batches(parts).combine_chunks()
     if not rows.num_rows:
@@ -272,11 +286,12 @@ def open_rows(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     one_class = np.r_[True, cls[order][1:] != cls[order][:-1]]
     once = order[one_class | np.r_[True, owner[order][1:] != owner[order][:-1]]]  # a row of each document of each class
     heads = once[np.arange(len(once)) - np.searchsorted(cls[once], cls[once]) < 2]
+    right = (K + longest_shared(*matrix(column["suffix"], min_words - K))).astype(np.int32)
     begins, ids = np.flatnonzero(one_class), rows.schema.field("id").type
     nothing = lambda n, *types: [pa.nulls(n, t) for t in types]
     n, m = len(heads), len(begins)
     whole = [column[c].take(pa.array(heads)) for c in COLUMNS[:-1]]
-    yield pa.RecordBatch.from_arrays([*nothing(n, pa.int32(), pa.int32(), ids, ids), *whole, *nothing(n, rows.schema.field("places").type), pa.array(cls[heads]), *nothing(n, pa.list_(ids), pa.list_(pa.int64()))], FOUND)
+    yield pa.RecordBatch.from_arrays([*nothing(n, pa.int32()), pa.array(right[heads]), *nothing(n, ids, ids), *whole, *nothing(n, rows.schema.field("places").type), pa.array(cls[heads]), *nothing(n, pa.list_(ids), pa.list_(pa.int64()))], FOUND)
     own, whose = gathered(rows, order, begins)
     yield pa.RecordBatch.from_arrays([*nothing(m, pa.int32(), pa.int32(), ids, ids), *own, pa.array(cls[order[begins]]), *whose], FOUND)
 
@@ -297,14 +312,14 @@ def compare_sorted(min_words: int, held: int):
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if tail_gram is not None and gram[a] != tail_gram:  # the one before is complete
                     if goes_on_elsewhere:
-                        yield from open_rows(tail)
+                        yield from open_rows(tail, min_words)
                     else:
                         waiting += tail
                     tail, goes_on_elsewhere = [], False
                 tail_gram = gram[b - 1]
                 tail.append(batch.slice(a, b - a))
             if sum(p.num_rows for p in tail) > held:
-                yield from open_rows(tail)
+                yield from open_rows(tail, min_words)
                 tail, goes_on_elsewhere = [batch.slice(0, 0)], True
             if sum(p.num_rows for p in waiting) >= CHUNK:
                 yield from spans_of(waiting, min_words)
@@ -312,7 +327,7 @@ def compare_sorted(min_words: int, held: int):
         if waiting:
             yield from spans_of(waiting, min_words)
         if tail:
-            yield from open_rows(tail)
+            yield from open_rows(tail, min_words)
 
     return run
 
@@ -321,7 +336,10 @@ def compare_sorted(min_words: int, held: int):
 
 
 def window_hashes(min_words: int):
-    """``cls, j, h, lo, next_lo`` of every window of a class of equal contexts."""
+    """``cls, j, h, lo, next_lo`` of the windows of classes of equal contexts, sorted by the words before.
+
+    A class of one document has only those that another class can share, by ``right`` and the neighbours in a batch.
+    """
     width = min_words - K
     draw = np.random.default_rng(11).integers(1, 1 << 63, (2, width + 1), np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -331,9 +349,11 @@ def window_hashes(min_words: int):
                 continue
             (after, n_after), (back, n_back) = matrix(batch.column("suffix"), width), matrix(batch.column("before"), width)
             sums = [np.cumsum(np.hstack([np.zeros((len(m), 1), np.uint64), m.astype(np.uint64) * d[:-1]]), axis=1, dtype=np.uint64) for m, d in ((after, draw[0]), (back, draw[1]))]
-            gram = batch.column("gram").to_numpy().view(np.uint64)
+            gram, right = batch.column("gram").to_numpy().view(np.uint64), batch.column("right").to_numpy()
+            one_document = batch.column("next_lo").is_null().to_numpy(zero_copy_only=False)
+            left, right = np.where(one_document, longest_shared(back, n_back), n_back), np.where(one_document, right, n_after + K)
             for j in range(width + 1):
-                at = np.flatnonzero((n_back >= j) & (n_after + K >= min_words - j))
+                at = np.flatnonzero((left >= j) & (right >= min_words - j))
                 if not len(at):
                     continue
                 h = (gram[at] + np.uint64(j)) * draw[0, -1] + sums[0][at, width - j] * draw[1, -1] + sums[1][at, j]
@@ -353,8 +373,10 @@ def matched_across(rows: DataFrame, id_type: str, min_words: int) -> DataFrame:
     """The matched ones of the classes of :func:`open_rows`, by hashes of their windows."""
     # A partition leaves at most two documents of a class for each ``HELD`` of its rows.
     docs = F.array_sort(F.collect_set("id"))
-    classes = rows.where(F.col("gram").isNotNull()).groupBy("cls", "gram", "suffix", "before").agg(docs.alias("ids"))
-    classes = classes.select("cls", "gram", "suffix", "before", F.get("ids", F.lit(0)).alias("lo"), F.get("ids", F.lit(1)).alias("next_lo"))
+    classes = rows.where(F.col("gram").isNotNull()).groupBy("cls", "gram", "suffix", "before").agg(F.max("right").alias("right"), docs.alias("ids"))
+    classes = classes.select("cls", "gram", "suffix", "before", "right", F.get("ids", F.lit(0)).alias("lo"), F.get("ids", F.lit(1)).alias("next_lo"))
+    order = ("gram", "before", "suffix")
+    classes = classes.repartitionByRange(*order).sortWithinPartitions(*order)
     windows = materialise(classes.mapInArrow(window_hashes(min_words), f"cls long, j int, h long, lo {id_type}, next_lo {id_type}"), "suffix-windows")
     salts = F.explode(F.array(*map(F.lit, range(SALT)))).alias("salt")
     salted = windows.withColumn("salt", F.pmod("cls", F.lit(SALT)).cast("int"))
@@ -394,7 +416,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     id_type, order = dict(docs.dtypes)[id_col], ("gram", "suffix", "before", "id")
     rows = sparse_suffixes(docs, id_col, text_col, min_words).repartitionByRange(*order).sortWithinPartitions(*order)
     found = materialise(rows.mapInArrow(compare_sorted(min_words, held), found_type(id_type)), "suffix-spans")
-    across = matched_across(found.where("left is null").drop("left", "right", "a", "b"), id_type, min_words)
+    across = matched_across(found.where("left is null").drop("left", "a", "b"), id_type, min_words)
     classes = found.where("left is not null").select(*MATCHED).unionByName(across)
     spans = classes.mapInArrow(class_spans, f"id {id_type}, text_tag long, start int, stop int, other {id_type}")
 
